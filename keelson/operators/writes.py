@@ -42,3 +42,129 @@ def hash_upsert(target: DataFrame, batch: DataFrame, hash_col: str, on_match: Ma
         columns.append(F.when(~in_s, stored).when(same, change.get(c, stored)).otherwise(sent).alias(c))
     version = F.when(~in_t, F.lit(1)).when(~in_s | (same & F.lit(not change)), F.col("t._version")).otherwise(F.col("t._version") + 1)
     return joined.select(F.coalesce("t._id", "s._id").alias("_id"), version.cast("long").alias("_version"), *columns, result.alias("result"))
+
+
+def _docs(target: DataFrame) -> list[str]:
+    return [c for c in target.columns if c not in ("_id", "_version")]
+
+
+def index_write(target: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFrame:
+    """The last write of each id inserts or replaces the whole row.  `result`: created, updated or untouched."""
+    t, s = target.alias("t"), last_per_id(batch, seq).alias("s")
+    joined = t.join(s, F.col("t._id") == F.col("s._id"), "full_outer")
+    in_t, in_s = F.col("t._id").isNotNull(), F.col("s._id").isNotNull()
+    columns = [F.when(in_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in _docs(target)]
+    version = F.when(~in_t, F.lit(1)).when(in_s, F.col("t._version") + 1).otherwise(F.col("t._version"))
+    result = F.when(~in_s, "untouched").when(~in_t, "created").otherwise("updated")
+    return joined.select(F.coalesce("t._id", "s._id").alias("_id"), version.cast("long").alias("_version"), *columns, result.alias("result"))
+
+
+def create_write(target: DataFrame, batch: DataFrame, seq: str = "seq") -> tuple[DataFrame, DataFrame]:
+    """(table, conflicts): the first write of a new id is appended; writes to a known id and later repeats are conflicts."""
+    order = Window.partitionBy("_id").orderBy(seq)
+    numbered = batch.withColumn("_rn", F.row_number().over(order))
+    marked = numbered.join(target.select("_id", F.lit(True).alias("_known")), "_id", "left")
+    fresh = (F.col("_rn") == 1) & F.col("_known").isNull()
+    added = marked.where(fresh).select("_id", F.lit(1).cast("long").alias("_version"), *_docs(target))
+    return target.unionByName(added), marked.where(~fresh).drop("_rn", "_known")
+
+
+def generated_id(batch: DataFrame, seq: str = "seq") -> Column:
+    """A deterministic id of a row without one."""
+    docs = [c for c in batch.columns if c not in ("_id", seq)]
+    return F.sha2(F.concat_ws("#", F.to_json(F.struct(*docs)), F.col(seq).cast("string")), 256)
+
+
+def auto_write(target: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFrame:
+    """Rows with an id are indexed; rows with a blank or null id are created under a generated id."""
+    blank = F.col("_id").isNull() | (F.trim("_id") == "")
+    return index_write(target, batch.withColumn("_id", F.when(blank, generated_id(batch, seq)).otherwise(F.col("_id"))), seq)
+
+
+def partial_update(target: DataFrame, batch: DataFrame, fields: str | None = None, seq: str = "seq") -> DataFrame:
+    """Merge the fields that the incoming document has; an unknown id is inserted.
+
+    A field counts as present if it isn't null, or, with `fields`, if its name is in that array column: then a null
+    in it overwrites.
+    """
+    t, s = target.alias("t"), last_per_id(batch, seq).alias("s")
+    joined = t.join(s, F.col("t._id") == F.col("s._id"), "full_outer")
+    in_t, in_s = F.col("t._id").isNotNull(), F.col("s._id").isNotNull()
+
+    def merged(c: str) -> Column:
+        present = F.array_contains(F.col(f"s.{fields}"), c) if fields else F.col(f"s.{c}").isNotNull()
+        return F.when(in_s & present, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+
+    version = F.when(~in_t, F.lit(1)).when(in_s, F.col("t._version") + 1).otherwise(F.col("t._version"))
+    result = F.when(~in_s, "untouched").when(~in_t, "created").otherwise("updated")
+    return joined.select(F.coalesce("t._id", "s._id").alias("_id"), version.cast("long").alias("_version"), *[merged(c) for c in _docs(target)], result.alias("result"))
+
+
+def delete_ids(target: DataFrame, ids: DataFrame) -> DataFrame:
+    """The target without the given ids."""
+    return target.join(ids.select("_id"), "_id", "left_anti")
+
+
+def apply_log(target: DataFrame, log: DataFrame, seq: str = "seq", action: str = "action") -> DataFrame:
+    """Apply interleaved actions per id in order: index replaces, create inserts if absent, update merges non-null
+    fields or inserts, delete removes.  The version counts the writes since the row last came into being.
+
+    After any action but delete the row exists, so whether a create takes effect depends on the action before it only.
+    """
+    docs = _docs(target)
+    order = Window.partitionBy("_id").orderBy(seq)
+    known = target.select("_id", F.lit(True).alias("_known"))
+    rows = log.join(known, "_id", "left").withColumn("_before", F.lag(action).over(order))
+    absent = F.when(F.col("_before").isNull(), F.col("_known").isNull()).otherwise(F.col("_before") == "delete")
+    rows = rows.where((F.col(action) != "create") | absent)
+    reset = F.col(action).isin("index", "delete", "create")
+    everything = Window.partitionBy("_id")
+    rows = rows.withColumn("_reset", F.max(F.when(reset, F.col(seq))).over(everything))
+    rows = rows.withColumn("_delete", F.max(F.when(F.col(action) == "delete", F.col(seq))).over(everything))
+    live = F.col("_reset").isNull() | (F.col(seq) >= F.col("_reset"))
+    writes = F.col("_delete").isNull() | (F.col(seq) > F.col("_delete"))
+    per_field = [F.max_by(F.struct(F.col(c).alias("v")), F.when(live & ((F.col(action) != "update") | F.col(c).isNotNull()), F.col(seq))).alias(f"_{c}") for c in docs]
+    folded = rows.groupBy("_id").agg(
+        F.max("_reset").alias("_reset"), F.max("_delete").alias("_delete"), F.max_by(action, seq).alias("_last"),
+        F.sum(writes.cast("long")).alias("_writes"), *per_field,
+    )
+    t, s = target.alias("t"), folded.alias("s")
+    joined = t.join(s, F.col("t._id") == F.col("s._id"), "full_outer").where(F.col("s._last").isNull() | (F.col("s._last") != "delete"))
+    fresh = F.col("t._id").isNull() | F.col("s._delete").isNotNull()
+    version = F.when(fresh, F.lit(0)).otherwise(F.col("t._version")) + F.coalesce("s._writes", F.lit(0))
+    columns = []
+    for c in docs:
+        stored = F.when(F.col("s._reset").isNull(), F.col(f"t.{c}"))
+        columns.append(F.when(F.col(f"s._{c}").isNotNull(), F.col(f"s._{c}.v")).otherwise(stored).alias(c))
+    return joined.select(F.coalesce("t._id", "s._id").alias("_id"), version.cast("long").alias("_version"), *columns)
+
+
+def routed(rows: DataFrame, prefix: str, ts_col: str, pattern: str = "yyyy.MM.dd", offset_seconds: int = 0, now: str | None = None) -> DataFrame:
+    """`_index` from each row's timestamp (and offset), else from `now`."""
+    ts = F.coalesce(F.col(ts_col), F.lit(now).cast("timestamp")) if now else F.col(ts_col)
+    return rows.withColumn("_index", F.lower(F.concat(F.lit(prefix), F.date_format(ts + F.make_dt_interval(secs=F.lit(offset_seconds)), pattern))))
+
+
+def with_outcomes(target: DataFrame, batch: DataFrame, mode: str = "index", seq: str = "seq") -> tuple[DataFrame, DataFrame]:
+    """(table, outcomes): one outcome (_id, seq, status, error_type) for each document sent."""
+    known = target.select("_id", F.lit(True).alias("_known"))
+    marked = batch.join(known, "_id", "left").withColumn("_rn", F.row_number().over(Window.partitionBy("_id").orderBy(seq)))
+    fresh = F.col("_known").isNull() & (F.col("_rn") == 1)
+    if mode == "create":
+        table, _ = create_write(target, batch, seq)
+        status = F.when(fresh, 201).otherwise(409)
+    else:
+        table = index_write(target, batch, seq).drop("result")
+        status = F.when(fresh, 201).otherwise(200)
+    error = F.when(status == 409, "version_conflict_engine_exception")
+    return table, marked.select("_id", seq, status.alias("status"), error.alias("error_type"))
+
+
+def all_persisted(outcomes: DataFrame) -> DataFrame:
+    """One row: whether every status is 2xx (true for none)."""
+    return outcomes.agg(F.coalesce(F.bool_and(F.col("status").between(200, 299)), F.lit(True)).alias("all_persisted"))
+
+
+def multiplex(batch: DataFrame, *projections: list[Column]) -> list[DataFrame]:
+    """One frame for each target's schema from the same batch."""
+    return [batch.select(*p) for p in projections]

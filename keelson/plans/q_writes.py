@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.operators import writes
+from keelson.sources import export, tables
 
 COLUMNS = ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 HASHED = ("o_custkey", "o_orderstatus", "o_orderpriority")
@@ -67,4 +68,258 @@ SELECT result, CASE WHEN result = 'updated' THEN 2 ELSE 1 END::BIGINT AS _versio
 FROM j GROUP BY 1, 2
 """
 
-QUERIES = {"W5_hash_upsert": (w5, W5)}
+
+DOCS = ", ".join(COLUMNS)
+
+
+def summary(df: DataFrame, *by: str) -> DataFrame:
+    return df.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("price"))
+
+
+def w1(spark, sf_dir):
+    """Index write: the whole table after it."""
+    return writes.index_write(target(spark, sf_dir), incoming(spark, sf_dir)).drop("hash")
+
+
+W1 = f"""
+WITH {CTE}
+SELECT coalesce(t._id, l._id) AS _id, CASE WHEN t._id IS NULL THEN 1 WHEN l._id IS NULL THEN 1 ELSE 2 END::BIGINT AS _version,
+  {", ".join(f"CASE WHEN l._id IS NULL THEN t.{c} ELSE l.{c} END AS {c}" for c in COLUMNS)},
+  CASE WHEN l._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result
+FROM t FULL OUTER JOIN l ON t._id = l._id
+"""
+
+
+def w2(spark, sf_dir):
+    """Create write: rows kept and conflicts."""
+    table_, conflicts = writes.create_write(target(spark, sf_dir), incoming(spark, sf_dir))
+    return summary(table_.select("o_totalprice", F.lit("table").alias("part")), "part").unionByName(summary(conflicts.select("o_totalprice", F.lit("conflict").alias("part")), "part"))
+
+
+W2 = f"""
+WITH {CTE}, fresh AS (SELECT * FROM f WHERE _id NOT IN (SELECT _id FROM t))
+SELECT 'table' AS part, count(*) AS n, round(sum(o_totalprice), 2) AS price FROM (SELECT o_totalprice FROM t UNION ALL SELECT o_totalprice FROM fresh)
+UNION ALL
+SELECT 'conflict', count(*), round(sum(s.o_totalprice), 2) FROM s WHERE NOT EXISTS (SELECT 1 FROM fresh WHERE fresh._id = s._id AND fresh.seq = s.seq)
+"""
+
+
+def w3(spark, sf_dir):
+    """Auto write: every fifth row has no id and is created under a generated one."""
+    t = target(spark, sf_dir).withColumn("_id", F.col("_id").cast("string"))
+    s = incoming(spark, sf_dir).withColumn("_id", F.when(F.col("_id") % 5 == 4, F.lit("  ")).otherwise(F.col("_id").cast("string")))
+    return writes.auto_write(t, s).groupBy("result", (F.length("_id") == 64).alias("generated")).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("price"))
+
+
+W3 = f"""
+WITH {CTE}, g AS (SELECT * FROM s WHERE _id % 5 = 4), k AS (SELECT * FROM l WHERE _id % 5 <> 4),
+j AS (SELECT CASE WHEN k._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result, false AS generated,
+        CASE WHEN k._id IS NULL THEN t.o_totalprice ELSE k.o_totalprice END AS p FROM t FULL OUTER JOIN k ON t._id = k._id
+      UNION ALL SELECT 'created', true, o_totalprice FROM g)
+SELECT result, generated, count(*) AS n, round(sum(p), 2) AS price FROM j GROUP BY 1, 2
+"""
+
+
+def sparse(spark, sf_dir):
+    """The batch with holes: priority null for odd keys, status null for every third key, and the fields it means to send."""
+    s = incoming(spark, sf_dir).drop("hash")
+    s = s.withColumn("o_orderpriority", F.when(F.col("_id") % 2 == 0, F.col("o_orderpriority"))).withColumn("o_orderstatus", F.when(F.col("_id") % 3 != 0, F.col("o_orderstatus")))
+    return s.withColumn("_fields", F.when(F.col("_id") % 4 == 1, F.array(F.lit("o_orderpriority"), F.lit("o_totalprice"))).otherwise(F.array(*[F.lit(c) for c in COLUMNS])))
+
+
+SPARSE = """h AS (SELECT _id, o_custkey, CASE WHEN _id % 3 <> 0 THEN o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate,
+  CASE WHEN _id % 2 = 0 THEN o_orderpriority END AS o_orderpriority FROM l)"""
+
+
+def w4(spark, sf_dir):
+    """Partial update by non-null fields."""
+    return writes.partial_update(target(spark, sf_dir).drop("hash"), sparse(spark, sf_dir))
+
+
+W4 = f"""
+WITH {CTE}, {SPARSE}
+SELECT coalesce(t._id, h._id) AS _id, CASE WHEN t._id IS NULL OR h._id IS NULL THEN 1 ELSE 2 END::BIGINT AS _version,
+  {", ".join(f"coalesce(h.{c}, t.{c}) AS {c}" for c in COLUMNS)},
+  CASE WHEN h._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result
+FROM t FULL OUTER JOIN h ON t._id = h._id
+"""
+
+
+def w4_mask(spark, sf_dir):
+    """Partial update by a presence mask: a null that was sent overwrites."""
+    out = writes.partial_update(target(spark, sf_dir).drop("hash"), sparse(spark, sf_dir), fields="_fields")
+    return out.withColumn("o_custkey", F.coalesce("o_custkey", F.lit(-1)))
+
+
+W4_MASK = f"""
+WITH {CTE}, {SPARSE}
+SELECT coalesce(t._id, h._id) AS _id, CASE WHEN t._id IS NULL OR h._id IS NULL THEN 1 ELSE 2 END::BIGINT AS _version,
+  {", ".join(f"CASE WHEN h._id IS NOT NULL AND {'true' if c in ('o_orderpriority', 'o_totalprice') else 'h._id % 4 <> 1'} THEN h.{c} ELSE t.{c} END AS {c}" for c in COLUMNS).replace("CASE WHEN h._id IS NOT NULL AND h._id % 4 <> 1 THEN h.o_custkey ELSE t.o_custkey END", "coalesce(CASE WHEN h._id IS NOT NULL AND h._id % 4 <> 1 THEN h.o_custkey ELSE t.o_custkey END, -1)")},
+  CASE WHEN h._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result
+FROM t FULL OUTER JOIN h ON t._id = h._id
+"""
+
+
+def w6(spark, sf_dir):
+    """Hash match applies a small change: the price is stamped 0 and the version rises."""
+    out = writes.hash_upsert(target(spark, sf_dir), incoming(spark, sf_dir), "hash", on_match={"o_totalprice": F.lit(0.0)})
+    return summary(out, "result", "_version")
+
+
+W6 = f"""
+WITH {CTE},
+j AS (SELECT CASE WHEN l._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result,
+        CASE WHEN l._id IS NULL THEN t.o_totalprice WHEN t.hash = l.hash THEN 0.0 ELSE l.o_totalprice END AS p FROM t FULL OUTER JOIN l ON t._id = l._id)
+SELECT result, CASE WHEN result = 'updated' THEN 2 ELSE 1 END::BIGINT AS _version, count(*) AS n, round(sum(p), 2) AS price FROM j GROUP BY 1, 2
+"""
+
+
+def w7(spark, sf_dir):
+    """Delete actions: what is left of the target."""
+    return writes.delete_ids(target(spark, sf_dir), incoming(spark, sf_dir)).select("_id", "o_totalprice")
+
+
+W7 = f"WITH {CTE} SELECT _id, o_totalprice FROM t WHERE _id NOT IN (SELECT _id FROM s)"
+
+
+def action_log(spark, sf_dir):
+    """lineitem as a log on orders: one action a line, in line order."""
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("quantity"), F.max("l_shipdate").alias("l_shipdate"))
+    action = F.element_at(F.array(F.lit("index"), F.lit("create"), F.lit("update"), F.lit("delete")), (F.col("l_linenumber") % 4 + 1).cast("int"))
+    value = F.when(action != "delete", F.col("quantity"))
+    note = F.when(F.col("l_linenumber") % 3 != 0, F.concat(action, F.lit("-"), F.col("l_linenumber")))
+    return rows.select(F.col("l_orderkey").alias("_id"), F.col("l_linenumber").alias("seq"), action.alias("action"), value.alias("quantity"), note.alias("note"))
+
+
+def w8(spark, sf_dir):
+    """Mixed action log on a table of every second order."""
+    t = table(spark, sf_dir, "orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("_id"), F.lit(5).cast("long").alias("_version"), F.lit(-1.0).alias("quantity"), F.lit("old").alias("note"))
+    return writes.apply_log(t, action_log(spark, sf_dir))
+
+
+W8 = """
+WITH RECURSIVE lg AS (SELECT l_orderkey AS _id, l_linenumber AS seq, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS k,
+    ['index', 'create', 'update', 'delete'][l_linenumber % 4 + 1] AS action, max(l_quantity) AS quantity FROM lineitem GROUP BY l_orderkey, l_linenumber),
+a AS (SELECT _id, k, action, CASE WHEN action <> 'delete' THEN quantity END AS quantity, CASE WHEN seq % 3 <> 0 THEN action || '-' || seq END AS note FROM lg),
+st AS (
+  SELECT i._id, 0::BIGINT AS k, o.o_orderkey IS NOT NULL AS live, CASE WHEN o.o_orderkey IS NOT NULL THEN 5 ELSE 0 END::BIGINT AS v,
+    CASE WHEN o.o_orderkey IS NOT NULL THEN -1.0 END::DOUBLE AS quantity, CASE WHEN o.o_orderkey IS NOT NULL THEN 'old' END AS note
+  FROM (SELECT _id FROM a UNION SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0) i LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 2 = 0) o ON i._id = o.o_orderkey
+  UNION ALL
+  SELECT st._id, a.k,
+    CASE WHEN a.action = 'delete' THEN false ELSE true END,
+    CASE WHEN a.action = 'delete' THEN 0 WHEN a.action = 'create' AND st.live THEN st.v ELSE st.v + 1 END,
+    CASE WHEN a.action = 'delete' THEN NULL WHEN a.action = 'create' AND st.live THEN st.quantity WHEN a.action = 'update' THEN coalesce(a.quantity, st.quantity) ELSE a.quantity END,
+    CASE WHEN a.action = 'delete' THEN NULL WHEN a.action = 'create' AND st.live THEN st.note WHEN a.action = 'update' THEN coalesce(a.note, st.note) ELSE a.note END
+  FROM st JOIN a ON a._id = st._id AND a.k = st.k + 1)
+SELECT _id, v AS _version, quantity, note FROM (SELECT *, row_number() OVER (PARTITION BY _id ORDER BY k DESC) AS rn FROM st) WHERE rn = 1 AND live
+"""
+
+
+def w9(spark, sf_dir):
+    """Append write: events added to a stream table partitioned by day, then read back by partition."""
+    rows = tables.append(table(spark, sf_dir, "events"), tables.scratch(spark, "events-stream"), "ts")
+    return rows.groupBy("day").agg(F.count("*").alias("n"), F.min("event_id").alias("first_id"))
+
+
+W9 = "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, min(event_id) AS first_id FROM events GROUP BY 1"
+
+
+def w10(spark, sf_dir):
+    """Fixed-target append: every type of event goes to the table logs."""
+    rows = tables.append(table(spark, sf_dir, "events"), tables.scratch(spark, "logs"), "ts")
+    return rows.groupBy(F.lit("logs").alias("_index"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("value"))
+
+
+W10 = "SELECT 'logs' AS _index, event_type, count(*) AS n, round(sum(value), 2) AS value FROM events GROUP BY event_type"
+
+
+def w11(spark, sf_dir):
+    """Time-routed write, 36 hours ahead."""
+    return writes.routed(table(spark, sf_dir, "events"), "Metrics-", "ts", "yyyy.MM.dd", 129600).groupBy("_index").agg(F.count("*").alias("n"), F.max("event_id").alias("last_id"))
+
+
+W11 = "SELECT 'metrics-' || strftime(ts + INTERVAL 36 HOUR, '%Y.%m.%d') AS _index, count(*) AS n, max(event_id) AS last_id FROM events GROUP BY 1"
+
+
+def w12(spark, sf_dir):
+    """Direct write in create mode: outcomes by status."""
+    _, outcomes = writes.with_outcomes(target(spark, sf_dir), incoming(spark, sf_dir), "create")
+    ok = writes.all_persisted(outcomes)
+    return outcomes.groupBy("status", "error_type").agg(F.count("*").alias("n"), F.min("_id").alias("first_id")).crossJoin(F.broadcast(ok))
+
+
+W12 = f"""
+WITH {CTE}, o AS (SELECT s._id, CASE WHEN s.seq = f.seq AND t._id IS NULL THEN 201 ELSE 409 END AS status FROM s JOIN f ON s._id = f._id LEFT JOIN t ON s._id = t._id)
+SELECT status, CASE WHEN status = 409 THEN 'version_conflict_engine_exception' END AS error_type, count(*) AS n, min(_id) AS first_id,
+  (SELECT bool_and(status BETWEEN 200 AND 299) FROM o) AS all_persisted FROM o GROUP BY 1, 2
+"""
+
+
+def w13(spark, sf_dir):
+    """Action-log export of the documents: header and body lines."""
+    docs = table(spark, sf_dir, "documents")
+    action = F.element_at(F.array(F.lit("index"), F.lit("create"), F.lit("update"), F.lit("delete")), (F.col("doc_id") % 4 + 1).cast("int"))
+    body = F.to_json(F.struct("lang", "source", "n_chars"))
+    return export.action_lines(docs, action, F.lit("docs"), F.col("doc_id").cast("string"), body, ["doc_id"]).withColumn("line_no", F.col("line_no").cast("long"))
+
+
+W13 = """
+WITH r AS (SELECT doc_id, ['index', 'create', 'update', 'delete'][doc_id % 4 + 1] AS action, '{"lang":"' || lang || '","source":"' || source || '","n_chars":' || n_chars || '}' AS body FROM documents)
+SELECT doc_id, 0::BIGINT AS line_no, '{"' || action || '":{"_index":"docs","_id":"' || doc_id || '"}}' AS line FROM r
+UNION ALL SELECT doc_id, 1, CASE WHEN action = 'update' THEN '{"doc":' || body || ',"doc_as_upsert":true}' ELSE body END FROM r WHERE action <> 'delete'
+"""
+
+
+def w14(spark, sf_dir):
+    """Export with the caller's own body: a delimited line."""
+    orders = table(spark, sf_dir, "orders")
+    body = F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus", "o_orderpriority")
+    out = export.action_lines(orders, F.lit("create"), None, F.col("o_orderkey").cast("string"), body, ["o_orderkey"])
+    return out.where("line_no = 1").select("o_orderkey", "line", F.octet_length("line").cast("long").alias("bytes"))
+
+
+W14 = "SELECT o_orderkey, concat_ws('|', o_orderkey, o_orderstatus, o_orderpriority) AS line, strlen(concat_ws('|', o_orderkey, o_orderstatus, o_orderpriority))::BIGINT AS bytes FROM orders"
+
+
+def w15(spark, sf_dir):
+    """Trace intake lines of orders as transactions, with the metadata line of a file."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.lower("o_orderstatus").alias("type"), F.col("o_custkey").alias("trace"))
+    lines = export.trace_lines(orders, "transaction", ["id", "type", "trace"], ["id"])
+    first = spark.range(1).select(F.lit("").alias("id"), export.metadata_line("my/service*1", "keelson").alias("line"))
+    return first.unionByName(lines)
+
+
+W15 = """
+SELECT '' AS id, '{"metadata":{"service":{"name":"my_service_1","agent":{"name":"keelson"}}}}' AS line
+UNION ALL SELECT o_orderkey::VARCHAR, '{"transaction":{"id":"' || o_orderkey || '","type":"' || lower(o_orderstatus) || '","trace":' || o_custkey || '}}' FROM orders
+"""
+
+
+def w16(spark, sf_dir):
+    """Multiplex: one batch as rows of a primary and of a secondary schema."""
+    first, second = writes.multiplex(incoming(spark, sf_dir), [F.col("_id"), F.col("o_totalprice"), F.lit("primary").alias("target")], [F.col("_id"), F.floor(F.col("o_totalprice")).cast("double").alias("o_totalprice"), F.lit("secondary").alias("target")])
+    return summary(first.unionByName(second), "target")
+
+
+W16 = f"""
+WITH {CTE}
+SELECT 'primary' AS target, count(*) AS n, round(sum(o_totalprice), 2) AS price FROM s
+UNION ALL SELECT 'secondary', count(*), round(sum(floor(o_totalprice)), 2) FROM s
+"""
+
+
+def j4(spark, sf_dir):
+    """Upsert join: how incoming rows meet the stored ones."""
+    t, s = target(spark, sf_dir).select("_id", "hash"), writes.last_per_id(incoming(spark, sf_dir)).select("_id", F.col("hash").alias("sent"))
+    j = t.join(s, "_id", "full_outer")
+    return j.groupBy(F.col("hash").isNotNull().alias("stored"), F.col("sent").isNotNull().alias("incoming"), F.coalesce(F.col("hash") == F.col("sent"), F.lit(False)).alias("equal")).agg(F.count("*").alias("n"))
+
+
+J4 = f"WITH {CTE} SELECT t._id IS NOT NULL AS stored, l._id IS NOT NULL AS incoming, coalesce(t.hash = l.hash, false) AS equal, count(*) AS n FROM t FULL OUTER JOIN l ON t._id = l._id GROUP BY 1, 2, 3"
+
+QUERIES = {
+    "W5_hash_upsert": (w5, W5), "W1_index_write": (w1, W1), "W2_create_write": (w2, W2), "W3_auto_write": (w3, W3), "W4_partial_update": (w4, W4), "W4_partial_update_mask": (w4_mask, W4_MASK),
+    "W6_hash_match_script": (w6, W6), "W7_delete": (w7, W7), "W8_action_log": (w8, W8), "W9_append": (w9, W9), "W10_fixed_target": (w10, W10), "W11_time_routed": (w11, W11), "W12_outcomes": (w12, W12),
+    "W13_action_export": (w13, W13), "W14_custom_body": (w14, W14), "W15_trace_export": (w15, W15), "W16_multiplex": (w16, W16), "J4_upsert_join": (j4, J4),
+}
