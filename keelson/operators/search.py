@@ -72,7 +72,7 @@ def stored_queries(rows: DataFrame, queries: DataFrame, fields: list[str], most:
     equi-join on its field; up to `most` queries are broadcast.
     """
     few = queries.limit(most + 1).count() <= most
-    pairs = rows.withColumn("_f", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("num"), F.col(f).cast("string").alias("str")) for f in fields])))
+    pairs = rows.withColumn("_f", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).try_cast("double").alias("num"), F.col(f).cast("string").alias("str")) for f in fields])))
     pairs = pairs.select("*", F.col("_f.field").alias("field"), F.col("_f.num").alias("_num"), F.col("_f.str").alias("_str")).drop("_f")
     joined = pairs.join(F.broadcast(queries) if few else queries, "field")
     return joined.where("(lo IS NULL OR _num >= lo) AND (hi IS NULL OR _num <= hi) AND (value IS NULL OR _str = value)").drop("_num", "_str")

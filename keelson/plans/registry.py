@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.plans import q_analyze, q_scan, q_tables, q_writes
+from keelson.plans import q_analyze, q_enrich, q_misc, q_scan, q_stream, q_tables, q_writes
 
-MODULES = (q_writes, q_scan, q_tables, q_analyze)
+MODULES = (q_writes, q_scan, q_tables, q_enrich, q_misc, q_stream, q_analyze)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
