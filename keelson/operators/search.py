@@ -40,9 +40,10 @@ def range_match(rows: DataFrame, value: str, ranges: DataFrame, most: int = 10_0
     def cell(c: Column) -> Column:
         return F.greatest(F.lit(-1), F.least(F.lit(4096), F.floor((c - lo) / width))).cast("int")
 
-    first, last = F.coalesce(cell(F.col("gte")), F.lit(-1)), F.coalesce(cell(F.col("lte")), F.lit(4096))
+    first = F.when(F.col("gte").isNull(), -1).otherwise(cell(F.col("gte")))
+    last = F.when(F.col("lte").isNull(), 4096).otherwise(cell(F.col("lte")))
     cells = ranges.where(first <= last).withColumn("_cell", F.explode(F.sequence(first, last)))
-    return rows.withColumn("_cell", cell(F.col(value))).join(cells, "_cell").where(inside).drop("_cell")
+    return rows.where(F.col(value).isNotNull()).withColumn("_cell", cell(F.col(value))).join(cells, "_cell").where(inside).drop("_cell")
 
 
 def dot(a: Column, b: Column) -> Column:
