@@ -318,8 +318,24 @@ def j4(spark, sf_dir):
 
 J4 = f"WITH {CTE} SELECT t._id IS NOT NULL AS stored, l._id IS NOT NULL AS incoming, coalesce(t.hash = l.hash, false) AS equal, count(*) AS n FROM t FULL OUTER JOIN l ON t._id = l._id GROUP BY 1, 2, 3"
 
+
+def w1_buckets(spark, sf_dir):
+    """Index write into a bucketed table: the stored rows first, then a batch that touches some buckets."""
+    t = tables.BucketedTable(spark, tables.scratch(spark, "bucketed"), 16)
+    empty = target(spark, sf_dir).limit(0)
+    t.write(target(spark, sf_dir).withColumn("seq", F.lit(0)), lambda old, new: writes.index_write(old, new).drop("result"), empty)
+    t.write(incoming(spark, sf_dir), lambda old, new: writes.index_write(old, new).drop("result"), empty)
+    return t.read().drop("hash")
+
+
+W1_BUCKETS = f"""
+WITH {CTE}
+SELECT coalesce(t._id, l._id) AS _id, CASE WHEN t._id IS NULL OR l._id IS NULL THEN 1 ELSE 2 END::BIGINT AS _version, {", ".join(f"CASE WHEN l._id IS NULL THEN t.{c} ELSE l.{c} END AS {c}" for c in COLUMNS)}
+FROM t FULL OUTER JOIN l ON t._id = l._id
+"""
+
 QUERIES = {
-    "W5_hash_upsert": (w5, W5), "W1_index_write": (w1, W1), "W2_create_write": (w2, W2), "W3_auto_write": (w3, W3), "W4_partial_update": (w4, W4), "W4_partial_update_mask": (w4_mask, W4_MASK),
+    "W5_hash_upsert": (w5, W5), "W1_index_write": (w1, W1), "W1_bucketed_write": (w1_buckets, W1_BUCKETS), "W2_create_write": (w2, W2), "W3_auto_write": (w3, W3), "W4_partial_update": (w4, W4), "W4_partial_update_mask": (w4_mask, W4_MASK),
     "W6_hash_match_script": (w6, W6), "W7_delete": (w7, W7), "W8_action_log": (w8, W8), "W9_append": (w9, W9), "W10_fixed_target": (w10, W10), "W11_time_routed": (w11, W11), "W12_outcomes": (w12, W12),
     "W13_action_export": (w13, W13), "W14_custom_body": (w14, W14), "W15_trace_export": (w15, W15), "W16_multiplex": (w16, W16), "J4_upsert_join": (j4, J4),
 }

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
@@ -94,3 +95,49 @@ def append(rows: DataFrame, path: str, ts_col: str) -> DataFrame:
     """Append rows to a stream table partitioned by day, and read it back."""
     rows.withColumn("day", F.date_format(ts_col, "yyyy-MM-dd")).write.mode("append").partitionBy("day").parquet(path)
     return rows.sparkSession.read.parquet(path).withColumn("day", F.col("day").cast("string"))
+
+
+class BucketedTable:
+    """A keyed table in buckets by hash of _id; a write reads and rewrites the buckets that its batch touches only.
+
+    Every write adds one directory with the touched buckets and one manifest (bucket, path) for the whole table, so
+    readers of an older manifest are not disturbed.  `n` buckets is a constant of the table.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, n: int = 64):
+        self.spark, self.root, self.n = spark, root.rstrip("/"), n
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("_id"), F.lit(self.n)).cast("int")
+
+    def _manifest(self) -> dict[int, str]:
+        found = [x for x in names(self.spark, self.root) if x.startswith("manifest-")]
+        if not found:
+            return {}
+        rows = self.spark.read.schema("bucket int, path string").parquet(f"{self.root}/{found[-1]}").collect()  # n rows at most
+        return {r["bucket"]: r["path"] for r in rows}
+
+    def _commit(self, manifest: dict[int, str]) -> None:
+        generation = sum(x.startswith("manifest-") for x in names(self.spark, self.root))
+        self.spark.createDataFrame(sorted(manifest.items()), "bucket int, path string").coalesce(1).write.parquet(f"{self.root}/manifest-{generation:06d}")
+
+    def read(self, buckets: list[int] | None = None) -> DataFrame | None:
+        """The table, or some of its buckets; None if it has none of them yet."""
+        manifest = self._manifest()
+        paths = [p for b, p in sorted(manifest.items()) if buckets is None or b in buckets]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def write(self, batch: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame], empty: DataFrame) -> list[int]:
+        """Apply a keyed write (target, batch) -> new rows; returns the touched buckets.  `empty` gives the table's schema."""
+        touched = sorted(r[0] for r in batch.select(self._bucket().alias("b")).distinct().collect())  # n values at most
+        if not touched:
+            return []
+        current = self.read(touched)
+        rows = apply(current if current is not None else empty, batch)
+        generation = sum(x.startswith("manifest-") for x in names(self.spark, self.root))
+        path = f"{self.root}/data-{generation:06d}-{uuid.uuid4().hex[:8]}"
+        rows.withColumn("_bucket", self._bucket()).repartition("_bucket").write.partitionBy("_bucket").parquet(path)
+        written = {int(x.split("=")[1]) for x in names(self.spark, path) if x.startswith("_bucket=")}
+        manifest = {b: p for b, p in self._manifest().items() if b not in touched}
+        self._commit(manifest | {b: f"{path}/_bucket={b}" for b in written})
+        return touched

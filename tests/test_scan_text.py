@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from keelson.functions import predicates as P
 from keelson.functions import scalars as X
 from keelson.operators import analyze as A
-from keelson.operators import enrich, schema, search
+from keelson.operators import enrich, schema, search, writes
 from keelson.sources import readers, tables
 
 
@@ -101,3 +101,21 @@ def test_table_root(spark, tmp_path):
     root.publish(["t-latest", "t"], "t-2024.01.02", "t-%")
     assert root.read("t", "t-latest").count() == 5 and root.latest("t-") == "t-2024.01.02"
     assert root.aliases().count() == 2
+
+
+def test_bucketed_table_rewrites_touched_buckets_only(spark, tmp_path):
+    t = tables.BucketedTable(spark, str(tmp_path / "b"), 8)
+    empty = spark.createDataFrame([], "_id string, _version long, v int")
+
+    def put(old, new):
+        return writes.index_write(old, new).drop("result")
+
+    first = spark.createDataFrame([(str(i), 1, i) for i in range(50)], "_id string, seq int, v int")
+    assert len(t.write(first, put, empty)) == 8
+    before = t._manifest()
+    touched = t.write(spark.createDataFrame([("7", 1, 700), ("7", 2, 701)], "_id string, seq int, v int"), put, empty)
+    after = t._manifest()
+    assert len(touched) == 1 and sum(before[b] != after[b] for b in before) == 1
+    rows = {r["_id"]: (r["_version"], r["v"]) for r in t.read().collect()}
+    assert len(rows) == 50 and rows["7"] == (2, 701) and rows["8"] == (1, 8)
+    assert t.write(first.limit(0), put, empty) == []
