@@ -123,7 +123,7 @@ def apply_log(target: DataFrame, log: DataFrame, seq: str = "seq", action: str =
     rows = rows.withColumn("_delete", F.max(F.when(F.col(action) == "delete", F.col(seq))).over(everything))
     live = F.col("_reset").isNull() | (F.col(seq) >= F.col("_reset"))
     writes = F.col("_delete").isNull() | (F.col(seq) > F.col("_delete"))
-    per_field = [F.max_by(F.struct(F.col(c).alias("v")), F.when(live & ((F.col(action) != "update") | F.col(c).isNotNull()), F.col(seq))).alias(f"_{c}") for c in docs]
+    per_field = [F.max_by(F.struct(F.when(F.col(action) != "delete", F.col(c)).alias("v")), F.when(live & ((F.col(action) != "update") | F.col(c).isNotNull()), F.col(seq))).alias(f"_{c}") for c in docs]
     folded = rows.groupBy("_id").agg(
         F.max("_reset").alias("_reset"), F.max("_delete").alias("_delete"), F.max_by(action, seq).alias("_last"),
         F.sum(writes.cast("long")).alias("_writes"), *per_field,
