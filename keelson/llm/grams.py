@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -58,6 +59,12 @@ def hashed(points: np.ndarray, order: int, bits: int) -> tuple[np.ndarray, np.nd
     return (acc >> np.uint64(64 - bits)).astype(np.int64), inside
 
 
+def blocks(points: np.ndarray, order: int, bits: int, step: int = 500_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """`hashed` by blocks of places: (first place, buckets, inside), so that one very long text stays cheap."""
+    for at in range(0, max(0, len(points) - order + 1), step):
+        yield at, *hashed(points[at : at + step + order - 1], order, bits)
+
+
 def owners(begins: np.ndarray) -> np.ndarray:
     """The number of the text that each place belongs to."""
     return np.repeat(np.arange(len(begins) - 1), np.diff(begins))

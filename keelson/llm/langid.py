@@ -35,12 +35,11 @@ class LanguageModel:
         owner = grams.owners(begins)
         out = np.tile(self.prior, (len(texts), 1))
         for order in self.orders:
-            bucket, inside = grams.hashed(points, order, self.bits)
-            inside &= letter[: len(bucket)] | letter[order - 1 :][: len(bucket)]
-            rows = self.matrix[bucket[inside]]
-            who = owner[: len(bucket)][inside]
-            for k in range(len(self.languages)):
-                out[:, k] += np.bincount(who, weights=rows[:, k], minlength=len(texts))
+            for at, bucket, inside in grams.blocks(points, order, self.bits):
+                inside &= letter[at : at + len(bucket)] | letter[at + order - 1 :][: len(bucket)]
+                who, bucket = owner[at : at + len(inside)][inside], bucket[inside]
+                for k in range(len(self.languages)):
+                    out[:, k] += np.bincount(who, weights=self.matrix[bucket, k], minlength=len(texts))
         has = np.bincount(owner, weights=letter, minlength=len(texts)) > 0
         return out, has
 
@@ -71,11 +70,11 @@ def fit(docs: DataFrame, orders: tuple[int, ...] = (1, 2, 3), bits: int = 14, sm
                 for i, name in enumerate(names):
                     seen[name] = seen.get(name, 0) + int((which == i).sum())
                 for order in orders:
-                    bucket, inside = grams.hashed(points, order, bits)
-                    inside &= letter[: len(bucket)] | letter[order - 1 :][: len(bucket)]
-                    flat = np.bincount((owner[: len(bucket)][inside] << bits) + bucket[inside], minlength=len(names) << bits)
-                    for i, name in enumerate(names):
-                        sums[name] = sums.get(name, 0) + flat[i << bits : (i + 1) << bits]
+                    for at, bucket, inside in grams.blocks(points, order, bits):
+                        inside &= letter[at : at + len(bucket)] | letter[at + order - 1 :][: len(bucket)]
+                        flat = np.bincount((owner[at : at + len(bucket)][inside] << bits) + bucket[inside], minlength=len(names) << bits)
+                        for i, name in enumerate(names):
+                            sums[name] = sums.get(name, 0) + flat[i << bits : (i + 1) << bits]
         for name, total in sums.items():
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([name] * (len(at) + 1)), pa.array([-1, *at.tolist()], pa.int32()), pa.array([seen[name], *total[at].tolist()], pa.int64())], names=["lang", "bucket", "n"])

@@ -80,9 +80,9 @@ def gram_counts(docs: DataFrame, weight_col: str, orders: tuple[int, ...], bits:
                 points, begins = grams.codes(texts[a:b])
                 good = trusted[a:b][grams.owners(begins)]
                 for order in orders:
-                    bucket, inside = grams.hashed(points, order, bits)
-                    raw += np.bincount(bucket[inside], minlength=1 << bits)
-                    target += np.bincount(bucket[inside & good[: len(bucket)]], minlength=1 << bits)
+                    for at, bucket, inside in grams.blocks(points, order, bits):
+                        raw += np.bincount(bucket[inside], minlength=1 << bits)
+                        target += np.bincount(bucket[inside & good[at : at + len(bucket)]], minlength=1 << bits)
         at = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(target[at]), pa.array(raw[at])], names=["bucket", "target", "raw"])
 
@@ -129,10 +129,10 @@ def judge(
                 owner = grams.owners(begins)
                 total, number = np.zeros(b - a), np.zeros(b - a)
                 for order in orders:
-                    bucket, inside = grams.hashed(points, order, bits)
-                    who = owner[: len(bucket)][inside]
-                    total += np.bincount(who, weights=shared.value[bucket[inside]], minlength=b - a)
-                    number += np.bincount(who, minlength=b - a)
+                    for at, bucket, inside in grams.blocks(points, order, bits):
+                        who = owner[at : at + len(bucket)][inside]
+                        total += np.bincount(who, weights=shared.value[bucket[inside]], minlength=b - a)
+                        number += np.bincount(who, minlength=b - a)
                 base = np.array([base_counts(t) for t in texts[a:b]], dtype=np.int64).reshape(-1, 5)
                 llr = np.round(total / np.maximum(number, 1), 6)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), *(pa.array(base[:, k]) for k in range(5)), pa.array(llr)], names=names)

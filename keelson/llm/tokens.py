@@ -8,7 +8,7 @@ import re
 import numpy as np
 
 #: Chunks kept by one Python worker.  The memo is emptied when it is full, so it stays bounded.
-MEMO_CHUNKS = 700_000
+MEMO_CHUNKS = 500_000
 
 _loaded: dict[str, Encoder] = {}
 

@@ -67,7 +67,7 @@ def held_out(id_col: str, folds: int, fold: int):
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(True))
 
 
-def slices(texts: list, most_chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: list, most_chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Cut a list of texts into runs of bounded size (a longer text is a run of its own)."""
     at, total = 0, 0
     for i, text in enumerate(texts):
