@@ -18,39 +18,39 @@ BITS = np.array([64, *(b for _, b in WIDTHS)], dtype=np.int64)
 
 def bit_lengths(ids: np.ndarray) -> np.ndarray:
     """Exact bit lengths of uint64 values."""
-    out = np.zeros(len(ids), dtype=np.uint8)
-    rest = ids.copy()
-    for step in (32, 16, 8, 4, 2, 1):
-        big = rest >= np.uint64(1 << step)
-        out[big] += step
-        rest[big] >>= np.uint64(step)
-    return out + (rest > 0).astype(np.uint8)
+    if ids.max(initial=0) < 2**53:
+        return np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
+    high = ids >> np.uint64(32)
+    low = np.frexp((ids & np.uint64(2**32 - 1)).astype(np.float64))[1]
+    return np.where(high > 0, 32 + np.frexp(high.astype(np.float64))[1], low).astype(np.uint8)
 
 
 def choose(bits: np.ndarray, block: int) -> np.ndarray:
     """For each position the selector of the word that would start there, up to the block's end."""
     n = len(bits)
-    best = np.zeros(n, dtype=np.uint8)
-    span = {1: bits}  # span[k][i]: most bits in ids i .. i + k - 1, a block's end counts as 0
-    place = np.arange(n) % block
+    rows = -(-n // block)
+    table = np.zeros((rows, block), np.uint8)
+    table.reshape(-1)[:n] = bits
+    best = np.zeros((rows, block), np.uint8)
 
-    def ahead(x: np.ndarray, k: int) -> np.ndarray:
-        y = np.zeros_like(x)
-        if k < n:
-            y[:-k] = x[k:]
-        y[place + k >= block] = 0
-        return y
+    def wider(x: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
+        """The greater of x here and y k places ahead; beyond the block's end there is nothing."""
+        out = x.copy()
+        if k < block:
+            np.maximum(x[:, :-k], y[:, k:], out=out[:, :-k])
+        return out
 
+    span = {1: table}  # span[k][i]: most bits in ids i .. i + k - 1 of the block
     k = 1
     while k < 64:
-        span[2 * k] = np.maximum(span[k], ahead(span[k], k))
+        span[2 * k] = wider(span[k], span[k], k)
         k *= 2
     for selector in range(15, 0, -1):  # denser words overwrite sparser ones
         count, width = WIDTHS[selector - 1]
         power = 1 << (count.bit_length() - 1)
-        most = span[power] if power == count else np.maximum(span[power], ahead(span[power], count - power))
-        best[most <= width] = selector
-    return best
+        most = span[power] if power == count else wider(span[power], span[power], count - power)
+        np.copyto(best, np.uint8(selector), where=most <= width)
+    return best.reshape(-1)[:n]
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
@@ -85,11 +85,11 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
         count, width = WIDTHS[selector - 1]
         word = np.full(len(mine), np.uint64(int(selector) << 60))
         if width:
-            limit = end[owner[mine]]
+            begin_of, whole = first[mine], first[mine] + count <= end[owner[mine]]
             for j in range(count):
-                value = padded[first[mine] + j]
-                if count > 1:
-                    value = np.where(first[mine] + j < limit, value, np.uint64(0))
+                value = padded[begin_of + j]
+                if not whole.all():
+                    value = np.where(whole | (begin_of + j < end[owner[mine]]), value, np.uint64(0))
                 word |= value << np.uint64(j * width)
         words[place[mine]] = word
     heads = np.searchsorted(owner, np.arange(len(begin)))
