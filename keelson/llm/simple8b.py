@@ -85,12 +85,13 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
         count, width = WIDTHS[selector - 1]
         word = np.full(len(mine), np.uint64(int(selector) << 60))
         if width:
-            begin_of, whole = first[mine], first[mine] + count <= end[owner[mine]]
+            begin_of, room = first[mine], end[owner[mine]] - first[mine]
+            whole = np.flatnonzero(room >= count)
             for j in range(count):
-                value = padded[begin_of + j]
-                if not whole.all():
-                    value = np.where(whole | (begin_of + j < end[owner[mine]]), value, np.uint64(0))
-                word |= value << np.uint64(j * width)
+                word[whole] |= padded[begin_of[whole] + j] << np.uint64(j * width)
+            for i in np.flatnonzero(room < count).tolist():  # the last word of a block
+                own = ids[begin_of[i] : begin_of[i] + room[i]]
+                word[i] |= np.bitwise_or.reduce(own << (np.arange(len(own), dtype=np.uint64) * np.uint64(width)))
         words[place[mine]] = word
     heads = np.searchsorted(owner, np.arange(len(begin)))
     return words, place[heads].astype(np.int32)
@@ -130,8 +131,12 @@ def decode(words: np.ndarray, offsets: np.ndarray, n: int, block: int = BLOCK) -
         if not width:
             continue
         mask = np.uint64((1 << width) - 1)
-        word, start, limit = words[head[mine]], at[mine], end[mine]
+        word, start, room = words[head[mine]], at[mine], end[mine] - at[mine]
+        whole, rest = room >= count, np.flatnonzero(room < count)
+        full_word, full_start = (word, start) if not len(rest) else (word[whole], start[whole])
         for j in range(count):
-            fits = start + j < limit
-            out[start[fits] + j] = (word[fits] >> np.uint64(j * width)) & mask
+            out[full_start + j] = (full_word >> np.uint64(j * width)) & mask
+        for i in rest.tolist():  # the last word of a block
+            places = np.arange(room[i], dtype=np.uint64)
+            out[start[i] : start[i] + room[i]] = (word[i] >> (places * np.uint64(width))) & mask
     return out

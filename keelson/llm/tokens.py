@@ -7,8 +7,8 @@ import re
 
 import numpy as np
 
-#: Chunks kept by one Python worker.  The memo is emptied when it is full, so it stays bounded.
-MEMO_CHUNKS = 500_000
+#: Chunks kept in each of two generations by one Python worker: when the younger is full it becomes the older.
+MEMO_CHUNKS = 450_000
 
 _loaded: dict[str, Encoder] = {}
 
@@ -35,6 +35,7 @@ class Encoder:
     """
 
     _plain = re.compile(r"[\n !-~À-ɏ]*").fullmatch
+    _marks = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
     _double = re.compile(r"\s\s|\s\Z").search
 
     def __init__(self, path: str):
@@ -51,6 +52,8 @@ class Encoder:
         for token, at in vocab.items():
             self.token_bytes[at] = len(token)  # one character a byte at byte level
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -70,8 +73,8 @@ class Encoder:
             out[i] = ids
         if pieces:
             if len(self.memo) > MEMO_CHUNKS:
-                self.memo.clear()
-            self._learn({c for p in pieces.values() for c in p[1:]})
+                self.older, self.memo, self.runs = self.memo, {}, {}
+            self._learn(set().union(*[p[1:] for p in pieces.values()]))
             first = self.whole([p[0] for p in pieces.values()])
             look = self.memo.__getitem__
             for (i, p), head in zip(pieces.items(), first, strict=True):
@@ -79,7 +82,28 @@ class Encoder:
         return out
 
     def _learn(self, chunks: set[str]) -> None:
-        missing = [c for c in chunks if c not in self.memo]
+        """Bring chunks into the memo: from the older generation, from a known stem and its marks, or from the tokenizer."""
+        missing = chunks.difference(self.memo)
+        for chunk in missing & self.older.keys():
+            self.memo[chunk] = self.older[chunk]
+            missing.discard(chunk)
+        ends: dict[str, tuple[str, str]] = {}
+        fresh = set()
+        for chunk in missing:
+            stem = chunk.rstrip(self._marks)
+            if stem and stem is not chunk and stem[-1].isalnum():  # a run of marks after a letter or digit is cut off by itself
+                ends[chunk] = (stem, chunk[len(stem) :])
+                if stem not in self.memo:
+                    fresh.add(stem)
+            else:
+                fresh.add(chunk)
+        self._encode_chunks(list(fresh))
+        for mark in {m for _, m in ends.values()}.difference(self.runs):
+            self.runs[mark] = self.whole([mark])[0]
+        for chunk, (stem, mark) in ends.items():
+            self.memo[chunk] = self.memo[stem] + self.runs[mark]
+
+    def _encode_chunks(self, missing: list[str]) -> None:
         width = self.dtype.itemsize
         for at in range(0, len(missing), 8192):
             part = missing[at : at + 8192]
