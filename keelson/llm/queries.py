@@ -35,7 +35,7 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(~work.held_out("doc_id", 5, 0)))
-    return toxicity.grade(docs, model).select("doc_id", work.held_out("doc_id", 5, 0).alias("held_out"), "score", "severity", "grade", "predicted")
+    return toxicity.grade(docs, model).select("doc_id", work.held_out("doc_id", 5, 0).alias("held_out"), "score", "severity", "grade", "predicted", (F.col("predicted") == 1).alias("toxic"))
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
