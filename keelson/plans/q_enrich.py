@@ -15,7 +15,7 @@ NOW, OLD = "2024-03-01 00:00:00", "2024-01-01 00:00:00"
 
 def rows(spark, d):
     """documents with outputs: every third has a current summary, every fifth a kind asked with another description."""
-    t = table(spark, d, "documents").select(F.col("doc_id").alias("_id"), F.lit(1).cast("long").alias("_version"), F.substring("text", 1, 200).alias("body"), "lang")
+    t = table(spark, d, "documents").select(F.col("doc_id").alias("_id"), F.lit(1).cast("long").alias("_version"), F.col("text").alias("body"), "lang")
     return t.withColumns({
         "summary": F.when(F.col("_id") % 3 == 0, F.concat(F.lit("old "), F.col("lang"))), "summary_ph": F.when(F.col("_id") % 3 == 0, F.lit(PH["summary"])),
         "kind": F.when(F.col("_id") % 5 == 0, F.lit("old")), "kind_ph": F.when(F.col("_id") % 5 == 0, F.when(F.col("_id") % 2 == 0, F.lit(PH["kind"])).otherwise(F.lit("other"))),

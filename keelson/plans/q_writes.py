@@ -257,10 +257,10 @@ SELECT status, CASE WHEN status = 409 THEN 'version_conflict_engine_exception' E
 
 
 def w13(spark, sf_dir):
-    """Action-log export of the documents: header and body lines."""
+    """Action-log export of the whole documents: header and body lines."""
     docs = table(spark, sf_dir, "documents")
     action = F.element_at(F.array(F.lit("index"), F.lit("create"), F.lit("update"), F.lit("delete")), (F.col("doc_id") % 4 + 1).cast("int"))
-    body = F.to_json(F.struct("lang", "source", "n_chars"))
+    body = F.to_json(F.struct("lang", "source", "n_chars", "text"))
     return export.action_lines(docs, action, F.lit("docs"), F.col("doc_id").cast("string"), body, ["doc_id"]).withColumn("line_no", F.col("line_no").cast("long"))
 
 
