@@ -3,13 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from keelson.llm import decontam, langid, packing, pii, simhash, tokens, work
+from keelson.llm import copies, decontam, langid, packing, pii, tokens, work
 from keelson.llm.queries import DEMO_KEY
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The input of a stage with a key for each row, written first: verdicts are by row, whatever ids repeat or are null."""
+    return work.pinned(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "keyed")
+
+
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of keyed `docs` whose key is not in `rejected`."""
+    return work.join_counted(docs, work.pinned(rejected, "rejected"), "row", "left_anti").select(*COLUMNS)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose language can't be told (`und`)."""
     model = langid.fit(docs.where(~work.held_out("doc_id", 4, 2)))
@@ -19,10 +30,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group."""
-    classes = work.pinned(simhash.near_duplicates(docs), "classes")
-    dropped = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    return work.join_counted(docs, dropped, "doc_id", "left_anti").select(*COLUMNS)
+    """Keeps one row of each group of near copies (5-word shingles, Jaccard 0.8 or more): the smallest id, nulls last."""
+    docs = keyed(docs)
+    return without(docs, copies.copies(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
