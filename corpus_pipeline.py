@@ -24,9 +24,9 @@ def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose language can't be told (`und`)."""
     model = langid.fit(docs.where(~work.held_out("doc_id", 4, 2)))
-    verdicts = work.pinned(langid.identify(docs, model), "languages")
-    rejected = verdicts.where(verdicts["lang_pred"] == langid.UNDETERMINED).select("doc_id").distinct()
-    return work.join_counted(docs, rejected, "doc_id", "left_anti").select(*COLUMNS)
+    docs = keyed(docs)
+    verdicts = langid.identify(docs, model, id_col="row")
+    return without(docs, verdicts.where(verdicts["lang_pred"] == langid.UNDETERMINED).select(F.col("doc_id").alias("row")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +37,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    verdicts = work.pinned(decontam.contamination(docs, benchmark).select("doc_id", "contaminated"), "verdicts")
-    dropped = verdicts.where("contaminated").select("doc_id").distinct()
-    return work.join_counted(docs, dropped, "doc_id", "left_anti").select(*COLUMNS)
+    docs = keyed(docs)
+    verdicts = decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row")
+    return without(docs, verdicts.where("contaminated").select(F.col("doc_id").alias("row")))
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,6 +75,26 @@ def test_chain_needs_pairs_beside_the_leaders(spark):
     assert stage(spark, "near_duplicates", rows) == [0] == brute_kept(rows)
 
 
+def test_near_duplicates_by_row(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (1, a), (None, a), (5, a), (2, b), (5, b), (None, "only one here"), (None, "only one here"), (7, ""), (8, " "), (9, None)]
+    assert stage(spark, "near_duplicates", rows) == brute_kept(rows) == [0, 4, 6, 8]
+    rows = [(5, a), (2, b), (5, b)]  # 5 goes from b's group and stays in a's
+    assert stage(spark, "near_duplicates", rows) == [0, 1]
+    assert stage(spark, "near_duplicates", []) == []
+
+
+def test_language_by_row(spark):
+    rows = [(1, "some letters here"), (1, "12 34"), (None, "56"), (None, "more letters here"), (2, None), (1, "some letters here")]
+    assert stage(spark, "language", rows) == [0, 3, 5]
+
+
+def test_decontamination_by_row(spark):
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").where("length(text) > 60").first()["text"]
+    rows = [(1, "clean words"), (1, item), (None, item), (None, "clean too"), (2, item), (1, "clean words")]
+    assert stage(spark, "decontamination", rows) == [0, 3, 5]
+
+
 def test_later_stages_keep_the_rest(spark):
     rows = spark.read.parquet(f"{DATA}/documents.parquet")
     private = work.pinned(STEPS["pii"](spark, rows, DATA), "t")
