@@ -162,29 +162,44 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, shi
     alike; other columns are ignored.  Ties go to the lowest item id.
     """
     work.prepare(docs.sparkSession)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).where("item_id IS NOT NULL")
     size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
-    blocks = max(1, -(-size["n"] // BLOCK_ITEMS), -(-size["chars"] // BLOCK_CHARS))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "doc_id long, contaminated boolean, item_ids array<long>, similarity double, start_word long"
 
-    def passed(block: int) -> DataFrame:
-        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        shared = docs.sparkSession.sparkContext.broadcast(Items([tuple(r) for r in own.collect()], shingle, radius))
+    def passed(block: list[tuple[int, str | None]], own: DataFrame) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(Items(block, shingle, radius))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = [shared.value.match(t, least) for t in batch.column(1).to_pylist()]
                 top = [max(f, key=lambda x: (x[1], -x[0])) if f else (0, 0.0, None) for f in found]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([bool(f) for f in found]), pa.array([[x[0] for x in f] for f in found], pa.list_(pa.int64())), pa.array([t[1] for t in top], pa.float64()), pa.array([t[2] for t in top], pa.int64())], names=["doc_id", "contaminated", "item_ids", "similarity", "start_word"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([bool(f) for f in found], pa.bool_()), pa.array([[x[0] for x in f] for f in found], pa.list_(pa.int64())), pa.array([t[1] for t in top], pa.float64()), pa.array([t[2] for t in top], pa.int64())], names=["doc_id", "contaminated", "item_ids", "similarity", "start_word"])
 
-        return rows.mapInArrow(run, schema)
+        return own.select("doc_id", "text").mapInArrow(run, "doc_id long, contaminated boolean, item_ids array<long>, similarity double, start_word long")
 
-    if blocks == 1:
-        return passed(0)
-    hits = None  # rows that repeat an id share what any of them holds
-    for block in range(blocks):
-        part = passed(block).where("contaminated")
+    if size["n"] <= BLOCK_ITEMS and size["chars"] <= BLOCK_CHARS:
+        return passed([tuple(r) for r in items.collect()], rows)
+    # each pass judges rows by a key written before, so ids may repeat or be null; a pass sees the key in place of the id
+    keyed = work.pinned(rows.withColumn("row", F.monotonically_increasing_id()), "keyed")
+    hits = None
+    for number, block in enumerate(cut(items)):
+        part = passed(block, keyed.select(F.col("row").alias("doc_id"), "text")).where("contaminated").withColumn("block", F.lit(number))
         hits = part if hits is None else hits.unionByName(part)
-    hits = hits.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.max(F.struct("similarity", "start_word")).alias("top"))
-    return rows.select("doc_id").join(hits, "doc_id", "left").select("doc_id", F.col("item_ids").isNotNull().alias("contaminated"), F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"), F.coalesce("top.similarity", F.lit(0.0)).alias("similarity"), F.col("top.start_word").alias("start_word"))
+    # blocks are in the order of the items, so the first block with the best similarity has the lowest item
+    best = F.struct((-F.col("similarity")).alias("s"), "block", "start_word")
+    hits = hits.groupBy(F.col("doc_id").alias("row")).agg(F.array_sort(F.flatten(F.collect_list("item_ids"))).alias("item_ids"), F.min(best).alias("top"))
+    return keyed.select("row", "doc_id").join(hits, "row", "left").select("doc_id", F.col("item_ids").isNotNull().alias("contaminated"), F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"), F.coalesce(-F.col("top.s"), F.lit(0.0)).alias("similarity"), F.col("top.start_word").alias("start_word"))
+
+
+def cut(items: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
+    """The items in order of id and text, in blocks of at most BLOCK_ITEMS and BLOCK_CHARS (a longer item is one)."""
+    block: list[tuple[int, str | None]] = []
+    chars = 0
+    for item, text in items.orderBy("item_id", "text").toLocalIterator():
+        n = len(text or "")
+        if block and (len(block) >= BLOCK_ITEMS or chars + n > BLOCK_CHARS):
+            yield block
+            block, chars = [], 0
+        block.append((item, text))
+        chars += n
+    yield block
