@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keelson.session import ship
+
+#: Queries of one broadcast block of a vector search.
+BLOCK_QUERIES = 4096
+
 
 def collapse(df: DataFrame, field: str, order: list[Column]) -> DataFrame:
     """The first row of each value of a field."""
@@ -61,6 +70,72 @@ def l2(a: Column, b: Column) -> Column:
 SIMILARITY = {"cosine": cosine, "dot_product": dot, "l2_norm": lambda a, b: 1 / (1 + l2(a, b) * l2(a, b))}
 
 
+def _norms(vectors: np.ndarray) -> np.ndarray:
+    return _dots(vectors, vectors)
+
+
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Dot products of rows, summed from left to right as `dot` does, so equal vectors get equal scores."""
+    out = np.zeros(len(a))
+    for k in range(a.shape[1]):
+        out += a[:, k] * b[:, k]
+    return out
+
+
+def vector_top(rows: DataFrame, queries: DataFrame, id_col: str, vector_col: str, n: int = 5) -> DataFrame:
+    """query_id, id, score: the n rows most similar (cosine) to each row of `queries`; ties go to the lowest id, nulls last.
+
+    The queries are counted and broadcast in blocks; each task keeps n rows for each query, and these are merged.
+    A product of matrices picks what can be among the n best, and only that is scored in the order of `dot`.  Null and
+    zero vectors, null components and other lengths than the query's have no similarity and are left out.
+    """
+    ship(rows.sparkSession)
+    usable = F.col(vector_col).isNotNull() & F.forall(vector_col, lambda x: x.isNotNull()) & F.exists(vector_col, lambda x: x != 0)
+    plain = [F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")]
+    rows, queries = rows.where(usable).select(*plain), queries.where(usable).select(*plain, F.size(vector_col).alias("width"))
+    blocks: list[list] = []
+    for q in queries.orderBy("width", "id").toLocalIterator():
+        if not blocks or len(blocks[-1]) >= BLOCK_QUERIES or blocks[-1][0]["width"] != q["width"]:
+            blocks.append([])
+        blocks[-1].append(q)
+    schema = "block int, number int, query_id long, id long, score double"
+
+    def passed(block: int, own: list) -> DataFrame:
+        ids, matrix = [q["id"] for q in own], np.array([q["v"] for q in own])
+        shared = rows.sparkSession.sparkContext.broadcast((ids, matrix, _norms(matrix)))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, q, qq = shared.value
+            unit = q / np.sqrt(qq)[:, None]
+            best: list[list[tuple]] = [[] for _ in names]  # (-score, id is null, id)
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1000):
+                    part = batch.slice(at, 1000)
+                    found, v = part.column(0).to_pylist(), np.array(part.column(1).to_pylist()).reshape(part.num_rows, -1)
+                    vv = _norms(v)
+                    near = unit @ (v / np.sqrt(vv)[:, None]).T
+                    low = np.partition(near, -n, axis=1)[:, -n] if near.shape[1] > n else np.full(len(q), -2.0)
+                    low = np.maximum(low, [-b[-1][0] if len(b) == n else -2.0 for b in best]) - 1e-9
+                    a, b = np.nonzero(near >= low[:, None])
+                    for first in range(0, len(a), 100_000):
+                        x, y = a[first : first + 100_000], b[first : first + 100_000]
+                        scores = _dots(v[y], q[x]) / np.sqrt(vv[y] * qq[x])
+                        for k in np.unique(x).tolist():
+                            mine = np.flatnonzero(x == k)
+                            best[k] = sorted([*best[k], *((-s, found[j] is None, found[j] or 0) for s, j in zip(scores[mine].tolist(), y[mine].tolist(), strict=True))])[:n]
+            out = [(block, k, names[k], None if none else i, -s) for k, b in enumerate(best) for s, none, i in b]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["block", "number", "query_id", "id", "score"])
+
+        return rows.where(F.size("v") == own[0]["width"]).mapInArrow(run, schema)
+
+    merged = rows.sparkSession.createDataFrame([], schema)
+    for block, own in enumerate(blocks):
+        merged = merged.unionByName(passed(block, own))
+    order = Window.partitionBy("block", "number").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last())
+    return merged.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= n).select("query_id", "id", "score")
+
+
 def complete(df: DataFrame, id_col: str, text_col: str, prefix: str, order: list[Column], n: int) -> DataFrame:
     """The best n rows whose text starts with a prefix (case kept)."""
     return top(df.where(F.col(text_col).startswith(prefix)), order, n)
