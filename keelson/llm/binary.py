@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from keelson.llm import simple8b, tokens, work
 
 FRAME_IDS = 262_144
+FRAME = pa.schema([("part", pa.int32()), ("frame", pa.int32()), ("ids_before", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("block_offsets", pa.list_(pa.int32())), ("words", pa.binary())])
 FRAMES = "part int, frame int, ids_before long, n_ids long, doc_ids array<long>, n_tokens array<long>, block_offsets array<int>, words binary"
 
 
@@ -32,31 +33,29 @@ def encode_frames(docs: DataFrame, tokenizer_path: str, end_id: int = 2, frame_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(tokenizer_path)
-        end = np.array([end_id], dtype=encode.dtype).tobytes()
-        part, frame, before = TaskContext.get().partitionId(), 0, 0
+        part, frame, before, n = TaskContext.get().partitionId(), 0, 0, 0
         keys: list = []
-        held: list[bytes] = []
-        n = 0
-        schema = pa.schema([("part", pa.int32()), ("frame", pa.int32()), ("ids_before", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("block_offsets", pa.list_(pa.int32())), ("words", pa.binary())])
+        sizes: list[int] = []
+        held: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), dtype=encode.dtype)
-            words, offsets = simple8b.encode(ids)
-            row = (part, frame, before, len(ids), keys, [len(h) // encode.dtype.itemsize for h in held], offsets.tolist(), words.astype("<u8").tobytes())
-            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
+            words, offsets = simple8b.encode(np.concatenate(held))
+            row = (part, frame, before, n, keys, sizes, offsets.tolist(), words.astype("<u8").tobytes())
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, FRAME, strict=True)], schema=FRAME)
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in work.slices(texts):
-                for key, data in zip(ids[a:b], encode.encode(texts[a:b]), strict=True):
-                    size = len(data) // encode.dtype.itemsize + 1
-                    if held and n + size > frame_ids:
+            numbers, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for a, b in work.slices(texts, tokens.SLICE_CHARS):
+                ids, size = encode.encode(texts[a:b], end_id)
+                for key, own in zip(numbers[a:b], np.split(ids, np.cumsum(size)[:-1]), strict=True):
+                    if held and n + len(own) > frame_ids:
                         yield flush()
                         frame, before = frame + 1, before + n
-                        keys, held, n = [], [], 0
+                        keys, sizes, held, n = [], [], [], 0
                     keys.append(key)
-                    held.append(data + end)
-                    n += size
+                    sizes.append(len(own))
+                    held.append(own)
+                    n += len(own)
         if held:
             yield flush()
 

@@ -189,11 +189,9 @@ def pack_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(tokenizer_path)
-        end = np.array([end_id], dtype=encode.dtype).tobytes()
-        width = encode.dtype.itemsize
         base = TaskContext.get().partitionId() << 40
         packer = Packer(window, depth, grid)
-        held: dict[int, tuple[int | None, bytes]] = {}  # by running number: doc_id and ids
+        held: dict[int, tuple[int | None, np.ndarray]] = {}  # by running number: doc_id and ids
         fresh: list[tuple[int, int]] = []
         count = total = 0
         schema = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in ("start", "length", "doc_tokens", "sequence_id", "offset")), ("ids", pa.binary())])
@@ -202,8 +200,8 @@ def pack_documents(
             out: list[list] = [[] for _ in schema]
             for key, start, n, sequence, at in pieces:
                 doc, ids = held[key]
-                data = np.frombuffer(ids, dtype=encode.dtype, count=n, offset=start * width).astype("<u4").tobytes()
-                for column, value in zip(out, (doc, start, n, len(ids) // width, base + sequence, at, data), strict=True):
+                data = ids[start : start + n].astype("<u4").tobytes()
+                for column, value in zip(out, (doc, start, n, len(ids), base + sequence, at, data), strict=True):
                     column.append(value)
                 if len(out[0]) == 1024:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
@@ -213,16 +211,17 @@ def pack_documents(
 
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in work.slices(texts):
-                for doc, ids in zip(keys[a:b], encode.encode(texts[a:b]), strict=True):
-                    held[count] = (doc, ids + end)
-                    fresh.append((count, len(ids) // width + 1))
-                    total += fresh[-1][1]
+            for a, b in work.slices(texts, tokens.SLICE_CHARS):
+                ids, size = encode.encode(texts[a:b], end_id)
+                for doc, own in zip(keys[a:b], np.split(ids, np.cumsum(size)[:-1]), strict=True):
+                    held[count] = (doc, own)
+                    fresh.append((count, len(own)))
                     count += 1
+                total += len(ids)
                 if total >= block_ids:
                     yield from rows(packer.pack(fresh))
                     open_keys = {p[0] for p in packer.stream}
-                    held = {k: v for k, v in held.items() if k in open_keys}
+                    held = {k: (doc, own.copy()) for k, (doc, own) in held.items() if k in open_keys}
                     fresh, total = [], 0
         if fresh:
             yield from rows(packer.pack(fresh))

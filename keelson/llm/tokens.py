@@ -1,4 +1,4 @@
-"""Exact token ids of whole texts with the `tokenizers` library, with a memo of blank-separated chunks."""
+"""Exact token ids of whole texts with the `tokenizers` library, with a memo of the chunks that texts are cut into."""
 
 from __future__ import annotations
 
@@ -6,9 +6,20 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Chunks kept in each of two generations by one Python worker: when the younger is full it becomes the older.
-MEMO_CHUNKS = 450_000
+#: Chunks, and characters of chunks, in each of two generations that a Python worker keeps: a full younger one becomes the older.
+MEMO_CHUNKS, MEMO_CHARS = 450_000, 32_000_000
+#: Characters of one slice of texts that is encoded together.
+SLICE_CHARS = 4_000_000
+
+#: White space as the byte-level pre-tokenizer's pattern has it (Unicode White_Space): fixed values.
+BLANKS = "\t-\r \x85\xa0  -     　"
+#: Texts that a cut before every single blank and line break would not cut rightly.
+_ODD = r"[\x{0}\t\x{0b}-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n]{3}|[ \n]{2}\z"
+_chunks = re.compile(f"[{BLANKS}]+[^{BLANKS}]*|[^{BLANKS}]+").findall
+_blank = re.compile(f"[{BLANKS}]").match
 
 _loaded: dict[str, Encoder] = {}
 
@@ -26,17 +37,62 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
+def grown(array: np.ndarray, size: int) -> np.ndarray:
+    """The array itself if it has `size` places, else a copy with twice as many."""
+    if size <= len(array):
+        return array
+    out = np.zeros(2 * size, array.dtype)
+    out[: len(array)] = array
+    return out
+
+
+def runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of all runs, one run after the other."""
+    total = np.cumsum(size)
+    return np.repeat(begin - (total - size), size) + np.arange(int(total[-1]) if len(total) else 0)
+
+
+class Memo(dict):
+    """Chunk -> slot; an unknown chunk gets the next slot and waits in `fresh` for its ids."""
+
+    def __init__(self, dtype: np.dtype):
+        super().__init__()
+        self.fresh: list[str] = []
+        self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.flat, self.used, self.chars = np.zeros(1 << 18, dtype), 0, 0
+
+    def __missing__(self, chunk: str) -> int:
+        slot = self[chunk] = len(self)
+        self.fresh.append(chunk)
+        return slot
+
+    def slots(self, chunks: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, chunks), np.int64, len(chunks))
+
+    def put(self, slots: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        """Give slots their ids, which lie one after the other."""
+        self.begin, self.size = grown(self.begin, len(self)), grown(self.size, len(self))
+        self.flat = grown(self.flat, self.used + len(ids))
+        self.begin[slots], self.size[slots] = self.used + np.cumsum(size) - size, size
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def take(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all slots in a row, ids of each)."""
+        size = self.size[slots]
+        return self.flat[runs(self.begin[slots], size)], size
+
+
 class Encoder:
-    """Ids of a text as little-endian bytes, 2 bytes an id if the vocabulary allows, else 4.
+    """Ids of texts, 2 bytes an id if the vocabulary allows, else 4.
 
-    Byte-level BPE cuts a text before every single blank and around every single line break, so the ids of a text
-    whose blanks all stand alone are the ids of its blank-separated chunks, joined.  Such chunks repeat a lot and
-    are remembered.  Every other text, and every other kind of tokenizer, is encoded in one piece.
+    Byte-level BPE cuts a text wherever white space begins, so the ids of a text are the ids of its chunks (a run of
+    white space and what follows it up to the next), joined.  Chunks repeat a lot and are remembered.  A text whose
+    white space is single or double blanks and line breaks is cut before each of them; any other text by a pattern.
+    Every other kind of tokenizer encodes whole texts.
     """
 
-    _plain = re.compile(r"[\n !-~À-ɏ]*").fullmatch
     _marks = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
-    _double = re.compile(r"\s\s|\s\Z").search
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker for each core
@@ -44,75 +100,97 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        added = self.tokenizer.get_added_tokens_decoder()
         self.dtype = np.dtype("<u2") if max(vocab.values(), default=0) < 2**16 else np.dtype("<u4")
-        self.added = [str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         kind = str(self.tokenizer.pre_tokenizer)
-        self.by_chunk = self.tokenizer.normalizer is None and kind.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in kind
+        plain = not any(t.lstrip or t.rstrip or t.single_word or re.search(f"[{BLANKS}]", t.content) for t in added.values())
+        self.added = [t.content for t in added.values()]
+        self.by_chunk = plain and self.tokenizer.normalizer is None and kind.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in kind
         self.token_bytes = np.zeros(max(vocab.values(), default=0) + 1, np.int64)
         for token, at in vocab.items():
-            self.token_bytes[at] = len(token)  # one character a byte at byte level
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text; null counts as empty."""
-        out: list[bytes] = [b""] * len(texts)
-        pieces, rest = {}, []
+            self.token_bytes[at] = len(added[at].content.encode()) if at in added else len(token)  # one character a byte at byte level
+        self.memo, self.older = Memo(self.dtype), Memo(self.dtype)
+
+    def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, ids of each), straight from the tokenizer."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter((i for ids in found for i in ids), self.dtype), np.fromiter(map(len, found), np.int64, len(found))
+
+    def encode(self, texts: list[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, ids of each), each text followed by `end_id` if given; null counts as empty."""
+        if not self.by_chunk:
+            ids, size = self.whole([t or "" for t in texts])
+            if end_id is not None:
+                ids, size = np.insert(ids, np.cumsum(size), end_id), size + 1
+            return ids, size
+        if len(self.memo) > MEMO_CHUNKS or self.memo.chars > MEMO_CHARS:
+            self.older, self.memo = self.memo, Memo(self.dtype)
+        memo, end = self.memo, []
+        if end_id is not None:
+            end = [("end", end_id)]
+            if end[0] not in memo:
+                slot = memo[end[0]]
+                memo.fresh.pop()
+                memo.put(np.array([slot]), np.array([end_id], self.dtype), np.ones(1, np.int64))
+        held = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(held, _ODD)
+        for token in self.added:
+            odd = pc.or_(odd, pc.match_substring(held, token))
+        odd = odd.to_pylist()
+        pieces: list = []
+        counts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            if not text:
-                continue
-            if self.by_chunk and text[0] not in " \n" and self._plain(text) and not self._double(text) and not any(a in text for a in self.added):
-                pieces[i] = text.replace("\n", " \n").split(" ")
-            else:
-                rest.append(i)
-        for i, ids in zip(rest, self.whole([texts[i] for i in rest]), strict=True):
-            out[i] = ids
-        if pieces:
-            if len(self.memo) > MEMO_CHUNKS:
-                self.older, self.memo, self.runs = self.memo, {}, {}
-            self._learn(set().union(*[p[1:] for p in pieces.values()]))
-            first = self.whole([p[0] for p in pieces.values()])
-            look = self.memo.__getitem__
-            for (i, p), head in zip(pieces.items(), first, strict=True):
-                out[i] = head + b"".join(map(look, p[1:]))
-        return out
-
-    def _learn(self, chunks: set[str]) -> None:
-        """Bring chunks into the memo: from the older generation, from a known stem and its marks, or from the tokenizer."""
-        missing = chunks.difference(self.memo)
-        for chunk in missing & self.older.keys():
-            self.memo[chunk] = self.older[chunk]
-            missing.discard(chunk)
-        ends: dict[str, tuple[str, str]] = {}
-        fresh = set()
-        for chunk in missing:
+            before = len(pieces)
+            if text:
+                pieces += _chunks(text) if odd[i] else text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+            pieces += end
+            counts[i] = len(pieces) - before
+        slots = memo.slots(pieces)
+        self._learn()
+        ids, size = memo.take(slots)
+        total = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
+        return ids, np.diff(total)
+
+    def _learn(self) -> None:
+        """Give fresh chunks their ids: from the older generation, from a known stem and its marks, or from the tokenizer."""
+        memo, older = self.memo, self.older
+        fresh, memo.fresh = memo.fresh, []
+        if not fresh:
+            return
+        memo.chars += sum(map(len, fresh))
+        known = [c for c in fresh if c in older]
+        if known:
+            memo.put(memo.slots(known), *older.take(older.slots(known)))
+            fresh = [c for c in fresh if c not in older]
+        whole, parts, pairs = [], [], []
+        for chunk in fresh:
             stem = chunk.rstrip(self._marks)
-            if stem and stem is not chunk and stem[-1].isalnum():  # a run of marks after a letter or digit is cut off by itself
-                ends[chunk] = (stem, chunk[len(stem) :])
-                if stem not in self.memo:
-                    fresh.add(stem)
+            if any(a in chunk for a in self.added):
+                whole.append(chunk)
+            elif stem and len(stem) < len(chunk) and stem[-1].isalnum():  # a run of marks after a letter or digit is cut off by itself
+                parts.append(chunk)
+                pairs += (stem, chunk[len(stem) :])
             else:
-                fresh.add(chunk)
-        self._encode_chunks(list(fresh))
-        for mark in {m for _, m in ends.values()}.difference(self.runs):
-            self.runs[mark] = self.whole([mark])[0]
-        for chunk, (stem, mark) in ends.items():
-            self.memo[chunk] = self.memo[stem] + self.runs[mark]
-
-    def _encode_chunks(self, missing: list[str]) -> None:
-        width = self.dtype.itemsize
-        for at in range(0, len(missing), 8192):
-            part = missing[at : at + 8192]
-            joined = [c if c[0] == "\n" else f" {c}" for c in part]
-            texts = ["".join(joined[k : k + 64]) for k in range(0, len(joined), 64)]
-            ids = np.concatenate([np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
-            ends = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in joined])
-            cuts = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends, side="right") * width
-            raw, begin = ids.tobytes(), 0
-            for chunk, cut in zip(part, cuts.tolist(), strict=True):
-                self.memo[chunk] = raw[begin:cut]
-                begin = cut
+                whole.append(chunk)
+        made = memo.slots(pairs)
+        whole += memo.fresh
+        memo.fresh = []
+        self._encode_chunks(whole)
+        if parts:
+            ids, size = memo.take(made)
+            memo.put(memo.slots(parts), ids, size.reshape(-1, 2).sum(axis=1))
+
+    def _encode_chunks(self, chunks: list[str]) -> None:
+        """Chunks that begin with white space and don't end with it are encoded many to a text, the others alone."""
+        joined, alone = [], []
+        for c in chunks:
+            (joined if c and _blank(c) and not _blank(c[-1]) else alone).append(c)
+        for at in range(0, len(alone), 8192):
+            part = alone[at : at + 8192]
+            self.memo.put(self.memo.slots(part), *self.whole(part))
+        for at in range(0, len(joined), 8192):
+            part = joined[at : at + 8192]
+            ids, _ = self.whole(["".join(part[k : k + 64]) for k in range(0, len(part), 64)])
+            ends = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in part])
+            cuts = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends, side="right")
+            self.memo.put(self.memo.slots(part), ids, np.diff(cuts, prepend=0))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -26,8 +27,21 @@ def ids_of(plain, text):
 def test_encoder_is_exact(plain):
     enc = tokens.encoder(tokens.default_path())
     for _ in range(2):  # cold and warm memo
-        for text, got in zip(TEXTS, enc.encode(TEXTS), strict=True):
-            assert np.frombuffer(got, enc.dtype).tolist() == ids_of(plain, text), text
+        ids, size = enc.encode(TEXTS)
+        for text, got in zip(TEXTS, np.split(ids, np.cumsum(size)[:-1]), strict=True):
+            assert got.tolist() == ids_of(plain, text), text
+
+
+def test_encoder_is_exact_on_odd_blanks(plain, monkeypatch):
+    """Runs of every kind of white space, marks, digits, added tokens and long chunks, with a memo that turns over often."""
+    monkeypatch.setattr(tokens, "MEMO_CHUNKS", 300)
+    enc, r = tokens.Encoder(tokens.default_path()), random.Random(4)
+    parts = [*"aBé漢🙂1!,.'s ", "  ", "   ", " \n", "\n", "\n\n\n", "\t", "\r\n", "\x85", "\xa0", "\u3000", "\u2028", "\x1c", "\0", "\u200b", " the", " of", "'ll", "<|endoftext|>", "١", "ª", "½", " word" * 50, "x" * 300]
+    for _ in range(20):
+        texts = [None, "", *("".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(400))]
+        ids, size = enc.encode(texts, 7)
+        for text, got in zip(texts, np.split(ids, np.cumsum(size)[:-1]), strict=True):
+            assert got.tolist() == [*ids_of(plain, text), 7], text
 
 
 def documents(spark, extra=False):
