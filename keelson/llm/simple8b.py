@@ -62,46 +62,33 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
     best = choose(bit_lengths(ids), block)
     begin = np.arange(0, n, block)
     end = np.minimum(begin + block, n)
-    at, live, starts = begin.copy(), np.arange(len(begin)), []
-    while len(live):  # one word of every block at a time
-        here = at[live]
-        starts.append((live, here))
-        at[live] = here + COUNTS[best[here]]
-        live = live[at[live] < end[live]]
-    owner = np.concatenate([s[0] for s in starts])
-    first = np.concatenate([s[1] for s in starts])
-    order = np.argsort(first, kind="stable")
-    owner, first = owner[order], first[order]
+    after = np.arange(n) + COUNTS[best]
+    starts, at = np.zeros(n, bool), begin
+    while len(at):  # one word of every block at a time
+        starts[at] = True
+        at = after[at]
+        inside = at < end
+        at, end = at[inside], end[inside]
+    first = np.flatnonzero(starts)
+    owner = first // block
     chosen = best[first]
+    held = np.diff(first, append=n)  # the last word of a block may hold fewer than its selector allows
+    shift = (np.arange(n) - np.repeat(first, held)) * np.repeat(BITS[chosen], held)
+    body = np.bitwise_or.reduceat(ids << shift.astype(np.uint64), first)
     size = 1 + (chosen == 0)
     place = np.cumsum(size) - size
     words = np.zeros(int(size.sum()), np.uint64)
-    padded = np.concatenate([ids, np.zeros(120, np.uint64)])
-    for selector in np.unique(chosen):
-        mine = np.flatnonzero(chosen == selector)
-        if selector == 0:
-            words[place[mine] + 1] = ids[first[mine]]
-            continue
-        count, width = WIDTHS[selector - 1]
-        word = np.full(len(mine), np.uint64(int(selector) << 60))
-        if width:
-            begin_of, room = first[mine], end[owner[mine]] - first[mine]
-            whole = np.flatnonzero(room >= count)
-            for j in range(count):
-                word[whole] |= padded[begin_of[whole] + j] << np.uint64(j * width)
-            for i in np.flatnonzero(room < count).tolist():  # the last word of a block
-                own = ids[begin_of[i] : begin_of[i] + room[i]]
-                word[i] |= np.bitwise_or.reduce(own << (np.arange(len(own), dtype=np.uint64) * np.uint64(width)))
-        words[place[mine]] = word
+    escaped = chosen == 0
+    words[place] = (chosen.astype(np.uint64) << np.uint64(60)) | np.where(escaped, np.uint64(0), body)
+    words[place[escaped] + 1] = ids[first[escaped]]
     heads = np.searchsorted(owner, np.arange(len(begin)))
     return words, place[heads].astype(np.int32)
 
 
 def decode(words: np.ndarray, offsets: np.ndarray, n: int, block: int = BLOCK) -> np.ndarray:
     """The n ids of all blocks, decoded together."""
-    out = np.zeros(n, np.uint64)
     if not n:
-        return out
+        return np.zeros(0, np.uint64)
     words = np.asarray(words, dtype=np.uint64)
     selector = (words >> np.uint64(60)).astype(np.int64)
     raw = np.zeros(len(words), dtype=bool)
@@ -116,27 +103,14 @@ def decode(words: np.ndarray, offsets: np.ndarray, n: int, block: int = BLOCK) -
         head = np.flatnonzero(~raw)
     else:
         head = np.arange(len(words))
-    counts = COUNTS[selector[head]]
+    kind = selector[head]
     owner = np.searchsorted(offsets, head, side="right") - 1
-    total = np.cumsum(counts) - counts
+    total = np.cumsum(COUNTS[kind]) - COUNTS[kind]
     first_of_block = np.searchsorted(owner, np.arange(len(offsets)))
     at = owner * block + total - total[first_of_block][owner]
-    end = np.minimum((owner + 1) * block, n)
-    for s in np.unique(selector[head]):
-        mine = selector[head] == s
-        if s == 0:
-            out[at[mine]] = words[head[mine] + 1]
-            continue
-        count, width = WIDTHS[s - 1]
-        if not width:
-            continue
-        mask = np.uint64((1 << width) - 1)
-        word, start, room = words[head[mine]], at[mine], end[mine] - at[mine]
-        whole, rest = room >= count, np.flatnonzero(room < count)
-        full_word, full_start = (word, start) if not len(rest) else (word[whole], start[whole])
-        for j in range(count):
-            out[full_start + j] = (full_word >> np.uint64(j * width)) & mask
-        for i in rest.tolist():  # the last word of a block
-            places = np.arange(room[i], dtype=np.uint64)
-            out[start[i] : start[i] + room[i]] = (word[i] >> (places * np.uint64(width))) & mask
+    held = np.diff(at, append=n)
+    shift = (np.arange(n) - np.repeat(at, held)) * np.repeat(BITS[kind], held)
+    mask = (np.uint64(1) << np.minimum(BITS[kind], 60).astype(np.uint64)) - np.uint64(1)
+    out = (np.repeat(words[head], held) >> shift.astype(np.uint64)) & np.repeat(mask, held)
+    out[at[kind == 0]] = words[head[kind == 0] + 1]
     return out
