@@ -76,9 +76,11 @@ def row_prompt(inputs: list[str], outputs: Mapping[str, str], role: str) -> Colu
     return F.when(~blank & (F.size(asked) > 0), text)
 
 
-def complete(rows: DataFrame, fn: Callable[[list[str]], list[str | None]], chunk: int = 20, least: int = 5, levels: int = 2, key: str = "_id", prompt: str = "prompt", deadline: float | None = None) -> DataFrame:
-    """_id, answer, status (ok, failed or skipped), depth: calls `fn` on chunks of prompts within each task.
+def complete(rows: DataFrame, fn: Callable[[list[str]], list[str | None]], chunk: int = 20, least: int = 5, levels: int = 2, key: str = "_id", prompt: str = "prompt", deadline: float | None = None, group: str | None = None) -> DataFrame:
+    """_id, answer, status (ok, failed or skipped), depth: calls `fn` on chunks of prompts.
 
+    Chunks are runs of rows within each task, which moves no text, or, with `group` (see chunked), the rows of equal
+    groups in key order, which don't depend on how the table is dealt out.
     A retryable CompletionError halves the chunk, not below `least` rows and at most `levels` times; any other error
     fails the chunk's rows.  After `deadline` (epoch seconds) rows are skipped.  Calls are not repeatable: persist the
     result before using it twice.
@@ -112,8 +114,13 @@ def complete(rows: DataFrame, fn: Callable[[list[str]], list[str | None]], chunk
                 call(part[key].tolist(), part[prompt].tolist(), 0, out)
             yield pd.DataFrame(out, columns=[key, "answer", "status", "depth"])
 
-    kind = rows.schema[key].dataType.simpleString()
-    return rows.select(key, prompt).mapInPandas(run, f"{key} {kind}, answer string, status string, depth int")
+    def run_group(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat(run(iter([pdf.sort_values(key)])))
+
+    schema = f"{key} {rows.schema[key].dataType.simpleString()}, answer string, status string, depth int"
+    if group:
+        return rows.select(key, prompt, group).groupBy(group).applyInPandas(run_group, schema)
+    return rows.select(key, prompt).mapInPandas(run, schema)
 
 
 def parse(answers: DataFrame, outputs: Mapping[str, str], key: str = "_id") -> DataFrame:

@@ -1,33 +1,48 @@
-"""Keyed writes as join-and-rewrite.  A target T has _id, _version and document columns; a batch S has _id, seq and the same columns."""
+"""Keyed writes as join-and-rewrite.  A target T has _id, _version and document columns; a batch S has _id, seq and the same columns.
+
+A row of a batch without an _id has no place in a keyed table and is left out (auto_write gives it one first).
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keelson.functions import scalars
+
+
+def looked_up(rows: DataFrame, key: Column, ts: Column | None = None, content: list[Column] | None = None, insert: Column | None = None, seq: Column | None = None) -> DataFrame:
+    """Rows with what a writer looks up in them: _id, _ts, hash (of the content parts), _insert and seq, where given."""
+    given = {"_id": key.cast("string"), "_ts": ts, "hash": scalars.content_hash(*content) if content else None, "_insert": insert, "seq": seq}
+    return rows.withColumns({name: c for name, c in given.items() if c is not None})
+
 
 def last_per_id(batch: DataFrame, seq: str = "seq") -> DataFrame:
-    """The last write of each id in a batch."""
-    return _pick(batch, F.col(seq).desc())
+    """The last write of each id in a batch; of equal `seq` always the same row, by a hash.  Rows without an id go."""
+    return _pick(batch, F.max_by, seq)
 
 
 def first_per_id(batch: DataFrame, seq: str = "seq") -> DataFrame:
-    """The first write of each id in a batch."""
-    return _pick(batch, F.col(seq).asc())
+    """The first write of each id in a batch; of equal `seq` always the same row, by a hash.  Rows without an id go."""
+    return _pick(batch, F.min_by, seq)
 
 
-def _pick(batch: DataFrame, order: Column) -> DataFrame:
-    numbered = batch.withColumn("_rn", F.row_number().over(Window.partitionBy("_id").orderBy(order)))
-    return numbered.where("_rn = 1").drop("_rn")
+def _pick(batch: DataFrame, by: Callable[[Column, Column], Column], seq: str) -> DataFrame:
+    """One row of each id by an aggregate, so that an id's rows are reduced before they are shuffled."""
+    rest = [c for c in batch.columns if c != "_id"]
+    row = F.struct(*rest)
+    picked = batch.where("_id IS NOT NULL").groupBy("_id").agg(by(row, F.struct(F.col(seq), F.xxhash64(F.to_json(row)))).alias("_row"))
+    return picked.select(*[F.col("_id") if c == "_id" else F.col(f"_row.{c}") for c in batch.columns])
 
 
-def hash_upsert(target: DataFrame, batch: DataFrame, hash_col: str, on_match: Mapping[str, Column] | None = None, seq: str = "seq") -> DataFrame:
+def hash_upsert(target: DataFrame, batch: DataFrame, hash_col: str, on_match: Mapping[str, Column] | None = None, seq: str = "seq", insert: str | None = None) -> DataFrame:
     """Upsert by content hash.  `result` is created, updated, noop or untouched.
 
     An equal hash keeps the stored row.  With `on_match`, columns over the aliases t and s, those columns change and
-    the version rises instead.  Batches with repeated ids count as their last write.
+    the version rises instead.  Batches with repeated ids count as their last write.  With `insert`, a boolean column
+    of the batch, a row of an unknown id is created only where it is true.
     """
     docs = [c for c in target.columns if c not in ("_id", "_version")]
     t, s = target.alias("t"), last_per_id(batch, seq).alias("s")
@@ -40,6 +55,8 @@ def hash_upsert(target: DataFrame, batch: DataFrame, hash_col: str, on_match: Ma
     for c in docs:
         stored, sent = F.col(f"t.{c}"), F.col(f"s.{c}")
         columns.append(F.when(~in_s, stored).when(same, change.get(c, stored)).otherwise(sent).alias(c))
+    if insert:
+        joined = joined.where(in_t | F.col(f"s.{insert}"))
     version = F.when(~in_t, F.lit(1)).when(~in_s | (same & F.lit(not change)), F.col("t._version")).otherwise(F.col("t._version") + 1)
     return joined.select(F.coalesce("t._id", "s._id").alias("_id"), version.cast("long").alias("_version"), *columns, result.alias("result"))
 
@@ -61,8 +78,9 @@ def index_write(target: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFr
 
 def create_write(target: DataFrame, batch: DataFrame, seq: str = "seq") -> tuple[DataFrame, DataFrame]:
     """(table, conflicts): the first write of a new id is appended; writes to a known id and later repeats are conflicts."""
-    order = Window.partitionBy("_id").orderBy(seq)
-    numbered = batch.withColumn("_rn", F.row_number().over(order))
+    row = F.to_json(F.struct(*[c for c in batch.columns if c != "_id"]))
+    order = Window.partitionBy("_id").orderBy(seq, F.xxhash64(row))  # as first_per_id
+    numbered = batch.where("_id IS NOT NULL").withColumn("_rn", F.row_number().over(order))
     marked = numbered.join(target.select("_id", F.lit(True).alias("_known")), "_id", "left")
     fresh = (F.col("_rn") == 1) & F.col("_known").isNull()
     added = marked.where(fresh).select("_id", F.lit(1).cast("long").alias("_version"), *_docs(target))

@@ -32,7 +32,7 @@ def cache(spark, d):
 
 
 T = f"""
-t AS (SELECT doc_id AS _id, substring(text, 1, 200) AS body, lang, CASE WHEN doc_id % 3 = 0 THEN 'old ' || lang END AS summary, CASE WHEN doc_id % 3 = 0 THEN '{PH['summary']}' END AS summary_ph,
+t AS (SELECT doc_id AS _id, text AS body, lang, CASE WHEN doc_id % 3 = 0 THEN 'old ' || lang END AS summary, CASE WHEN doc_id % 3 = 0 THEN '{PH['summary']}' END AS summary_ph,
   CASE WHEN doc_id % 5 = 0 THEN 'old' END AS kind, CASE WHEN doc_id % 5 = 0 THEN CASE WHEN doc_id % 2 = 0 THEN '{PH['kind']}' ELSE 'other' END END AS kind_ph FROM documents),
 c AS (SELECT doc_id::VARCHAR AS match, CASE WHEN toxic = 0 THEN 's' || doc_id END AS summary, quality::VARCHAR AS kind, CASE WHEN doc_id % 4 = 0 THEN TIMESTAMP '{OLD}' ELSE TIMESTAMP '{NOW}' END AS created_at FROM labels
   UNION ALL SELECT 'gone-' || doc_id, 'x', 'x', TIMESTAMP '{OLD}' FROM labels WHERE doc_id % 10 = 0),
@@ -82,9 +82,26 @@ def failing(texts):
     return stub(texts)
 
 
+ANSWER = """CASE WHEN n % 7 = 0 THEN 'sorry' ELSE '```json' || chr(10) || '{"summary": "n' || n || '", "kind": "' || CASE WHEN n % 2 = 1 THEN 'good' ELSE '' END || '"}' || chr(10) || '```' END"""
+E6 = f"""WITH {T}, a AS (SELECT _id, length('p' || body) AS n FROM st WHERE stale) SELECT _id, md5({ANSWER}) AS digest, 'ok' AS status, 0 AS depth FROM a"""
+
+
 def e7(spark, d):
     """Retryable failures halve chunks; what can't be split fails."""
-    return E.complete(prompts(spark, d), failing).groupBy("status", "depth").agg(F.count("*").alias("n"))
+    rows = E.chunked(prompts(spark, d))
+    return E.complete(rows, failing, group="chunk").select("_id", "status", "depth")
+
+
+#: Chunks of 20 by key, halved at most twice: each level has the place and size of a row's part, and whether the part fails.
+E7 = f"""
+WITH {T}, a AS (SELECT _id, length('p' || body) % 50 = 0 AS bad, row_number() OVER (ORDER BY _id) - 1 AS r FROM st WHERE stale),
+b AS (SELECT *, r // 20 AS c, r % 20 AS k, count(*) OVER w AS n, bool_or(bad) OVER w AS f FROM a WINDOW w AS (PARTITION BY r // 20)),
+h1 AS (SELECT *, (n > 5 AND (n // 2) >= 5 AND f) AS cut, (k >= (n // 2)) AS hi FROM b),
+g1 AS (SELECT *, count(*) OVER w AS n1, bool_or(bad) OVER w AS f1, CASE WHEN hi THEN k - (n // 2) ELSE k END AS k1 FROM h1 WINDOW w AS (PARTITION BY c, cut AND hi)),
+h2 AS (SELECT *, (cut AND n1 > 5 AND (n1 // 2) >= 5 AND f1) AS cut2, (k1 >= (n1 // 2)) AS hi2 FROM g1),
+g2 AS (SELECT *, bool_or(bad) OVER (PARTITION BY c, cut AND hi, cut2 AND hi2) AS f2 FROM h2)
+SELECT _id, CASE WHEN f2 THEN 'failed' ELSE 'ok' END AS status, (cut::INT + cut2::INT) AS depth FROM g2
+"""
 
 
 def e8(spark, d):
@@ -98,12 +115,12 @@ SELECT _id, CASE WHEN n % 7 <> 0 THEN 'n' || n END AS summary, CASE WHEN n % 7 <
 def e9(spark, d):
     parsed = E.parse(E.complete(prompts(spark, d), stub), OUTPUTS)
     out = E.cache_upsert(cache(spark, d), parsed, "2024-04-01 00:00:00")
-    return out.groupBy("_version", F.col("created_at").cast("string").alias("created")).agg(F.count("*").alias("n"), F.count("summary").alias("summaries"), F.sum((F.col("kind") == "good").cast("long")).alias("good"))
+    return out.select("_id", "_version", "match", "summary", "summary_ph", "kind", "kind_ph", F.col("created_at").cast("string").alias("created"))
 
 
 E9 = f"""WITH {T}, a AS (SELECT _id::VARCHAR AS match, length('p' || body) AS n FROM st WHERE stale), p AS (SELECT match, 'n' || n AS summary, CASE WHEN n % 2 = 1 THEN 'good' END AS kind FROM a WHERE n % 7 <> 0),
-f AS (SELECT CASE WHEN c.match IS NOT NULL AND p.match IS NOT NULL THEN 2 ELSE 1 END::BIGINT AS _version, CASE WHEN p.match IS NOT NULL THEN '2024-04-01 00:00:00' ELSE strftime(c.created_at, '%Y-%m-%d %H:%M:%S') END AS created, coalesce(p.summary, c.summary) AS summary, coalesce(p.kind, c.kind) AS kind FROM c FULL OUTER JOIN p ON c.match = p.match)
-SELECT _version, created, count(*) AS n, count(summary) AS summaries, sum(CASE WHEN kind IS NOT NULL THEN (kind = 'good')::INT END)::BIGINT AS good FROM f GROUP BY 1, 2"""
+f AS (SELECT coalesce(c.match, p.match) AS match, CASE WHEN c.match IS NOT NULL AND p.match IS NOT NULL THEN 2 ELSE 1 END::BIGINT AS _version, c.match IS NOT NULL AS stored, CASE WHEN p.match IS NOT NULL THEN '2024-04-01 00:00:00' ELSE strftime(c.created_at, '%Y-%m-%d %H:%M:%S') END AS created, coalesce(p.summary, c.summary) AS summary, coalesce(p.kind, c.kind) AS kind FROM c FULL OUTER JOIN p ON c.match = p.match)
+SELECT sha256(match) AS _id, _version, match, summary, '{PH['summary']}' AS summary_ph, kind, CASE WHEN stored OR kind IS NOT NULL THEN '{PH['kind']}' END AS kind_ph, created FROM f"""
 
 
 def j1(spark, d):
@@ -130,6 +147,24 @@ def e16(spark, d):
     return E.backfill(bare, cache(spark, d), "_id", ["summary", "kind"]).select("_id", "summary", "kind")
 
 
+def counted(prompts):
+    """A completion function: the number of words of each prompt, and no answer to a prompt with an even number of vowels."""
+    out = []
+    for p in prompts:
+        vowels = sum(p.count(v) for v in "aeiou")
+        out.append(f"{len(p.split(' '))} words" if vowels % 2 else None)
+    return out
+
+
+def d5(spark, d):
+    """Completion function: the caller's Python over chunks of whole texts; null answers count as failed."""
+    asked = rows(spark, d).select("_id", F.col("body").alias("prompt"))
+    return E.complete(asked, counted).select("_id", "answer", "status")
+
+
+D5 = """WITH a AS (SELECT doc_id AS _id, len(string_split(text, ' ')) AS n, length(text) - length(regexp_replace(text, '[aeiou]', '', 'g')) AS v FROM documents)
+SELECT _id, CASE WHEN v % 2 = 1 THEN n || ' words' END AS answer, CASE WHEN v % 2 = 1 THEN 'ok' ELSE 'failed' END AS status FROM a"""
+
 J = f"WITH {T} SELECT _id, summary, kind, kind_ph FROM j"
 QUERIES = {
     "E1_stale": (e1, f"WITH {T} SELECT _id, lang FROM st WHERE stale"),
@@ -138,7 +173,8 @@ QUERIES = {
     "E3_chunks": (lambda s, d: E.chunked(rows(s, d).where(E.is_stale(OUTPUTS))).select("_id", "chunk"), f"WITH {T} SELECT _id, (row_number() OVER (ORDER BY _id) - 1) // 20 AS chunk FROM st WHERE stale"),
     "E4_batch_prompt": (e4, f"WITH {T} SELECT _id, md5({HEAD} || '{SCHEMA}' || {BODY}) AS digest FROM t"),
     "E5_row_prompt": (e5, E5),
-    "E6_completion": (e6, None), "E7_split_on_failure": (e7, None), "E8_parse": (e8, E8), "E9_cache_upsert": (e9, E9),
+    "D5_completion_function": (d5, D5),
+    "E6_completion": (e6, E6), "E7_split_on_failure": (e7, E7), "E8_parse": (e8, E8), "E9_cache_upsert": (e9, E9),
     "E10_backfill_enriched": (e10, f"WITH {T} SELECT t._id, CASE WHEN l.doc_id IS NULL THEN t.summary ELSE j.summary END AS summary, CASE WHEN l.doc_id IS NULL THEN t.kind ELSE j.kind END AS kind FROM t JOIN j ON t._id = j._id LEFT JOIN (SELECT doc_id FROM labels WHERE doc_id % 2 = 0) l ON l.doc_id = t._id"),
     "E11_backfill_all": (lambda s, d: E.backfill(rows(s, d), cache(s, d), "_id", ["summary", "kind"]).select("_id", "summary", "kind", "kind_ph"), J),
     "J1_lookup_join": (j1, J),

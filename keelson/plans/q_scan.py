@@ -164,7 +164,14 @@ def u2(spark, d):
     return b.distinct().join(a, "k", "left_anti").select("k", F.lit("only customers").alias("side")).unionByName(b.distinct().join(a, "k", "left_semi").select("k", F.lit("both").alias("side")))
 
 
+def d4(spark, d):
+    """Runtime field scripts of the caller's: SQL expressions over the row, one of them over an earlier one's inputs."""
+    scripts = {"unit_price": ("floor(l_extendedprice / l_quantity)", "long"), "late": ("CASE WHEN l_shipdate > timestamp'1998-01-01' THEN 'late' ELSE 'early' END", "string"), "lines": ("concat_ws(':', l_orderkey, l_linenumber)", "string")}
+    return project.runtime(table(spark, d, "lineitem"), scripts).select("l_orderkey", "l_linenumber", "unit_price", "late", "lines")
+
+
 QUERIES = {
+    "D4_runtime_script": (d4, "SELECT l_orderkey, l_linenumber, floor(l_extendedprice / l_quantity)::BIGINT AS unit_price, CASE WHEN l_shipdate > TIMESTAMP '1998-01-01' THEN 'late' ELSE 'early' END AS late, l_orderkey || ':' || l_linenumber AS lines FROM lineitem"),
     "R1_snapshot_scan": (r1, "SELECT p_partkey, p_size FROM part"),
     "R2_paged_scan": (r2, "SELECT p_partkey, p_retailprice, (row_number() OVER (ORDER BY p_retailprice, p_partkey) - 1) // 100 AS page, (SELECT count(*) FROM part) AS total FROM part"),
     "R3_keyset": (r3, "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem WHERE (l_orderkey, l_linenumber) > (100, 3) GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 500"),
@@ -199,9 +206,9 @@ QUERIES = {
     "K1_sort": (lambda s, d: search.top(table(s, d, "orders"), [F.col("o_totalprice").desc(), F.col("o_orderkey")], 50).select("o_orderkey"), "SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50"),
     "K2_max_docs": (lambda s, d: search.top(table(s, d, "orders"), [F.col("o_orderkey")], 25).select("o_orderkey", "o_custkey"), "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 25"),
     "K4_latest": (lambda s, d: search.latest(table(s, d, "events").select(F.concat(F.lit("logs-"), F.date_format("ts", "yyyy.MM.dd")).alias("name")), "name", "logs-%"), "SELECT max('logs-' || strftime(ts, '%Y.%m.%d')) AS latest FROM events"),
-    "K5_vector_top_k": (k5, "SELECT e.vec_id, round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 4) AS score FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q ORDER BY list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) DESC, e.vec_id LIMIT 5"),
+    "K5_vector_top_k": (k5, "SELECT query_id, vec_id, round(s, 4) AS score FROM (SELECT q.vec_id AS query_id, e.vec_id, list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS s, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) DESC, e.vec_id) AS rn FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0) WHERE rn <= 5"),
     "K6_completion": (k6, "SELECT p_partkey, p_name FROM part WHERE p_name LIKE 're%' ORDER BY p_retailprice DESC, p_partkey LIMIT 10"),
     "K7_version_order": (k7, "SELECT p_partkey, p_size || '.' || p_partkey % 13 || '.1' AS version FROM part ORDER BY p_size DESC, p_partkey % 13 DESC, p_partkey LIMIT 20"),
     "U1_pattern_union": (lambda s, d: readers.pattern_union(generations(s, d), "part-*").select("p_partkey", "p_name", F.coalesce("p_size", F.lit(-1)).alias("p_size"), "_index"), "SELECT p_partkey, p_name, CASE WHEN p_size >= 20 THEN p_size ELSE -1 END AS p_size, CASE WHEN p_size < 20 THEN 'part-a' ELSE 'part-b' END AS _index FROM part"),
-    "U2_key_sets": (u2, "SELECT c_custkey AS k, 'only customers' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT c_custkey, 'both' FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders) AND c_custkey < 50"),
+    "U2_key_sets": (u2, "SELECT c_custkey AS k, 'only customers' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT c_custkey, 'both' FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)"),
 }

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from keelson.operators import maintain as M
 from keelson.operators import sync, writes
-from keelson.plans.q_writes import CTE, COLUMNS, incoming, summary, table, target
+from keelson.plans.q_writes import CTE, COLUMNS, incoming, table, target
 from keelson.sources import tables
 
 OLD, NOW = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
@@ -22,33 +22,32 @@ def dest(spark, d):
 
 def p1(spark, d):
     out = M.reindex(source(spark, d), dest(spark, d), where=F.col("o_orderstatus") == "F", transform=lambda x: x.withColumn("o_totalprice", F.col("o_totalprice") * 2), exclude=["o_orderpriority"])
-    return out.groupBy("result", "_version").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("price"), F.count("o_orderpriority").alias("priorities"))
+    return out.select("_id", "_version", "o_custkey", "o_orderstatus", F.round("o_totalprice", 2).alias("o_totalprice"), "o_orderpriority", "result")
 
 
-P1 = """
-WITH s AS (SELECT o_orderkey AS _id, o_totalprice * 2 AS p FROM orders WHERE o_orderkey % 10 >= 3 AND o_orderstatus = 'F'), t AS (SELECT o_orderkey AS _id, o_totalprice AS p, o_orderpriority AS q FROM orders WHERE o_orderkey % 10 < 8)
-SELECT CASE WHEN s._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result, CASE WHEN s._id IS NULL OR t._id IS NULL THEN 1 ELSE 2 END::BIGINT AS _version, count(*) AS n,
-  round(sum(CASE WHEN s._id IS NULL THEN t.p ELSE s.p END), 2) AS price, count(CASE WHEN s._id IS NULL THEN t.q END) AS priorities
-FROM t FULL OUTER JOIN s ON t._id = s._id GROUP BY 1, 2
+P1 = f"""
+WITH s AS (SELECT o_orderkey AS _id, o_custkey, o_orderstatus, o_totalprice * 2 AS o_totalprice, NULL AS o_orderpriority FROM orders WHERE o_orderkey % 10 >= 3 AND o_orderstatus = 'F'), t AS (SELECT *, o_orderkey AS _id FROM orders WHERE o_orderkey % 10 < 8)
+SELECT coalesce(t._id, s._id) AS _id, CASE WHEN s._id IS NULL OR t._id IS NULL THEN 1 ELSE 2 END::BIGINT AS _version, {", ".join(f"{'round(' if c == 'o_totalprice' else ''}CASE WHEN s._id IS NULL THEN t.{c} ELSE s.{c} END{', 2)' if c == 'o_totalprice' else ''} AS {c}" for c in COLUMNS if c != "o_orderdate")},
+  CASE WHEN s._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result FROM t FULL OUTER JOIN s ON t._id = s._id
 """
 
 
 def p2(spark, d):
     op = F.when(F.col("o_orderstatus") == "F", "index").when(F.col("o_orderstatus") == "O", "delete").otherwise("noop")
-    out = M.reindex_script(source(spark, d), dest(spark, d), lambda x: x.withColumn("_op", op))
-    return summary(out, "result")
+    return M.reindex_script(source(spark, d), dest(spark, d), lambda x: x.withColumn("_op", op))
 
 
-P2 = """
-WITH s AS (SELECT o_orderkey AS _id, o_totalprice AS p, o_orderstatus AS st FROM orders WHERE o_orderkey % 10 >= 3),
-t AS (SELECT o_orderkey AS _id, o_totalprice AS p FROM orders WHERE o_orderkey % 10 < 8 AND o_orderkey NOT IN (SELECT _id FROM s WHERE st = 'O')), i AS (SELECT * FROM s WHERE st = 'F')
-SELECT CASE WHEN i._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result, count(*) AS n, round(sum(coalesce(i.p, t.p)), 2) AS price FROM t FULL OUTER JOIN i ON t._id = i._id GROUP BY 1
+P2 = f"""
+WITH s AS (SELECT *, o_orderkey AS _id FROM orders WHERE o_orderkey % 10 >= 3), i AS (SELECT * FROM s WHERE o_orderstatus = 'F'),
+t AS (SELECT *, o_orderkey AS _id FROM orders WHERE o_orderkey % 10 < 8 AND o_orderkey NOT IN (SELECT _id FROM s WHERE o_orderstatus = 'O'))
+SELECT coalesce(t._id, i._id) AS _id, CASE WHEN i._id IS NULL OR t._id IS NULL THEN 1 ELSE 2 END::BIGINT AS _version, {", ".join(f"coalesce(i.{c}, t.{c}) AS {c}" for c in COLUMNS)},
+  CASE WHEN i._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result FROM t FULL OUTER JOIN i ON t._id = i._id
 """
 
 
 def p3(spark, d):
     made, conflicts = M.copy_create(source(spark, d), dest(spark, d), proceed=True)
-    return summary(made.select("o_totalprice", F.lit("table").alias("part")).unionByName(conflicts.select("o_totalprice", F.lit("conflict").alias("part"))), "part")
+    return made.select("_id", *COLUMNS, F.lit("table").alias("part")).unionByName(conflicts.select("_id", *COLUMNS, F.lit("conflict").alias("part")))
 
 
 def double_price(pdf):
@@ -57,7 +56,7 @@ def double_price(pdf):
 
 
 def p4(spark, d):
-    return summary(M.client_reindex(source(spark, d), dest(spark, d), double_price), "result")
+    return M.client_reindex(source(spark, d), dest(spark, d), double_price)
 
 
 def p5(spark, d):
@@ -66,12 +65,25 @@ def p5(spark, d):
 
 
 def p6(spark, d):
-    out = M.update_by_query(dest(spark, d), F.col("o_orderstatus") == "F", {"o_totalprice": F.col("o_totalprice") * 2, "o_orderpriority": F.lit("done")})
-    return summary(out, "_version", "o_orderpriority")
+    return M.update_by_query(dest(spark, d), F.col("o_orderstatus") == "F", {"o_totalprice": F.col("o_totalprice") * 2, "o_orderpriority": F.lit("done")})
 
 
+def relabelled(rows):
+    """A row transform: the status spelled out, and rows of small customers left behind."""
+    return rows.where("o_custkey > 20").withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "F", "finished").when(F.col("o_orderstatus") == "O", "open").otherwise("partly"))
 
 
+def d1(spark, d):
+    """Row transform: a copy through the caller's function on the frame."""
+    return M.reindex(source(spark, d), dest(spark, d), transform=relabelled)
+
+
+D1 = f"""
+WITH s AS (SELECT o_orderkey AS _id, * REPLACE (CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' ELSE 'partly' END AS o_orderstatus) FROM orders WHERE o_orderkey % 10 >= 3 AND o_custkey > 20), t AS (SELECT *, o_orderkey AS _id FROM orders WHERE o_orderkey % 10 < 8)
+SELECT coalesce(t._id, s._id) AS _id, CASE WHEN s._id IS NULL OR t._id IS NULL THEN 1 ELSE 2 END::BIGINT AS _version, {", ".join(f"coalesce(s.{c}, t.{c}) AS {c}" for c in COLUMNS)},
+  CASE WHEN s._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result FROM t FULL OUTER JOIN s ON t._id = s._id
+"""
+
 def decisions(spark, d):
     """One mapping for each nation: declared from nations, stored from customers' nations; versions by region."""
     n = table(spark, d, "nation")
@@ -141,21 +153,22 @@ def secondary(spark, d):
     return primary(spark, d).where("_id % 10 < 6").withColumn("summary", F.concat(F.lit("s"), F.col("_id")))
 
 
-COLS = "count(*) AS n, round(sum(p), 2) AS price, count(CASE WHEN b = 1 THEN 1 END) AS new_batch, count(CASE WHEN u = 1 THEN 1 END) AS new_update, sum(v)::BIGINT AS versions"
+COLS = "_id, p AS price, k AS o_custkey, st AS o_orderstatus, pr AS o_orderpriority, b = 1 AS new_batch, u = 1 AS new_update, v::BIGINT AS _version"
 
 
 def digest(df, name):
+    """Every row: its content, and which dates are of this run."""
     now = F.lit(NOW).cast("timestamp")
-    return df.agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("price"), F.sum((F.col("batch_date") == now).cast("long")).alias("new_batch"), F.sum((F.col("last_updated") == now).cast("long")).alias("new_update"), F.sum("_version").alias("versions")).withColumn("part", F.lit(name))
+    return df.select("_id", F.col("o_totalprice").alias("price"), "o_custkey", "o_orderstatus", "o_orderpriority", (F.col("batch_date") == now).alias("new_batch"), (F.col("last_updated") == now).alias("new_update"), "_version", F.lit(name).alias("part"))
 
 
 #: One row a primary id after the conditional write: p price, b batch is new, u row was replaced, v version; c the same as a copied row.
 SYNC = f"""
 WITH {CTE},
-w AS (SELECT coalesce(t._id, l._id) AS _id, CASE WHEN l._id IS NULL OR t.hash = l.hash THEN t.o_totalprice ELSE l.o_totalprice END AS p, (l._id IS NOT NULL)::INT AS b,
+w AS (SELECT coalesce(t._id, l._id) AS _id, CASE WHEN l._id IS NULL OR t.hash = l.hash THEN t.o_totalprice ELSE l.o_totalprice END AS p, CASE WHEN l._id IS NULL OR t.hash = l.hash THEN t.o_custkey ELSE l.o_custkey END AS k, coalesce(l.o_orderstatus, t.o_orderstatus) AS st, coalesce(l.o_orderpriority, t.o_orderpriority) AS pr, (l._id IS NOT NULL)::INT AS b,
         (l._id IS NOT NULL AND coalesce(t.hash <> l.hash, true))::INT AS u, CASE WHEN t._id IS NOT NULL AND l._id IS NOT NULL THEN 2 ELSE 1 END AS v FROM t FULL OUTER JOIN l ON t._id = l._id),
-z AS (SELECT _id, o_totalprice AS p, 0 AS b, 0 AS u, 1 AS v FROM t WHERE _id % 10 < 6),
-c AS (SELECT coalesce(z._id, x._id) AS _id, coalesce(x.p, z.p) AS p, coalesce(x.b, 0) AS b, coalesce(x.u, 0) AS u, CASE WHEN x._id IS NULL OR z._id IS NULL THEN 1 ELSE 2 END AS v FROM z FULL OUTER JOIN (SELECT * FROM w WHERE u = 1) x ON z._id = x._id)
+z AS (SELECT _id, o_totalprice AS p, o_custkey AS k, o_orderstatus AS st, o_orderpriority AS pr, 0 AS b, 0 AS u, 1 AS v FROM t WHERE _id % 10 < 6),
+c AS (SELECT coalesce(z._id, x._id) AS _id, coalesce(x.p, z.p) AS p, coalesce(x.k, z.k) AS k, coalesce(x.st, z.st) AS st, coalesce(x.pr, z.pr) AS pr, coalesce(x.b, 0) AS b, coalesce(x.u, 0) AS u, CASE WHEN x._id IS NULL OR z._id IS NULL THEN 1 ELSE 2 END AS v FROM z FULL OUTER JOIN (SELECT * FROM w WHERE u = 1) x ON z._id = x._id)
 """
 
 
@@ -182,28 +195,28 @@ def s7(spark, d):
 
 
 S7 = f"""{SYNC},
-m AS (SELECT l._id, l.o_totalprice AS p, 1 AS b, 1 AS u, CASE WHEN t._id IS NULL THEN 1 ELSE 2 END AS v FROM l LEFT JOIN t ON t._id = l._id),
-y AS (SELECT coalesce(z._id, l._id) AS _id, coalesce(l.o_totalprice, z.p) AS p, (l._id IS NOT NULL)::INT AS b, (l._id IS NOT NULL)::INT AS u, CASE WHEN z._id IS NOT NULL AND l._id IS NOT NULL THEN 2 ELSE 1 END AS v FROM z FULL OUTER JOIN l ON z._id = l._id)
+m AS (SELECT l._id, l.o_totalprice AS p, l.o_custkey AS k, l.o_orderstatus AS st, l.o_orderpriority AS pr, 1 AS b, 1 AS u, CASE WHEN t._id IS NULL THEN 1 ELSE 2 END AS v FROM l LEFT JOIN t ON t._id = l._id),
+y AS (SELECT coalesce(z._id, l._id) AS _id, coalesce(l.o_totalprice, z.p) AS p, coalesce(l.o_custkey, z.k) AS k, coalesce(l.o_orderstatus, z.st) AS st, coalesce(l.o_orderpriority, z.pr) AS pr, (l._id IS NOT NULL)::INT AS b, (l._id IS NOT NULL)::INT AS u, CASE WHEN z._id IS NOT NULL AND l._id IS NOT NULL THEN 2 ELSE 1 END AS v FROM z FULL OUTER JOIN l ON z._id = l._id)
 SELECT 'primary' AS part, {COLS} FROM m UNION ALL SELECT 'secondary', {COLS} FROM y"""
 
 
 def s10(spark, d):
     old = primary(spark, d)
     new = sync.stamp(writes.last_per_id(incoming(spark, d)), NOW).withColumn("_version", F.lit(1).cast("long")).withColumn("tags", F.lit("v2")).select(*old.columns, "tags")
-    return sync.backfill(old, new).groupBy(F.coalesce("tags", F.lit("old")).alias("tags")).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("price"))
+    return sync.backfill(old, new).select("_id", "_version", *COLUMNS, F.date_format("batch_date", "yyyy-MM-dd").alias("batch"), F.coalesce("tags", F.lit("old")).alias("tags"))
 
 
-S10 = f"WITH {CTE} SELECT 'v2' AS tags, count(*) AS n, round(sum(o_totalprice), 2) AS price FROM l UNION ALL SELECT 'old', count(*), round(sum(o_totalprice), 2) FROM t WHERE _id NOT IN (SELECT _id FROM l)"
+S10 = f"WITH {CTE} SELECT _id, 1::BIGINT AS _version, {', '.join(COLUMNS)}, '2024-02-01' AS batch, 'v2' AS tags FROM l UNION ALL SELECT _id, 1, {', '.join(COLUMNS)}, '2024-01-01', 'old' FROM t WHERE _id NOT IN (SELECT _id FROM l)"
 
 
 def stamped(spark, d):
     out = sync.conditional_write(primary(spark, d), sync.stamp(incoming(spark, d), NOW))
     now = F.lit(NOW).cast("timestamp")
-    return out.groupBy("result", (F.col("batch_date") == now).alias("batch"), (F.col("last_updated") == now).alias("updated"), "_version").agg(F.count("*").alias("n"))
+    return out.select("_id", "_version", *COLUMNS, (F.col("batch_date") == now).alias("batch"), (F.col("last_updated") == now).alias("updated"), "result")
 
 
-S3 = f"""WITH {CTE} SELECT CASE WHEN l._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result, l._id IS NOT NULL AS batch, l._id IS NOT NULL AND coalesce(t.hash <> l.hash, true) AS updated,
-  CASE WHEN t._id IS NULL OR l._id IS NULL THEN 1 ELSE 2 END::BIGINT AS _version, count(*) AS n FROM t FULL OUTER JOIN l ON t._id = l._id GROUP BY 1, 2, 3, 4"""
+S3 = f"""WITH {CTE} SELECT coalesce(t._id, l._id) AS _id, CASE WHEN t._id IS NULL OR l._id IS NULL THEN 1 ELSE 2 END::BIGINT AS _version, {", ".join(f"CASE WHEN l._id IS NULL OR t.hash = l.hash THEN t.{c} ELSE l.{c} END AS {c}" for c in COLUMNS)},
+  l._id IS NOT NULL AS batch, l._id IS NOT NULL AND coalesce(t.hash <> l.hash, true) AS updated, CASE WHEN l._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result FROM t FULL OUTER JOIN l ON t._id = l._id"""
 
 
 def s4(spark, d):
@@ -224,10 +237,11 @@ def s6(spark, d):
 
 QUERIES = {
     "P1_reindex": (p1, P1), "P2_reindex_script": (p2, P2),
-    "P3_conflict_policy": (p3, "SELECT 'table' AS part, count(*) AS n, round(sum(o_totalprice), 2) AS price FROM orders UNION ALL SELECT 'conflict', count(*), round(sum(o_totalprice), 2) FROM orders WHERE o_orderkey % 10 BETWEEN 3 AND 7"),
-    "P4_client_reindex": (p4, "SELECT CASE WHEN o_orderkey % 10 < 3 THEN 'untouched' WHEN o_orderkey % 10 >= 8 THEN 'created' ELSE 'updated' END AS result, count(*) AS n, round(sum(CASE WHEN o_orderkey % 10 < 3 THEN o_totalprice ELSE o_totalprice * 2 END), 2) AS price FROM orders GROUP BY 1"),
+    "P3_conflict_policy": (p3, f"SELECT 'table' AS part, o_orderkey AS _id, {', '.join(COLUMNS)} FROM orders UNION ALL SELECT 'conflict', o_orderkey, {', '.join(COLUMNS)} FROM orders WHERE o_orderkey % 10 BETWEEN 3 AND 7"),
+    "P4_client_reindex": (p4, f"SELECT o_orderkey AS _id, CASE WHEN o_orderkey % 10 BETWEEN 3 AND 7 THEN 2 ELSE 1 END::BIGINT AS _version, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 10 < 3 THEN o_totalprice ELSE o_totalprice * 2 END AS o_totalprice, o_orderdate, o_orderpriority, CASE WHEN o_orderkey % 10 < 3 THEN 'untouched' WHEN o_orderkey % 10 >= 8 THEN 'created' ELSE 'updated' END AS result FROM orders"),
+    "D1_row_transform": (d1, D1),
     "P5_delete_by_query": (p5, "SELECT count(CASE WHEN o_totalprice >= 100000 THEN 1 END) AS n_left, round(sum(CASE WHEN o_totalprice >= 100000 THEN o_totalprice END), 2) AS price, count(*) AS total, count(CASE WHEN o_totalprice < 100000 THEN 1 END) AS deleted FROM orders WHERE o_orderkey % 10 < 8"),
-    "P6_update_by_query": (p6, "SELECT CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END::BIGINT AS _version, CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE o_orderpriority END AS o_orderpriority, count(*) AS n, round(sum(CASE WHEN o_orderstatus = 'F' THEN 2 * o_totalprice ELSE o_totalprice END), 2) AS price FROM orders WHERE o_orderkey % 10 < 8 GROUP BY 1, 2"),
+    "P6_update_by_query": (p6, "SELECT o_orderkey AS _id, CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END::BIGINT AS _version, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 2 * o_totalprice ELSE o_totalprice END AS o_totalprice, o_orderdate, CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE o_orderpriority END AS o_orderpriority FROM orders WHERE o_orderkey % 10 < 8"),
     "P7_rebuild_decision": (p7, P7), "P9_publish": (p9, P9),
     "P10_rollover": (p10, "SELECT event_type, count(*) AS docs, sum(strlen(props))::BIGINT AS bytes, count(*) >= 2100 OR sum(strlen(props)) >= 1000000000 AS roll FROM events GROUP BY 1"),
     "P11_retention": (lambda s, d: M.retain(table(s, d, "events"), "ts", "2024-02-01 00:00:00", "7 days").select("event_id", "event_type"), "SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-25'"),

@@ -53,20 +53,18 @@ f AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY _id
 
 
 def w5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and versions by outcome of a hash-conditional upsert."""
-    out = writes.hash_upsert(target(spark, sf_dir), incoming(spark, sf_dir), "hash")
-    return out.groupBy("result", "_version").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("price"))
-
-
-W5 = f"""
-WITH {CTE},
-j AS (SELECT coalesce(t._id, l._id) AS _id,
-        CASE WHEN l._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' WHEN t.hash = l.hash THEN 'noop' ELSE 'updated' END AS result,
-        t.o_totalprice AS tp, l.o_totalprice AS lp FROM t FULL OUTER JOIN l ON t._id = l._id)
-SELECT result, CASE WHEN result = 'updated' THEN 2 ELSE 1 END::BIGINT AS _version, count(*) AS n,
-       round(sum(CASE WHEN result IN ('untouched', 'noop') THEN tp ELSE lp END), 2) AS price
-FROM j GROUP BY 1, 2
-"""
+    """Hash-conditional upsert: the whole table after it, with each row's outcome."""
+    return writes.hash_upsert(target(spark, sf_dir), incoming(spark, sf_dir), "hash")
+
+
+def hashed_sql(price: str, matched: str) -> str:
+    """The whole table after a hash-conditional upsert; `price` and `matched` are the price and outcome of an equal hash."""
+    columns = [f"CASE WHEN l._id IS NULL THEN t.{c} WHEN t.hash = l.hash THEN {price if c == 'o_totalprice' else f't.{c}'} ELSE l.{c} END AS {c}" for c in (*COLUMNS, "hash")]
+    result = f"CASE WHEN l._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' WHEN t.hash = l.hash THEN '{matched}' ELSE 'updated' END"
+    return f"WITH {CTE} SELECT coalesce(t._id, l._id) AS _id, {', '.join(columns)}, {result} AS result, CASE WHEN {result} = 'updated' THEN 2 ELSE 1 END::BIGINT AS _version FROM t FULL OUTER JOIN l ON t._id = l._id"
+
+
+W5 = hashed_sql("t.o_totalprice", "noop")
 
 
 DOCS = ", ".join(COLUMNS)
@@ -91,16 +89,15 @@ FROM t FULL OUTER JOIN l ON t._id = l._id
 
 
 def w2(spark, sf_dir):
-    """Create write: rows kept and conflicts."""
-    table_, conflicts = writes.create_write(target(spark, sf_dir), incoming(spark, sf_dir))
-    return summary(table_.select("o_totalprice", F.lit("table").alias("part")), "part").unionByName(summary(conflicts.select("o_totalprice", F.lit("conflict").alias("part")), "part"))
+    """Create write: every row of the table and every conflict."""
+    made, conflicts = writes.create_write(target(spark, sf_dir), incoming(spark, sf_dir))
+    return made.select("_id", *COLUMNS, F.lit("table").alias("part")).unionByName(conflicts.select("_id", *COLUMNS, F.lit("conflict").alias("part")))
 
 
 W2 = f"""
 WITH {CTE}, fresh AS (SELECT * FROM f WHERE _id NOT IN (SELECT _id FROM t))
-SELECT 'table' AS part, count(*) AS n, round(sum(o_totalprice), 2) AS price FROM (SELECT o_totalprice FROM t UNION ALL SELECT o_totalprice FROM fresh)
-UNION ALL
-SELECT 'conflict', count(*), round(sum(s.o_totalprice), 2) FROM s WHERE NOT EXISTS (SELECT 1 FROM fresh WHERE fresh._id = s._id AND fresh.seq = s.seq)
+SELECT 'table' AS part, _id, {DOCS} FROM t UNION ALL SELECT 'table', _id, {DOCS} FROM fresh
+UNION ALL SELECT 'conflict', _id, {DOCS} FROM s WHERE NOT EXISTS (SELECT 1 FROM fresh WHERE fresh._id = s._id AND fresh.seq = s.seq)
 """
 
 
@@ -108,15 +105,14 @@ def w3(spark, sf_dir):
     """Auto write: every fifth row has no id and is created under a generated one."""
     t = target(spark, sf_dir).withColumn("_id", F.col("_id").cast("string"))
     s = incoming(spark, sf_dir).withColumn("_id", F.when(F.col("_id") % 5 == 4, F.lit("  ")).otherwise(F.col("_id").cast("string")))
-    return writes.auto_write(t, s).groupBy("result", (F.length("_id") == 64).alias("generated")).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("price"))
+    return writes.auto_write(t, s).select(F.when(F.length("_id") == 64, "generated").otherwise(F.col("_id")).alias("_id"), "_version", *COLUMNS, "result")
 
 
 W3 = f"""
-WITH {CTE}, g AS (SELECT * FROM s WHERE _id % 5 = 4), k AS (SELECT * FROM l WHERE _id % 5 <> 4),
-j AS (SELECT CASE WHEN k._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result, false AS generated,
-        CASE WHEN k._id IS NULL THEN t.o_totalprice ELSE k.o_totalprice END AS p FROM t FULL OUTER JOIN k ON t._id = k._id
-      UNION ALL SELECT 'created', true, o_totalprice FROM g)
-SELECT result, generated, count(*) AS n, round(sum(p), 2) AS price FROM j GROUP BY 1, 2
+WITH {CTE}, g AS (SELECT * FROM s WHERE _id % 5 = 4), k AS (SELECT * FROM l WHERE _id % 5 <> 4)
+SELECT coalesce(t._id, k._id)::VARCHAR AS _id, CASE WHEN k._id IS NULL OR t._id IS NULL THEN 1 ELSE 2 END::BIGINT AS _version, {", ".join(f"CASE WHEN k._id IS NULL THEN t.{c} ELSE k.{c} END AS {c}" for c in COLUMNS)},
+  CASE WHEN k._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result FROM t FULL OUTER JOIN k ON t._id = k._id
+UNION ALL SELECT 'generated', 1, {DOCS}, 'created' FROM g
 """
 
 
@@ -162,16 +158,10 @@ FROM t FULL OUTER JOIN h ON t._id = h._id
 
 def w6(spark, sf_dir):
     """Hash match applies a small change: the price is stamped 0 and the version rises."""
-    out = writes.hash_upsert(target(spark, sf_dir), incoming(spark, sf_dir), "hash", on_match={"o_totalprice": F.lit(0.0)})
-    return summary(out, "result", "_version")
+    return writes.hash_upsert(target(spark, sf_dir), incoming(spark, sf_dir), "hash", on_match={"o_totalprice": F.lit(0.0)})
 
 
-W6 = f"""
-WITH {CTE},
-j AS (SELECT CASE WHEN l._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result,
-        CASE WHEN l._id IS NULL THEN t.o_totalprice WHEN t.hash = l.hash THEN 0.0 ELSE l.o_totalprice END AS p FROM t FULL OUTER JOIN l ON t._id = l._id)
-SELECT result, CASE WHEN result = 'updated' THEN 2 ELSE 1 END::BIGINT AS _version, count(*) AS n, round(sum(p), 2) AS price FROM j GROUP BY 1, 2
-"""
+W6 = hashed_sql("0.0", "updated")
 
 
 def w7(spark, sf_dir):
@@ -265,7 +255,7 @@ def w13(spark, sf_dir):
 
 
 W13 = """
-WITH r AS (SELECT doc_id, ['index', 'create', 'update', 'delete'][doc_id % 4 + 1] AS action, '{"lang":"' || lang || '","source":"' || source || '","n_chars":' || n_chars || '}' AS body FROM documents)
+WITH r AS (SELECT doc_id, ['index', 'create', 'update', 'delete'][doc_id % 4 + 1] AS action, '{"lang":"' || lang || '","source":"' || source || '","n_chars":' || n_chars || ',"text":' || to_json(text)::VARCHAR || '}' AS body FROM documents)
 SELECT doc_id, 0::BIGINT AS line_no, '{"' || action || '":{"_index":"docs","_id":"' || doc_id || '"}}' AS line FROM r
 UNION ALL SELECT doc_id, 1, CASE WHEN action = 'update' THEN '{"doc":' || body || ',"doc_as_upsert":true}' ELSE body END FROM r WHERE action <> 'delete'
 """
@@ -334,7 +324,55 @@ SELECT coalesce(t._id, l._id) AS _id, CASE WHEN t._id IS NULL OR l._id IS NULL T
 FROM t FULL OUTER JOIN l ON t._id = l._id
 """
 
+
+
+def d2(spark, sf_dir):
+    """The caller's own lookups, as columns: key, timestamp, hash and whether a row inserts when it is new."""
+    e = table(spark, sf_dir, "events")
+    sent = writes.looked_up(e, key=F.concat_ws("-", "event_type", "user_id"), ts=F.col("ts"), content=[F.col("value"), F.col("event_type")], insert=F.col("user_id") % 3 != 0, seq=F.col("event_id"))
+    stored = writes.looked_up(e.where("event_id % 2 = 0"), key=F.concat_ws("-", "event_type", "user_id"), ts=F.col("ts"), content=[F.col("value"), F.col("event_type")], seq=F.col("event_id"))
+    first = writes.first_per_id(stored).select("_id", F.lit(1).cast("long").alias("_version"), "_ts", "hash", "value")
+    return writes.hash_upsert(first, sent, "hash", insert="_insert").select("_id", "_version", F.date_format("_ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "value", "result")
+
+
+D2 = """
+WITH e AS (SELECT event_type || '-' || user_id AS _id, ts, value, event_type, event_id, user_id % 3 <> 0 AS ins FROM events),
+t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY _id ORDER BY event_id) AS rn FROM e WHERE event_id % 2 = 0) WHERE rn = 1),
+l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY _id ORDER BY event_id DESC) AS rn FROM e) WHERE rn = 1),
+j AS (SELECT coalesce(t._id, l._id) AS _id, t._id IS NOT NULL AS stored, l.ins, t.value IS NOT DISTINCT FROM l.value AS same, t.ts AS tt, l.ts AS lt, t.value AS tv, l.value AS lv FROM t FULL OUTER JOIN l ON t._id = l._id)
+SELECT _id, CASE WHEN stored AND NOT same THEN 2 ELSE 1 END::BIGINT AS _version, strftime(CASE WHEN stored AND same THEN tt ELSE lt END, '%Y-%m-%d %H:%M:%S') AS at, CASE WHEN stored AND same THEN tv ELSE lv END AS value,
+  CASE WHEN NOT stored THEN 'created' WHEN same THEN 'noop' ELSE 'updated' END AS result FROM j WHERE stored OR ins
+"""
+
+
+def d3(spark, sf_dir):
+    """An update script with parameters: on an equal hash the price is what was sent less a discount in whole units, and the priority is stamped."""
+    script = {"o_totalprice": F.floor(F.col("s.o_totalprice") * (1 - F.lit(0.25))).cast("double"), "o_orderpriority": F.concat(F.lit("seen-"), F.col("t.o_orderpriority"))}
+    return writes.hash_upsert(target(spark, sf_dir), incoming(spark, sf_dir), "hash", on_match=script).select("_id", "_version", "o_totalprice", "o_orderpriority", "result")
+
+
+D3 = f"""
+WITH {CTE} SELECT coalesce(t._id, l._id) AS _id, CASE WHEN t._id IS NULL OR l._id IS NULL THEN 1 ELSE 2 END::BIGINT AS _version,
+  CASE WHEN l._id IS NULL THEN t.o_totalprice WHEN t.hash = l.hash THEN floor(l.o_totalprice * 0.75::DOUBLE) ELSE l.o_totalprice END AS o_totalprice,
+  CASE WHEN l._id IS NULL THEN t.o_orderpriority WHEN t.hash = l.hash THEN 'seen-' || t.o_orderpriority ELSE l.o_orderpriority END AS o_orderpriority,
+  CASE WHEN l._id IS NULL THEN 'untouched' WHEN t._id IS NULL THEN 'created' ELSE 'updated' END AS result FROM t FULL OUTER JOIN l ON t._id = l._id
+"""
+
+
+def d6(spark, sf_dir):
+    """A body serialiser of the caller's: an update line whose document is a list of name and value, and its script line."""
+    p = table(spark, sf_dir, "part")
+    body = F.concat(F.lit('{"script":{"params":'), F.to_json(F.map_from_arrays(F.array(F.lit("name"), F.lit("size")), F.array(F.col("p_name"), F.col("p_size").cast("string")))), F.lit("}}"))
+    return export.action_lines(p, F.lit("index"), F.concat(F.lit("part-"), F.lower(F.col("p_brand"))), F.col("p_partkey").cast("string"), body, ["p_partkey"]).withColumn("line_no", F.col("line_no").cast("long"))
+
+
+D6 = """
+SELECT p_partkey, 0::BIGINT AS line_no, '{"index":{"_index":"part-' || lower(p_brand) || '","_id":"' || p_partkey || '"}}' AS line FROM part
+UNION ALL SELECT p_partkey, 1, '{"script":{"params":{"name":"' || p_name || '","size":"' || p_size || '"}}}' FROM part
+"""
+
 QUERIES = {
+    "D2_lookups": (d2, D2), "D3_update_script": (d3, D3), "D6_body_serialiser": (d6, D6),
     "W5_hash_upsert": (w5, W5), "W1_index_write": (w1, W1), "W1_bucketed_write": (w1_buckets, W1_BUCKETS), "W2_create_write": (w2, W2), "W3_auto_write": (w3, W3), "W4_partial_update": (w4, W4), "W4_partial_update_mask": (w4_mask, W4_MASK),
     "W6_hash_match_script": (w6, W6), "W7_delete": (w7, W7), "W8_action_log": (w8, W8), "W9_append": (w9, W9), "W10_fixed_target": (w10, W10), "W11_time_routed": (w11, W11), "W12_outcomes": (w12, W12),
     "W13_action_export": (w13, W13), "W14_custom_body": (w14, W14), "W15_trace_export": (w15, W15), "W16_multiplex": (w16, W16), "J4_upsert_join": (j4, J4),
