@@ -11,45 +11,55 @@ from keelson.llm.queries import DEMO_KEY
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """The input of a stage with a key for each row, written first: verdicts are by row, whatever ids repeat or are null."""
-    return work.pinned(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "keyed")
-
-
-def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of keyed `docs` whose key is not in `rejected`."""
-    return work.join_counted(docs, work.pinned(rejected, "rejected"), "row", "left_anti").select(*COLUMNS)
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents whose language can't be told (`und`)."""
-    model = langid.fit(docs.where(~work.held_out("doc_id", 4, 2)))
-    docs = keyed(docs)
-    verdicts = langid.identify(docs, model, id_col="row")
-    return without(docs, verdicts.where(verdicts["lang_pred"] == langid.UNDETERMINED).select(F.col("doc_id").alias("row")))
+    """Rejects rows whose language can't be told (`und`): null, empty and letterless texts.
+
+    Each row is judged by its own text, whatever its id, which may be null or repeated; very long texts are scored in
+    blocks.  Equal rows fare alike; other columns than those of documents are dropped; an empty table gives no rows.
+    """
+    docs = docs.select(*COLUMNS)
+    judged = langid.with_language(docs, langid.fit(docs.where(~work.held_out("doc_id", 4, 2))))
+    return judged.where(judged["lang_pred"] != langid.UNDETERMINED).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each group of near copies (5-word shingles, Jaccard 0.8 or more): the smallest id, nulls last."""
-    docs = keyed(docs)
-    return without(docs, copies.copies(docs))
+    """Keeps one row of each group of near copies (5-word shingles, Jaccard 0.8 or more).
+
+    The row with the smallest id stays, nulls last; of equal ids and of equal rows one.  Rows are told apart by a key
+    that is written first, so a shared id never drops another group's row.  Null, empty and blank texts are one group;
+    a text of under five words is one shingle; very long texts are taken whole.  An empty table gives no rows.
+    """
+    docs = work.pinned(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "keyed")
+    return work.flagged(docs, work.pinned(copies.copies(docs), "rejected"), "row", "_drop").where("NOT _drop").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
-    docs = keyed(docs)
-    verdicts = decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row")
-    return without(docs, verdicts.where("contaminated").select(F.col("doc_id").alias("row")))
+    """Drops rows whose text holds a benchmark item; the benchmark is `benchmark` of `sf_dir`.
+
+    Each row is judged by its own text, whatever its id; null and empty texts and, with an empty benchmark, all rows
+    stay.  Equal rows fare alike; very long texts are read window by window; an empty table gives no rows.
+    """
+    judged = decontam.with_contamination(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return judged.where("NOT contaminated").select(*COLUMNS)
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces private values by pseudonyms; n_chars follows the text."""
-    out = pii.pseudonymise(docs.select(*COLUMNS), DEMO_KEY).selectExpr("doc_id", "text", "lang", "source", "CASE WHEN size(private) > 0 THEN cast(length(text) AS bigint) ELSE n_chars END AS n_chars")
+    """Replaces private values by pseudonyms under the key in the setting `keelson.pii.key` (a demonstration key if unset).
+
+    n_chars follows a text that changed.  Every row stays; null texts stay null; equal values get equal pseudonyms in
+    all rows; ids and repeated rows don't matter; an empty table gives no rows.
+    """
+    key = spark.conf.get("keelson.pii.key", DEMO_KEY)
+    out = pii.pseudonymise(docs.select(*COLUMNS), key).selectExpr("doc_id", "text", "lang", "source", "CASE WHEN size(private) > 0 THEN cast(length(text) AS bigint) ELSE n_chars END AS n_chars")
     return out.select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 2048 ids, with the ids themselves."""
+    """Pieces of sequences of at most 2048 ids, with the ids themselves.
+
+    Every row is packed, repeated ones once each, under its id, which may be null; null and empty texts have the end id
+    only; a very long text is cut over sequences; an empty table gives no rows.
+    """
     return packing.pack_documents(docs, tokens.default_path(), end_id=1, window=2048)
 
 
