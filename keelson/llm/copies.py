@@ -1,10 +1,13 @@
-"""Near copies by the exact Jaccard similarity of word shingles: candidates by MinHash bands, then a verifying join.
-
-Texts with equal shingle sets are one class from the start and only one of them goes on.  A class has BANDS keys, each
-made of ROWS minima; two classes that share a key are a candidate pair.  First each key links its classes to one leader,
-another one in each key, so a large group of near copies costs as many pairs as it has keys; then all pairs that share a
-key and are in different components still are verified, so no candidate is left out.  A pair at similarity s is missed
-with chance (1 - s**ROWS)**BANDS: 6 in 100,000 at 0.8, 3 in 10 million at 0.85.
+"""Near copies by the exact Jaccard similarity of word shingles: candidates by SimHash and MinHash, then a verifying join.
+
+Texts with equal shingle sets are one class from the start and only one of them goes on.  Operator 9 proposes the pairs
+whose SimHash fingerprints lie within its radius, which holds near-identical texts.  At similarity 0.8 fingerprints lie
+10 of 64 bits apart on average, with a deviation of 3; a radius that reaches them prunes nothing, so MinHash bands propose
+the rest: a class has BANDS keys, each made of ROWS minima, and two classes that share a key are a candidate pair.  First
+each key links its classes to one leader, another one in each key, so a large group of near copies costs as many pairs as
+it has keys; then all pairs that share a key and are in different components still are verified, so no candidate is left
+out.  A pair at similarity s is missed by the bands with chance (1 - s**ROWS)**BANDS: 6 in 100,000 at 0.8, 3 in 10 million
+at 0.85.  Every pair is verified on the exact sets, whoever proposed it.
 """
 
 from __future__ import annotations
@@ -20,8 +23,8 @@ from keelson.llm import simhash, work
 
 BANDS, ROWS = 32, 6
 _SEED = np.random.default_rng(42)
-_FACTORS = _SEED.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _SEED.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
+_FACTORS = _SEED.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_SHIFTS = _SEED.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
 
 
 def shingles(text: str | None, size: int = 5) -> np.ndarray:
@@ -41,11 +44,13 @@ def shingles(text: str | None, size: int = 5) -> np.ndarray:
 
 def band_keys(hashes: np.ndarray) -> np.ndarray:
     """BANDS keys of a set."""
-    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
-    for at in range(0, len(hashes), 2048):  # a very long text a piece at a time
-        h = hashes[at : at + 2048, None] * _FACTORS + _SHIFTS
-        h ^= h >> np.uint64(32)
-        np.minimum(least, (h * np.uint64(0x9E3779B97F4A7C15)).min(axis=0), out=least)
+    least = np.full(BANDS * ROWS, 2**32 - 1, np.uint32)
+    halves = (hashes >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(halves), 1024):  # a very long text a piece at a time
+        h = halves[at : at + 1024, None] * _FACTORS
+        h += _SHIFTS
+        np.minimum(least, h.min(axis=0), out=least)
+    least = least.astype(np.uint64)
     keys = np.arange(1, BANDS + 1, dtype=np.uint64)
     for column in least.reshape(BANDS, ROWS).T:
         keys = (keys ^ column) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -54,21 +59,22 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """row, doc_id, digest (of the shingle set) and keys of every row."""
+    """row, doc_id, digest (of the shingle set), fp (its SimHash) and keys of every row."""
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, keys = [], []
+            digests, prints, keys = [], [], []
             for text in batch.column(2).to_pylist():
                 hashes = shingles(text, size)
                 digests.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+                prints.append(simhash.signed(simhash.majority(hashes)))
                 keys.append(band_keys(hashes))
             flat = pa.array(np.concatenate(keys)) if keys else pa.array([], pa.int64())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS), pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), lists], names=["row", "doc_id", "digest", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(prints, pa.int64()), lists], names=["row", "doc_id", "digest", "fp", "keys"])
 
-    return docs.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, digest binary, keys array<long>")
+    return docs.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, digest binary, fp long, keys array<long>")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, least: float, size: int) -> DataFrame:
@@ -92,12 +98,13 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float, size: int) -> Data
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
     named = work.pinned(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "candidates")
-    own = work.pinned(work.join_counted(docs.select("row", "text"), named, "row", "left_semi").mapInArrow(sets, "row long, hashes binary"), "shingle-sets")
+    texts = work.flagged(docs.select("row", "text"), named, "row", "_named").where("_named").select("row", "text")
+    own = work.pinned(texts.mapInArrow(sets, "row long, hashes binary"), "shingle-sets")
     joined = pairs.join(own.select(F.col("row").alias("a"), F.col("hashes").alias("x")), "a").join(own.select(F.col("row").alias("b"), F.col("hashes").alias("y")), "b")
     return joined.select("a", "b", "x", "y").mapInArrow(judge, "a long, b long")
 
 
-def copies(docs: DataFrame, least: float = 0.8, size: int = 5) -> DataFrame:
+def copies(docs: DataFrame, least: float = 0.8, size: int = 5, radius: int = 3) -> DataFrame:
     """The rows (column row) to drop so that one row of each component of similar texts stays.
 
     `docs` has row (unique, not null), doc_id and text, and is read several times: it should be pinned.  The row with
@@ -107,12 +114,16 @@ def copies(docs: DataFrame, least: float = 0.8, size: int = 5) -> DataFrame:
     docs = docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = work.pinned(signatures(docs, size), "signatures")
     classes = work.pinned(signed.groupBy("digest").agg(F.min("row").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")).select("rep", "first"), "classes")
-    reps = classes.select(F.col("rep").alias("row"))
-    members = signed.join(reps, "row", "left_semi").select("row", F.explode("keys").alias("key"))
+    own = work.pinned(signed.join(classes.select(F.col("rep").alias("row")), "row", "left_semi").select("row", "fp", "keys"), "class-keys")
+    prints = work.pinned(own.groupBy("fp").agg(F.min("row").alias("at")), "class-prints")
+    near = simhash.links(prints.select("fp"), radius).join(prints.select(F.col("fp").alias("a"), F.col("at").alias("x")), "a").join(prints.select(F.col("fp").alias("b"), F.col("at").alias("y")), "b").select("x", "y")
+    near = near.unionByName(own.join(prints, "fp").select(F.col("row").alias("x"), F.col("at").alias("y")))
+    members = own.select("row", F.explode("keys").alias("key"))
     leaders = members.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("key", "row").alias("h"), "row")).alias("l")).where("n > 1").select("key", F.col("l.row").alias("leader"))
     leaders = work.pinned(leaders, "leaders")
     shared = work.pinned(work.join_counted(members, leaders, "key", "inner"), "shared-keys")
-    star = work.pinned(shared.where("row <> leader").select(F.least("row", "leader").alias("a"), F.greatest("row", "leader").alias("b")).distinct(), "star-pairs")
+    near = near.unionByName(shared.select(F.col("row").alias("x"), F.col("leader").alias("y")))
+    star = work.pinned(near.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "star-pairs")
     edges = work.pinned(verified(star, docs, least, size), "star-edges")
     roots = work.pinned(simhash.components(edges), "star-roots")
     labelled = work.join_counted(shared.select("key", "row"), roots.withColumnRenamed("node", "row"), "row", "left").select("key", "row", F.coalesce("root", "row").alias("root"))

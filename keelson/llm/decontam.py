@@ -6,8 +6,9 @@ in a multi-index over the items' fingerprints: 8 blocks of 8 bits, one of which
 so every fingerprint within the radius is found.  What is within the radius is verified by the exact weighted Jaccard
 similarity of the shingles (weight: how often a shingle occurs).
 
-The benchmark is a stated query set.  It is broadcast in blocks whose size is checked; a larger benchmark takes more
-passes over the documents.  Documents are not shuffled.
+The benchmark is a stated query set.  It is broadcast in blocks whose size is checked; a larger benchmark takes a pass
+over the documents for each block, and what one pass found is written beside the texts for the next.  Documents are not
+shuffled.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ from keelson.llm import work
 
 #: Items and characters of one broadcast block of the benchmark.
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 20_000_000
+#: What a verdict adds to a row.
+FOUND = ("contaminated", "item_ids", "similarity", "start_word")
+FOUND_DDL = "contaminated boolean, item_ids array<long>, similarity double, start_word long"
 _words = re.compile(r"\w+").findall
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
@@ -159,36 +163,53 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, shi
 
     Null and empty documents, and an empty benchmark, give contaminated = false, no items and similarity 0.  Items
     without a word or an id are left out; items shorter than a shingle are one shingle.  Repeated rows are judged
-    alike; other columns are ignored.  Ties go to the lowest item id.
+    alike; other columns are ignored.  Ties go to the lowest item id.  A very long document is read window by window.
     """
-    work.prepare(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _judged(rows, benchmark, ["doc_id"], "text", least, shingle, radius)
+
+
+def with_contamination(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, shingle: int = 5, radius: int = 20, text_col: str = "text") -> DataFrame:
+    """Every row of `docs` as it is, with the verdict's columns beside it (columns of these names are replaced)."""
+    rest = [c for c in docs.columns if c not in FOUND]
+    return _judged(docs.select(*rest), benchmark, rest, text_col, least, shingle, radius)
+
+
+def _judged(rows: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str, least: float, shingle: int, radius: int) -> DataFrame:
+    """The columns `keep` with what was found.  Each block of the benchmark is a pass in which every row carries what
+    the blocks before it found, so a row is judged by itself however many blocks there are."""
+    spark = rows.sparkSession
+    work.prepare(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).where("item_id IS NOT NULL")
     size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    one = size["n"] <= BLOCK_ITEMS and size["chars"] <= BLOCK_CHARS
+    blocks = iter([[tuple(r) for r in items.collect()]]) if one else cut(items)
 
-    def passed(block: list[tuple[int, str | None]], own: DataFrame) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(Items(block, shingle, radius))
+    def passed(own: DataFrame, block: list[tuple[int, str | None]], out: list[str]) -> DataFrame:
+        shared = spark.sparkContext.broadcast(Items(block, shingle, radius))
+        order = [*(c for c in own.columns if c not in FOUND), *(c for c in own.columns if c in FOUND)]
+        at, earlier, places = order.index(text_col), FOUND[0] in order, [order.index(c) for c in out]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = [shared.value.match(t, least) for t in batch.column(1).to_pylist()]
-                top = [max(f, key=lambda x: (x[1], -x[0])) if f else (0, 0.0, None) for f in found]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([bool(f) for f in found], pa.bool_()), pa.array([[x[0] for x in f] for f in found], pa.list_(pa.int64())), pa.array([t[1] for t in top], pa.float64()), pa.array([t[2] for t in top], pa.int64())], names=["doc_id", "contaminated", "item_ids", "similarity", "start_word"])
-
-        return own.select("doc_id", "text").mapInArrow(run, "doc_id long, contaminated boolean, item_ids array<long>, similarity double, start_word long")
-
-    if size["n"] <= BLOCK_ITEMS and size["chars"] <= BLOCK_CHARS:
-        return passed([tuple(r) for r in items.collect()], rows)
-    # each pass judges rows by a key written before, so ids may repeat or be null; a pass sees the key in place of the id
-    keyed = work.pinned(rows.withColumn("row", F.monotonically_increasing_id()), "keyed")
-    hits = None
-    for number, block in enumerate(cut(items)):
-        part = passed(block, keyed.select(F.col("row").alias("doc_id"), "text")).where("contaminated").withColumn("block", F.lit(number))
-        hits = part if hits is None else hits.unionByName(part)
-    # blocks are in the order of the items, so the first block with the best similarity has the lowest item
-    best = F.struct((-F.col("similarity")).alias("s"), "block", "start_word")
-    hits = hits.groupBy(F.col("doc_id").alias("row")).agg(F.array_sort(F.flatten(F.collect_list("item_ids"))).alias("item_ids"), F.min(best).alias("top"))
-    return keyed.select("row", "doc_id").join(hits, "row", "left").select("doc_id", F.col("item_ids").isNotNull().alias("contaminated"), F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"), F.coalesce(-F.col("top.s"), F.lit(0.0)).alias("similarity"), F.col("top.start_word").alias("start_word"))
+                found = [shared.value.match(t, least) for t in batch.column(at).to_pylist()]
+                ids = [[x[0] for x in f] for f in found]
+                top = [max(f, key=lambda x: (x[1], -x[0]))[1:] if f else (0.0, None) for f in found]
+                if earlier:  # blocks are in the order of the items, so of equal similarities the earlier one stays
+                    before = [batch.column(order.index(c)).to_pylist() for c in FOUND[1:]]
+                    ids = [a + b for a, b in zip(before[0], ids, strict=True)]
+                    top = [(s, w) if s >= t[0] else t for s, w, t in zip(before[1], before[2], top, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in places), pa.array(list(map(bool, ids)), pa.bool_()), pa.array(ids, pa.list_(pa.int64())), pa.array([t[0] for t in top], pa.float64()), pa.array([t[1] for t in top], pa.int64())], names=[*out, *FOUND])
+
+        return own.select(*order).mapInArrow(run, work.carried(own, out, FOUND_DDL))
+
+    if one:
+        return passed(rows, next(blocks), keep)
+    both = [*keep, *([] if text_col in keep else [text_col])]
+    rows = rows.select(*both)
+    for block in blocks:
+        rows = work.pinned(passed(rows, block, both), "decontaminated")
+    return rows.select(*keep, *FOUND)
 
 
 def cut(items: DataFrame) -> Iterator[list[tuple[int, str | None]]]:

@@ -97,14 +97,26 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
 
     Null text, or text without a letter, gives `und` with score 0; ties go to the first language by name.
     """
-    work.prepare(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return _predicted(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), model, ["doc_id"])
+
+
+def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """Every row of `docs` as it is, with lang_pred and score beside it (columns of these names are replaced)."""
+    rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    return _predicted(docs.select(*rest), model, rest, text_col)
+
+
+def _predicted(rows: DataFrame, model: LanguageModel, keep: list[str], text_col: str = "text") -> DataFrame:
+    work.prepare(rows.sparkSession)
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    order = [*keep, *([] if text_col in keep else [text_col])]
+    at, names = order.index(text_col), [*keep, "lang_pred", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            texts = batch.column(at).to_pylist()
             for a, b in work.slices(texts):
                 lang, score = shared.value.predict(texts[a:b])
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(lang), pa.array(score)], names=["doc_id", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(len(keep))), pa.array(lang), pa.array(score)], names=names)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return rows.select(*order).mapInArrow(run, work.carried(rows, keep, "lang_pred string, score double"))

@@ -111,9 +111,8 @@ def judge(
     Repeated rows are judged alike; other columns are ignored; an empty table gives no rows.
     """
     work.prepare(docs.sparkSession)
-    ids = trusted.select(F.col(trusted.columns[0]).cast("long").alias("doc_id"), F.lit(True).alias("trusted")).where("doc_id is not null").distinct()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = work.join_counted(rows, ids, "doc_id", "left").select("doc_id", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    rows = work.flagged(rows, trusted, "doc_id", "trusted")  # texts stay where they are
     target, raw = gram_counts(rows, "trusted", orders, bits)
     if not target.sum():
         target = raw

@@ -31,6 +31,14 @@ CAP = 2048
 CHUNK = 20_000
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 65536):  # a very long text a piece at a time
+        counts += np.unpackbits(hashes[at : at + 65536].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def fingerprint(text: str | None, size: int = 3) -> int:
     """Majority bits of the XXH64 (seed 42) hashes of the text's word shingles, repeats included; 0 without a word."""
     import xxhash
@@ -43,12 +51,8 @@ def fingerprint(text: str | None, size: int = 3) -> int:
     data, digest = b" ".join(words), xxhash.xxh64_intdigest
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    counts, n = np.zeros(64, np.int64), len(words) - size + 1
-    a, b = starts[:n].tolist(), ends[size - 1 :].tolist()
-    for at in range(0, n, 65536):  # a very long text a piece at a time
-        h = np.array([digest(data[i:j], 42) for i, j in zip(a[at : at + 65536], b[at : at + 65536], strict=True)], "<u8")
-        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+    n = len(words) - size + 1
+    return majority(np.fromiter((digest(data[i:j], 42) for i, j in zip(starts[:n].tolist(), ends[size - 1 :].tolist(), strict=True)), np.uint64, n))
 
 
 def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

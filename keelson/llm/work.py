@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from keelson.session import ship
 
@@ -15,6 +16,8 @@ from keelson.session import ship
 ARROW_ROWS = 1000
 #: A side of a join is broadcast only if it has been counted and has at most this many rows.
 BROADCAST_ROWS = 1_000_000
+#: A set of ids is broadcast as bitmaps of 32,768 ids and 4 KB each if it has at most this many (256 MB; 2 billion dense ids).
+BROADCAST_BITMAPS = 65_536
 
 _own_dirs: dict[str, str] = {}
 
@@ -62,11 +65,40 @@ def join_counted(big: DataFrame, small: DataFrame, on: str, how: str, most: int
     return big.join(small, on, how)
 
 
+def flagged(big: DataFrame, ids: DataFrame, on: str, name: str) -> DataFrame:
+    """`big` with a boolean column `name`: whether its long column `on` is in the one column of `ids` (null: false).
+
+    The rows of `big`, which may hold texts, stay where they are: few ids are broadcast as they are, more as bitmaps by
+    range of ids, which for dense ids take a bit each.  Only ids that are too many for both go through a shuffle join.
+    `ids` should be pinned or cheap: it is counted.  All three ways give the same rows.
+    """
+    ids = ids.select(F.col(ids.columns[0]).cast("long").alias("_id")).where("_id IS NOT NULL")
+    if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        hits = F.broadcast(ids.distinct())
+    else:
+        maps = ids.groupBy(F.expr("bitmap_bucket_number(_id)").alias("_bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_id))").alias("_bits"))
+        maps = pinned(maps, "id-bitmaps")
+        if maps.count() <= BROADCAST_BITMAPS:
+            joined = big.withColumn("_bucket", F.expr(f"bitmap_bucket_number(`{on}`)")).join(F.broadcast(maps), "_bucket", "left")
+            place = F.expr(f"bitmap_bit_position(`{on}`)")
+            byte = F.conv(F.hex(F.substring("_bits", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+            bit = F.expr("1L").bitwiseAND(F.call_function("shiftright", byte, place.bitwiseAND(F.lit(7).cast("long")).cast("int")))
+            return joined.withColumn(name, F.coalesce(bit == 1, F.lit(False))).select(*[F.col(f"`{c}`") for c in big.columns], name)
+        hits = ids.distinct()
+    hits = hits.withColumn("_hit", F.lit(True))
+    return big.join(hits, big[on] == hits["_id"], "left").select(*[big[f"`{c}`"] for c in big.columns], F.coalesce("_hit", F.lit(False)).alias(name))
+
+
 def held_out(id_col: str, folds: int, fold: int):
     """True where crc32 of the id's decimal text falls in the held-out fold; a null id is held out."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(True))
 
 
+def carried(rows: DataFrame, keep: list[str], added: str) -> StructType:
+    """The schema of the columns `keep` of `rows`, followed by those of the DDL `added`."""
+    return StructType([StructField(c, rows.schema[c].dataType) for c in keep] + StructType.fromDDL(added).fields)
+
+
 def slices(texts: list, most_chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Cut a list of texts into runs of bounded size (a longer text is a run of its own)."""
     at, total = 0, 0
