@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keelson.llm import work
+
 
 def turn_digest(salt: int) -> Column:
     """A hash of place, role and text in which null differs from every value."""
@@ -38,9 +40,17 @@ def maximal(marked: DataFrame) -> DataFrame:
     return whole.join(proper, digest, "left_anti").select("conv_id", F.col("pos").cast("long").alias("n_turns"), "n_copies")
 
 
+def escaped(c: Column) -> Column:
+    """A text that can't be taken for a marker: <| becomes <\\|, and <\\ becomes <\\\\ so that no two texts become one."""
+    return F.replace(F.replace(c, F.lit("<\\"), F.lit("<\\\\")), F.lit("<|"), F.lit("<\\|"))
+
+
 def render(marked: DataFrame, chosen: DataFrame) -> DataFrame:
-    """conv_id, n_turns, n_copies, rendered: every turn as <|role|>, a line break, its text, <|end|> and a line break."""
-    kept = marked.select("conv_id", "pos", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).join(chosen, "conv_id")
+    """conv_id, n_turns, n_copies, rendered: every turn as <|role|>, a line break, its text, <|end|> and a line break.
+
+    Roles and texts are escaped, so what a user wrote never reads as a turn.  A rendered conversation is one value.
+    """
+    kept = marked.select("conv_id", "pos", escaped(F.coalesce("role", F.lit(""))).alias("role"), escaped(F.coalesce("text", F.lit(""))).alias("text")).join(chosen, "conv_id")
     turns = F.array_sort(F.collect_list(F.struct("pos", "role", "text")))
     out = kept.groupBy("conv_id", "n_turns", "n_copies").agg(turns.alias("turns"))
     each = F.transform("turns", lambda t: F.concat(F.lit("<|"), t["role"], F.lit("|>\n"), t["text"], F.lit("<|end|>\n")))
@@ -48,20 +58,25 @@ def render(marked: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def collapse(conversations: DataFrame) -> DataFrame:
-    """Maximal conversations, rendered.  Turns without a conv_id are left out; null roles and texts render as nothing
-    but are kept apart from empty ones when conversations are compared; repeated turns count; other columns are
-    ignored; an empty table gives no rows."""
-    marked = prefixes(conversations)
+    """Maximal conversations, rendered.
+
+    Turns without a conv_id are left out; null roles and texts render as nothing but are kept apart from empty ones when
+    conversations are compared; repeated turns count; equal turn numbers are ordered by role and text; other columns are
+    ignored; an empty table gives no rows.  Long texts are hashed where they lie and written once with their digests: the
+    anti-join reads the digests only, and the rendering the texts only.  All turns of one conversation pass through one
+    task, as its rendering is one value.
+    """
+    marked = work.pinned(prefixes(conversations), "turns")
     return render(marked, maximal(marked))
 
 
-ORACLE = """
+ORACLE = r"""
 WITH t AS (
   SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos
   FROM conversations WHERE conv_id IS NOT NULL),
 c AS (
   SELECT conv_id, count(*) AS n_turns, list({'r': role, 't': text} ORDER BY pos) AS turns,
-         string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10), '' ORDER BY pos) AS rendered
+         string_agg('<|' || replace(replace(coalesce(role, ''), '<\', '<\\'), '<|', '<\|') || '|>' || chr(10) || replace(replace(coalesce(text, ''), '<\', '<\\'), '<|', '<\|') || '<|end|>' || chr(10), '' ORDER BY pos) AS rendered
   FROM t GROUP BY conv_id),
 p AS (SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, n_turns)) AS k FROM c)),
 m AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS n_copies FROM c GROUP BY turns)

@@ -5,8 +5,8 @@ whose SimHash fingerprints lie within its radius, which holds near-identical tex
 10 of 64 bits apart on average, with a deviation of 3; a radius that reaches them prunes nothing, so MinHash bands propose
 the rest: a class has BANDS keys, each made of ROWS minima, and two classes that share a key are a candidate pair.  First
 each key links its classes to one leader, another one in each key, so a large group of near copies costs as many pairs as
-it has keys; then all pairs that share a key and are in different components still are verified, so no candidate is left
-out.  A pair at similarity s is missed by the bands with chance (1 - s**ROWS)**BANDS: 6 in 100,000 at 0.8, 3 in 10 million
+it has keys.  A key whose classes are in different components still is then compared in full inside tasks, in tiles of
+bounded size, and only links that join components leave a task, so no candidate is left out and no pairs are written.  A pair at similarity s is missed by the bands with chance (1 - s**ROWS)**BANDS: 6 in 100,000 at 0.8, 3 in 10 million
 at 0.85.  Every pair is verified on the exact sets, whoever proposed it.
 """
 
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from keelson.llm import simhash, work
 
 BANDS, ROWS = 32, 6
+#: Rows, and bytes of shingle hashes, of one of the two chunks of a key that meet in a task.
+CHUNK, CHUNK_BYTES = 1024, 8_000_000
 _SEED = np.random.default_rng(42)
 _FACTORS = _SEED.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _SHIFTS = _SEED.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
@@ -80,10 +82,6 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, least: float, size: int) -> DataFrame:
     """The pairs a, b of rows whose shingle sets have a Jaccard similarity of `least` or more."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t, size).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["row", "hashes"])
-
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -97,13 +95,76 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float, size: int) -> Data
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
-    named = work.pinned(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "candidates")
-    texts = work.flagged(docs.select("row", "text"), named, "row", "_named").where("_named").select("row", "text")
-    own = work.pinned(texts.mapInArrow(sets, "row long, hashes binary"), "shingle-sets")
+    own = shingle_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("row")), size)
     joined = pairs.join(own.select(F.col("row").alias("a"), F.col("hashes").alias("x")), "a").join(own.select(F.col("row").alias("b"), F.col("hashes").alias("y")), "b")
     return joined.select("a", "b", "x", "y").mapInArrow(judge, "a long, b long")
 
 
+def shingle_sets(docs: DataFrame, rows: DataFrame, size: int) -> DataFrame:
+    """row and hashes (its sorted shingle hashes, 8 bytes each) of the rows named in `rows`."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t, size).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["row", "hashes"])
+
+    named = work.pinned(rows.distinct(), "candidates")
+    texts = work.flagged(docs.select("row", "text"), named, "row", "_named").where("_named").select("row", "text")
+    return work.pinned(texts.mapInArrow(sets, "row long, hashes binary"), "shingle-sets")
+
+
+def joins(rows: list[int], root: np.ndarray, sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Links (pairs of rows) of similarity `least` or more that join every two classes of `root` which some such link joins."""
+    label = np.unique(root, return_inverse=True)[1]
+    lengths = np.array([len(s) for s in sets])
+    values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    starts, mark, out = np.cumsum(lengths) - lengths, np.zeros(len(values), bool), []
+    most = np.bincount(label).argmax()
+    for x in np.flatnonzero(label != most).tolist():  # two rows of the greatest class need no comparison
+        own = flat[starts[x] : starts[x] + lengths[x]]
+        mark[own] = True
+        both = np.add.reduceat(mark[flat], starts, dtype=np.int64)
+        mark[own] = False
+        for y in np.flatnonzero((both >= least * (lengths + lengths[x] - both)) & (label != label[x])).tolist():
+            if label[y] != label[x]:
+                out.append((rows[x], rows[y]))
+                label[label == label[y]] = label[x]
+    return out
+
+
+def compare(members: DataFrame, least: float, chunk: int, chunk_bytes: int) -> DataFrame:
+    """Links a, b of members (key, row, root, hashes) that share a key and differ in root, as far as they join roots.
+
+    A key with more than `chunk` rows or `chunk_bytes` of hashes is cut into chunks, and every two of its chunks meet in
+    one task.
+    """
+    size = members.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / chunk), F.ceil(F.sum(F.length("hashes")) / chunk_bytes)).cast("int").alias("c"))
+    rows = members.join(size, "key").withColumn("own", F.pmod(F.xxhash64("row"), F.col("c")).cast("int"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("other"))
+    on = ["key", "low", "high"]
+    rows = rows.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "row", "root", "hashes").repartition(*on).sortWithinPartitions(*on)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, held = None, []
+
+        def links() -> Iterator[pa.RecordBatch]:
+            root = np.array([h[1] for h in held])
+            found = joins([h[0] for h in held], root, [np.frombuffer(h[2], np.uint64) for h in held], least) if len(held) > 1 and (root != root[0]).any() else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for *now, row, root, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != tile:
+                    if held:
+                        yield from links()
+                    tile, held = now, []
+                held.append((row, root, hashes))
+        if held:
+            yield from links()
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def copies(docs: DataFrame, least: float = 0.8, size: int = 5, radius: int = 3) -> DataFrame:
     """The rows (column row) to drop so that one row of each component of similar texts stays.
 
@@ -129,10 +190,9 @@ def copies(docs: DataFrame, least: float = 0.8, size: int = 5, radius: int = 3)
     labelled = work.join_counted(shared.select("key", "row"), roots.withColumnRenamed("node", "row"), "row", "left").select("key", "row", F.coalesce("root", "row").alias("root"))
     labelled = work.pinned(labelled, "labelled")
     mixed = work.pinned(labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key"), "mixed-keys")
-    left = work.join_counted(labelled, mixed, "key", "left_semi")
-    pairs = left.select("key", F.col("row").alias("a"), F.col("root").alias("ra")).join(left.select("key", F.col("row").alias("b"), F.col("root").alias("rb")), "key").where("a < b AND ra <> rb").select("a", "b").distinct()
-    rest = work.pinned(pairs.join(star, ["a", "b"], "left_anti"), "rest-pairs")
-    found = simhash.components(work.pinned(edges.unionByName(verified(rest, docs, least, size)), "edges"))
+    left = work.pinned(work.join_counted(labelled, mixed, "key", "left_semi"), "unsettled")
+    members = left.join(shingle_sets(docs, left.select("row"), size), "row")
+    found = simhash.components(work.pinned(edges.unionByName(compare(members, least, CHUNK, CHUNK_BYTES)), "edges"))
     rooted = work.join_counted(classes, found.withColumnRenamed("node", "rep"), "rep", "left")
     kept = work.pinned(rooted.groupBy(F.coalesce("root", "rep").alias("root")).agg(F.min("first").alias("first")).select(F.col("first.row").alias("row")), "kept")
     return signed.select("row").join(kept, "row", "left_anti")

@@ -15,7 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+#: Possessive throughout: java.util.regex matches a repeated group by recursion otherwise, and a host of many labels ends the JVM.
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 SECRET = r"(?<![A-Za-z0-9])(?=[A-Fa-f]*[0-9])(?=[0-9]*[A-Fa-f])[0-9A-Fa-f]{32,64}(?![A-Za-z0-9])"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4 = rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])"
@@ -125,10 +126,20 @@ def phone(value: Column, key: str, inverse: bool) -> Column:
 
 
 def ssn(value: Column, key: str, inverse: bool) -> Column:
-    """Nine digits are permuted; the areas 000, 666 and 9xx, the group 00 and the serial 0000 are not valid and stay."""
+    """Valid numbers are permuted among themselves: areas 001 to 899 without 666, groups 01 to 99, serials 0001 to 9999.
+
+    Any other number stays.
+    """
+
+    def written(n: Column) -> Column:
+        area = F.floor(n / (99 * 9999)) + 1
+        parts = (area + F.when(area >= 666, 1).otherwise(0), F.pmod(F.floor(n / 9999), F.lit(99)) + 1, F.pmod(n, F.lit(9999)) + 1)
+        return F.concat_ws("-", *[F.lpad(part.cast("long").cast("string"), wide, "0") for part, wide in zip(parts, (3, 2, 4), strict=True)])
 
     def moved(digits: Column) -> Column:
-        changed = let(permuted_digits(digits, key, "ssn", inverse), lambda d: refill(value, d))
+        area, group, serial = (F.substring(digits, at, n).cast("long") for at, n in ((1, 3), (4, 2), (6, 4)))
+        number = ((area - F.when(area > 666, 2).otherwise(1)) * 99 + group - 1) * 9999 + serial - 1
+        changed = let(feistel(number, F.lit(898 * 99), F.lit(9999), key, "ssn", inverse), written)
         return F.when(digits.rlike("^(000|666|9)|^...00|0000$"), value).otherwise(changed)
 
     return let(digits_of(value), moved)
@@ -187,8 +198,10 @@ def replacement(kind: Column, value: Column, key: str, inverse: bool = False) ->
 def pseudonymise(docs: DataFrame, key: str, inverse: bool = False, text_col: str = "text") -> DataFrame:
     """`docs` with `text_col` rewritten and the column `private`: array of (kind, pseudonym) of what was replaced.
 
-    A column named `private` in the input is replaced.  Null texts stay null with an empty array; texts with nothing
-    private stay as they are; numbers and dates that fail validation stay.  Rows and other columns are kept as they are.
+    A column named `private` in the input is replaced.  Null texts stay null with an empty array; empty texts and texts
+    with nothing private stay as they are; numbers and dates that fail validation stay.  Rows, repeated ones too, and
+    other columns are kept as they are; an empty table stays empty.  No pattern recurses or backtracks over a repeated
+    group, so a text of any length passes.
     """
     text = F.col(text_col)
     may = text.rlike("[0-9@]")
