@@ -97,8 +97,18 @@ def path_hierarchy(c: Column, delimiter: str = "/", replacement: str | None = No
 
 
 def url_email(c: Column) -> Column:
-    """URLs and e-mail addresses stay whole."""
-    return F.regexp_extract_all(c, F.lit(r"https?://[^\s<>\"]+|[\w.+-]+@[\w-]+(?:\.[\w-]+)+|[\p{L}\p{N}_]+"), F.lit(0))
+    """URLs and e-mail addresses stay whole.
+
+    The patterns are possessive, so that a host of many labels needs no recursion, and addresses are looked for only in
+    blank-separated pieces with an @, as no token has a blank.
+    """
+    url, email, word = r"https?://[^\s<>\"]++", r"[\w.+-]++@[\w-]++(?:\.[\w-]++)++", r"[\p{L}\p{N}_]++"
+
+    def found(text: Column, *alternatives: str) -> Column:
+        return F.regexp_extract_all(text, F.lit("|".join(alternatives)), F.lit(0))
+
+    pieces = F.transform(F.split(c, r"\s+"), lambda p: F.when(p.contains("@"), found(p, url, email, word)).otherwise(found(p, url, word)))
+    return F.when(c.contains("@"), F.flatten(pieces)).otherwise(found(c, url, word))
 
 
 def tokens(df: DataFrame, id_col: str, array: Column) -> DataFrame:
