@@ -80,10 +80,19 @@ def flattened(json: Column, key: str) -> Column:
 
 
 def flattened_keys(json: Column, depth_limit: int = 1) -> Column:
-    """Keys of the first level of a JSON object; objects below count as one value."""
-    if depth_limit != 1:
-        raise ValueError("one level is kept")
-    return F.map_keys(F.from_json(json, "map<string,string>"))
+    """Keys of a JSON object down to `depth_limit` levels, joined by dots; objects below that count as one value."""
+    if depth_limit < 1:
+        raise ValueError("at least one level")
+    fields = F.map_entries(F.from_json(json, "map<string,string>"))
+    if depth_limit == 1:
+        return F.transform(fields, lambda e: e["key"])
+
+    def below(e: Column) -> Column:
+        inner = flattened_keys(e["value"], depth_limit - 1)
+        has = e["value"].startswith("{") & (F.size(inner) > 0)
+        return F.when(has, F.transform(inner, lambda k: F.concat(e["key"], F.lit("."), k))).otherwise(F.array(e["key"]))
+
+    return F.flatten(F.transform(fields, below))
 
 
 def within(value: Column, low: Column, high: Column) -> Column:

@@ -7,24 +7,42 @@ are tables; small ones are broadcast by Spark from their size.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Callable
+from dataclasses import dataclass
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # ---- character filters ----------------------------------------------------------------------------------------------
 
-#: Entities that html_strip decodes; &amp; last, so that an escaped entity stays text.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+#: Named entities: HTML's Latin-1, symbol and special names, a blank for &nbsp; and an apostrophe for &apos;.
+ENTITIES = {name: chr(point) for name, point in name2codepoint.items()} | {"nbsp": " ", "apos": "'"}
+ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
 
 
-def html_strip(c: Column) -> Column:
-    """Scripts, styles, comments and tags become blanks, then entities are decoded."""
+def entity(c: Column) -> Column:
+    """The character of one entity; an unknown name, or a number that is no character, stays as it is."""
+    body = F.substring(c, F.lit(2), F.length(c) - 2)
+    hexadecimal = body.rlike("^#[xX]")
+    digits = F.when(hexadecimal, F.substring(body, 3, 6)).otherwise(F.conv(F.substring(body, 2, 7), 10, 16))
+    point = F.conv(digits, 16, 10).cast("long")
+    valid = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
+    number = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
+    names = F.map_from_arrays(F.array(*map(F.lit, ENTITIES)), F.array(*map(F.lit, ENTITIES.values())))
+    return F.coalesce(F.when(body.startswith("#"), number).otherwise(F.try_element_at(names, body)), c)
+
+
+def html_strip(c: Column, escaped_tags: tuple[str, ...] = ()) -> Column:
+    """Scripts, styles, comments and tags become blanks, tags named in `escaped_tags` stay, then entities are decoded once."""
     c = F.regexp_replace(c, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", " ")
-    c = F.regexp_replace(c, r"<[^>]*>", " ")
-    for name, value in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(value))
-    return c
+    spared = rf"(?!/?(?:{'|'.join(map(re.escape, escaped_tags))})\b)" if escaped_tags else ""
+    c = F.regexp_replace(c, f"(?i)<{spared}[^>]*>", " ")
+    decoded = F.transform(F.regexp_extract_all(c, F.lit(ENTITY), F.lit(0)), entity)
+    joined = F.zip_with(F.split(c, ENTITY, -1), F.concat(decoded, F.array(F.lit(""))), lambda text, value: F.concat(text, value))
+    return F.when(c.contains("&"), F.array_join(joined, "")).otherwise(c)
 
 
 def mapping(c: Column, pairs: dict[str, str]) -> Column:
@@ -70,8 +88,6 @@ def pattern(c: Column, regex: str, group: int = -1) -> Column:
 
 
 def char_group(c: Column, characters: str) -> Column:
-    import re
-
     return _non_empty(F.split(c, "[" + re.escape(characters) + "]"))
 
 
@@ -124,13 +140,27 @@ def each(table: DataFrame, fn: Callable[[Column], Column]) -> DataFrame:
     return table.withColumn("token", fn(F.col("token"))).where("token IS NOT NULL AND token <> ''")
 
 
-#: Accented letters and what they fold to: fixed values.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-FOLDED = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+#: Letters that don't decompose, and what they fold to: fixed values.
+SINGLE = dict(zip("ØøĐđĦħıŁłŊŋŦŧƀƁƆƇƈƉƊƏƐƑƒƗƘƙƝƠơƤƥƫƬƭƮƯưƲƳƴƵƶ", "OoDdHhiLlNnTtbBOCcDDEEFfIKkNOoPptTtTUuVYyZz", strict=True))
+DOUBLE = {"ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "TH", "ĳ": "ij", "Ĳ": "IJ", "ð": "d", "Ð": "D"}
+
+
+def _decomposed() -> dict[str, str]:
+    """Latin letters with marks, by Unicode's decomposition."""
+    letters = (chr(i) for i in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)))
+    bases = {c: "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)) for c in letters}
+    return {c: b for c, b in bases.items() if len(b) == 1 and b.isascii() and b.isalpha()}
+
+
+FOLDS = _decomposed() | SINGLE
+ACCENTED, FOLDED = "".join(FOLDS), "".join(FOLDS.values())
 
 
 def fold(c: Column) -> Column:
-    return F.replace(F.replace(F.translate(c, ACCENTED, FOLDED), F.lit("ß"), F.lit("ss")), F.lit("æ"), F.lit("ae"))
+    c = F.translate(c, ACCENTED, FOLDED)
+    for letter, two in DOUBLE.items():
+        c = F.replace(c, F.lit(letter), F.lit(two))
+    return c
 
 
 def asciifolding(table: DataFrame, preserve_original: bool = False) -> DataFrame:
@@ -216,10 +246,24 @@ def common_grams(table: DataFrame, words: DataFrame, separator: str = "_") -> Da
 
 def synonyms(table: DataFrame, rules: DataFrame, expand: bool = True) -> DataFrame:
     """rules (word, synonym): synonyms at the same position, or in place of the word if not `expand`."""
+    return synonym_graph(table, rules, expand).select("doc_id", "pos", "token").distinct()
+
+
+def synonym_graph(table: DataFrame, rules: DataFrame, expand: bool = True, longest: int | None = None) -> DataFrame:
+    """doc_id, pos, token, span: rules (word, synonym), of which both may have several words parted by single blanks.
+
+    A synonym stands where its words begin and spans as many positions as they do.  If not `expand`, every token that a
+    match covers goes.  `longest` is the most words of a rule (counted if not given).
+    """
     named = rules.select(F.col("word").alias("token"), F.col("synonym").alias("_s")).distinct()
+    most = longest or named.agg(F.max(F.size(F.split("token", " ")))).first()[0] or 1
+    plain = table.select("doc_id", "pos", "token")
+    grams = shingles(plain, 2, most, filler="\0") if most > 1 else plain.withColumn("size", F.lit(1))
+    found = grams.join(named, "token").select("doc_id", "pos", F.col("_s").alias("token"), F.col("size").alias("span"))
     if not expand:
-        return table.join(named, "token", "left").select("doc_id", "pos", F.coalesce("_s", "token").alias("token"))
-    return table.select("doc_id", "pos", "token").unionByName(table.join(named, "token").select("doc_id", "pos", F.col("_s").alias("token"))).distinct()
+        covered = found.select("doc_id", F.explode(F.sequence("pos", F.col("pos") + F.col("span") - 1)).alias("pos")).distinct()
+        plain = plain.join(covered, ["doc_id", "pos"], "left_anti")
+    return plain.withColumn("span", F.lit(1)).unionByName(found).distinct()
 
 
 def stem_override(table: DataFrame, rules: DataFrame) -> DataFrame:
@@ -241,16 +285,50 @@ def pattern_capture(table: DataFrame, patterns: list[str], preserve_original: bo
     return table.withColumn("token", F.explode(_non_empty(F.array_distinct(found))))
 
 
-def word_delimiter(table: DataFrame, preserve_original: bool = False, catenate_all: bool = False) -> DataFrame:
-    """Split at case changes, between letters and digits and at marks; optionally the parts joined, and the original."""
-    cut = F.regexp_replace("token", r"(?<=\p{Ll})(?=\p{Lu})|(?<=\p{L})(?=\p{N})|(?<=\p{N})(?=\p{L})", " ")
-    parts = _non_empty(F.split(cut, r"[^\p{L}\p{N}]+"))
-    out = parts
+def word_delimiter(
+    table: DataFrame,
+    preserve_original: bool = False,
+    catenate_all: bool = False,
+    catenate_words: bool = False,
+    catenate_numbers: bool = False,
+    generate_word_parts: bool = True,
+    generate_number_parts: bool = True,
+    split_on_case_change: bool = True,
+    split_on_numerics: bool = True,
+    stem_english_possessive: bool = True,
+    protected_words: tuple[str, ...] = (),
+) -> DataFrame:
+    """Split at marks and, if wanted, at case changes and between letters and digits; all at the token's position.
+
+    A part that begins with a digit is a number part.  Runs of word or number parts are joined by the catenate options.
+    Protected words stay whole.
+    """
+    token = F.col("token")
+    text = F.regexp_replace(token, "['’][sS]$", "") if stem_english_possessive else token
+    edges = [r"(?<=\p{Ll})(?=\p{Lu})"] * split_on_case_change + [r"(?<=\p{L})(?=\p{N})", r"(?<=\p{N})(?=\p{L})"] * split_on_numerics
+    parts = _non_empty(F.split(F.regexp_replace(text, "|".join(edges), " ") if edges else text, r"[^\p{L}\p{N}]+"))
+
+    def number(p: Column) -> Column:
+        return p.rlike(r"^\p{N}")
+
+    def runs(wanted: Column) -> Column:
+        """Two or more neighbouring parts of a kind, joined: parts of the other kind become the separator."""
+        marked = F.array_join(F.transform(parts, lambda p: F.when(number(p) == wanted, p).otherwise(F.lit("\1"))), "\2")
+        groups = F.filter(F.split(marked, "\2?\1\2?"), lambda g: g.contains("\2"))
+        return F.transform(groups, lambda g: F.replace(g, F.lit("\2"), F.lit("")))
+
+    out = F.filter(parts, lambda p: F.when(number(p), generate_number_parts).otherwise(generate_word_parts))
+    if catenate_words:
+        out = F.concat(out, runs(F.lit(False)))
+    if catenate_numbers:
+        out = F.concat(out, runs(F.lit(True)))
     if catenate_all:
         out = F.concat(out, F.array(F.array_join(parts, "")))
     if preserve_original:
         out = F.concat(F.array("token"), out)
-    return table.withColumn("token", F.explode(F.array_distinct(out)))
+    if protected_words:
+        out = F.when(token.isin(*protected_words), F.array("token")).otherwise(out)
+    return table.withColumn("token", F.explode(_non_empty(F.array_distinct(out))))
 
 
 def elision(table: DataFrame, articles: list[str]) -> DataFrame:
@@ -282,17 +360,34 @@ def fingerprint(table: DataFrame, separator: str = " ", max_output_size: int = 2
     return out.withColumn("fingerprint", F.when(F.length("fingerprint") <= max_output_size, F.col("fingerprint")))
 
 
-def min_hash(table: DataFrame, hashes: int = 16) -> DataFrame:
-    """doc_id, seed, value: the least hash of the document's tokens under each seed."""
+def min_hash(table: DataFrame, hashes: int = 16, digest: Callable[..., Column] = F.xxhash64) -> DataFrame:
+    """doc_id, seed, value: the least hash (`digest` of token and seed) of the document's tokens under each seed."""
     seeds = F.explode(F.array(*[F.lit(i) for i in range(hashes)])).alias("seed")
-    return table.select("doc_id", "token").distinct().select("doc_id", "token", seeds).groupBy("doc_id", "seed").agg(F.min(F.xxhash64("token", "seed")).alias("value"))
+    return table.select("doc_id", "token").distinct().select("doc_id", "token", seeds).groupBy("doc_id", "seed").agg(F.min(digest(F.col("token"), F.col("seed"))).alias("value"))
+
+
+#: Decimal digits of all scripts of the first plane, and their values, by Unicode's properties.
+DIGITS = {chr(i): str(unicodedata.decimal(chr(i))) for i in range(128, 0x10000) if unicodedata.category(chr(i)) == "Nd"}
+
+
+def decimal_digit(c: Column) -> Column:
+    return F.translate(c, "".join(DIGITS), "".join(DIGITS.values()))
+
+
+def apostrophe(c: Column) -> Column:
+    """The tail from an apostrophe on is cut."""
+    return F.regexp_replace(c, "['’].*$", "")
+
+
+def classic(c: Column) -> Column:
+    """The possessive 's goes, and so do the dots of acronyms."""
+    c = F.regexp_replace(c, "['’][sS]$", "")
+    return F.when(c.rlike(r"^\p{L}\.(?:\p{L}\.){1,100}\p{L}?$"), F.replace(c, F.lit("."), F.lit(""))).otherwise(c)
 
 
 def clean(table: DataFrame) -> DataFrame:
-    """decimal_digit, apostrophe and remove_duplicates: digits to ASCII, the tail after an apostrophe cut, repeats at a position dropped."""
-    arabic = "٠١٢٣٤٥٦٧٨٩०१२३४५६७८९"
-    out = each(table, lambda t: F.regexp_replace(F.translate(t, arabic, "01234567890123456789"), "['’].*$", ""))
-    return unique(out, same_position=True)
+    """decimal_digit, classic, apostrophe and remove_duplicates."""
+    return unique(each(table, lambda t: apostrophe(classic(decimal_digit(t)))), same_position=True)
 
 
 def normalise(c: Column) -> Column:
@@ -303,6 +398,24 @@ def normalise(c: Column) -> Column:
 # ---- analyzers ------------------------------------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Chain:
+    """A custom analyzer: character filters on the column, a tokenizer, and filters on the token table, in this order."""
+
+    tokenizer: Callable[[Column], Column]
+    char_filters: tuple[Callable[[Column], Column], ...] = ()
+    filters: tuple[Callable[[DataFrame], DataFrame], ...] = ()
+
+    def __call__(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        c = F.col(text_col)
+        for f in self.char_filters:
+            c = f(c)
+        table = tokens(df, id_col, self.tokenizer(c))
+        for f in self.filters:
+            table = table.transform(f)
+        return table
+
+
 def analyzer(name: str, words: DataFrame | None = None, regex: str = r"\W+") -> Callable[[DataFrame, str, str], DataFrame]:
     """Named chains: standard, simple, whitespace, stop, keyword, pattern, fingerprint (df, id column, text column)."""
 

@@ -37,12 +37,19 @@ def zip_outcomes(sent: DataFrame, outcomes: DataFrame) -> DataFrame:
     return sent.join(outcomes, ["batch_id", "pos"], "inner")
 
 
-def usage(turns: DataFrame, tokens: Column) -> DataFrame:
-    """conv_id, rounds, input_tokens, output_tokens, has_warnings (a round without an answer)."""
+def usage(turns: DataFrame, tokens: Column, where: Column | None = None, order: list[Column] | None = None, page: int = 0, size: int | None = None) -> DataFrame:
+    """conv_id, rounds, input_tokens, output_tokens, has_warnings (a round without an answer).
+
+    `where` filters conversations by these columns; with `order` and `size`, one page of them in a total order.
+    """
     t = turns.withColumn("_t", tokens)
     by = lambda r: F.coalesce(F.sum(F.when(F.col("role") == r, F.col("_t"))), F.lit(0)).cast("long")
     out = t.groupBy("conv_id").agg(F.sum((F.col("role") == "user").cast("long")).alias("rounds"), by("user").alias("input_tokens"), by("assistant").alias("output_tokens"), F.sum((F.col("role") == "assistant").cast("long")).alias("_a"))
-    return out.withColumn("has_warnings", F.col("_a") < F.col("rounds")).drop("_a")
+    out = out.withColumn("has_warnings", F.col("_a") < F.col("rounds")).drop("_a")
+    out = out.where(where) if where is not None else out
+    if size is None:
+        return out
+    return out.orderBy(*(order or [F.col("conv_id")])).offset(page * size).limit(size)
 
 
 def assemble(transactions: DataFrame, spans: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from keelson.session import ship
 
+#: Cells of a field's bounds in which many stored ranges are looked up.
+CELLS = 4096
 #: Queries of one broadcast block of a vector search.
 BLOCK_QUERIES = 4096
 
@@ -34,25 +36,33 @@ def version_key(version: Column) -> Column:
     return F.transform(F.split(version, r"\."), lambda p: F.coalesce(p.try_cast("int"), F.lit(0)))
 
 
+def number(c: Column, kind: str) -> Column:
+    """A column of numbers, dates or times as a double that keeps their order."""
+    return F.unix_micros(c.cast("timestamp")).cast("double") if kind in ("date", "timestamp", "timestamp_ntz") else c.cast("double")
+
+
 def range_match(rows: DataFrame, value: str, ranges: DataFrame, most: int = 10_000) -> DataFrame:
-    """Each row with every stored range (name, gte, lte; an open end is null) that holds its value.
+    """Each row with every stored range (name, gte, lte; an open end is null) that holds its value; null values are in none.
 
     The ranges are a stated set: up to `most` are broadcast; more are cut at their ends into disjoint cells first, so
-    that rows find theirs by an equi-join on the cell.
+    that rows find theirs by an equi-join on the cell.  Both give the same rows, for numbers, dates and times.
     """
-    inside = (F.col("gte").isNull() | (F.col(value) >= F.col("gte"))) & (F.col("lte").isNull() | (F.col(value) <= F.col("lte")))
+    inside = (F.col("gte").isNull() | (F.col(value) >= F.col("gte"))) & (F.col("lte").isNull() | (F.col(value) <= F.col("lte"))) & F.col(value).isNotNull()
     if ranges.limit(most + 1).count() <= most:
         return rows.join(F.broadcast(ranges), inside, "inner")
-    bounds = ranges.agg(F.min(F.least("gte", "lte")).alias("lo"), F.max(F.greatest("gte", "lte")).alias("hi")).first()
-    lo, width = bounds["lo"] or 0.0, max(1e-12, ((bounds["hi"] or 0.0) - (bounds["lo"] or 0.0)) / 4096)
+    low, high = (number(F.col(c), ranges.schema[c].dataType.simpleString()) for c in ("gte", "lte"))
+    bounds = ranges.agg(F.min(F.least(low, high)).alias("lo"), F.max(F.greatest(low, high)).alias("hi")).first()
+    lo = bounds["lo"] or 0.0
+    width = max(1e-12, ((bounds["hi"] or 0.0) - lo) / 4096)
 
     def cell(c: Column) -> Column:
         return F.greatest(F.lit(-1), F.least(F.lit(4096), F.floor((c - lo) / width))).cast("int")
 
-    first = F.when(F.col("gte").isNull(), -1).otherwise(cell(F.col("gte")))
-    last = F.when(F.col("lte").isNull(), 4096).otherwise(cell(F.col("lte")))
+    first = F.when(F.col("gte").isNull(), -1).otherwise(cell(low))
+    last = F.when(F.col("lte").isNull(), 4096).otherwise(cell(high))
     cells = ranges.where(first <= last).withColumn("_cell", F.explode(F.sequence(first, last)))
-    return rows.where(F.col(value).isNotNull()).withColumn("_cell", cell(F.col(value))).join(cells, "_cell").where(inside).drop("_cell")
+    own = cell(number(F.col(value), rows.schema[value].dataType.simpleString()))
+    return rows.where(F.col(value).isNotNull()).withColumn("_cell", own).join(cells, "_cell").where(inside).drop("_cell")
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -144,11 +154,25 @@ def complete(df: DataFrame, id_col: str, text_col: str, prefix: str, order: list
 def stored_queries(rows: DataFrame, queries: DataFrame, fields: list[str], most: int = 10_000) -> DataFrame:
     """Which stored predicates each row satisfies: queries are (query_id, field, lo, hi, value), null parts don't bind.
 
-    Rows are turned into (row, field) pairs for the fields that queries name, so each stored query meets rows by an
-    equi-join on its field; up to `most` queries are broadcast.
+    Rows are turned into (row, field) pairs for the fields that queries name.  Up to `most` queries are broadcast.  More
+    meet the pairs by an equi-join on field and value where they name a value, else on field and cell: each field's
+    bounds are cut into cells, and a query has a row for each cell that it touches.  Both ways give the same rows.
     """
     few = queries.limit(most + 1).count() <= most
     pairs = rows.withColumn("_f", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).try_cast("double").alias("num"), F.col(f).cast("string").alias("str")) for f in fields])))
     pairs = pairs.select("*", F.col("_f.field").alias("field"), F.col("_f.num").alias("_num"), F.col("_f.str").alias("_str")).drop("_f")
-    joined = pairs.join(F.broadcast(queries) if few else queries, "field")
-    return joined.where("(lo IS NULL OR _num >= lo) AND (hi IS NULL OR _num <= hi) AND (value IS NULL OR _str = value)").drop("_num", "_str")
+    holds = "(lo IS NULL OR _num >= lo) AND (hi IS NULL OR _num <= hi) AND (value IS NULL OR _str = value)"
+    if few:
+        return pairs.join(F.broadcast(queries), "field").where(holds).drop("_num", "_str")
+    spans = queries.where("value IS NULL").groupBy("field").agg(F.min(F.least("lo", "hi")).alias("_low"), F.greatest(F.max(F.greatest("lo", "hi")) - F.min(F.least("lo", "hi")), F.lit(1e-12)).alias("_wide"))
+    spans = F.broadcast(spans.where(F.col("field").isin(fields)))  # one row a field of the rows
+
+    def cell(c: Column) -> Column:
+        at = F.floor((c - F.col("_low")) / F.col("_wide") * CELLS)
+        return F.coalesce(F.greatest(F.lit(-1), F.least(F.lit(CELLS + 1), at)), F.lit(-1)).cast("int")
+
+    exact = pairs.join(queries.where("value IS NOT NULL"), (pairs["field"] == queries["field"]) & (pairs["_str"] == queries["value"])).drop(queries["field"])
+    first, last = F.when(F.col("lo").isNull(), -1).otherwise(cell(F.col("lo"))), F.when(F.col("hi").isNull(), CELLS + 1).otherwise(cell(F.col("hi")))
+    ranged = queries.where("value IS NULL").join(spans, "field").where(first <= last).withColumn("_cell", F.explode(F.sequence(first, last))).drop("_low", "_wide")
+    near = pairs.join(spans, "field").withColumn("_cell", cell(F.col("_num"))).drop("_low", "_wide").join(ranged, ["field", "_cell"]).drop("_cell")
+    return near.unionByName(exact.select(*near.columns)).where(holds).drop("_num", "_str")

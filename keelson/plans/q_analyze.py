@@ -49,17 +49,109 @@ def scalar(fn, sql):
 
 
 def a1(spark, d):
+    """Pages with entities of every kind after them; <em> and <p> tags are spared."""
     p = table(spark, d, "pages")
-    text = A.html_strip(F.col("html"))
+    n = F.col("page_id") % 500 + 161
+    more = F.concat(F.col("html"), F.lit("<em>x</em> &#"), n, F.lit("; &#x"), F.hex(n), F.lit("; &eacute;&euro; &nothing; &amp;lt; &#55296; &#0;"))
+    text = A.html_strip(more, ("em", "p"))
     return p.select("page_id", F.length(text).cast("long").alias("n_chars"), F.md5(text).alias("digest"))
 
 
 A1 = r"""
-WITH a AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g') AS h FROM pages),
-b AS (SELECT page_id, replace(replace(replace(replace(replace(replace(h, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&') AS h FROM a)
+WITH a AS (SELECT page_id, regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g') AS h FROM pages),
+k AS (SELECT page_id, regexp_replace(regexp_replace(h, '(?i)<(/?(?:em|p)\b[^>]*)>', chr(1) || '\1' || chr(2), 'g'), '<[^>]*>', ' ', 'g') AS h FROM a),
+r AS (SELECT page_id, replace(replace(h, chr(1), '<'), chr(2), '>') AS h FROM k),
+b AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(h, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&')
+  || '<em>x</em> ' || chr((page_id % 500 + 161)::INT) || ' ' || chr((page_id % 500 + 161)::INT) || ' é€ &nothing; &lt; &#55296; &#0;' AS h FROM r)
 SELECT page_id, length(h)::BIGINT AS n_chars, md5(h) AS digest FROM b
 """
 
+#: Letters of Polish, Czech, Turkish, Romanian, Baltic and Vietnamese words, and what they fold to.
+MARKED, UNMARKED = "ąčęğįłőşťůžḍṛ", "acegilostuzdr"
+
+
+def a15_extended(spark, d):
+    """Part names whose plain letters are first given marks; folding gives the names back."""
+    marked = A.tokens(table(spark, d, "part"), "p_partkey", A.standard(F.translate("p_name", UNMARKED, MARKED)))
+    return tally(A.each(marked, A.fold))
+
+
+def a25_phrases(spark, d):
+    """Synonyms of one and two words, in place of what they cover, with the positions that they span."""
+    rules = spark.createDataFrame([("red", "crimson"), ("small widget", "gadget"), ("small widget", "little thing"), ("blue ring", "sapphire")], "word string, synonym string")
+    return A.synonym_graph(ptok(spark, d), rules, expand=False).groupBy("token", "span").agg(F.count("*").alias("n"), F.sum("pos").cast("long").alias("positions"))
+
+
+A25_PHRASES = f"""
+WITH {PTOK}, v(a, b, s) AS (VALUES ('red', NULL, 'crimson'), ('small', 'widget', 'gadget'), ('small', 'widget', 'little thing'), ('blue', 'ring', 'sapphire')),
+m AS (SELECT x.doc_id, x.pos, s AS token, CASE WHEN b IS NULL THEN 1 ELSE 2 END AS span FROM ptok x JOIN v ON x.token = a LEFT JOIN ptok y ON y.doc_id = x.doc_id AND y.pos = x.pos + 1 WHERE b IS NULL OR y.token = b),
+k AS (SELECT doc_id, pos, token, 1 AS span FROM ptok WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.doc_id = ptok.doc_id AND ptok.pos BETWEEN m.pos AND m.pos + m.span - 1))
+SELECT token, span, count(*) AS n, sum(pos)::BIGINT AS positions FROM (SELECT * FROM k UNION ALL SELECT * FROM m) GROUP BY 1, 2
+"""
+
+
+def a29(spark, d):
+    """Compound tokens of parts under three sets of options."""
+    compound = F.concat(F.lit("Big"), F.initcap(F.split("p_name", " ")[0]), F.col("p_size").cast("string"), F.lit("x-"), F.pmod("p_partkey", F.lit(90)).cast("string"), F.lit(".07's"))
+    t = A.tokens(table(spark, d, "part"), "p_partkey", F.array(compound))
+    out = [A.word_delimiter(t), A.word_delimiter(t, preserve_original=True, catenate_all=True, split_on_case_change=False, stem_english_possessive=False), A.word_delimiter(t, generate_word_parts=False, generate_number_parts=False, catenate_words=True, catenate_numbers=True, split_on_numerics=True, protected_words=("BigRed7x-7.07's",))]
+    rows = [x.groupBy("token").agg(F.count("*").alias("n")).withColumn("options", F.lit(i)) for i, x in enumerate(out)]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+A29 = """
+WITH p AS (SELECT upper(left(string_split(p_name, ' ')[1], 1)) || substring(string_split(p_name, ' ')[1], 2) AS w, p_size::VARCHAR AS s, (p_partkey % 90)::VARCHAR AS k FROM part),
+t AS (SELECT 'Big' || w || s || 'x-' || k || '.07''s' AS o, w, s, k FROM p),
+x AS (
+  SELECT 0 AS options, list_distinct(['Big', w, s, 'x', k, '07']) AS l FROM t
+  UNION ALL SELECT 1, list_distinct([o, 'Big' || w, s, 'x', k, '07', 's', 'Big' || w || s || 'x' || k || '07s']) FROM t
+  UNION ALL SELECT 2, CASE WHEN o = 'BigRed7x-7.07''s' THEN [o] ELSE ['Big' || w, k || '07'] END FROM t)
+SELECT token, options, count(*) AS n FROM (SELECT unnest(l) AS token, options FROM x) GROUP BY 1, 2
+"""
+
+
+def a34(spark, d):
+    """Signatures by MD5, which SQL has too."""
+    return A.min_hash(tok(spark, d), 8, lambda token, seed: F.md5(F.concat_ws(":", seed.cast("string"), token)))
+
+
+def marked_places(array, changes, every=5):
+    """Words changed by their place modulo `every`."""
+
+    def one(t, i):
+        out = t
+        for place, change in changes.items():
+            out = F.when(i % every == place, change(t)).otherwise(out)
+        return out
+
+    return F.transform(array, one)
+
+
+def a35(spark, d):
+    """Words of documents with marks of each kind put on by position."""
+    w = marked_places(A.whitespace(F.col("text")), {0: lambda t: F.concat(t, F.lit("٣०")), 1: lambda t: F.concat(t, F.lit("'s")), 2: lambda t: F.concat(F.lit("u.s.a."), F.lit("")), 3: lambda t: F.concat(t, F.lit("’tail"))})
+    return tally(A.clean(A.tokens(docs(spark, d), "doc_id", w)))
+
+
+A35 = r"""
+WITH t AS (SELECT unnest(l) AS token, unnest(range(len(l))) AS pos FROM (SELECT list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS l FROM documents)),
+m AS (SELECT CASE pos % 5 WHEN 0 THEN token || '30' WHEN 1 THEN token WHEN 2 THEN 'usa' ELSE token END AS token, pos FROM t),
+k AS (SELECT regexp_replace(token, '[''’][sS]$', '') AS token, pos FROM m),
+c AS (SELECT CASE WHEN regexp_matches(token, '^\p{L}\.(?:\p{L}\.){1,100}\p{L}?$') THEN replace(token, '.', '') ELSE token END AS token, pos FROM k),
+a AS (SELECT regexp_replace(token, '[''’].*$', '') AS token, pos FROM c)
+SELECT token, count(*) AS n, sum(pos)::BIGINT AS positions FROM a WHERE token <> '' GROUP BY 1
+"""
+
+
+def a37_custom(spark, d):
+    """A custom chain: a mapping, letters, then lower case, stop words, folding and truncation."""
+    chain = A.Chain(
+        tokenizer=A.letter,
+        char_filters=(lambda c: A.mapping(c, {"&": " and ", "|": " "}), F.lower),
+        filters=(lambda t: A.stop(t, words(spark, "the", "de")), lambda t: A.each(t, A.fold), lambda t: A.length(t, 2, 30), lambda t: A.each(t, lambda c: F.substring(c, 1, 5))),
+    )
+    return tally(chain(docs(spark, d), "doc_id", "text"))
+
 
 def a23(spark, d):
     t = A.stop(ptok(spark, d), words(spark, "red"))
@@ -93,7 +185,9 @@ def f10(spark, d):
 
 
 GRAMS = "SELECT doc_id, substring(token, 1, k) AS token, pos FROM ptok, range(2, 16) r(k) WHERE k <= length(token)"
-FOLD_SQL = f"replace(replace(translate(token, '{A.ACCENTED}', '{A.FOLDED}'), 'ß', 'ss'), 'æ', 'ae')"
+FOLD_SQL = f"translate(token, '{A.ACCENTED}', '{A.FOLDED}')"
+for _letter, _two in A.DOUBLE.items():
+    FOLD_SQL = f"replace({FOLD_SQL}, '{_letter}', '{_two}')"
 IS_NUMBER, IS_WORD = r"regexp_matches(token, '^\p{N}+$')", r"regexp_matches(token, '^\p{L}+$')"
 
 QUERIES = {
@@ -129,15 +223,18 @@ QUERIES = {
     "A26_stemmer_override": (lambda s, d: tally(A.stem_override(ptok(s, d), s.createDataFrame([("widget", "widg"), ("ring", "r")], "word string, stem string"))), tally_sql(PTOK, "(SELECT CASE token WHEN 'widget' THEN 'widg' WHEN 'ring' THEN 'r' ELSE token END AS token, pos FROM ptok)")),
     "A27_pattern_replace_filter": (lambda s, d: tally(A.pattern_replace_filter(tok(s, d), "e", "3", everywhere=False)), tally_sql(TOK, "(SELECT regexp_replace(token, 'e', '3') AS token, pos FROM tok)")),
     "A28_pattern_capture": (lambda s, d: tally(A.pattern_capture(ptok(s, d), ["^(..)", "(..)$"])), tally_sql(PTOK, "(SELECT DISTINCT doc_id, pos, token FROM (SELECT doc_id, pos, token FROM ptok UNION ALL SELECT doc_id, pos, substring(token, 1, 2) FROM ptok WHERE length(token) > 1 UNION ALL SELECT doc_id, pos, right(token, 2) FROM ptok WHERE length(token) > 1))")),
-    "A29_word_delimiter": (lambda s, d: tally(A.word_delimiter(A.tokens(table(s, d, "part"), "p_partkey", F.array(F.concat(F.initcap("p_name"), F.lit("X"), F.col("p_size").cast("string"), F.lit("-b")))))), None),
+    "A29_word_delimiter": (a29, A29),
     "A30_elision": (lambda s, d: tally(A.elision(A.tokens(docs(s, d), "doc_id", F.transform(A.letter(F.col("text")), lambda t: F.concat(F.lit("l'"), t))), ["l", "d"])), r"SELECT token, count(*) AS n, sum(pos)::BIGINT AS positions FROM (SELECT unnest(l) AS token, unnest(range(len(l))) AS pos FROM (SELECT regexp_extract_all(text, '\p{L}+') AS l FROM documents)) GROUP BY 1"),
     "A31_multiplexer": (lambda s, d: tally(A.multiplexer(ptok(s, d), [lambda t: A.each(t, F.upper), lambda t: A.each(t, lambda c: F.substring(c, 1, 3))])), tally_sql(PTOK, "(SELECT DISTINCT doc_id, pos, token FROM (SELECT doc_id, pos, token FROM ptok UNION ALL SELECT doc_id, pos, upper(token) FROM ptok UNION ALL SELECT doc_id, pos, substring(token, 1, 3) FROM ptok))")),
     "A32_condition": (lambda s, d: tally(A.condition(tok(s, d), F.length("token") > 6, lambda t: F.substring(t, 1, 6))), tally_sql(TOK, "(SELECT CASE WHEN length(token) > 6 THEN substring(token, 1, 6) ELSE token END AS token, pos FROM tok)")),
     "A33_fingerprint": (a33, f"WITH {TOK} SELECT doc_id, md5(array_to_string(list_sort(list(DISTINCT token)), ' ')) AS digest FROM tok GROUP BY doc_id"),
-    "A34_min_hash": (lambda s, d: A.min_hash(tok(s, d), 8), None),
-    "A35_clean": (lambda s, d: tally(A.clean(A.tokens(docs(s, d), "doc_id", A.whitespace(F.col("text"))))), None),
+    "A34_min_hash": (a34, f"WITH {TOK}, u AS (SELECT DISTINCT doc_id, token FROM tok) SELECT doc_id, k::INT AS seed, min(md5(k || ':' || token)) AS value FROM u, range(0, 8) r(k) GROUP BY 1, 2"),
+    "A35_clean": (a35, A35),
     "A36_normalizer": (lambda s, d: table(s, d, "part").select("p_partkey", A.normalise(F.concat(F.lit("  ÉA "), F.upper("p_type"))).alias("value")), "SELECT p_partkey, 'ea ' || lower(p_type) AS value FROM part"),
     "A37_analyzers": (lambda s, d: tally(A.analyzer("stop", words(s, "the", "la"))(docs(s, d), "doc_id", "text")), r"SELECT token, count(*) AS n, sum(pos)::BIGINT AS positions FROM (SELECT unnest(l) AS token, unnest(range(len(l))) AS pos FROM (SELECT regexp_extract_all(lower(text), '\p{L}+') AS l FROM documents)) WHERE token NOT IN ('the', 'la') GROUP BY 1"),
+    "A15_folding_extended": (a15_extended, tally_sql(PTOK, "ptok")),
+    "A25_synonym_graph": (a25_phrases, A25_PHRASES),
+    "A37_custom": (a37_custom, rf"SELECT token, count(*) AS n, sum(pos)::BIGINT AS positions FROM (SELECT substring({FOLD_SQL}, 1, 5) AS token, pos FROM (SELECT unnest(l) AS token, unnest(range(len(l))) AS pos FROM (SELECT regexp_extract_all(lower(replace(replace(text, '&', ' and '), '|', ' ')), '\p{{L}}+') AS l FROM documents)) WHERE token NOT IN ('the', 'de') AND length({FOLD_SQL}) BETWEEN 2 AND 30) GROUP BY 1"),
     "A38_autocomplete": (a38, "SELECT q AS query_id, p_partkey AS doc_id FROM part, (VALUES (1, 're', 'wi'), (2, 'small', 'r'), (3, 'zz', 'zz')) v(q, a, b) WHERE (' ' || p_name) LIKE '% ' || a || '%' AND (' ' || p_name) LIKE '% ' || b || '%' AND length(b) >= 2"),
     "A39_search_as_you_type": (lambda s, d: tally(A.search_as_you_type(ptok(s, d), 2, 1, 3)), f"WITH {PTOK}, g AS (SELECT doc_id, pos, '' AS head, token AS tail FROM ptok UNION ALL SELECT a.doc_id, a.pos, a.token || ' ', b.token FROM ptok a JOIN ptok b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1) SELECT head || substring(tail, 1, k::INT) AS token, count(*) AS n, sum(pos)::BIGINT AS positions FROM g, range(1, 4) r(k) WHERE k <= length(tail) GROUP BY 1"),
     "A40_token_count": (lambda s, d: A.token_count(tok(s, d)), f"WITH {TOK} SELECT doc_id, count(*) AS n_tokens FROM tok GROUP BY 1"),

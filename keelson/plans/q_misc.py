@@ -132,6 +132,20 @@ def g8(spark, d):
     return R.usage(c, F.size(A.whitespace(F.col("text"))))
 
 
+def g8_page(spark, d):
+    """The second page of ten of the conversations with over two rounds, most output first."""
+    c = table(spark, d, "conversations")
+    return R.usage(c, F.size(A.whitespace(F.col("text"))), where=F.col("rounds") > 2, order=[F.col("output_tokens").desc(), F.col("conv_id")], page=1, size=10)
+
+
+def j8_many(spark, d):
+    """A stored range for each of many orders and a value for each flag, beyond what is broadcast."""
+    o = table(spark, d, "orders").where("o_orderkey % 50 = 0").select(F.col("o_orderkey").alias("query_id"), F.lit("l_extendedprice").alias("field"), F.floor("o_totalprice").cast("double").alias("lo"), (F.floor("o_totalprice") + 500).cast("double").alias("hi"), F.lit(None).cast("string").alias("value"))
+    flags = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("value")).distinct().select((-F.ascii("value")).cast("long").alias("query_id"), F.lit("l_returnflag").alias("field"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"), "value")
+    rows = table(spark, d, "lineitem").select("l_extendedprice", "l_returnflag")
+    return search.stored_queries(rows, o.withColumn("query_id", F.col("query_id").cast("long")).unionByName(flags), rows.columns, most=10).groupBy("query_id").agg(F.count("*").alias("n"))
+
+
 QUERIES = {
     "X1_content_hash": (lambda s, d: orders(s, d).select("o_orderkey", X.content_hash(F.col("o_custkey"), F.col("o_orderstatus"), F.lit(None)).alias("h")), f"SELECT o_orderkey, {H.format('concat(o_custkey, o_orderstatus)')} AS h FROM orders"),
     "X2_combined_hash": (lambda s, d: orders(s, d).select("o_orderkey", X.combined_hash(X.schema_hash('{"a": 1}'), X.content_hash(F.col("o_orderkey"))).alias("h")), f"SELECT o_orderkey, {H.format(chr(39) + X.schema_hash(chr(123) + chr(34) + 'a' + chr(34) + ':1}') + chr(39) + ' || ' + H.format('o_orderkey::VARCHAR'))} AS h FROM orders"),
@@ -159,5 +173,7 @@ QUERIES = {
     "G6_failures": (lambda s, d: R.failures(sent(s, d)), f"WITH {SENT} SELECT status, 'e' || status AS error_type, count(*) AS n, 'quantity ' || arg_min(q, batch_id * 100 + pos) AS first_reason FROM s WHERE status > 299 GROUP BY status"),
     "G7_delivery": (lambda s, d: R.delivery(sent(s, d)), f"WITH {SENT} SELECT count(DISTINCT batch_id) AS batches, count(*) AS items, count(CASE WHEN status < 300 THEN 1 END) AS accepted, count(CASE WHEN status IN (429, 503) THEN 1 END) AS retries, count(CASE WHEN status IN (400, 500) THEN 1 END) AS rejected, 0::BIGINT AS exhausted, false AS success FROM s"),
     "G8_usage": (g8, r"WITH t AS (SELECT conv_id, role, len(list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')) AS n FROM conversations) SELECT conv_id, count(CASE role WHEN 'user' THEN 1 END) AS rounds, coalesce(sum(CASE role WHEN 'user' THEN n END), 0)::BIGINT AS input_tokens, coalesce(sum(CASE role WHEN 'assistant' THEN n END), 0)::BIGINT AS output_tokens, count(CASE role WHEN 'assistant' THEN 1 END) < count(CASE role WHEN 'user' THEN 1 END) AS has_warnings FROM t GROUP BY 1"),
+    "G8_usage_page": (g8_page, r"SELECT * FROM (WITH t AS (SELECT conv_id, role, len(list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')) AS n FROM conversations) SELECT conv_id, count(CASE role WHEN 'user' THEN 1 END) AS rounds, coalesce(sum(CASE role WHEN 'user' THEN n END), 0)::BIGINT AS input_tokens, coalesce(sum(CASE role WHEN 'assistant' THEN n END), 0)::BIGINT AS output_tokens, count(CASE role WHEN 'assistant' THEN 1 END) < count(CASE role WHEN 'user' THEN 1 END) AS has_warnings FROM t GROUP BY 1) WHERE rounds > 2 ORDER BY output_tokens DESC, conv_id LIMIT 10 OFFSET 10"),
+    "J8_stored_queries_many": (j8_many, "SELECT o_orderkey AS query_id, count(*) AS n FROM lineitem JOIN orders ON o_orderkey % 50 = 0 AND l_extendedprice BETWEEN floor(o_totalprice) AND floor(o_totalprice) + 500 GROUP BY 1 UNION ALL SELECT -ascii(l_returnflag), count(*) FROM lineitem GROUP BY 1"),
     "T5_outcomes": (lambda s, d: sent(s, d).groupBy(R.classify(F.col("status")).alias("kind")).agg(F.count("*").alias("n")), f"WITH {SENT} SELECT CASE WHEN status < 300 THEN 'accepted' WHEN status IN (429, 503) THEN 'retry' ELSE 'rejected' END AS kind, count(*) AS n FROM s GROUP BY 1"),
 }

@@ -62,10 +62,11 @@ def r8(spark, d):
 
 
 def r9(spark, d):
-    """Producer source: rows handed over one by one would go through createDataFrame; here events arrive as JSON text."""
-    e = table(spark, d, "events")
-    wire = e.select(F.to_json(F.struct("event_id", "user_id", "event_type")).alias("line"))
-    return wire.select(F.from_json("line", "event_id long, user_id long, event_type string").alias("r")).select("r.*")
+    """Producer source: events as JSON lines in a folder, every seventh line broken, read back as rows and malformed lines."""
+    path = tables.scratch(spark, "produced")
+    line = F.to_json(F.struct("event_id", "user_id", "event_type"))
+    table(spark, d, "events").select(F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("not json "), F.col("event_id"))).otherwise(line)).write.text(path)
+    return readers.produced(spark, path, "event_id long, user_id long, event_type string")
 
 
 def r10(spark, d):
@@ -144,6 +145,19 @@ def f22(spark, d):
     return e.where(P.flattened(F.col("props"), "k").cast("int") > 90).select("event_id", P.flattened(F.col("props"), "k").alias("k"), F.array_join(P.flattened_keys(F.col("props")), ",").alias("keys"))
 
 
+def f22_depth(spark, d):
+    """Keys down to two levels of objects that nest three."""
+    nested = F.concat(F.lit('{"a":{"b":{"c":'), F.col("event_id"), F.lit('},"d":2},"e":'), F.col("props"), F.lit(',"f":{}}'))
+    return table(spark, d, "events").select("event_id", F.array_join(P.flattened_keys(nested, 2), ",").alias("keys"))
+
+
+def f19_dates(spark, d):
+    """Ranges of days, one for each day of events, by way of cells."""
+    e = table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"))
+    days = e.select(F.date_trunc("day", "ts").alias("gte")).distinct().select(F.date_format("gte", "yyyy-MM-dd").alias("name"), "gte", (F.col("gte") + F.expr("INTERVAL 36 HOURS")).alias("lte"))
+    return search.range_match(e, "ts", days, most=5).groupBy("name").agg(F.count("*").alias("n"))
+
+
 def k5(spark, d):
     v = table(spark, d, "embeddings")
     found = search.vector_top(v, v.where("vec_id % 100 = 0"), "vec_id", "embedding", 5)
@@ -180,7 +194,7 @@ QUERIES = {
     "R6_alias_read": (r6, "SELECT p_partkey, p_size FROM part WHERE p_size > 25"),
     "R7_pattern_read": (r7, "SELECT CASE WHEN p_size < 20 THEN 'part-a' ELSE 'part-b' END AS _index, count(*) AS n, count(CASE WHEN p_size >= 20 THEN 1 END) AS sizes, min(p_partkey) AS first FROM part GROUP BY 1"),
     "R8_external_source": (r8, "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 5000 AND c_mktsegment = 'BUILDING'"),
-    "R9_producer_source": (r9, "SELECT event_id, user_id, event_type FROM events"),
+    "R9_producer_source": (r9, "SELECT CASE WHEN event_id % 7 <> 0 THEN event_id END AS event_id, CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id, CASE WHEN event_id % 7 <> 0 THEN event_type END AS event_type, CASE WHEN event_id % 7 = 0 THEN 'not json ' || event_id END AS _malformed FROM events"),
     "R10_stock_rows": (r10, "SELECT o_orderstatus AS symbol, min(strftime(o_orderdate, '%Y-%m-%d')) AS first, round(sum(round(o_totalprice + 3, 2)) - sum(round(o_totalprice, 2)), 2) AS moved, sum(o_custkey)::BIGINT AS volume FROM orders GROUP BY 1"),
     "F1_include": (f1, """SELECT o_orderkey, o_custkey, '{"o_orderpriority":"' || o_orderpriority || '"}' AS state FROM orders"""),
     "F2_exclude": (f2, """SELECT o_orderkey, '{"o_orderpriority":"' || o_orderpriority || '"}' AS state FROM orders"""),
@@ -203,6 +217,8 @@ QUERIES = {
     "F20_wildcard": (f20, "SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%re_ w%'"),
     "F21_nested": (f21, "SELECT DISTINCT l_orderkey FROM lineitem WHERE l_quantity > 45 AND l_discount >= 0.09"),
     "F22_flattened": (f22, "SELECT event_id, props->>'$.k' AS k, array_to_string(json_keys(props), ',') AS keys FROM events WHERE (props->>'$.k')::INT > 90"),
+    "F19_date_ranges": (f19_dates, "SELECT strftime(d, '%Y-%m-%d') AS name, count(*) AS n FROM events, (SELECT DISTINCT date_trunc('day', ts)::TIMESTAMP AS d FROM events) WHERE ts::TIMESTAMP >= d AND ts::TIMESTAMP <= d + INTERVAL 36 HOUR GROUP BY 1"),
+    "F22_flattened_depth": (f22_depth, "SELECT event_id, 'a.b,a.d,' || array_to_string(list_transform(json_keys(props), lambda k: 'e.' || k), ',') || ',f' AS keys FROM events"),
     "K1_sort": (lambda s, d: search.top(table(s, d, "orders"), [F.col("o_totalprice").desc(), F.col("o_orderkey")], 50).select("o_orderkey"), "SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50"),
     "K2_max_docs": (lambda s, d: search.top(table(s, d, "orders"), [F.col("o_orderkey")], 25).select("o_orderkey", "o_custkey"), "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 25"),
     "K4_latest": (lambda s, d: search.latest(table(s, d, "events").select(F.concat(F.lit("logs-"), F.date_format("ts", "yyyy.MM.dd")).alias("name")), "name", "logs-%"), "SELECT max('logs-' || strftime(ts, '%Y.%m.%d')) AS latest FROM events"),

@@ -31,6 +31,12 @@ def t3(spark, d):
     return D.byte_batches(paged(spark, d), "page", "doc_id", F.col("bytes"), BUDGET).select("doc_id", "page", "batch")
 
 
+def t3_names(spark, d):
+    """The same in the order of names, which are texts."""
+    named = paged(spark, d).withColumn("name", F.format_string("doc-%09d", "doc_id"))
+    return D.byte_batches(named, "page", "name", F.col("bytes"), BUDGET).select("doc_id", "page", "batch")
+
+
 T3 = f"""
 WITH RECURSIVE d AS (SELECT doc_id, doc_id // 100 AS page, strlen(text) AS bytes, row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) AS k FROM documents),
 w AS (SELECT doc_id, page, k, bytes AS used, 0 AS batch FROM d WHERE k = 1
@@ -113,7 +119,7 @@ def p13_stream(spark, d):
 QUERIES = {
     "T1_count_batches": (t1, "SELECT (rn - 1) // 1000 AS batch, count(*) AS n, min(event_id) AS first, max(event_id) AS last FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) AS rn FROM events) GROUP BY 1"),
     "T2_age_batches": (t2, "SELECT event_type, count(*) AS n FROM events GROUP BY 1"),
-    "T3_byte_batches": (t3, T3),
+    "T3_byte_batches": (t3, T3), "T3_byte_batches_by_name": (t3_names, T3),
     "T4_oversize": (lambda s, d: D.oversized(paged(s, d), F.col("bytes"), 10_000).select("doc_id", F.col("bytes").cast("long").alias("bytes")), "SELECT doc_id, strlen(text)::BIGINT AS bytes FROM documents WHERE strlen(text) > 10000"),
     "T6_retry": (t6, f"SELECT {OUTCOME} AS outcome, CASE WHEN event_id % 10 = 4 THEN 400 WHEN event_id % 6 > 3 THEN 429 ELSE 201 END AS status, CASE WHEN event_id % 10 = 4 THEN 1 WHEN event_id % 6 > 3 THEN 4 ELSE event_id % 6 + 1 END AS attempts, count(*) AS n, min(event_id) AS first_id FROM events GROUP BY 1, 2, 3"),
     "T6_dead_letters": (t6_dead, f"SELECT event_id, {OUTCOME} AS outcome FROM events WHERE {OUTCOME} <> 'accepted'"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,3 +72,28 @@ def stock_columns(line: Column) -> list[Column]:
     """The same from a column of lines."""
     part = F.split(line, ",")
     return [part[i].cast(f.dataType).alias(f.name) for i, f in enumerate(STOCK.fields)]
+
+
+def produced(spark: SparkSession, path: str, schema: str, stream: bool = False) -> DataFrame:
+    """Rows that producers hand over as JSON lines in the files of a folder, as a table or as a stream.
+
+    `_malformed` holds a line that is no object of the schema, else null.  Spark reads a file once it is in the folder,
+    so a producer writes it elsewhere and moves it in.
+    """
+    wanted = T.StructType.fromDDL(schema)
+    lines = (spark.readStream if stream else spark.read).schema("value string").text(path)
+    rows = lines.where(F.trim("value") != "").withColumn("_row", F.from_json("value", T.StructType([*wanted.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}))
+    return rows.select(*[F.col(f"_row.{f.name}") for f in wanted.fields], F.col("_row._bad").alias("_malformed"))
+
+
+def handed_over(spark: SparkSession, rows: Iterable[Mapping], schema: str, path: str, most: int = 10_000) -> int:
+    """A producer in the driver: rows from an iterator go to the folder in files of `most` rows, so that no more are held
+    at a time; returns how many were handed over."""
+    from itertools import islice
+
+    count, rest = 0, iter(rows)
+    while part := [dict(r) for r in islice(rest, most)]:
+        frame = spark.createDataFrame([tuple(r.get(f.name) for f in T.StructType.fromDDL(schema).fields) for r in part], schema)
+        frame.coalesce(1).select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(path)
+        count += len(part)
+    return count

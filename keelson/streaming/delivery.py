@@ -23,20 +23,24 @@ def count_batches(df: DataFrame, order: list[str], size: int = 1000) -> DataFram
 def byte_batches(df: DataFrame, page: str, order: str, size: Column, budget: int) -> DataFrame:
     """`batch` within each page: cut before the row that would exceed the budget.  A row above it goes alone.
 
-    Packing is sequential within a page and parallel over pages; pages are bounded (see count_batches).
+    `order` may be of any type that sorts; rows of equal order go by size.  Packing is sequential within a page and
+    parallel over pages; pages are bounded (see count_batches).
     """
+    ship(df.sparkSession)
     rows = df.withColumn("_size", size.cast("long"))
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(order).alias("k"), F.col("_size").alias("s"))))
-    start = F.expr("named_struct('out', cast(array() AS array<struct<k:bigint,batch:int>>), 'used', 0L, 'batch', 0)")
 
-    def step(acc: Column, r: Column) -> Column:
-        cut = (acc["used"] > 0) & (acc["used"] + r["s"] > budget)
-        batch = F.when(cut, acc["batch"] + 1).otherwise(acc["batch"])
-        return F.struct(F.concat(acc["out"], F.array(F.struct(r["k"].cast("long").alias("k"), batch.alias("batch")))).alias("out"), F.when(cut, r["s"]).otherwise(acc["used"] + r["s"]).alias("used"), batch.alias("batch"))
-
-    packed = rows.groupBy(page).agg(F.aggregate(ordered, start, step, lambda a: a["out"]).alias("_b"))
-    found = packed.select(page, F.explode("_b").alias("_b")).select(page, F.col("_b.k").alias(order), F.col("_b.batch").alias("batch"))
-    return df.join(found, [page, order])
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([order, "_size"], na_position="first", kind="stable")
+        batch, used, out = 0, 0, []
+        for s in pdf["_size"].fillna(0).astype("int64"):
+            if used > 0 and used + s > budget:
+                batch, used = batch + 1, 0
+            used += int(s)
+            out.append(batch)
+        return pdf.drop(columns="_size").assign(batch=out)
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
+    return rows.groupBy(page).applyInPandas(pack, ", ".join([*fields, "batch int"]))
 
 
 def oversized(df: DataFrame, size: Column, budget: int) -> DataFrame:
