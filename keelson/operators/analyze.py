@@ -440,6 +440,7 @@ def autocomplete(index: DataFrame, queries: DataFrame) -> DataFrame:
     """queries (query_id, text): documents that hold every word of the query as a prefix."""
     wanted = tokens(queries, "query_id", standard(normalise(F.col("text")))).select(F.col("doc_id").alias("query_id"), F.col("token").alias("prefix")).distinct()
     size = wanted.groupBy("query_id").agg(F.count("*").alias("_need"))
+    index = index.join(wanted.select("prefix"), "prefix", "left_semi")  # below an index's distinct, so most prefixes are not shuffled
     hits = index.join(wanted, "prefix").groupBy("query_id", "doc_id").agg(F.count("*").alias("_have"))
     return hits.join(size, "query_id").where("_have = _need").select("query_id", "doc_id")
 

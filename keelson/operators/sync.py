@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.operators import maintain, writes
+from keelson.sources import tables
 
 FIRST_DATE = "0001-01-01 00:00:00"
 
@@ -37,9 +38,9 @@ def conditional_write(primary: DataFrame, stamped: DataFrame, hash_col: str = "h
 
 
 def updates_since(primary: DataFrame, secondary: DataFrame, updated_col: str = "last_updated", batch_col: str = "batch_date") -> DataFrame:
-    """Primary rows changed strictly after the secondary's last batch."""
-    cutoff = F.broadcast(max_batch_date(secondary, batch_col))
-    return primary.crossJoin(cutoff).where(F.col(updated_col) > F.col("cutoff")).drop("cutoff")
+    """Primary rows changed strictly after the secondary's last batch, whose date is read first: the scan filters by it."""
+    cutoff = max_batch_date(secondary, batch_col).select(F.unix_micros("cutoff")).first()[0]
+    return primary.where(F.col(updated_col) > F.timestamp_micros(F.lit(cutoff)))
 
 
 def stale(primary: DataFrame, now: str, batch_col: str = "batch_date") -> Column:
@@ -48,11 +49,18 @@ def stale(primary: DataFrame, now: str, batch_col: str = "batch_date") -> Column
 
 @dataclass
 class SyncResult:
-    """The new tables, and the outcome of each row written to the primary."""
+    """The new tables, and the outcome of each row written to the primary.
+
+    All three read the written primary, which lies in a work folder until `remove` is called.
+    """
 
     primary: DataFrame
     secondary: DataFrame
     outcomes: DataFrame
+    work: str
+
+    def remove(self) -> None:
+        tables.remove(self.primary.sparkSession, self.work)
 
 
 def incremental_sync(primary: DataFrame, secondary: DataFrame, batch: DataFrame, now: str, strategy: str = "reindex") -> SyncResult:
@@ -63,24 +71,28 @@ def incremental_sync(primary: DataFrame, secondary: DataFrame, batch: DataFrame,
     """
     stamped = stamp(batch, now)
     if strategy == "multiplex":
-        written = writes.index_write(primary, stamped)
+        written, work = tables.pinned(writes.index_write(primary, stamped), "sync")
         second = writes.index_write(secondary, _fit(stamped, secondary)).drop("result")
         left, _ = maintain.delete_by_query(written.drop("result"), stale(written, now))
-        return SyncResult(left, second, written.where("result <> 'untouched'").select("_id", "result"))
-    written = conditional_write(primary, stamped)
+        return SyncResult(left, second, _outcomes(written), work)
+    written, work = tables.pinned(conditional_write(primary, stamped), "sync")
     table = written.drop("result")
-    copied = maintain.reindex(updates_since(table, secondary), secondary).drop("result")
-    second = writes.delete_ids(copied, table.where(stale(table, now)))
     left, _ = maintain.delete_by_query(table, stale(table, now))
-    return SyncResult(left, second, written.where("result <> 'untouched'").select("_id", "result"))
+    kept = writes.delete_ids(secondary, table.where(stale(table, now)))  # first, as it keeps the join's partitions
+    second = maintain.reindex(updates_since(left, secondary), kept).drop("result")
+    return SyncResult(left, second, _outcomes(written), work)
 
 
 def delta_sync(primary: DataFrame, secondary: DataFrame, batch: DataFrame, now: str) -> SyncResult:
     """A run without reaping: rows that were not sent stay."""
-    written = conditional_write(primary, stamp(batch, now))
+    written, work = tables.pinned(conditional_write(primary, stamp(batch, now)), "sync")
     table = written.drop("result")
     second = maintain.reindex(updates_since(table, secondary), secondary).drop("result")
-    return SyncResult(table, second, written.where("result <> 'untouched'").select("_id", "result"))
+    return SyncResult(table, second, _outcomes(written), work)
+
+
+def _outcomes(written: DataFrame) -> DataFrame:
+    return written.where("result <> 'untouched'").select("_id", "result")
 
 
 def backfill(old: DataFrame, new_schema: DataFrame) -> DataFrame:

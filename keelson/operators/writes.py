@@ -128,22 +128,24 @@ def apply_log(target: DataFrame, log: DataFrame, seq: str = "seq", action: str =
     fields or inserts, delete removes.  The version counts the writes since the row last came into being.
 
     After any action but delete the row exists, so whether a create takes effect depends on the action before it only.
+    Actions of one id and equal `seq` apply in a fixed order, by a hash.  Actions without an id go.
     """
     docs = _docs(target)
-    order = Window.partitionBy("_id").orderBy(seq)
+    row = F.xxhash64(F.to_json(F.struct(*[c for c in log.columns if c != "_id"])))
+    order = Window.partitionBy("_id").orderBy(seq, row)
     known = target.select("_id", F.lit(True).alias("_known"))
-    rows = log.join(known, "_id", "left").withColumn("_before", F.lag(action).over(order))
+    rows = log.where("_id IS NOT NULL").join(known, "_id", "left").withColumns({"_before": F.lag(action).over(order), "_at": F.row_number().over(order)})
     absent = F.when(F.col("_before").isNull(), F.col("_known").isNull()).otherwise(F.col("_before") == "delete")
     rows = rows.where((F.col(action) != "create") | absent)
     reset = F.col(action).isin("index", "delete", "create")
     everything = Window.partitionBy("_id")
-    rows = rows.withColumn("_reset", F.max(F.when(reset, F.col(seq))).over(everything))
-    rows = rows.withColumn("_delete", F.max(F.when(F.col(action) == "delete", F.col(seq))).over(everything))
-    live = F.col("_reset").isNull() | (F.col(seq) >= F.col("_reset"))
-    writes = F.col("_delete").isNull() | (F.col(seq) > F.col("_delete"))
-    per_field = [F.max_by(F.struct(F.when(F.col(action) != "delete", F.col(c)).alias("v")), F.when(live & ((F.col(action) != "update") | F.col(c).isNotNull()), F.col(seq))).alias(f"_{c}") for c in docs]
+    rows = rows.withColumn("_reset", F.max(F.when(reset, F.col("_at"))).over(everything))
+    rows = rows.withColumn("_delete", F.max(F.when(F.col(action) == "delete", F.col("_at"))).over(everything))
+    live = F.col("_reset").isNull() | (F.col("_at") >= F.col("_reset"))
+    writes = F.col("_delete").isNull() | (F.col("_at") > F.col("_delete"))
+    per_field = [F.max_by(F.struct(F.when(F.col(action) != "delete", F.col(c)).alias("v")), F.when(live & ((F.col(action) != "update") | F.col(c).isNotNull()), F.col("_at"))).alias(f"_{c}") for c in docs]
     folded = rows.groupBy("_id").agg(
-        F.max("_reset").alias("_reset"), F.max("_delete").alias("_delete"), F.max_by(action, seq).alias("_last"),
+        F.max("_reset").alias("_reset"), F.max("_delete").alias("_delete"), F.max_by(action, "_at").alias("_last"),
         F.sum(writes.cast("long")).alias("_writes"), *per_field,
     )
     t, s = target.alias("t"), folded.alias("s")
@@ -164,9 +166,13 @@ def routed(rows: DataFrame, prefix: str, ts_col: str, pattern: str = "yyyy.MM.dd
 
 
 def with_outcomes(target: DataFrame, batch: DataFrame, mode: str = "index", seq: str = "seq") -> tuple[DataFrame, DataFrame]:
-    """(table, outcomes): one outcome (_id, seq, status, error_type) for each document sent."""
+    """(table, outcomes): one outcome (_id, seq, status, error_type) for each document sent.
+
+    Of equal `seq` the first is the one that create_write takes.  A document without an id is refused with 400.
+    """
+    row = F.xxhash64(F.to_json(F.struct(*[c for c in batch.columns if c != "_id"])))
     known = target.select("_id", F.lit(True).alias("_known"))
-    marked = batch.join(known, "_id", "left").withColumn("_rn", F.row_number().over(Window.partitionBy("_id").orderBy(seq)))
+    marked = batch.where("_id IS NOT NULL").join(known, "_id", "left").withColumn("_rn", F.row_number().over(Window.partitionBy("_id").orderBy(seq, row)))
     fresh = F.col("_known").isNull() & (F.col("_rn") == 1)
     if mode == "create":
         table, _ = create_write(target, batch, seq)
@@ -175,7 +181,8 @@ def with_outcomes(target: DataFrame, batch: DataFrame, mode: str = "index", seq:
         table = index_write(target, batch, seq).drop("result")
         status = F.when(fresh, 201).otherwise(200)
     error = F.when(status == 409, "version_conflict_engine_exception")
-    return table, marked.select("_id", seq, status.alias("status"), error.alias("error_type"))
+    refused = batch.where("_id IS NULL").select("_id", seq, F.lit(400).alias("status"), F.lit("missing_id").alias("error_type"))
+    return table, marked.select("_id", seq, status.alias("status"), error.alias("error_type")).unionByName(refused)
 
 
 def all_persisted(outcomes: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keelson.plans.q_writes import table
-from keelson.sources.tables import TableRoot, scratch
+from keelson.sources.tables import BucketedTable, scratch
 from keelson.streaming import delivery as D
 
 BUDGET = 20_000
@@ -78,9 +78,9 @@ OUTCOME = "CASE WHEN event_id % 10 = 4 THEN 'rejected' WHEN event_id % 6 > 3 THE
 
 
 def t7(spark, d):
-    root = TableRoot(spark, scratch(spark, "root"))
-    D.drain(D.upsert_stream(stream(spark, d), root, "users", "user_id", "event_id", scratch(spark, "checkpoint")))
-    return root.snapshot(root.latest("users-")).select(F.col("_id").alias("user_id"), "_version", "event_type", "value")
+    users = BucketedTable(spark, scratch(spark, "users"), 16)
+    D.drain(D.upsert_stream(stream(spark, d), users, "user_id", "event_id", scratch(spark, "checkpoint")))
+    return users.read().select(F.col("_id").alias("user_id"), "_version", "event_type", "value")
 
 
 def t8(spark, d):

@@ -41,6 +41,19 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a directory, if it exists."""
+    fs, at = _fs(spark, path)
+    fs.delete(at, True)
+
+
+def pinned(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write `df` once to the work folder; the frame that reads it back, and its path, which the caller removes."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 class TableRoot:
     """Snapshots and aliases below one directory."""
 
@@ -98,10 +111,12 @@ def append(rows: DataFrame, path: str, ts_col: str) -> DataFrame:
 
 
 class BucketedTable:
-    """A keyed table in buckets by hash of _id; a write reads and rewrites the buckets that its batch touches only.
+    """A keyed table partitioned by `_bucket`, a hash of _id; a write reads and replaces only partitions its batch touches.
 
-    Every write adds one directory with the touched buckets and one manifest (bucket, path) for the whole table, so
-    readers of an older manifest are not disturbed.  `n` buckets is a constant of the table.
+    They are replaced by Spark's dynamic partition overwrite when the job commits, so a frame read earlier must be used
+    before the next write; readers that need one state for longer take snapshots of a TableRoot.  `n` buckets is a
+    constant of the table: a batch should touch few of them.  A large bucket is written by several tasks.
+    One writer per table.
     """
 
     def __init__(self, spark: SparkSession, root: str, n: int = 64):
@@ -110,34 +125,35 @@ class BucketedTable:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64("_id"), F.lit(self.n)).cast("int")
 
-    def _manifest(self) -> dict[int, str]:
-        found = [x for x in names(self.spark, self.root) if x.startswith("manifest-")]
-        if not found:
-            return {}
-        rows = self.spark.read.schema("bucket int, path string").parquet(f"{self.root}/{found[-1]}").collect()  # n rows at most
-        return {r["bucket"]: r["path"] for r in rows}
+    def _files(self, bucket: int) -> list[str]:
+        return names(self.spark, f"{self.root}/_bucket={bucket}")
 
-    def _commit(self, manifest: dict[int, str]) -> None:
-        generation = sum(x.startswith("manifest-") for x in names(self.spark, self.root))
-        self.spark.createDataFrame(sorted(manifest.items()), "bucket int, path string").coalesce(1).write.parquet(f"{self.root}/manifest-{generation:06d}")
+    def buckets(self) -> list[int]:
+        """The buckets that have rows."""
+        return sorted(int(x.split("=")[1]) for x in names(self.spark, self.root) if x.startswith("_bucket="))
 
     def read(self, buckets: list[int] | None = None) -> DataFrame | None:
         """The table, or some of its buckets; None if it has none of them yet."""
-        manifest = self._manifest()
-        paths = [p for b, p in sorted(manifest.items()) if buckets is None or b in buckets]
-        return self.spark.read.parquet(*paths) if paths else None
+        found = self.buckets()
+        if not found or (buckets is not None and not set(found) & set(buckets)):
+            return None
+        rows = self.spark.read.parquet(self.root)
+        return (rows if buckets is None else rows.where(F.col("_bucket").isin(buckets))).drop("_bucket")
 
     def write(self, batch: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame], empty: DataFrame) -> list[int]:
-        """Apply a keyed write (target, batch) -> new rows; returns the touched buckets.  `empty` gives the table's schema."""
+        """Apply a keyed write (target, batch) -> new rows; returns the touched buckets.  `empty` gives the table's schema.
+
+        Rows without an id are left out.
+        """
+        batch = batch.where("_id IS NOT NULL")
         touched = sorted(r[0] for r in batch.select(self._bucket().alias("b")).distinct().collect())  # n values at most
         if not touched:
             return []
         current = self.read(touched)
-        rows = apply(current if current is not None else empty, batch)
-        generation = sum(x.startswith("manifest-") for x in names(self.spark, self.root))
-        path = f"{self.root}/data-{generation:06d}-{uuid.uuid4().hex[:8]}"
-        rows.withColumn("_bucket", self._bucket()).repartition("_bucket").write.partitionBy("_bucket").parquet(path)
-        written = {int(x.split("=")[1]) for x in names(self.spark, path) if x.startswith("_bucket=")}
-        manifest = {b: p for b, p in self._manifest().items() if b not in touched}
-        self._commit(manifest | {b: f"{path}/_bucket={b}" for b in written})
+        before = {b: self._files(b) for b in touched}
+        rows = apply(current if current is not None else empty, batch).withColumn("_bucket", self._bucket())
+        rows.hint("rebalance", "_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(self.root)
+        for b in touched:
+            if self._files(b) == before[b]:  # not replaced, as all its rows are deleted
+                remove(self.spark, f"{self.root}/_bucket={b}")
         return touched

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from keelson.operators import reports, writes
 from keelson.session import ship
 from keelson.sources import readers
-from keelson.sources.tables import TableRoot, names
+from keelson.sources.tables import BucketedTable
 
 
 def count_batches(df: DataFrame, order: list[str], size: int = 1000) -> DataFrame:
@@ -87,22 +87,21 @@ def send_with_retries(rows: DataFrame, send: Callable[[pd.DataFrame, int], list[
     return rows.mapInPandas(run, f"{fields}, status int, attempts int, outcome string")
 
 
-def upsert_stream(stream: DataFrame, root: TableRoot, name: str, key: str, seq: str, checkpoint: str, processing_time: str | None = None) -> StreamingQuery:
-    """Each micro-batch as an index write into a new snapshot <name>-<batch>; a batch that was written is skipped."""
+def upsert_stream(stream: DataFrame, table: BucketedTable, key: str, seq: str, checkpoint: str, processing_time: str | None = None) -> StreamingQuery:
+    """Each micro-batch as an index write into the buckets that it touches.
+
+    `_batch` is the micro-batch that last wrote a row: one that is sent again after a failure changes no row twice.
+    """
+
+    def put(old: DataFrame, new: DataFrame, batch_id: int) -> DataFrame:
+        again = old.where(F.col("_batch") == batch_id).select("_id")
+        return writes.index_write(old, new.join(again, "_id", "left_anti")).drop("result")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        target_name = f"{name}-{batch_id:012d}"
-        done = [n for n in root.snapshots() if n.startswith(f"{name}-")]
-        if target_name in done and "_SUCCESS" in names(root.spark, f"{root.root}/snapshots/{target_name}"):
-            return
-        rows = batch.withColumnRenamed(key, "_id").withColumnRenamed(seq, "seq")
-        earlier = [n for n in done if n < target_name]
-        if earlier:
-            current = root.snapshot(max(earlier))
-        else:
-            current = rows.drop("seq").limit(0).withColumn("_version", F.lit(0).cast("long"))
-        out = writes.index_write(current.select("_id", "_version", *[c for c in rows.columns if c not in ("_id", "seq")]), rows).drop("result")
-        out.write.mode("overwrite").parquet(f"{root.root}/snapshots/{target_name}")
+        rows = batch.withColumnRenamed(key, "_id").withColumnRenamed(seq, "seq").withColumn("_batch", F.lit(batch_id).cast("long"))
+        docs = [c for c in rows.columns if c not in ("_id", "seq")]
+        empty = rows.limit(0).select("_id", F.lit(0).cast("long").alias("_version"), *docs)
+        table.write(rows, lambda old, new: put(old, new, batch_id), empty)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)).start()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from keelson.sources.tables import BucketedTable
 from keelson.streaming import delivery as D
 
 
@@ -34,3 +35,18 @@ def test_retries(spark):
 def test_overflow(spark):
     kept, dropped = D.overflow(rows(spark, 12), ["id"], 5)
     assert sorted(r["id"] for r in kept.collect()) == list(range(5)) and dropped.count() == 7
+
+
+def test_upsert_stream_again(spark, tmp_path):
+    """A micro-batch that is sent again changes nothing; a later one raises the version of its rows only."""
+    source, table = str(tmp_path / "in"), BucketedTable(spark, str(tmp_path / "users"), 4)
+
+    def sent(checkpoint):
+        stream = spark.readStream.schema("user string, n long, v int").parquet(source)
+        D.drain(D.upsert_stream(stream, table, "user", "n", str(tmp_path / checkpoint)))
+        return {r["_id"]: (r["_version"], r["v"]) for r in table.read().collect()}
+
+    spark.createDataFrame([("a", 1, 10), ("a", 2, 11), ("b", 1, 20), (None, 1, 30)], "user string, n long, v int").write.parquet(source)
+    assert sent("one") == sent("two") == {"a": (1, 11), "b": (1, 20)}
+    spark.createDataFrame([("b", 3, 21)], "user string, n long, v int").write.mode("append").parquet(source)
+    assert sent("one") == {"a": (1, 11), "b": (2, 21)}

@@ -21,6 +21,8 @@ def test_incremental_two_runs(spark):
     two = sync.incremental_sync(one.primary, one.secondary, batch(spark, rows), "2024-01-02")
     assert (two.primary.count(), two.secondary.count()) == (7, 7)
     assert two.secondary.where("_id = 'doc-6'").first()["title"] == "Modified title 6"
+    assert {r["result"]: r["count"] for r in two.outcomes.groupBy("result").count().collect()} == {"updated": 7}
+    two.remove()
 
 
 def test_handoff(spark):

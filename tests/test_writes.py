@@ -101,3 +101,16 @@ def test_rebuild_decision(spark):
     declared = frame(spark, [("a", "h", "1.0"), ("b", "h", "1.0"), ("c", "h", "1.0"), ("d", "h", "x")], "name string, hash string, version string")
     stored = frame(spark, [("a", "g", "2.0"), ("b", "h", "1.0"), ("c", "g", "1.0"), ("d", "g", "1.0")], "name string, hash string, version string")
     assert {r["name"]: r["decision"] for r in maintain.rebuild_decision(declared, stored).collect()} == {"a": "keep", "b": "keep", "c": "rebuild", "d": "rebuild"}
+
+
+def test_log_and_outcomes_of_ties_and_missing_ids(spark):
+    t = frame(spark, [("a", 3, 1.0)], EMPTY)
+    rows = [("a", 1, "index", 5.0), ("a", 1, "index", 6.0), (None, 1, "index", 7.0), (None, 2, "create", 8.0), ("b", 1, "create", 1.0), ("b", 1, "create", 2.0)]
+    ddl = "_id string, seq int, action string, price double"
+    one, two = (by_id(writes.apply_log(t, frame(spark, r, ddl))) for r in (rows, rows[::-1]))
+    assert one == two and set(one) == {"a", "b"} and (one["a"]["_version"], one["b"]["_version"]) == (5, 1)
+    s = frame(spark, rows, ddl).drop("action")
+    for mode, status in (("create", [201, 400, 400, 409, 409, 409]), ("index", [200, 200, 200, 201, 400, 400])):
+        table, outcomes = writes.with_outcomes(t, s, mode)
+        assert sorted(r["status"] for r in outcomes.collect()) == status
+        assert set(by_id(table)) == {"a", "b"} and not writes.all_persisted(outcomes).first()[0]
