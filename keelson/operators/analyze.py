@@ -430,17 +430,27 @@ def analyzer(name: str, words: DataFrame | None = None, regex: str = r"\W+") ->
     return run
 
 
-def autocomplete_index(df: DataFrame, id_col: str, text_col: str, low: int = 2, high: int = 15) -> DataFrame:
-    """prefix, doc_id: the edge n-grams of lower-case, folded words, each once for a document."""
-    table = gram_filter(tokens(df, id_col, standard(normalise(F.col(text_col)))), low, high)
-    return table.select(F.col("token").alias("prefix"), "doc_id").distinct()
+def autocomplete_index(df: DataFrame, id_col: str, text_col: str, low: int = 2, high: int = 15, queries: DataFrame | None = None, most: int = 100_000) -> DataFrame:
+    """prefix, doc_id: the edge n-grams of lower-case, folded words, each once for a document.
+
+    An index for stated `queries` only holds their words; up to `most` of these are broadcast, so the rest isn't shuffled.
+    """
+    table = gram_filter(tokens(df, id_col, standard(normalise(F.col(text_col)))), low, high).select(F.col("token").alias("prefix"), "doc_id")
+    if queries is not None:
+        wanted = query_words(queries).select("prefix").distinct()
+        table = table.join(F.broadcast(wanted) if wanted.limit(most + 1).count() <= most else wanted, "prefix", "left_semi")
+    return table.distinct()
+
+
+def query_words(queries: DataFrame) -> DataFrame:
+    """query_id, prefix: the words of queries (query_id, text)."""
+    return tokens(queries, "query_id", standard(normalise(F.col("text")))).select(F.col("doc_id").alias("query_id"), F.col("token").alias("prefix")).distinct()
 
 
 def autocomplete(index: DataFrame, queries: DataFrame) -> DataFrame:
     """queries (query_id, text): documents that hold every word of the query as a prefix."""
-    wanted = tokens(queries, "query_id", standard(normalise(F.col("text")))).select(F.col("doc_id").alias("query_id"), F.col("token").alias("prefix")).distinct()
+    wanted = query_words(queries)
     size = wanted.groupBy("query_id").agg(F.count("*").alias("_need"))
-    index = index.join(wanted.select("prefix"), "prefix", "left_semi")  # below an index's distinct, so most prefixes are not shuffled
     hits = index.join(wanted, "prefix").groupBy("query_id", "doc_id").agg(F.count("*").alias("_have"))
     return hits.join(size, "query_id").where("_have = _need").select("query_id", "doc_id")
 

@@ -173,9 +173,22 @@ def a33(spark, d):
     return A.fingerprint(tok(spark, d), max_output_size=100_000).select("doc_id", F.md5("fingerprint").alias("digest"))
 
 
+def a33_cut(spark, d):
+    """Fingerprints of at most 1,000 characters; longer ones are null."""
+    return A.fingerprint(tok(spark, d), max_output_size=1000)
+
+
+CUT = rf"cut AS (SELECT doc_id, unnest(l) AS token, unnest(range(len(l))) AS pos FROM (SELECT doc_id, flatten(list_transform(regexp_extract_all(lower(text), '{WORD}'), lambda t: regexp_extract_all(t, '.{{1,4}}'))) AS l FROM documents))"
+
+
+def a4_cut(spark, d):
+    """Tokens of at most 4 characters; longer ones are cut."""
+    return tally(A.tokens(docs(spark, d), "doc_id", A.standard(F.lower("text"), 4)))
+
+
 def a38(spark, d):
-    index = A.autocomplete_index(table(spark, d, "part"), "p_partkey", "p_name")
     q = spark.createDataFrame([(1, "re wi"), (2, "SMALL r"), (3, "zz")], "query_id long, text string")
+    index = A.autocomplete_index(table(spark, d, "part"), "p_partkey", "p_name", queries=q)
     return A.autocomplete(index, q)
 
 
@@ -196,6 +209,8 @@ QUERIES = {
     "A2_char_mapping": (lambda s, d: docs(s, d).select("doc_id", F.md5(A.mapping(F.col("text"), {"th": "z", "the": "D", "&": "and"})).alias("digest")), "SELECT doc_id, md5(replace(replace(replace(text, 'the', 'D'), 'th', 'z'), '&', 'and')) AS digest FROM documents"),
     "A3_pattern_replace": (lambda s, d: docs(s, d).select("doc_id", F.md5(A.pattern_replace(F.col("text"), "[0-9]+", "#")).alias("digest")), "SELECT doc_id, md5(regexp_replace(text, '[0-9]+', '#', 'g')) AS digest FROM documents"),
     "A4_standard": (lambda s, d: tally(tok(s, d)), tally_sql(TOK, "tok")),
+    "A4_standard_cut": (a4_cut, tally_sql(CUT, "cut")),
+    "A33_fingerprint_cut": (a33_cut, f"WITH {TOK}, f AS (SELECT doc_id, array_to_string(list_sort(list(DISTINCT token)), ' ') AS whole FROM tok GROUP BY doc_id) SELECT doc_id, CASE WHEN length(whole) <= 1000 THEN whole END AS fingerprint FROM f"),
     "A5_whitespace": array_query(lambda: A.whitespace(F.col("text")), r"list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')"),
     "A6_letter": array_query(lambda: A.letter(F.lower("text")), r"regexp_extract_all(lower(text), '\p{L}+')"),
     "A7_keyword": array_query(lambda: A.keyword(F.col("p_name")), "[p_name]", "part", "p_partkey"),

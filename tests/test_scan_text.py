@@ -43,7 +43,11 @@ def test_tier_and_normaliser(spark):
 def test_autocomplete_prefix(spark):
     rows = spark.createDataFrame([(1, "Premium Carbon Widget"), (2, "Basic"), (3, None)], "id long, name string")
     q = spark.createDataFrame([(1, "Prem")], "query_id long, text string")
-    assert [r["doc_id"] for r in A.autocomplete(A.autocomplete_index(rows, "id", "name"), q).collect()] == [1]
+    whole = A.autocomplete_index(rows, "id", "name")
+    assert [r["doc_id"] for r in A.autocomplete(whole, q).collect()] == [1]
+    for most in (0, 100):
+        own = A.autocomplete_index(rows, "id", "name", queries=q, most=most)
+        assert [tuple(r) for r in own.collect()] == [("prem", 1)] and [r["doc_id"] for r in A.autocomplete(own, q).collect()] == [1]
 
 
 def test_shingles_show_gaps(spark):
