@@ -44,7 +44,10 @@ def combinations(bins: int, depth: int) -> np.ndarray:
 
 
 def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """Lawson and Hanson's active-set method for min |a x - b| with x >= 0."""
+    """Lawson and Hanson's active-set method for min |a x - b| with x >= 0.
+
+    Should `rounds` not be enough, the x so far is returned: it is as valid, and what it leaves over joins the residuals.
+    """
     n = a.shape[1]
     x, passive = np.zeros(n), np.zeros(n, dtype=bool)
     tolerance = 1e-9 * max(1.0, float(np.abs(b).sum()))

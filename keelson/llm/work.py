@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from keelson.session import ship
+from keelson.sources import tables
 
 #: Rows of one Arrow batch; very long texts make larger batches too large for small executors.
 ARROW_ROWS = 1000
@@ -20,6 +23,7 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BITMAPS = 65_536
 
 _own_dirs: dict[str, str] = {}
+_scope = threading.local()
 
 
 def prepare(spark: SparkSession) -> None:
@@ -47,12 +51,35 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def pinned(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """Write `df` once to the shared folder and read it back: lineage ends there, and a lost executor costs nothing."""
+def written(df: DataFrame, name: str, compression: str = "zstd") -> tuple[DataFrame, str]:
+    """Write `df` once to the shared folder; the frame that reads it back, and its path, which the caller removes."""
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def pinned(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+    """Write `df` once to the shared folder and read it back: lineage ends there, and a lost executor costs nothing.
+
+    The table stays in the folder unless it is made within `discarding`.
+    """
+    kept, path = written(df, name, compression)
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
+    return kept
+
+
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the work tables that this thread pinned inside: write what is still needed before."""
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        mine, _scope.paths = _scope.paths, outer
+        for path in mine:
+            tables.remove(spark, path)
 
 
 def join_counted(big: DataFrame, small: DataFrame, on: str, how: str, most: int = BROADCAST_ROWS) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from keelson.llm import decontam, work
+from keelson.sources import tables
 
 from .test_copies import brute_kept
 from .test_pairs import brute_contamination
@@ -39,3 +40,23 @@ def test_stages(spark):
     pieces = steps["packing"](spark, private, DATA)
     assert {r["doc_id"] for r in pieces.select("doc_id").distinct().collect()} == left
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_discarding(spark):
+    """Work tables go at the end of their own scope, also if it fails; what is made outside stays."""
+
+    def folder():
+        return tables.names(spark, work.shared_dir(spark))
+
+    stays = work.pinned(spark.range(3), "outside")
+    before = folder()
+    with work.discarding(spark):
+        work.pinned(spark.range(3), "one")
+        try:
+            with work.discarding(spark):
+                work.pinned(spark.range(3), "two")
+                raise ValueError
+        except ValueError:
+            assert len(folder()) == len(before) + 1
+        kept, path = work.written(spark.range(4), "result")
+    assert set(folder()) - set(before) == {path.rsplit("/", 1)[1]} and (kept.count(), stays.count()) == (4, 3)
