@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm import copies, decontam, langid, packing, pii, tokens, work
 from keelson.llm.queries import DEMO_KEY
+from keelson.sources import tables
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -70,9 +71,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to `documents`; what is between two stages lies in the shared folder."""
+    """Apply all stages to `documents`; what is between two stages lies in the shared folder.
+
+    A stage's work tables are removed when its rows are written, and its input when the next one's are: the packed
+    rows alone stay, for the caller to remove.
+    """
     work.prepare(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = work.pinned(stage(spark, docs, sf_dir), f"stage-{name}")
+        with work.discarding(spark):
+            docs, path = work.written(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before:
+            tables.remove(spark, before)
+        before = path
     return docs
