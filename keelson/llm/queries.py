@@ -1,4 +1,4 @@
-"""The ten queries of this subpackage, each over its whole table, and their SQL where SQL can express them."""
+"""The thirteen queries of this subpackage, each over its whole table, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import binary, chat, decontam, langid, packing, pii, quality, rules, simhash, tokens, toxicity, work
+from keelson.llm import binary, chat, clusters, decontam, exact, langid, negatives, packing, pii, quality, rules, simhash, tokens, toxicity, work
 
 #: Key of the registered query only; a user passes a secret of their own.
 DEMO_KEY = "keelson-demo-key"
@@ -67,9 +67,23 @@ def op10_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.read_documents(spark, binary.write_files(docs, work.new_path(spark, "token-files"), tokens.default_path(), end_id=2))
 
 
+def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.duplicates(table(spark, sf_dir, "documents")).drop("row")
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return negatives.mine(rows, id_col="vec_id", vector_col="embedding").drop("anchor_row", "positive_row", "negative_row")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_quality, op3_chat, op4_toxicity, op5_language, op6_pii, op7_rules, op8_decontamination, op9_simhash, op10_binary)}
+    return {f.__name__: f for f in (op1_packing, op2_quality, op3_chat, op4_toxicity, op5_language, op6_pii, op7_rules, op8_decontamination, op9_simhash, op10_binary, op11_exact, op12_clusters, op13_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": chat.ORACLE}
+    return {"op3_chat": chat.ORACLE, "op11_exact": exact.ORACLE, "op12_clusters": clusters.oracle(), "op13_negatives": negatives.ORACLE}
