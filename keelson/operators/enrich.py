@@ -5,9 +5,10 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator, Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keelson.functions import scalars
 from keelson.operators import writes
@@ -87,40 +88,45 @@ def complete(rows: DataFrame, fn: Callable[[list[str]], list[str | None]], chunk
     """
     ship(rows.sparkSession)
 
-    def call(ids: list, prompts: list[str], depth: int, out: list) -> None:
+    def call(at: list[int], prompts: list[str], depth: int, out: list) -> None:
         import time
 
         if deadline is not None and time.time() > deadline:
-            out += [(i, None, "skipped", depth) for i in ids]
+            out += [(i, None, "skipped", depth) for i in at]
             return
         try:
             answers = fn(prompts)
         except CompletionError as e:
-            half = len(ids) // 2
+            half = len(at) // 2
             if e.retryable and depth < levels and half >= least:
-                call(ids[:half], prompts[:half], depth + 1, out)
-                call(ids[half:], prompts[half:], depth + 1, out)
+                call(at[:half], prompts[:half], depth + 1, out)
+                call(at[half:], prompts[half:], depth + 1, out)
             else:
-                out += [(i, None, "failed", depth) for i in ids]
+                out += [(i, None, "failed", depth) for i in at]
             return
-        answers = list(answers) + [None] * (len(ids) - len(answers))
-        out += [(i, a, "ok" if a is not None else "failed", depth) for i, a in zip(ids, answers, strict=False)]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out: list = []
-            for at in range(0, len(pdf), chunk):
-                part = pdf.iloc[at : at + chunk]
-                call(part[key].tolist(), part[prompt].tolist(), 0, out)
-            yield pd.DataFrame(out, columns=[key, "answer", "status", "depth"])
-
-    def run_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat(run(iter([pdf.sort_values(key)])))
-
-    schema = f"{key} {rows.schema[key].dataType.simpleString()}, answer string, status string, depth int"
+        answers = list(answers) + [None] * (len(at) - len(answers))
+        out += [(i, a, "ok" if a is not None else "failed", depth) for i, a in zip(at, answers, strict=False)]
+
+    def answered(rows: pa.RecordBatch | pa.Table) -> pa.Table:
+        """The keys stay in Arrow, whatever their type; only places and prompts are Python values."""
+        prompts, out = rows.column(prompt).to_pylist(), []
+        for first in range(0, len(prompts), chunk):
+            call(list(range(first, min(first + chunk, len(prompts)))), prompts[first : first + chunk], 0, out)
+        at, answers, status, depth = zip(*out, strict=True) if out else ((),) * 4
+        keys = rows.column(key).take(pa.array(at, pa.int64()))
+        return pa.table({key: keys, "answer": pa.array(answers, pa.string()), "status": pa.array(status, pa.string()), "depth": pa.array(depth, pa.int32())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from answered(batch).to_batches()
+
+    def run_group(table: pa.Table) -> pa.Table:
+        return answered(table.sort_by(key).combine_chunks())
+
+    schema = T.StructType([T.StructField(key, rows.schema[key].dataType), *T.StructType.fromDDL("answer string, status string, depth int").fields])
     if group:
-        return rows.select(key, prompt, group).groupBy(group).applyInPandas(run_group, schema)
-    return rows.select(key, prompt).mapInPandas(run, schema)
+        return rows.select(key, prompt, group).groupBy(group).applyInArrow(run_group, schema)
+    return rows.select(key, prompt).mapInArrow(run, schema)
 
 
 def parse(answers: DataFrame, outputs: Mapping[str, str], key: str = "_id") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,14 +45,16 @@ def copy_create(source: DataFrame, destination: DataFrame, proceed: bool = True)
 
 
 def client_reindex(source: DataFrame, destination: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
-    """Copy through user code on pandas batches."""
+    """Copy through user code on pandas batches, whose columns have Arrow types: what `fn` leaves alone comes back as it was."""
     ship(source.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from map(fn, batches)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = fn(pa.Table.from_batches([batch]).to_pandas(types_mapper=pd.ArrowDtype))
+            yield from pa.Table.from_pandas(out, schema=batch.schema, preserve_index=False).to_batches()
 
     rows = source.drop("_version")
-    return reindex(rows.mapInPandas(run, rows.schema), destination)
+    return reindex(rows.mapInArrow(run, rows.schema), destination)
 
 
 def delete_by_query(table: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:

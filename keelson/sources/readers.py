@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keelson.sources import tables
+
+#: Rows of a range of a paged scan, about.
+RANGE_ROWS = 1_000_000
+
 STOCK = T.StructType([
     T.StructField("date", T.DateType()), T.StructField("open", T.DoubleType()), T.StructField("high", T.DoubleType()),
     T.StructField("low", T.DoubleType()), T.StructField("close", T.DoubleType()), T.StructField("volume", T.IntegerType()), T.StructField("symbol", T.StringType()),
@@ -17,18 +22,18 @@ STOCK = T.StructType([
 def pages(df: DataFrame, sort: list[str | Column], size: int) -> DataFrame:
     """`page` (from 0) and `total` (rows of the scan) for each row in the sort order.
 
-    Ranks come from a range partitioning: each partition is numbered by itself and shifted by the rows before it, so
-    no single task sorts the table.  `sort` must be a total order for pages to be repeatable.
+    The rows are written once to the work folder, dealt by ranges and sorted, each with the number of its range and its
+    place there; counts of the ranges are taken from what was written, so every rank is exact whatever ranges Spark has
+    sampled, and no single task sorts the table.  `sort` must be a total order for pages to be repeatable.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number, so that both uses below see the same partitions
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // RANGE_ROWS))
     ordered = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
     marked = ordered.withColumn("_part", F.spark_partition_id()).withColumn("_in_part", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    marked, _ = tables.pinned(marked, "ranges")
     counts = marked.groupBy("_part").agg(F.count("*").alias("_n"))
-    order = Window.orderBy("_part")
-    shifts = counts.select("_part", (F.sum("_n").over(order) - F.col("_n")).alias("_shift"), F.sum("_n").over(Window.partitionBy()).alias("total"))
-    out = marked.join(F.broadcast(shifts), "_part")
+    shifts = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_shift"), F.sum("_n").over(Window.partitionBy()).alias("total"))  # a row a range
     page = F.floor((F.col("_shift") + F.col("_in_part")) / size).cast("long")
-    return out.withColumn("page", page).drop("_part", "_in_part", "_shift")
+    return marked.join(F.broadcast(shifts), "_part").withColumn("page", page).drop("_part", "_in_part", "_shift")
 
 
 def after(df: DataFrame, sort: list[str], last: list, size: int) -> DataFrame:

@@ -8,13 +8,16 @@ so a reader that resolved an alias keeps a consistent snapshot.  One writer per
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+_scope = threading.local()
 ALIASES = "alias string, index string"
 
 
@@ -25,7 +28,9 @@ def scratch(spark: SparkSession, name: str) -> str:
         context = spark.sparkContext
         if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = _own.setdefault(context.applicationId, tempfile.mkdtemp(prefix="spark-"))
+        if context.applicationId not in _own:
+            _own[context.applicationId] = tempfile.mkdtemp(prefix="spark-")
+        base = _own[context.applicationId]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -48,12 +53,29 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def pinned(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write `df` once to the work folder; the frame that reads it back, and its path, which the caller removes."""
+    """Write `df` once to the work folder; the frame that reads it back, and its path.
+
+    The caller removes it, or it goes at the end of the `discarding` in which it was made.
+    """
     path = scratch(df.sparkSession, name)
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the work tables that this thread pinned inside: write or collect what is still needed before."""
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        mine, _scope.paths = _scope.paths, outer
+        for path in mine:
+            remove(spark, path)
+
+
 class TableRoot:
     """Snapshots and aliases below one directory."""
 

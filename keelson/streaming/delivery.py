@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from keelson.operators import reports, writes
@@ -23,24 +26,22 @@ def count_batches(df: DataFrame, order: list[str], size: int = 1000) -> DataFram
 def byte_batches(df: DataFrame, page: str, order: str, size: Column, budget: int) -> DataFrame:
     """`batch` within each page: cut before the row that would exceed the budget.  A row above it goes alone.
 
-    `order` may be of any type that sorts; rows of equal order go by size.  Packing is sequential within a page and
-    parallel over pages; pages are bounded (see count_batches).
+    `order` may be of any type that sorts; rows of equal order go by size, nulls first.  Packing is sequential within a
+    page and parallel over pages; pages are bounded (see count_batches).  Rows stay in the JVM, so no value changes.
     """
-    ship(df.sparkSession)
-    rows = df.withColumn("_size", size.cast("long"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    pages = df.groupBy(page).agg(F.collect_list(F.struct(row.alias("row"), F.col(order).alias("order"), F.coalesce(size.cast("long"), F.lit(0)).alias("size"))).alias("_rows"))
+    keys = F.array_sort(F.transform("_rows", lambda r, i: F.struct(r["order"].alias("order"), r["size"].alias("size"), i.alias("i"))))
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([order, "_size"], na_position="first", kind="stable")
-        batch, used, out = 0, 0, []
-        for s in pdf["_size"].fillna(0).astype("int64"):
-            if used > 0 and used + s > budget:
-                batch, used = batch + 1, 0
-            used += int(s)
-            out.append(batch)
-        return pdf.drop(columns="_size").assign(batch=out)
+    def step(so_far: Column, key: Column) -> Column:
+        cut = (so_far["used"] > 0) & (so_far["used"] + key["size"] > budget)
+        batch = so_far["batch"] + cut.cast("int")
+        return F.struct(batch.alias("batch"), F.when(cut, key["size"]).otherwise(so_far["used"] + key["size"]).alias("used"), F.concat(so_far["out"], F.array(batch)).alias("out"))
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
-    return rows.groupBy(page).applyInPandas(pack, ", ".join([*fields, "batch int"]))
+    start = F.struct(F.lit(0).alias("batch"), F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("out"))
+    numbered = pages.withColumn("_keys", keys).withColumn("_batches", F.aggregate("_keys", start, step)["out"])
+    placed = numbered.select(F.inline(F.zip_with("_keys", "_batches", lambda k, b: F.struct(F.get("_rows", k["i"])["row"].alias("row"), b.alias("batch")))))
+    return placed.select("row.*", "batch")
 
 
 def oversized(df: DataFrame, size: Column, budget: int) -> DataFrame:
@@ -57,34 +58,32 @@ def send_with_retries(rows: DataFrame, send: Callable[[pd.DataFrame, int], list[
     """Every row with status, attempts and outcome (accepted, rejected or exhausted).
 
     `send(rows, attempt)` returns one status a row.  Rows with a retryable status are sent again, up to `retries`
-    times, after `wait(attempt)`; an exception fails the rows for good.
+    times, after `wait(attempt)`; an exception fails the rows for good.  `send` sees pandas columns of Arrow types, in
+    which a nullable long is exact; the rows themselves stay in Arrow.
     """
     ship(rows.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            open_, done = pdf.reset_index(drop=True), []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = pa.Table.from_batches([batch]).to_pandas(types_mapper=pd.ArrowDtype)
+            status, attempts = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows, np.int32)
+            open_ = np.arange(batch.num_rows)
             for attempt in range(retries + 1):
+                if not len(open_):
+                    break
                 if attempt and wait:
                     wait(attempt)
+                attempts[open_] = attempt + 1
                 try:
-                    status = pd.Series(send(open_, attempt), index=open_.index)
+                    status[open_] = list(send(seen.iloc[open_], attempt))
                 except Exception:  # noqa: BLE001  a failed transport is reported, not retried
-                    done.append(open_.assign(status=0, attempts=attempt + 1, outcome="rejected"))
-                    open_ = open_.iloc[0:0]
-                    break
-                again = status.isin(reports.RETRY_STATUS)
-                settled = open_[~again].assign(status=status[~again], attempts=attempt + 1)
-                done.append(settled.assign(outcome=["accepted" if 200 <= s <= 299 else "rejected" for s in settled["status"]]))
-                last, open_ = status[again], open_[again]
-                if open_.empty:
+                    status[open_] = 0
                     break
-            if not open_.empty:
-                done.append(open_.assign(status=last, attempts=retries + 1, outcome="exhausted"))
-            yield pd.concat(done)
+                open_ = open_[np.isin(status[open_], reports.RETRY_STATUS)]
+            outcome = np.where((status >= 200) & (status <= 299), "accepted", np.where(np.isin(status, reports.RETRY_STATUS), "exhausted", "rejected"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(status), pa.array(attempts), pa.array(outcome.tolist(), pa.string())], names=[*batch.schema.names, "status", "attempts", "outcome"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInPandas(run, f"{fields}, status int, attempts int, outcome string")
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *T.StructType.fromDDL("status int, attempts int, outcome string").fields]))
 
 
 def upsert_stream(stream: DataFrame, table: BucketedTable, key: str, seq: str, checkpoint: str, processing_time: str | None = None) -> StreamingQuery:
