@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keelson.session import ship
+from keelson.operators import grid
+from keelson.sources import tables
 
 #: Cells of a field's bounds in which many stored ranges are looked up.
 CELLS = 4096
-#: Queries of one broadcast block of a vector search.
-BLOCK_QUERIES = 4096
+#: Keys over which rows are dealt that meet queries which any row may satisfy.
+SALTS = 64
 
 
 def collapse(df: DataFrame, field: str, order: list[Column]) -> DataFrame:
@@ -41,27 +42,36 @@ def number(c: Column, kind: str) -> Column:
     return F.unix_micros(c.cast("timestamp")).cast("double") if kind in ("date", "timestamp", "timestamp_ntz") else c.cast("double")
 
 
+def _finite(c: Column) -> Column:
+    return F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)
+
+
+def _cell(c: Column, low: float | Column, width: float | Column) -> Column:
+    """The cell of a double: -1 below the bounds, CELLS above them and for NaN, which sorts above every number."""
+    at = F.floor((c - low) / width)
+    return F.when(F.isnan(c), CELLS).otherwise(F.greatest(F.lit(-1), F.least(F.lit(CELLS), at))).cast("int")
+
+
 def range_match(rows: DataFrame, value: str, ranges: DataFrame, most: int = 10_000) -> DataFrame:
     """Each row with every stored range (name, gte, lte; an open end is null) that holds its value; null values are in none.
 
     The ranges are a stated set: up to `most` are broadcast; more are cut at their ends into disjoint cells first, so
-    that rows find theirs by an equi-join on the cell.  Both give the same rows, for numbers, dates and times.
+    that rows find theirs by an equi-join on the cell.  Both give the same rows, for numbers, dates and times.  NaN is
+    above every number, as in Spark's order, so it is in ranges that are open above.
     """
+    if clash := {"name", "gte", "lte"} & set(rows.columns):
+        raise ValueError(f"rename the columns {sorted(clash)} of the rows, which ranges have too")
     inside = (F.col("gte").isNull() | (F.col(value) >= F.col("gte"))) & (F.col("lte").isNull() | (F.col(value) <= F.col("lte"))) & F.col(value).isNotNull()
     if ranges.limit(most + 1).count() <= most:
         return rows.join(F.broadcast(ranges), inside, "inner")
     low, high = (number(F.col(c), ranges.schema[c].dataType.simpleString()) for c in ("gte", "lte"))
-    bounds = ranges.agg(F.min(F.least(low, high)).alias("lo"), F.max(F.greatest(low, high)).alias("hi")).first()
+    bounds = ranges.agg(F.min(F.least(_finite(low), _finite(high))).alias("lo"), F.max(F.greatest(_finite(low), _finite(high))).alias("hi")).first()
     lo = bounds["lo"] or 0.0
-    width = max(1e-12, ((bounds["hi"] or 0.0) - lo) / 4096)
-
-    def cell(c: Column) -> Column:
-        return F.greatest(F.lit(-1), F.least(F.lit(4096), F.floor((c - lo) / width))).cast("int")
-
-    first = F.when(F.col("gte").isNull(), -1).otherwise(cell(low))
-    last = F.when(F.col("lte").isNull(), 4096).otherwise(cell(high))
+    width = max(1e-12, ((bounds["hi"] or 0.0) - lo) / CELLS)
+    first = F.when(F.col("gte").isNull(), -1).otherwise(_cell(low, lo, width))
+    last = F.when(F.col("lte").isNull(), CELLS).otherwise(_cell(high, lo, width))
     cells = ranges.where(first <= last).withColumn("_cell", F.explode(F.sequence(first, last)))
-    own = cell(number(F.col(value), rows.schema[value].dataType.simpleString()))
+    own = _cell(number(F.col(value), rows.schema[value].dataType.simpleString()), lo, width)
     return rows.where(F.col(value).isNotNull()).withColumn("_cell", own).join(cells, "_cell").where(inside).drop("_cell")
 
 
@@ -80,10 +90,6 @@ def l2(a: Column, b: Column) -> Column:
 SIMILARITY = {"cosine": cosine, "dot_product": dot, "l2_norm": lambda a, b: 1 / (1 + l2(a, b) * l2(a, b))}
 
 
-def _norms(vectors: np.ndarray) -> np.ndarray:
-    return _dots(vectors, vectors)
-
-
 def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Dot products of rows, summed from left to right as `dot` does, so equal vectors get equal scores."""
     out = np.zeros(len(a))
@@ -92,87 +98,211 @@ def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def vector_top(rows: DataFrame, queries: DataFrame, id_col: str, vector_col: str, n: int = 5) -> DataFrame:
+def vector_top(rows: DataFrame, queries: DataFrame, id_col: str, vector_col: str, n: int = 5, side: int = grid.SIDE) -> DataFrame:
     """query_id, id, score: the n rows most similar (cosine) to each row of `queries`; ties go to the lowest id, nulls last.
 
-    The queries are counted and broadcast in blocks; each task keeps n rows for each query, and these are merged.
-    A product of matrices picks what can be among the n best, and only that is scored in the order of `dot`.  Null and
-    zero vectors, null components and other lengths than the query's have no similarity and are left out.
+    Both sides are written once and meet in tiles (see grid), each of which keeps n rows for each of its queries; the
+    driver holds no vector.  A product of matrices picks what can be among the n best, and only that is scored in the
+    order of `dot`.  Null and zero vectors, null or non-finite components and other lengths than the query's have no
+    similarity and are left out.
     """
-    ship(rows.sparkSession)
-    usable = F.col(vector_col).isNotNull() & F.forall(vector_col, lambda x: x.isNotNull()) & F.exists(vector_col, lambda x: x != 0)
-    plain = [F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")]
-    rows, queries = rows.where(usable).select(*plain), queries.where(usable).select(*plain, F.size(vector_col).alias("width"))
-    blocks: list[list] = []
-    for q in queries.orderBy("width", "id").toLocalIterator():
-        if not blocks or len(blocks[-1]) >= BLOCK_QUERIES or blocks[-1][0]["width"] != q["width"]:
-            blocks.append([])
-        blocks[-1].append(q)
-    schema = "block int, number int, query_id long, id long, score double"
-
-    def passed(block: int, own: list) -> DataFrame:
-        ids, matrix = [q["id"] for q in own], np.array([q["v"] for q in own])
-        shared = rows.sparkSession.sparkContext.broadcast((ids, matrix, _norms(matrix)))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            names, q, qq = shared.value
-            unit = q / np.sqrt(qq)[:, None]
-            best: list[list[tuple]] = [[] for _ in names]  # (-score, id is null, id)
-            for batch in batches:
-                for at in range(0, batch.num_rows, 1000):
-                    part = batch.slice(at, 1000)
-                    found, v = part.column(0).to_pylist(), np.array(part.column(1).to_pylist()).reshape(part.num_rows, -1)
-                    vv = _norms(v)
-                    near = unit @ (v / np.sqrt(vv)[:, None]).T
-                    low = np.partition(near, -n, axis=1)[:, -n] if near.shape[1] > n else np.full(len(q), -2.0)
-                    low = np.maximum(low, [-b[-1][0] if len(b) == n else -2.0 for b in best]) - 1e-9
-                    a, b = np.nonzero(near >= low[:, None])
-                    for first in range(0, len(a), 100_000):
-                        x, y = a[first : first + 100_000], b[first : first + 100_000]
-                        scores = _dots(v[y], q[x]) / np.sqrt(vv[y] * qq[x])
-                        for k in np.unique(x).tolist():
-                            mine = np.flatnonzero(x == k)
-                            best[k] = sorted([*best[k], *((-s, found[j] is None, found[j] or 0) for s, j in zip(scores[mine].tolist(), y[mine].tolist(), strict=True))])[:n]
-            out = [(block, k, names[k], None if none else i, -s) for k, b in enumerate(best) for s, none, i in b]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["block", "number", "query_id", "id", "score"])
-
-        return rows.where(F.size("v") == own[0]["width"]).mapInArrow(run, schema)
-
-    merged = rows.sparkSession.createDataFrame([], schema)
-    for block, own in enumerate(blocks):
-        merged = merged.unionByName(passed(block, own))
-    order = Window.partitionBy("block", "number").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last())
-    return merged.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= n).select("query_id", "id", "score")
-
-
-def complete(df: DataFrame, id_col: str, text_col: str, prefix: str, order: list[Column], n: int) -> DataFrame:
-    """The best n rows whose text starts with a prefix (case kept)."""
+    ok = F.forall(vector_col, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))) & F.exists(vector_col, lambda x: x != 0)
+    plain = [F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")]
+    sides = [tables.pinned(df.where(F.col(vector_col).isNotNull() & ok).select(*plain), name)[0] for df, name in ((queries, "queries"), (rows, "vectors"))]
+    found = grid.tiled(*sides, _nearest(n), "query long, query_id long, row long, id long, score double", side=side)
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last(), F.col("row"))
+    return found.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= n).select("query_id", "id", "score")
+
+
+def _nearest(n: int):
+    def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        theirs, parts = {v.shape[1]: (at, v) for at, v in grid.by_width(rows.column("v"))}, []
+        for at, q in grid.by_width(queries.column("v")):
+            if q.shape[1] in theirs:
+                parts.append(width(queries.take(pa.array(at)), q, rows.take(pa.array(theirs[q.shape[1]][0])), theirs[q.shape[1]][1]))
+        return pa.concat_tables(parts) if parts else pa.table({"query": pa.array([], pa.int64()), "query_id": pa.array([], pa.int64()), "row": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+
+    def width(queries: pa.Table, q: np.ndarray, rows: pa.Table, v: np.ndarray) -> pa.Table:
+        none, ids, row = np.asarray(rows.column("id").is_null().to_numpy(), bool), rows.column("id").fill_null(0).to_numpy(), rows.column("row").to_numpy()
+        qq, vv = _dots(q, q), _dots(v, v)
+        unit_q, unit_v = q / np.sqrt(qq)[:, None], v / np.sqrt(vv)[:, None]
+        best_q, best_v, best_s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        bar = np.full(len(q), -2.0)
+        for x in range(0, len(q), 256):
+            for y in range(0, len(v), 4096):
+                near = unit_q[x : x + 256] @ unit_v[y : y + 4096].T
+                low = np.partition(near, -n, axis=1)[:, -n] if near.shape[1] > n else np.full(len(near), -2.0)
+                i, j = np.nonzero(near >= (np.maximum(low, bar[x : x + 256]) - 1e-9)[:, None])
+                i, j = i + x, j + y
+                scores = np.concatenate([_dots(q[i[k : k + 50_000]], v[j[k : k + 50_000]]) / np.sqrt(qq[i[k : k + 50_000]] * vv[j[k : k + 50_000]]) for k in range(0, len(i), 50_000)]) if len(i) else np.zeros(0)
+                best_q, best_v, best_s = np.concatenate([best_q, i]), np.concatenate([best_v, j]), np.concatenate([best_s, scores])
+                kept = grid.first_of_each(best_q, n, -best_s, none[best_v], ids[best_v], row[best_v])
+                best_q, best_v, best_s = best_q[kept], best_v[kept], best_s[kept]
+                worst = np.full(len(q), 2.0)
+                np.minimum.at(worst, best_q, best_s)
+                full = np.bincount(best_q, minlength=len(q)) == n
+                bar[full] = worst[full]
+        take = queries.take(pa.array(best_q))
+        return pa.table({"query": take.column("row"), "query_id": take.column("id"), "row": pa.array(row[best_v]), "id": pa.array(ids[best_v], mask=none[best_v]), "score": pa.array(best_s)})
+
+    return run
+
+
+def complete(df: DataFrame, text_col: str, prefix: str, order: list[Column], n: int) -> DataFrame:
+    """The best n rows whose text starts with one prefix (case kept), by a scan."""
     return top(df.where(F.col(text_col).startswith(prefix)), order, n)
 
 
-def stored_queries(rows: DataFrame, queries: DataFrame, fields: list[str], most: int = 10_000) -> DataFrame:
-    """Which stored predicates each row satisfies: queries are (query_id, field, lo, hi, value), null parts don't bind.
+@dataclass(frozen=True)
+class Completions:
+    """An index of prefixes: `tops` has the best rows of each prefix of up to `depth` characters, with prefix and rank;
+    `stems` has every row with the first `depth` characters of its text, for longer prefixes."""
+
+    tops: DataFrame
+    stems: DataFrame
+    text: str
+    order: list[Column]
+    n: int
+    depth: int
+
+
+def _ranked(df: DataFrame, by: str, order: list[Column], n: int) -> DataFrame:
+    """The first n rows of each value of `by` with their rank; tasks keep n rows a value before anything is shuffled."""
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("rank") <= n)
+
+
+def completions(df: DataFrame, text_col: str, order: list[Column], n: int = 10, depth: int = 8) -> Completions:
+    """Index the rows of `df` for completion; `order` is total, rows without a text are left out.
+
+    First the best n rows of each stem (the first `depth` characters) are found; what is best for a shorter prefix is
+    among those, so only they are entered under their prefixes.  No prefix gathers more than n rows of a task.
+    """
+    stems = df.where(F.col(text_col).isNotNull()).withColumn("_stem", F.substring(text_col, 1, depth))
+    best = _ranked(stems, "_stem", order, n).drop("rank")
+    prefixes = best.withColumn("prefix", F.explode(F.transform(F.sequence(F.lit(0), F.length("_stem")), lambda k: F.substring(F.col("_stem"), F.lit(1), k)))).drop("_stem")
+    return Completions(_ranked(prefixes, "prefix", order, n), stems, text_col, order, n, depth)
+
+
+def completed(index: Completions, prefixes: DataFrame) -> DataFrame:
+    """prefix, rank and the columns of the best rows for every different prefix of the column `prefix`, in one join.
+
+    Prefixes longer than the index is deep meet the rows of their stem and are checked there.
+    """
+    wanted = prefixes.select("prefix").where("prefix IS NOT NULL").distinct()
+    short = index.tops.join(wanted.where(F.length("prefix") <= index.depth), "prefix")
+    stems = wanted.where(F.length("prefix") > index.depth).select(F.col("prefix").alias("_prefix"), F.substring("prefix", 1, index.depth).alias("_stem"))
+    long = index.stems.join(stems, "_stem").where(F.col(index.text).startswith(F.col("_prefix"))).withColumnRenamed("_prefix", "prefix").drop("_stem")
+    return short.unionByName(_ranked(long, "prefix", index.order, index.n))
+
+
+def stored_queries(rows: DataFrame, queries: DataFrame, fields: list[str], most: int = 10_000, name: str = "query_id") -> DataFrame:
+    """Each row with the id (column `name`) of every stored query that it satisfies.
+
+    `queries` has a row a clause: query_id, field, lo, hi, value and, if wanted, occur (must, which is the default, should
+    or must_not) and minimum_should_match, the same in all rows of a query (null: 1 for a query of should clauses without a must, else 0).
+    Null parts of a clause don't bind; one without any holds for every row; one on a field that isn't among `fields` for
+    none.  NaN is above every number.
 
-    Rows are turned into (row, field) pairs for the fields that queries name.  Up to `most` queries are broadcast.  More
-    meet the pairs by an equi-join on field and value where they name a value, else on field and cell: each field's
-    bounds are cut into cells, and a query has a row for each cell that it touches.  Both ways give the same rows.
+    Each query is entered in an index under the clause that fewest rows meet: a must clause, or as many of its should
+    clauses as a row can't all miss.  Rows look up their values and cells there by an equi-join, and a candidate is judged by
+    counting the clauses that it meets, so wide clauses are never expanded to pairs.  Index and queries are broadcast if they are
+    counted and few; both ways give the same rows.
     """
-    few = queries.limit(most + 1).count() <= most
-    pairs = rows.withColumn("_f", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).try_cast("double").alias("num"), F.col(f).cast("string").alias("str")) for f in fields])))
-    pairs = pairs.select("*", F.col("_f.field").alias("field"), F.col("_f.num").alias("_num"), F.col("_f.str").alias("_str")).drop("_f")
-    holds = "(lo IS NULL OR _num >= lo) AND (hi IS NULL OR _num <= hi) AND (value IS NULL OR _str = value)"
-    if few:
-        return pairs.join(F.broadcast(queries), "field").where(holds).drop("_num", "_str")
-    spans = queries.where("value IS NULL").groupBy("field").agg(F.min(F.least("lo", "hi")).alias("_low"), F.greatest(F.max(F.greatest("lo", "hi")) - F.min(F.least("lo", "hi")), F.lit(1e-12)).alias("_wide"))
-    spans = F.broadcast(spans.where(F.col("field").isin(fields)))  # one row a field of the rows
-
-    def cell(c: Column) -> Column:
-        at = F.floor((c - F.col("_low")) / F.col("_wide") * CELLS)
-        return F.coalesce(F.greatest(F.lit(-1), F.least(F.lit(CELLS + 1), at)), F.lit(-1)).cast("int")
-
-    exact = pairs.join(queries.where("value IS NOT NULL"), (pairs["field"] == queries["field"]) & (pairs["_str"] == queries["value"])).drop(queries["field"])
-    first, last = F.when(F.col("lo").isNull(), -1).otherwise(cell(F.col("lo"))), F.when(F.col("hi").isNull(), CELLS + 1).otherwise(cell(F.col("hi")))
-    ranged = queries.where("value IS NULL").join(spans, "field").where(first <= last).withColumn("_cell", F.explode(F.sequence(first, last))).drop("_low", "_wide")
-    near = pairs.join(spans, "field").withColumn("_cell", cell(F.col("_num"))).drop("_low", "_wide").join(ranged, ["field", "_cell"]).drop("_cell")
-    return near.unionByName(exact.select(*near.columns)).where(holds).drop("_num", "_str")
+    if name in rows.columns:
+        raise ValueError(f"the rows have a column {name}: pass another name")
+    index = _QueryIndex(rows, queries, fields)
+    entries, _ = tables.pinned(index.entries(), "query-entries")
+    asked, _ = tables.pinned(index.queries, "queries")
+    few = lambda df, n: F.broadcast(df) if df.limit(n + 1).count() <= n else df
+    on = ["_field", "_value", "_cell"]
+    looked_up = index.keyed(not entries.where("_field = ''").isEmpty()).join(few(entries, most * 4), on).drop(*on)
+    judged = looked_up.join(few(asked, most), "_query").where(index.met())
+    return judged.select("_row.*", F.col("_query").alias(name))
+
+
+class _QueryIndex:
+    """The clauses of stored queries, how rare they are in the rows, and where each query is entered."""
+
+    def __init__(self, rows: DataFrame, queries: DataFrame, fields: list[str]):
+        self.fields = fields
+        self.has = F.create_map(*[x for f in fields for x in (F.lit(f), F.struct(F.col(f"`{f}`").try_cast("double").alias("num"), F.col(f"`{f}`").cast("string").alias("str")))])
+        self.rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"), self.has.alias("_has"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("_salt"))
+        given = lambda c, kind: F.col(c).cast(kind) if c in queries.columns else F.lit(None).cast(kind)
+        self.clauses = queries.select(
+            F.col("query_id").alias("_query"), F.coalesce(given("occur", "string"), F.lit("must")).alias("occur"), F.col("field"), F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi"),
+            F.col("value").cast("string").alias("value"), given("minimum_should_match", "int").alias("least"), F.monotonically_increasing_id().alias("clause"),
+        )
+        self.clauses, _ = tables.pinned(self.clauses, "clauses")
+        kind = F.when(F.col("value").isNotNull(), "value").when(F.col("lo").isNull() & F.col("hi").isNull(), "any").otherwise("range")
+        self.clauses = self.clauses.withColumn("kind", F.when(F.col("field").isin(fields), kind).otherwise("never"))
+        spans = self.clauses.where("kind = 'range'").groupBy("field").agg(F.min(F.least(_finite(F.col("lo")), _finite(F.col("hi")))).alias("low"), F.max(F.greatest(_finite(F.col("lo")), _finite(F.col("hi")))).alias("high"))
+        #: Low end and width of a cell of each ranged field: a row a field of the rows.
+        self.spans = {r["field"]: (r["low"] or 0.0, max(1e-12, ((r["high"] or 0.0) - (r["low"] or 0.0)) / CELLS)) for r in spans.collect()}
+        self.exact = [r["field"] for r in self.clauses.where("kind = 'value'").select("field").distinct().collect()]
+        first, last = F.lit(-1), F.lit(CELLS)
+        for f, (low, width) in self.spans.items():
+            mine = F.col("field") == f
+            first = F.when(mine & F.col("lo").isNotNull(), _cell(F.col("lo"), low, width)).otherwise(first)
+            last = F.when(mine & F.col("hi").isNotNull(), _cell(F.col("hi"), low, width)).otherwise(last)
+        self.clauses = self.clauses.withColumn("first", first).withColumn("last", last)
+        parts = F.collect_list(F.struct("clause", "occur", "field", "lo", "hi", "value"))
+        count = lambda occur: F.sum((F.col("occur") == occur).cast("int"))
+        asked = self.clauses.groupBy("_query").agg(parts.alias("_clauses"), count("must").alias("_musts"), count("should").alias("_shoulds"), F.max("least").alias("_least"))
+        self.queries = asked.withColumn("_least", F.coalesce("_least", F.when((F.col("_musts") == 0) & (F.col("_shoulds") > 0), 1).otherwise(0)))
+
+    def keys(self, everywhere: bool) -> Column:
+        """What a row is looked up by: its value of each field with exact clauses, its cell of each with ranges."""
+        at = lambda f, v, c: F.struct(F.lit(f).alias("_field"), v.alias("_value"), c.cast("int").alias("_cell"))
+        of = lambda f: F.try_element_at("_has", F.lit(f))
+        keys = [F.when(of(f)["str"].isNotNull(), at(f, of(f)["str"], F.lit(-2))) for f in self.exact]
+        keys += [F.when(of(f)["num"].isNotNull(), at(f, F.lit(""), _cell(of(f)["num"], low, width))) for f, (low, width) in self.spans.items()]
+        keys += [at("", F.lit(""), F.col("_salt"))] if everywhere else []
+        return F.filter(F.array(*keys), lambda k: k.isNotNull()) if keys else F.array().cast("array<struct<_field:string,_value:string,_cell:int>>")
+
+    def keyed(self, everywhere: bool) -> DataFrame:
+        return self.rows.withColumn("_key", F.explode(self.keys(everywhere))).select("_row", "_has", "_key.*")
+
+    def rarity(self) -> DataFrame:
+        """clause, rare: how many rows meet an exact clause; for a range the rows of its cells."""
+        met = self.rows.select(F.explode(self.keys(False)).alias("k")).select("k.*")
+        exact = self.clauses.where("kind = 'value'").select("clause", F.col("field").alias("_field"), F.col("value").alias("_value"))
+        values = exact.select("_field", "_value").distinct()
+        by_value = met.where("_cell = -2").join(values, ["_field", "_value"], "left_semi").groupBy("_field", "_value").agg(F.count("*").alias("rare"))
+        of_exact = exact.join(by_value, ["_field", "_value"], "left").select("clause", F.coalesce("rare", F.lit(0)).alias("rare"))
+        by_cell = met.where("_cell > -2").groupBy("_field", "_cell").agg(F.count("*").alias("n"))
+        running = F.sum("n").over(Window.partitionBy("_field").orderBy("_cell"))  # CELLS + 2 rows a field at most
+        sums = by_cell.select(F.col("_field").alias("field"), F.struct(F.col("_cell").alias("cell"), running.alias("upto")).alias("s")).groupBy("field").agg(F.sort_array(F.collect_list("s")).alias("sums"))
+        upto = lambda c: F.coalesce(F.array_max(F.transform(F.filter("sums", lambda s: s["cell"] <= c), lambda s: s["upto"])), F.lit(0))
+        ranges = self.clauses.where("kind = 'range'").join(F.broadcast(sums), "field", "left")
+        return of_exact.unionByName(ranges.select("clause", (upto(F.col("last")) - upto(F.col("first") - 1)).alias("rare")))
+
+    def entries(self) -> DataFrame:
+        """_query, _entry (the number of the clause), _entered (all such of the query) and the keys under which rows find it."""
+        all_rows = F.lit(2**62).cast("long")
+        rare = self.clauses.join(self.rarity(), "clause", "left").withColumn("rare", F.when(F.col("kind") == "never", -1).otherwise(F.coalesce("rare", all_rows)))
+        place = F.row_number().over(Window.partitionBy("_query", "occur").orderBy("rare", "clause"))
+        ranked = rare.withColumn("place", place).join(self.queries.select("_query", "_musts", "_shoulds", "_least"), "_query")
+        of_must = (F.col("occur") == "must") & (F.col("place") == 1)
+        of_should = (F.col("occur") == "should") & (F.col("_musts") == 0) & (F.col("_least") > 0) & (F.col("place") <= F.col("_shoulds") - F.col("_least") + 1)
+        chosen = ranked.where((of_must | of_should) & (F.col("kind") != "never"))
+        everywhere = F.transform(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda k: F.struct(F.lit("").alias("_field"), F.lit("").alias("_value"), k.cast("int").alias("_cell")))
+        cells = F.when(F.col("first") <= F.col("last"), F.transform(F.sequence(F.col("first"), F.greatest("first", "last")), lambda k: F.struct(F.col("field").alias("_field"), F.lit("").alias("_value"), k.alias("_cell"))))
+        keys = F.when(F.col("kind") == "value", F.array(F.struct(F.col("field").alias("_field"), F.col("value").alias("_value"), F.lit(-2).alias("_cell")))).when(F.col("kind") == "range", cells).otherwise(everywhere)
+        entered = F.collect_list("clause").over(Window.partitionBy("_query"))
+        named = chosen.select("_query", F.col("clause").alias("_entry"), entered.alias("_entered"), keys.alias("k"))
+        open_ = self.queries.where("_musts = 0 AND _least <= 0").select("_query", F.lit(None).cast("long").alias("_entry"), F.array().cast("array<long>").alias("_entered"), everywhere.alias("k"))
+        return named.unionByName(open_).select("_query", "_entry", "_entered", F.explode("k").alias("k")).select("_query", "_entry", "_entered", "k.*")
+
+    def met(self) -> Column:
+        """Whether a candidate row satisfies its query, and was found by the first entry that can find it."""
+
+        def holds(c: Column) -> Column:
+            own = F.try_element_at("_has", c["field"])
+            bound = (c["lo"].isNull() | (own["num"] >= c["lo"])) & (c["hi"].isNull() | (own["num"] <= c["hi"])) & (c["value"].isNull() | (own["str"] == c["value"]))
+            return F.coalesce(own.isNotNull() & bound, F.lit(False))
+
+        held = F.filter("_clauses", holds)
+        count = lambda occur: F.size(F.filter(held, lambda c: c["occur"] == occur))
+        whole = (count("must") == F.col("_musts")) & (count("must_not") == 0) & (count("should") >= F.col("_least"))
+        first = F.array_min(F.array_intersect(F.transform(held, lambda c: c["clause"]), "_entered"))
+        return whole & first.eqNullSafe(F.col("_entry"))

@@ -146,7 +146,50 @@ def j8_many(spark, d):
     return search.stored_queries(rows, o.withColumn("query_id", F.col("query_id").cast("long")).unionByName(flags), rows.columns, most=10).groupBy("query_id").agg(F.count("*").alias("n"))
 
 
+def clauses(spark):
+    """Stored queries of several clauses over lineitem."""
+    ddl = "query_id long, occur string, field string, lo double, hi double, value string, minimum_should_match int"
+    return spark.createDataFrame([
+        (1, "must", "l_returnflag", None, None, "R", None), (1, "must", "l_quantity", 45.0, None, None, None), (1, "must_not", "l_linestatus", None, None, "O", None),
+        (2, "should", "l_quantity", None, 5.0, None, 2), (2, "should", "l_discount", 0.08, None, None, 2), (2, "should", "l_returnflag", None, None, "A", 2),
+        (3, "must", "l_tax", 0.02, 0.04, None, None), (3, "should", "l_quantity", 40.0, None, None, None),
+        (4, "must_not", "l_returnflag", None, None, "N", None), (4, "must_not", "l_discount", 0.01, None, None, None),
+        (5, "should", "l_returnflag", None, None, "R", None), (5, "should", "l_tax", 0.08, None, None, None), (5, "must_not", "l_quantity", None, 30.0, None, None),
+    ], ddl)
+
+
+def j8_clauses(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+    return search.stored_queries(rows, clauses(spark), rows.columns[2:]).select("l_orderkey", "l_linenumber", "query_id")
+
+
+J8_CLAUSES = """
+SELECT l_orderkey, l_linenumber, q AS query_id FROM lineitem, (VALUES (1), (2), (3), (4), (5)) v(q) WHERE
+  (q = 1 AND l_returnflag = 'R' AND l_quantity >= 45 AND l_linestatus <> 'O') OR (q = 2 AND (l_quantity <= 5)::INT + (l_discount >= 0.08)::INT + (l_returnflag = 'A')::INT >= 2)
+  OR (q = 3 AND l_tax BETWEEN 0.02 AND 0.04) OR (q = 4 AND l_returnflag <> 'N' AND l_discount < 0.01) OR (q = 5 AND (l_returnflag = 'R' OR l_tax >= 0.08) AND l_quantity > 30)
+"""
+
+
+def j8_clauses_many(spark, d):
+    """A query for each of many orders, of two must clauses and one that must not hold, on the shuffle path."""
+    o = table(spark, d, "orders").where("o_orderkey % 20 = 0")
+    key = F.col("o_orderkey").alias("query_id")
+    lo, none = F.floor("o_totalprice").cast("double"), F.lit(None)
+    clause = lambda occur, field, lo, hi, value: o.select(key, F.lit(occur).alias("occur"), F.lit(field).alias("field"), lo.cast("double").alias("lo"), hi.cast("double").alias("hi"), value.cast("string").alias("value"))
+    parts = clause("must", "l_extendedprice", lo, lo + 2000, none).unionByName(clause("must", "l_returnflag", none, none, F.substring("o_orderstatus", 1, 1).cast("string"))).unionByName(clause("must_not", "l_quantity", F.lit(10.0), F.lit(20.0), none))
+    flags = F.when(F.col("value") == "F", "A").when(F.col("value") == "O", "N").when(F.col("value") == "P", "R").otherwise(F.col("value"))
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_returnflag")
+    return search.stored_queries(rows, parts.withColumn("value", flags), rows.columns[2:], most=10).select("l_orderkey", "l_linenumber", "query_id")
+
+
+J8_CLAUSES_MANY = """
+SELECT l_orderkey, l_linenumber, o_orderkey AS query_id FROM lineitem JOIN orders ON o_orderkey % 20 = 0 AND l_extendedprice BETWEEN floor(o_totalprice) AND floor(o_totalprice) + 2000
+  AND l_returnflag = CASE o_orderstatus WHEN 'F' THEN 'A' WHEN 'O' THEN 'N' WHEN 'P' THEN 'R' END AND NOT l_quantity BETWEEN 10 AND 20
+"""
+
+
 QUERIES = {
+    "J8_clauses": (j8_clauses, J8_CLAUSES), "J8_clauses_many": (j8_clauses_many, J8_CLAUSES_MANY),
     "X1_content_hash": (lambda s, d: orders(s, d).select("o_orderkey", X.content_hash(F.col("o_custkey"), F.col("o_orderstatus"), F.lit(None)).alias("h")), f"SELECT o_orderkey, {H.format('concat(o_custkey, o_orderstatus)')} AS h FROM orders"),
     "X2_combined_hash": (lambda s, d: orders(s, d).select("o_orderkey", X.combined_hash(X.schema_hash('{"a": 1}'), X.content_hash(F.col("o_orderkey"))).alias("h")), f"SELECT o_orderkey, {H.format(chr(39) + X.schema_hash(chr(123) + chr(34) + 'a' + chr(34) + ':1}') + chr(39) + ' || ' + H.format('o_orderkey::VARCHAR'))} AS h FROM orders"),
     "X4_cache_key": (lambda s, d: table(s, d, "pages").select("page_id", X.cache_key(F.col("url")).alias("k")), "SELECT page_id, sha256(url) AS k FROM pages"),

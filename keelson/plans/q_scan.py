@@ -165,7 +165,28 @@ def k5(spark, d):
 
 
 def k6(spark, d):
-    return search.complete(part(spark, d), "p_partkey", "p_name", "re", [F.col("p_retailprice").desc(), F.col("p_partkey")], 10).select("p_partkey", "p_name")
+    return search.complete(part(spark, d), "p_name", "re", [F.col("p_retailprice").desc(), F.col("p_partkey")], 10).select("p_partkey", "p_name")
+
+
+def k6_index(spark, d):
+    """All prefixes that are words of part names or of documents, or the first letters of such words, in one join with an
+    index of the words of documents: the three most frequent words of each."""
+    words = F.explode(F.array_distinct(F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "")))
+    counted = table(spark, d, "documents").select(words.alias("word")).groupBy("word").agg(F.count("*").alias("docs"))
+    index = search.completions(counted, "word", [F.col("docs").desc(), F.col("word")], 3, depth=4)
+    names = part(spark, d).select(F.explode(F.split("p_name", " ")).alias("word"))
+    all_words = counted.select("word").unionByName(names)
+    prefixes = all_words.select(F.explode(F.array("word", F.substring("word", 1, 2), F.substring("word", 1, 5))).alias("prefix"))
+    return search.completed(index, prefixes).select("prefix", "rank", "word", "docs")
+
+
+K6_INDEX = """
+WITH w AS MATERIALIZED (SELECT word, count(*) AS docs FROM (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '[^a-z]+')) AS word FROM documents) WHERE word <> '' GROUP BY 1),
+a AS (SELECT word FROM w UNION SELECT unnest(string_split(p_name, ' ')) FROM part),
+p AS (SELECT DISTINCT unnest([word, substr(word, 1, 2), substr(word, 1, 5)]) AS prefix FROM a),
+e AS (SELECT word, docs, substr(word, 1, k) AS prefix FROM (SELECT word, docs, unnest(range(1, length(word) + 1)) AS k FROM w))
+SELECT prefix, rank::INT AS rank, word, docs FROM (SELECT prefix, word, docs, row_number() OVER (PARTITION BY prefix ORDER BY docs DESC, word) AS rank FROM p JOIN e USING (prefix)) WHERE rank <= 3
+"""
 
 
 def k7(spark, d):
@@ -224,6 +245,7 @@ QUERIES = {
     "K4_latest": (lambda s, d: search.latest(table(s, d, "events").select(F.concat(F.lit("logs-"), F.date_format("ts", "yyyy.MM.dd")).alias("name")), "name", "logs-%"), "SELECT max('logs-' || strftime(ts, '%Y.%m.%d')) AS latest FROM events"),
     "K5_vector_top_k": (k5, "SELECT query_id, vec_id, round(s, 4) AS score FROM (SELECT q.vec_id AS query_id, e.vec_id, list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS s, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) DESC, e.vec_id) AS rn FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0) WHERE rn <= 5"),
     "K6_completion": (k6, "SELECT p_partkey, p_name FROM part WHERE p_name LIKE 're%' ORDER BY p_retailprice DESC, p_partkey LIMIT 10"),
+    "K6_prefix_index": (k6_index, K6_INDEX),
     "K7_version_order": (k7, "SELECT p_partkey, p_size || '.' || p_partkey % 13 || '.1' AS version FROM part ORDER BY p_size DESC, p_partkey % 13 DESC, p_partkey LIMIT 20"),
     "U1_pattern_union": (lambda s, d: readers.pattern_union(generations(s, d), "part-*").select("p_partkey", "p_name", F.coalesce("p_size", F.lit(-1)).alias("p_size"), "_index"), "SELECT p_partkey, p_name, CASE WHEN p_size >= 20 THEN p_size ELSE -1 END AS p_size, CASE WHEN p_size < 20 THEN 'part-a' ELSE 'part-b' END AS _index FROM part"),
     "U2_key_sets": (u2, "SELECT c_custkey AS k, 'only customers' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT c_custkey, 'both' FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,10 +44,97 @@ def test_stored_queries(spark):
         "query_id int, field string, lo double, hi double, value string",
     )
     few = search.stored_queries(rows, queries, ["n", "s"]).select("id", "query_id")
-    assert bag(few) == bag(search.stored_queries(rows, queries, ["n", "s"], most=2).select("id", "query_id"))
+    assert bag(few) == bag(search.stored_queries(rows, queries, ["n", "s"], most=1).select("id", "query_id"))
     assert (2, 4) in bag(few) and (1, 6) in bag(few) and not any(q in (7, 8) for _, q in bag(few))
 
 
+NAN, INF = float("nan"), float("inf")
+
+
+def test_nan_and_infinity_in_ranges(spark):
+    values = [None, -INF, -1.0, 0.0, 1.0, 5.0, 1e300, INF, NAN]
+    ranges = [("up", 1.0, None), ("down", None, 1.0), ("all", None, None), ("nan", NAN, NAN), ("to nan", 5.0, NAN), ("inf", -INF, INF), ("high", INF, None), ("low", None, -INF), ("mid", 0.0, 5.0)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    stored = spark.createDataFrame(ranges, "name string, gte double, lte double")
+    order = lambda x: (1, 0.0) if math.isnan(x) else (0, x)
+    want = sorted(((repr(v), n) for v in values if v is not None for n, lo, hi in ranges if (lo is None or order(v) >= order(lo)) and (hi is None or order(v) <= order(hi))), key=repr)
+    for most in (10, 0):
+        assert sorted(((repr(r["v"]), r["name"]) for r in search.range_match(rows, "v", stored, most=most).collect()), key=repr) == want
+    queries = stored.selectExpr("name AS query_id", "'v' AS field", "gte AS lo", "lte AS hi", "cast(NULL AS string) AS value")
+    want = sorted([*want, ("None", "all")], key=repr)
+    for most in (10, 0):
+        assert sorted(((repr(r["v"]), r["query_id"]) for r in search.stored_queries(rows, queries, ["v"], most=most).collect()), key=repr) == want
+
+
+def brute_clauses(rows, clauses, fields):
+    def holds(row, field, lo, hi, value):
+        if field not in fields:
+            return False
+        own = row[field]
+        try:
+            num = None if own is None else float(own)
+        except ValueError:
+            num = None
+        text = None if own is None else own if isinstance(own, str) else repr(own)
+        return (lo is None or (num is not None and num >= lo)) and (hi is None or (num is not None and num <= hi)) and (value is None or text == value)
+
+    out = []
+    for q in dict.fromkeys(c[0] for c in clauses):
+        mine = [c for c in clauses if c[0] == q]
+        musts, shoulds = [c for c in mine if c[1] in (None, "must")], [c for c in mine if c[1] == "should"]
+        least = next((c[6] for c in mine if c[6] is not None), 1 if shoulds and not musts else 0)
+        for row in rows:
+            met = lambda cs: sum(holds(row, *c[2:6]) for c in cs)  # noqa: B023, E731
+            if met(musts) == len(musts) and not met([c for c in mine if c[1] == "must_not"]) and met(shoulds) >= least:
+                out.append((row["id"], q))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_stored_queries_of_several_clauses(spark, seed):
+    """Random queries against brute force, below and above the broadcast bounds; the rows have columns named as clauses."""
+    r = random.Random(seed)
+    rows = [{"id": i, "value": r.choice([None, *map(float, range(8))]), "field": r.choice([None, "x", "y", "3"]), "lo": r.choice([0.0, 1.5, -2.0]), "hi": "x" if i % 3 else "h"} for i in range(60)]
+    fields = ["value", "field", "lo", "hi"]
+
+    def clause(q, least):
+        field = r.choice([*fields, "absent"] if r.random() < 0.1 else fields)
+        kind = r.random()
+        lo, hi = (r.choice([None, 0.0, 2.0, 3.0]), r.choice([None, 1.0, 4.0, 7.0])) if kind < 0.6 else (None, None)
+        return (q, r.choice(["must", "should", "should", "must_not", None]), field, lo, hi, r.choice(["x", "y", "h", "3", "1.5", "2.0"]) if kind > 0.5 else None, least)
+
+    clauses = []
+    for q in range(60):
+        least = r.choice([None, None, 0, 1, 2, 3])
+        clauses += [clause(q, least) for _ in range(r.randint(1, 5))]
+    want = brute_clauses(rows, clauses, fields)
+    frame = spark.createDataFrame([tuple(x.values()) for x in rows], "id int, value double, field string, lo double, hi string").repartition(3)
+    stored = spark.createDataFrame(clauses, "query_id int, occur string, field string, lo double, hi double, value string, minimum_should_match int").repartition(3)
+    for most in (10_000, 1):
+        assert sorted((x["id"], x["query_id"]) for x in search.stored_queries(frame, stored, fields, most=most).select("id", "query_id").collect()) == want
+
+
+def test_stored_queries_without_rows_or_queries(spark):
+    rows, ddl = spark.createDataFrame([(1.0,)], "v double"), "query_id int, field string, lo double, hi double, value string"
+    one = spark.createDataFrame([(1, "v", 0.0, None, None)], ddl)
+    assert search.stored_queries(rows, one.limit(0), ["v"]).count() == 0 and search.stored_queries(rows.limit(0), one, ["v"]).count() == 0
+    with pytest.raises(ValueError, match="another name"):
+        search.stored_queries(rows.withColumnRenamed("v", "query_id"), one, [])
+    assert search.stored_queries(rows.withColumn("query_id", F.lit(5)), one, ["v"], name="found").collect()[0]["found"] == 1
+
+
+@pytest.mark.parametrize("depth", [1, 3, 20])
+def test_completions(spark, depth):
+    r = random.Random(depth)
+    texts = ["".join(r.choice("abé") for _ in range(r.randint(0, 6))) for _ in range(300)] + [None, "same", "same", "same"]
+    rows = [(i, t, r.randrange(5)) for i, t in enumerate(texts)]
+    asked = ["", "a", "ab", "abé", "ab", "bbbb", "é", "zz", "same", "sam", None, "abababab"]
+    index = search.completions(spark.createDataFrame(rows, "id int, t string, w int").repartition(4), "t", [F.col("w").desc(), F.col("id")], 3, depth=depth)
+    got = bag(search.completed(index, spark.createDataFrame([(p,) for p in asked], "prefix string")).select("prefix", "rank", "id"))
+    want = [(p, k + 1, i) for p in set(asked) - {None} for k, (_, i) in enumerate(sorted((-w, i) for i, t, w in rows if t is not None and t.startswith(p))[:3])]
+    assert got == sorted(want, key=repr)
+
+
 def test_one_winner_of_equal_seq(spark):
     batch = spark.createDataFrame([("a", 1, i) for i in range(20)] + [(None, 1, 5)], "_id string, seq int, v int")
     target = spark.createDataFrame([], "_id string, _version long, v int")

@@ -18,7 +18,7 @@ def brute(rows, queries, n=5):
     return sorted((q, i, round(-s, 4)) for q, v in queries for s, i in sorted((-cos(v, w), i) for i, w in rows)[:n])
 
 
-def test_all_queries(spark, monkeypatch):
+def test_all_queries(spark):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{DATA}/embeddings.parquet").collect()]
     want = brute(rows, [r for r in rows if r[0] % 100 == 0])
     assert len(want) == 25
@@ -27,12 +27,13 @@ def test_all_queries(spark, monkeypatch):
         return sorted((r["query_id"], r["vec_id"], round(r["score"], 4)) for r in q_scan.k5(spark, DATA).collect())
 
     assert got() == want
-    monkeypatch.setattr(search, "BLOCK_QUERIES", 2)
-    assert got() == want
+    v = spark.read.parquet(f"{DATA}/embeddings.parquet")
+    small = search.vector_top(v, v.where("vec_id % 100 = 0"), "vec_id", "embedding", 5, side=3)  # several tiles each way
+    assert sorted((r["query_id"], r["id"], round(r["score"], 4)) for r in small.collect()) == want
 
 
 def test_ties_and_odd_vectors(spark):
-    rows = [(i, [1.0, 2.0]) for i in range(20, 0, -1)] + [(None, [1.0, 2.0]), (30, None), (31, [0.0, 0.0]), (32, [1.0, None]), (33, [1.0])]
+    rows = [(i, [1.0, 2.0]) for i in range(20, 0, -1)] + [(None, [1.0, 2.0]), (30, None), (31, [0.0, 0.0]), (32, [1.0, None]), (33, [1.0]), (34, [float("nan"), 1.0]), (35, [float("inf"), 1.0])]
     frame = spark.createDataFrame(rows, "id long, v array<float>")
     out = search.vector_top(frame, frame.where("id IN (7, 30, 31, 33)"), "id", "v", 5).collect()
     assert sorted((r["query_id"], r["id"]) for r in out) == [(7, 1), (7, 2), (7, 3), (7, 4), (7, 5), (33, 33)]
