@@ -210,57 +210,63 @@ def stored_queries(rows: DataFrame, queries: DataFrame, fields: list[str], most:
     """
     if name in rows.columns:
         raise ValueError(f"the rows have a column {name}: pass another name")
-    index = _QueryIndex(rows, queries, fields)
+    index = _QueryIndex(rows, queries, fields, most)
     entries, _ = tables.pinned(index.entries(), "query-entries")
-    asked, _ = tables.pinned(index.queries, "queries")
-    few = lambda df, n: F.broadcast(df) if df.limit(n + 1).count() <= n else df
+    asked = F.broadcast(index.queries) if index.few else tables.pinned(index.queries, "queries")[0]
+    looked_up = index.keyed(not entries.where("_field = ''").isEmpty())
     on = ["_field", "_value", "_cell"]
-    looked_up = index.keyed(not entries.where("_field = ''").isEmpty()).join(few(entries, most * 4), on).drop(*on)
-    judged = looked_up.join(few(asked, most), "_query").where(index.met())
-    return judged.select("_row.*", F.col("_query").alias(name))
+    found = looked_up.join(F.broadcast(entries) if entries.count() <= most * 4 else entries, on).drop(*on)
+    return found.join(asked, "_query").where(index.met()).select("_row.*", F.col("_query").alias(name))
 
 
 class _QueryIndex:
     """The clauses of stored queries, how rare they are in the rows, and where each query is entered."""
 
-    def __init__(self, rows: DataFrame, queries: DataFrame, fields: list[str]):
-        self.fields = fields
-        self.has = F.create_map(*[x for f in fields for x in (F.lit(f), F.struct(F.col(f"`{f}`").try_cast("double").alias("num"), F.col(f"`{f}`").cast("string").alias("str")))])
-        self.rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"), self.has.alias("_has"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("_salt"))
+    def __init__(self, rows: DataFrame, queries: DataFrame, fields: list[str], most: int):
+        self.rows = rows
         given = lambda c, kind: F.col(c).cast(kind) if c in queries.columns else F.lit(None).cast(kind)
         self.clauses = queries.select(
             F.col("query_id").alias("_query"), F.coalesce(given("occur", "string"), F.lit("must")).alias("occur"), F.col("field"), F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi"),
             F.col("value").cast("string").alias("value"), given("minimum_should_match", "int").alias("least"), F.monotonically_increasing_id().alias("clause"),
         )
         self.clauses, _ = tables.pinned(self.clauses, "clauses")
+        self.few = self.clauses.count() <= most
         kind = F.when(F.col("value").isNotNull(), "value").when(F.col("lo").isNull() & F.col("hi").isNull(), "any").otherwise("range")
-        self.clauses = self.clauses.withColumn("kind", F.when(F.col("field").isin(fields), kind).otherwise("never"))
+        at = F.array_position(F.array(*map(F.lit, fields)) if fields else F.array().cast("array<string>"), F.col("field")).cast("int") - 1
+        self.clauses = self.clauses.withColumn("kind", F.when(at >= 0, kind).otherwise("never")).withColumn("at", at)
         spans = self.clauses.where("kind = 'range'").groupBy("field").agg(F.min(F.least(_finite(F.col("lo")), _finite(F.col("hi")))).alias("low"), F.max(F.greatest(_finite(F.col("lo")), _finite(F.col("hi")))).alias("high"))
         #: Low end and width of a cell of each ranged field: a row a field of the rows.
         self.spans = {r["field"]: (r["low"] or 0.0, max(1e-12, ((r["high"] or 0.0) - (r["low"] or 0.0)) / CELLS)) for r in spans.collect()}
-        self.exact = [r["field"] for r in self.clauses.where("kind = 'value'").select("field").distinct().collect()]
+        named = self.clauses.where("kind <> 'never'").groupBy("field").agg(F.bool_or(F.col("value").isNotNull()).alias("value"), F.bool_or(F.col("lo").isNotNull() | F.col("hi").isNotNull()).alias("range")).collect()
+        self.exact = [r["field"] for r in named if r["value"]]
+        texts = [F.col(f"`{f}`").cast("string") if f in self.exact else F.lit(None).cast("string") for f in fields]
+        numbers = [F.col(f"`{f}`").try_cast("double") if any(r["range"] and r["field"] == f for r in named) else F.lit(None).cast("double") for f in fields]
+        #: What clauses are judged on, in the order of the fields.
+        self.has = F.array(*[F.struct(n.alias("num"), t.alias("str")) for n, t in zip(numbers, texts, strict=True)]) if fields else F.array().cast("array<struct<num:double,str:string>>")
         first, last = F.lit(-1), F.lit(CELLS)
         for f, (low, width) in self.spans.items():
             mine = F.col("field") == f
             first = F.when(mine & F.col("lo").isNotNull(), _cell(F.col("lo"), low, width)).otherwise(first)
             last = F.when(mine & F.col("hi").isNotNull(), _cell(F.col("hi"), low, width)).otherwise(last)
         self.clauses = self.clauses.withColumn("first", first).withColumn("last", last)
-        parts = F.collect_list(F.struct("clause", "occur", "field", "lo", "hi", "value"))
+        parts = F.collect_list(F.struct("clause", "occur", "at", "lo", "hi", "value"))
         count = lambda occur: F.sum((F.col("occur") == occur).cast("int"))
         asked = self.clauses.groupBy("_query").agg(parts.alias("_clauses"), count("must").alias("_musts"), count("should").alias("_shoulds"), F.max("least").alias("_least"))
         self.queries = asked.withColumn("_least", F.coalesce("_least", F.when((F.col("_musts") == 0) & (F.col("_shoulds") > 0), 1).otherwise(0)))
 
     def keys(self, everywhere: bool) -> Column:
         """What a row is looked up by: its value of each field with exact clauses, its cell of each with ranges."""
-        at = lambda f, v, c: F.struct(F.lit(f).alias("_field"), v.alias("_value"), c.cast("int").alias("_cell"))
-        of = lambda f: F.try_element_at("_has", F.lit(f))
-        keys = [F.when(of(f)["str"].isNotNull(), at(f, of(f)["str"], F.lit(-2))) for f in self.exact]
-        keys += [F.when(of(f)["num"].isNotNull(), at(f, F.lit(""), _cell(of(f)["num"], low, width))) for f, (low, width) in self.spans.items()]
-        keys += [at("", F.lit(""), F.col("_salt"))] if everywhere else []
-        return F.filter(F.array(*keys), lambda k: k.isNotNull()) if keys else F.array().cast("array<struct<_field:string,_value:string,_cell:int>>")
+        key = lambda f, v, c: F.struct(F.lit(f).alias("_field"), v.alias("_value"), c.cast("int").alias("_cell"))
+        keys = [F.when(F.col(f"`{f}`").isNotNull(), key(f, F.col(f"`{f}`").cast("string"), F.lit(-2))) for f in self.exact]
+        for f, (low, width) in self.spans.items():
+            num = F.col(f"`{f}`").try_cast("double")
+            keys.append(F.when(num.isNotNull(), key(f, F.lit(""), _cell(num, low, width))))
+        keys += [key("", F.lit(""), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))] if everywhere else []
+        return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<struct<_field:string,_value:string,_cell:int>>")
 
     def keyed(self, everywhere: bool) -> DataFrame:
-        return self.rows.withColumn("_key", F.explode(self.keys(everywhere))).select("_row", "_has", "_key.*")
+        row = F.struct(*[F.col(f"`{c}`") for c in self.rows.columns])
+        return self.rows.select(row.alias("_row"), self.has.alias("_has"), F.explode(self.keys(everywhere)).alias("_key")).select("_row", "_has", "_key.*")
 
     def rarity(self) -> DataFrame:
         """clause, rare: how many rows meet an exact clause; for a range the rows of its cells."""
@@ -278,8 +284,9 @@ class _QueryIndex:
 
     def entries(self) -> DataFrame:
         """_query, _entry (the number of the clause), _entered (all such of the query) and the keys under which rows find it."""
-        all_rows = F.lit(2**62).cast("long")
-        rare = self.clauses.join(self.rarity(), "clause", "left").withColumn("rare", F.when(F.col("kind") == "never", -1).otherwise(F.coalesce("rare", all_rows)))
+        all_rows = F.lit(2**62).cast("long")  # more than any count: a clause without bounds comes last
+        known = self.clauses.withColumn("rare", F.lit(None).cast("long")) if self.few else self.clauses.join(self.rarity(), "clause", "left")
+        rare = known.withColumn("rare", F.when(F.col("kind") == "never", -1).when(F.col("kind") == "any", all_rows).otherwise(F.coalesce("rare", F.lit(0))))
         place = F.row_number().over(Window.partitionBy("_query", "occur").orderBy("rare", "clause"))
         ranked = rare.withColumn("place", place).join(self.queries.select("_query", "_musts", "_shoulds", "_least"), "_query")
         of_must = (F.col("occur") == "must") & (F.col("place") == 1)
@@ -297,7 +304,7 @@ class _QueryIndex:
         """Whether a candidate row satisfies its query, and was found by the first entry that can find it."""
 
         def holds(c: Column) -> Column:
-            own = F.try_element_at("_has", c["field"])
+            own = F.get("_has", c["at"])
             bound = (c["lo"].isNull() | (own["num"] >= c["lo"])) & (c["hi"].isNull() | (own["num"] <= c["hi"])) & (c["value"].isNull() | (own["str"] == c["value"]))
             return F.coalesce(own.isNotNull() & bound, F.lit(False))
 
