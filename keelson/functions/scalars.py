@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often and wherever the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def content_hash(*parts: Column, separator: str = "") -> Column:
     """First 16 hex digits of SHA-256 over the parts; nulls count as nothing."""
     return F.substring(F.sha2(F.concat_ws(separator, *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256), 1, 16)

@@ -16,6 +16,8 @@ from html.entities import name2codepoint
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keelson.functions.scalars import let
+
 # ---- character filters ----------------------------------------------------------------------------------------------
 
 #: Named entities: HTML's Latin-1, symbol and special names, a blank for &nbsp; and an apostrophe for &apos;.
@@ -35,14 +37,39 @@ def entity(c: Column) -> Column:
     return F.coalesce(F.when(body.startswith("#"), number).otherwise(F.try_element_at(names, body)), c)
 
 
+#: A noncharacter, which no text interchange carries; it marks openings that have no end.
+UNCLOSED = "\ufdd0"
+
+
+def _up_to_last(c: Column, end: str, head: Callable[[Column], Column], tail: Callable[[Column], Column]) -> Column:
+    """`head` of the text up to the last `end` and `tail` of the rest, joined; finding it is one pass forward and one back."""
+
+    def both(s: Column) -> Column:
+        return F.concat(head(s["head"]), tail(F.substring(s["c"], F.length(s["head"]) + 1, F.length(s["c"]))))
+
+    return let(let(c, lambda x: F.struct(x.alias("c"), F.regexp_extract(x, f"(?is)^(.*{end})", 1).alias("head"))), both)
+
+
 def html_strip(c: Column, escaped_tags: tuple[str, ...] = ()) -> Column:
-    """Scripts, styles, comments and tags become blanks, tags named in `escaped_tags` stay, then entities are decoded once."""
+    """Scripts, styles, comments and tags become blanks, tags named in `escaped_tags` stay, then entities are decoded once.
+
+    An opening without an end is no script, style, comment or tag.  Those are marked first, behind the last end of their
+    kind, so that every search for an end finds one: the time grows with the length of the text, whatever it holds.
+    """
+    same = lambda x: x
+    for opening, end in ((r"<(?=script\b)", "</script>"), (r"<(?=style\b)", "</style>"), ("<(?=!--)", "-->")):
+        c = _up_to_last(c, end, same, lambda x, opening=opening: F.regexp_replace(x, f"(?i){opening}", f"<{UNCLOSED}"))
     c = F.regexp_replace(c, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", " ")
+    c = F.replace(c, F.lit(f"<{UNCLOSED}"), F.lit("<"))
     spared = rf"(?!/?(?:{'|'.join(map(re.escape, escaped_tags))})\b)" if escaped_tags else ""
-    c = F.regexp_replace(c, f"(?i)<{spared}[^>]*>", " ")
-    decoded = F.transform(F.regexp_extract_all(c, F.lit(ENTITY), F.lit(0)), entity)
-    joined = F.zip_with(F.split(c, ENTITY, -1), F.concat(decoded, F.array(F.lit(""))), lambda text, value: F.concat(text, value))
-    return F.when(c.contains("&"), F.array_join(joined, "")).otherwise(c)
+    c = _up_to_last(c, ">", lambda x: F.regexp_replace(x, f"(?i)<{spared}[^>]*>", " "), same)
+
+    def decode(c: Column) -> Column:
+        decoded = F.transform(F.regexp_extract_all(c, F.lit(ENTITY), F.lit(0)), entity)
+        joined = F.zip_with(F.split(c, ENTITY, -1), F.concat(decoded, F.array(F.lit(""))), lambda text, value: F.concat(text, value))
+        return F.when(c.contains("&"), F.array_join(joined, "")).otherwise(c)
+
+    return let(c, decode)
 
 
 def mapping(c: Column, pairs: dict[str, str]) -> Column:

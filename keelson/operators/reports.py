@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
+
+from keelson.sources import tables
 
 #: Item statuses that are sent again: fixed values.
 RETRY_STATUS = (429, 502, 503, 504)
@@ -24,12 +29,56 @@ def failures(outcomes: DataFrame) -> DataFrame:
     return bad.groupBy("status", "error_type").agg(F.count("*").alias("n"), F.min_by("error_reason", F.struct("batch_id", "pos")).alias("first_reason"))
 
 
-def delivery(outcomes: DataFrame, retries_exhausted: int = 0) -> DataFrame:
-    """batches, items, accepted, retries, rejected, exhausted, success."""
+def delivery_columns(outcomes: DataFrame) -> list[Column]:
+    """items, accepted, retries, rejected, exhausted as aggregates of outcomes (status and, if it is there, outcome).
+
+    A row counts as exhausted if its outcome says so: its status was retryable when the attempts ran out.
+    """
     kind = classify(F.col("status"))
-    count = lambda k: F.sum((kind == k).cast("long"))
-    out = outcomes.agg(F.countDistinct("batch_id").alias("batches"), F.count("*").alias("items"), count("accepted").alias("accepted"), count("retry").alias("retries"), count("rejected").alias("rejected"))
-    return out.withColumn("exhausted", F.lit(retries_exhausted).cast("long")).withColumn("success", (F.col("rejected") == 0) & (F.col("exhausted") == 0) & (F.col("items") > 0))
+    gone = F.col("outcome").eqNullSafe("exhausted") if "outcome" in outcomes.columns else F.lit(False)
+    count = lambda hit: F.coalesce(F.sum(hit.cast("long")), F.lit(0))
+    return [F.count(F.lit(1)).alias("items"), count(kind == "accepted").alias("accepted"), count((kind == "retry") & ~gone).alias("retries"), count(kind == "rejected").alias("rejected"), count(gone).alias("exhausted")]
+
+
+def delivery(outcomes: DataFrame) -> DataFrame:
+    """batches, items, accepted, retries, rejected, exhausted, success of outcomes with a batch_id."""
+    out = outcomes.agg(F.countDistinct("batch_id").alias("batches"), *delivery_columns(outcomes))
+    return out.withColumn("success", (F.col("rejected") == 0) & (F.col("exhausted") == 0) & (F.col("items") > 0))
+
+
+class DeliveryListener(StreamingQueryListener):
+    """Delivery counters of running queries, read from what `observed` sees of each micro-batch as it is sent.
+
+    `totals` adds the micro-batches of each query name up; nothing is computed twice.
+    """
+
+    NAME = "delivery"
+
+    def __init__(self) -> None:
+        self.totals: dict[str, Counter] = {}
+        self.ended: set[str] = set()
+        self._names: dict[str, str] = {}
+
+    @classmethod
+    def observed(cls, outcomes: DataFrame) -> DataFrame:
+        """The same rows, counted on their way."""
+        return outcomes.observe(cls.NAME, *delivery_columns(outcomes))
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        self._names[str(event.id)] = event.name or str(event.id)
+        self.totals.setdefault(self._names[str(event.id)], Counter())
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        row = event.progress.observedMetrics.get(self.NAME)
+        if row is not None:
+            total = self.totals.setdefault(event.progress.name or str(event.progress.id), Counter())
+            total.update({"batches": int(row["items"] > 0), **{k: row[k] for k in ("items", "accepted", "retries", "rejected", "exhausted")}})
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.ended.add(self._names.get(str(event.id), str(event.id)))
 
 
 def zip_outcomes(sent: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -53,12 +102,44 @@ def usage(turns: DataFrame, tokens: Column, where: Column | None = None, order:
 
 
 def assemble(transactions: DataFrame, spans: DataFrame) -> DataFrame:
-    """Each transaction with its spans' count, total duration and depth-one children."""
+    """Each transaction with its spans' count, total duration and depth-one children (see span_trees for deeper ones)."""
     own = spans.groupBy("trace_id", "transaction_id").agg(F.count("*").alias("span_count"), F.sum("duration").alias("span_duration"), F.sum(F.col("parent_id").eqNullSafe(F.col("transaction_id")).cast("long")).alias("children"))
     t = transactions.withColumnRenamed("id", "transaction_id").join(own, ["trace_id", "transaction_id"], "left")
     return t.na.fill(0, ["span_count", "span_duration", "children"])
 
 
+def span_trees(spans: DataFrame, trace: str = "trace_id", span: str = "span_id", parent: str = "parent_id", path: bool = False) -> DataFrame:
+    """trace, span, root, depth, status and, if asked for, path (ids from the root on) of every different span of a trace.
+
+    `status` is root (no parent), child, orphan (the chain of parents ends at a span that isn't there; the last one that is
+    counts as root) or cycle (the chain runs in a ring: root, depth and path are null).  A span that is repeated counts with
+    its least parent, nulls first; spans without an id are left out.
+
+    Pointer doubling: each round every open span takes over its ancestor's ancestor, so a chain of depth d takes log2(d)
+    joins.  If a round settles none, what is open lies on a ring or above it.  The rounds' tables go to the work folder.
+    """
+    nodes = spans.where(F.col(span).isNotNull()).groupBy(F.col(trace).alias("t"), F.col(span).alias("s")).agg(F.min(F.struct(F.col(parent).alias("p"))).alias("p"))
+    nodes = nodes.select("t", "s", F.col("p.p").alias("p"))
+    there = nodes.select(F.col("t").alias("_t"), F.col("s").alias("_s"))
+    known = nodes.join(there, F.col("t").eqNullSafe(F.col("_t")) & (F.col("p") == F.col("_s")), "left")
+    lost = F.col("p").isNotNull() & F.col("_s").isNull()
+    state = known.select("t", "s", F.col("_s").alias("up"), F.col("s").alias("root"), F.col("_s").isNotNull().cast("long").alias("depth"), lost.alias("lost"), *([F.array("s").alias("path")] if path else []))
+    state, _ = tables.pinned(state, "spans")
+    open_ = state.where("up IS NOT NULL").count()
+    while open_:
+        above = state.select(F.col("t").alias("_t"), F.col("s").alias("_s"), F.col("up").alias("_up"), F.col("root").alias("_root"), F.col("depth").alias("_depth"), F.col("lost").alias("_lost"), *([F.col("path").alias("_path")] if path else []))
+        joined = state.where("up IS NOT NULL").join(above, F.col("t").eqNullSafe(F.col("_t")) & (F.col("up") == F.col("_s")))
+        moved = joined.select("t", "s", F.col("_up").alias("up"), F.col("_root").alias("root"), (F.col("depth") + F.col("_depth")).alias("depth"), (F.col("lost") | F.col("_lost")).alias("lost"), *([F.concat("_path", "path").alias("path")] if path else []))
+        state, _ = tables.pinned(state.where("up IS NULL").unionByName(moved), "spans")
+        before, open_ = open_, state.where("up IS NOT NULL").count()
+        if open_ == before:
+            break
+    ring = F.col("up").isNotNull()
+    status = F.when(ring, "cycle").when(F.col("lost"), "orphan").when(F.col("depth") == 0, "root").otherwise("child")
+    unless = lambda c: F.when(~ring, F.col(c)).alias(c)
+    return state.select(F.col("t").alias(trace), F.col("s").alias(span), unless("root"), unless("depth"), status.alias("status"), *([unless("path")] if path else []))
+
+
 def parent_child(parents: DataFrame, children: DataFrame, key: str, relation: str, name: str) -> DataFrame:
     """Children (columns parent and relation) with their parents, for one relation."""
     return children.where(F.col(relation) == name).join(parents, children["parent"] == parents[key], "inner")

@@ -19,7 +19,7 @@ SALTS = 64
 
 
 def collapse(df: DataFrame, field: str, order: list[Column]) -> DataFrame:
-    """The first row of each value of a field."""
+    """The first row of each value of a field; tasks keep one row a value before anything is shuffled (WindowGroupLimit)."""
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(field).orderBy(*order))).where("_rn = 1").drop("_rn")
 
 

@@ -127,35 +127,30 @@ def apply_log(target: DataFrame, log: DataFrame, seq: str = "seq", action: str =
     """Apply interleaved actions per id in order: index replaces, create inserts if absent, update merges non-null
     fields or inserts, delete removes.  The version counts the writes since the row last came into being.
 
-    After any action but delete the row exists, so whether a create takes effect depends on the action before it only.
-    Actions of one id and equal `seq` apply in a fixed order, by a hash.  Actions without an id go.
+    After any action but delete the row exists, so of the actions since the last delete only the first can be a create
+    that takes effect; the others fold by aggregates that merge in any order.  Tasks fold an id's actions before they are
+    shuffled, so an id may have any share of the log.  Actions of one id and equal `seq` apply in a fixed order, by a
+    hash.  Actions without an id go.
     """
     docs = _docs(target)
-    row = F.xxhash64(F.to_json(F.struct(*[c for c in log.columns if c != "_id"])))
-    order = Window.partitionBy("_id").orderBy(seq, row)
-    known = target.select("_id", F.lit(True).alias("_known"))
-    rows = log.where("_id IS NOT NULL").join(known, "_id", "left").withColumns({"_before": F.lag(action).over(order), "_at": F.row_number().over(order)})
-    absent = F.when(F.col("_before").isNull(), F.col("_known").isNull()).otherwise(F.col("_before") == "delete")
-    rows = rows.where((F.col(action) != "create") | absent)
-    reset = F.col(action).isin("index", "delete", "create")
-    everything = Window.partitionBy("_id")
-    rows = rows.withColumn("_reset", F.max(F.when(reset, F.col("_at"))).over(everything))
-    rows = rows.withColumn("_delete", F.max(F.when(F.col(action) == "delete", F.col("_at"))).over(everything))
-    live = F.col("_reset").isNull() | (F.col("_at") >= F.col("_reset"))
-    writes = F.col("_delete").isNull() | (F.col("_at") > F.col("_delete"))
-    per_field = [F.max_by(F.struct(F.when(F.col(action) != "delete", F.col(c)).alias("v")), F.when(live & ((F.col(action) != "update") | F.col(c).isNotNull()), F.col("_at"))).alias(f"_{c}") for c in docs]
-    folded = rows.groupBy("_id").agg(
-        F.max("_reset").alias("_reset"), F.max("_delete").alias("_delete"), F.max_by(action, "_at").alias("_last"),
-        F.sum(writes.cast("long")).alias("_writes"), *per_field,
+    at = F.struct(F.col(seq).alias("seq"), F.xxhash64(F.to_json(F.struct(*[c for c in log.columns if c != "_id"]))).alias("hash"))
+    rows = log.where("_id IS NOT NULL").select("_id", F.col(action).alias("_action"), at.alias("_at"), *docs)
+    deleted = rows.where("_action = 'delete'").groupBy("_id").agg(F.max("_at").alias("_delete"))
+    since = rows.join(deleted, "_id", "left").where("_delete IS NULL OR _at > _delete")
+    lasting = lambda c: (F.col("_action") == "index") | ((F.col("_action") == "update") & F.col(c).isNotNull())
+    folded = since.groupBy("_id").agg(
+        F.min_by(F.struct(F.col("_action").alias("action"), *docs), "_at").alias("_first"), F.sum((F.col("_action") != "create").cast("long")).alias("_writes"),
+        F.bool_or(F.col("_action") == "index").alias("_replaced"), *[F.max_by(F.struct(F.col(c).alias("v")), F.when(lasting(c), F.col("_at"))).alias(f"_{c}") for c in docs],
     )
-    t, s = target.alias("t"), folded.alias("s")
-    joined = t.join(s, F.col("t._id") == F.col("s._id"), "full_outer").where(F.col("s._last").isNull() | (F.col("s._last") != "delete"))
-    fresh = F.col("t._id").isNull() | F.col("s._delete").isNotNull()
-    version = F.when(fresh, F.lit(0)).otherwise(F.col("t._version")) + F.coalesce("s._writes", F.lit(0))
+    t, s = target.withColumn("_known", F.lit(True)).alias("t"), deleted.join(folded, "_id", "full_outer").alias("s")
+    joined = t.join(s, F.col("t._id") == F.col("s._id"), "full_outer").where("s._first IS NOT NULL OR s._delete IS NULL")
+    gone = F.col("t._known").isNull() | F.col("s._delete").isNotNull()  # the row wasn't there when the folded actions began
+    made = F.coalesce(gone & (F.col("s._first.action") == "create"), F.lit(False))
+    version = F.when(gone, F.lit(0)).otherwise(F.col("t._version")) + F.coalesce("s._writes", F.lit(0)) + made.cast("long")
     columns = []
     for c in docs:
-        stored = F.when(F.col("s._reset").isNull(), F.col(f"t.{c}"))
-        columns.append(F.when(F.col(f"s._{c}").isNotNull(), F.col(f"s._{c}.v")).otherwise(stored).alias(c))
+        before = F.when(made, F.col(f"s._first.{c}")).when(~gone & ~F.coalesce("s._replaced", F.lit(False)), F.col(f"t.{c}"))
+        columns.append(F.when(F.col(f"s._{c}").isNotNull(), F.col(f"s._{c}.v")).otherwise(before).alias(c))
     return joined.select(F.coalesce("t._id", "s._id").alias("_id"), version.cast("long").alias("_version"), *columns)
 
 

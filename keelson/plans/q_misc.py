@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +13,10 @@ from keelson.operators import analyze as A
 from keelson.operators import reports as R
 from keelson.operators import schema as S
 from keelson.operators import search
+from keelson.plans import q_stream
 from keelson.plans.q_writes import table
+from keelson.sources import tables
+from keelson.streaming import delivery
 
 H = "substring(sha256({}), 1, 16)"
 
@@ -127,6 +133,54 @@ def j9(spark, d):
     return R.assemble(t, s).select("transaction_id", "span_count", "span_duration", "children")
 
 
+def spans(spark, d):
+    """Orders as spans: each follows the last order of its trace, or the one before; some parents are missing, some ring."""
+    o = orders(spark, d).select((F.col("o_custkey") % 50).alias("trace_id"), F.col("o_orderkey").alias("span_id"))
+    w = Window.partitionBy("trace_id").orderBy("span_id")
+    key = F.col("span_id")
+    parent = F.when(key % 97 == 0, -key).when(key % 1000 == 5, key).when(key % 3 == 0, F.lag("span_id", 2).over(w)).otherwise(F.lag("span_id", 1).over(w))
+    return o.withColumn("parent_id", parent)
+
+
+def j9_trees(spark, d):
+    return R.span_trees(spans(spark, d)).na.fill(-1, ["root", "depth"])
+
+
+J9_TREES = """
+WITH RECURSIVE o AS (SELECT o_custkey % 50 AS t, o_orderkey AS s, lag(o_orderkey) OVER w AS a, lag(o_orderkey, 2) OVER w AS b FROM orders WINDOW w AS (PARTITION BY o_custkey % 50 ORDER BY o_orderkey)),
+p AS (SELECT t, s, CASE WHEN s % 97 = 0 THEN -s WHEN s % 1000 = 5 THEN s WHEN s % 3 = 0 THEN b ELSE a END AS p FROM o),
+r AS (SELECT t, s, s AS root, 0::BIGINT AS depth, p IS NOT NULL AS lost FROM p WHERE p IS NULL OR p NOT IN (SELECT s FROM p q WHERE q.t = p.t)
+  UNION ALL SELECT p.t, p.s, r.root, r.depth + 1, r.lost FROM r JOIN p ON p.t = r.t AND p.p = r.s)
+SELECT p.t AS trace_id, p.s AS span_id, coalesce(r.root, -1) AS root, coalesce(r.depth, -1) AS depth, CASE WHEN r.s IS NULL THEN 'cycle' WHEN r.lost THEN 'orphan' WHEN r.depth = 0 THEN 'root' ELSE 'child' END AS status
+FROM p LEFT JOIN r ON p.t = r.t AND p.s = r.s
+"""
+
+
+def g7_observed(spark, d):
+    """Counters of a running stream: events are sent with retries, and each micro-batch is counted on its way to the sink."""
+    listener = R.DeliveryListener()
+    spark.streams.addListener(listener)
+    try:
+        sent_ = listener.observed(delivery.send_with_retries(q_stream.stream(spark, d, ("event_id", "user_id")), q_stream.send, retries=3))
+        query = sent_.writeStream.queryName("deliveries").format("parquet").option("path", tables.scratch(spark, "outcomes")).option("checkpointLocation", tables.scratch(spark, "checkpoint")).trigger(availableNow=True).start()
+        delivery.drain(query)
+        while "deliveries" not in listener.ended:
+            time.sleep(0.05)
+    finally:
+        spark.streams.removeListener(listener)
+    total = listener.totals["deliveries"]
+    return spark.createDataFrame([(total["items"], total["accepted"], total["retries"], total["rejected"], total["exhausted"])], "items long, accepted long, retries long, rejected long, exhausted long")
+
+
+def g7_exhausted(spark, d):
+    out = delivery.send_with_retries(table(spark, d, "events").select("event_id", (F.col("event_id") % 9).alias("batch_id")), q_stream.send, retries=3)
+    return R.delivery(out)
+
+
+G7_COUNTS = "count(*) AS items, count(CASE WHEN o = 'accepted' THEN 1 END) AS accepted, 0::BIGINT AS retries, count(CASE WHEN o = 'rejected' THEN 1 END) AS rejected, count(CASE WHEN o = 'exhausted' THEN 1 END) AS exhausted"
+G7_OUTCOMES = f"(SELECT event_id, {q_stream.OUTCOME} AS o FROM events)"
+
+
 def g8(spark, d):
     c = table(spark, d, "conversations")
     return R.usage(c, F.size(A.whitespace(F.col("text"))))
@@ -189,6 +243,9 @@ SELECT l_orderkey, l_linenumber, o_orderkey AS query_id FROM lineitem JOIN order
 
 
 QUERIES = {
+    "J9_span_trees": (j9_trees, J9_TREES),
+    "G7_observed": (g7_observed, f"SELECT {G7_COUNTS} FROM {G7_OUTCOMES}"),
+    "G7_exhausted": (g7_exhausted, f"SELECT count(DISTINCT event_id % 9) AS batches, {G7_COUNTS}, false AS success FROM {G7_OUTCOMES}"),
     "J8_clauses": (j8_clauses, J8_CLAUSES), "J8_clauses_many": (j8_clauses_many, J8_CLAUSES_MANY),
     "X1_content_hash": (lambda s, d: orders(s, d).select("o_orderkey", X.content_hash(F.col("o_custkey"), F.col("o_orderstatus"), F.lit(None)).alias("h")), f"SELECT o_orderkey, {H.format('concat(o_custkey, o_orderstatus)')} AS h FROM orders"),
     "X2_combined_hash": (lambda s, d: orders(s, d).select("o_orderkey", X.combined_hash(X.schema_hash('{"a": 1}'), X.content_hash(F.col("o_orderkey"))).alias("h")), f"SELECT o_orderkey, {H.format(chr(39) + X.schema_hash(chr(123) + chr(34) + 'a' + chr(34) + ':1}') + chr(39) + ' || ' + H.format('o_orderkey::VARCHAR'))} AS h FROM orders"),

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 _own: dict[str, str] = {}
 _scope = threading.local()
 ALIASES = "alias string, index string"
+MANIFEST = "bucket int, generation string"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -133,34 +134,58 @@ def append(rows: DataFrame, path: str, ts_col: str) -> DataFrame:
 
 
 class BucketedTable:
-    """A keyed table partitioned by `_bucket`, a hash of _id; a write reads and replaces only partitions its batch touches.
+    """A keyed table dealt by `_bucket`, a hash of _id; a write reads and replaces only the buckets its batch touches.
 
-    They are replaced by Spark's dynamic partition overwrite when the job commits, so a frame read earlier must be used
-    before the next write; readers that need one state for longer take snapshots of a TableRoot.  `n` buckets is a
-    constant of the table: a batch should touch few of them.  A large bucket is written by several tasks.
-    One writer per table.
+    The root holds `data/<generation>/_bucket=<n>` directories, which never change, and numbered manifests that say in
+    which generation each bucket lies.  A write adds a generation and then a manifest, which counts once Spark has committed it:
+    a driver that is lost at any moment leaves the state before the write or the one after it.  Generations
+    that the last KEPT manifests don't name are removed after a write, so a frame that was read stays valid for that many
+    writes.  `n` buckets is a constant of the table: a batch should touch few of them.  One writer per table.
     """
 
+    KEPT = 3
+
     def __init__(self, spark: SparkSession, root: str, n: int = 64):
         self.spark, self.root, self.n = spark, root.rstrip("/"), n
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64("_id"), F.lit(self.n)).cast("int")
 
-    def _files(self, bucket: int) -> list[str]:
-        return names(self.spark, f"{self.root}/_bucket={bucket}")
+    def _manifests(self) -> list[str]:
+        """Committed manifests, oldest first."""
+        found = [n for n in names(self.spark, self.root) if n.startswith("manifest-")]
+        return [n for n in found if "_SUCCESS" in names(self.spark, f"{self.root}/{n}")]
+
+    def _state(self, manifest: str) -> dict[int, str]:
+        """bucket -> generation: n rows at most."""
+        return {r["bucket"]: r["generation"] for r in self.spark.read.schema(MANIFEST).parquet(f"{self.root}/{manifest}").collect()}
+
+    def state(self) -> dict[int, str]:
+        """The generation in which each bucket that has rows lies now."""
+        found = self._manifests()
+        return self._state(found[-1]) if found else {}
 
     def buckets(self) -> list[int]:
         """The buckets that have rows."""
-        return sorted(int(x.split("=")[1]) for x in names(self.spark, self.root) if x.startswith("_bucket="))
+        return sorted(self.state())
 
     def read(self, buckets: list[int] | None = None) -> DataFrame | None:
         """The table, or some of its buckets; None if it has none of them yet."""
-        found = self.buckets()
-        if not found or (buckets is not None and not set(found) & set(buckets)):
-            return None
-        rows = self.spark.read.parquet(self.root)
-        return (rows if buckets is None else rows.where(F.col("_bucket").isin(buckets))).drop("_bucket")
+        paths = [f"{self.root}/data/{g}/_bucket={b}" for b, g in sorted(self.state().items()) if buckets is None or b in buckets]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def _publish(self, state: dict[int, str]) -> None:
+        number = max((int(n.split("-")[1]) for n in names(self.spark, self.root) if n.startswith("manifest-")), default=-1) + 1
+        self.spark.createDataFrame(sorted(state.items()), MANIFEST).coalesce(1).write.parquet(f"{self.root}/manifest-{number:012d}")
+
+    def _clean(self) -> None:
+        manifests = self._manifests()
+        for old in manifests[: -self.KEPT]:
+            remove(self.spark, f"{self.root}/{old}")
+        named = {g for m in manifests[-self.KEPT :] for g in self._state(m).values()}
+        for generation in names(self.spark, f"{self.root}/data"):
+            if generation not in named:
+                remove(self.spark, f"{self.root}/data/{generation}")
 
     def write(self, batch: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame], empty: DataFrame) -> list[int]:
         """Apply a keyed write (target, batch) -> new rows; returns the touched buckets.  `empty` gives the table's schema.
@@ -171,11 +196,11 @@ class BucketedTable:
         touched = sorted(r[0] for r in batch.select(self._bucket().alias("b")).distinct().collect())  # n values at most
         if not touched:
             return []
+        state, generation = self.state(), uuid.uuid4().hex
         current = self.read(touched)
-        before = {b: self._files(b) for b in touched}
         rows = apply(current if current is not None else empty, batch).withColumn("_bucket", self._bucket())
-        rows.hint("rebalance", "_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(self.root)
-        for b in touched:
-            if self._files(b) == before[b]:  # not replaced, as all its rows are deleted
-                remove(self.spark, f"{self.root}/_bucket={b}")
+        rows.hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(f"{self.root}/data/{generation}")
+        filled = [int(x.split("=")[1]) for x in names(self.spark, f"{self.root}/data/{generation}") if x.startswith("_bucket=")]
+        self._publish({b: g for b, g in state.items() if b not in touched} | dict.fromkeys(filled, generation))
+        self._clean()
         return touched
