@@ -6,7 +6,9 @@ whose SimHash fingerprints lie within its radius, which holds near-identical tex
 the rest: a class has BANDS keys, each made of ROWS minima, and two classes that share a key are a candidate pair.  First
 each key links its classes to one leader, another one in each key, so a large group of near copies costs as many pairs as
 it has keys.  A key whose classes are in different components still is then compared in full inside tasks, in tiles of
-bounded size, and only links that join components leave a task, so no candidate is left out and no pairs are written.  A pair at similarity s is missed by the bands with chance (1 - s**ROWS)**BANDS: 6 in 100,000 at 0.8, 3 in 10 million
+bounded size, and only links that join components leave a task, so no candidate is left out and no pairs are written.  A key
+of more than SPLIT chunks is first split by SUBKEYS further minima, each of which two of its classes share with chance s; a
+pair shares none with chance (1 - s)**SUBKEYS: 7 in 10**12 at 0.8.  A pair at similarity s is missed by the bands with chance (1 - s**ROWS)**BANDS: 6 in 100,000 at 0.8, 3 in 10 million
 at 0.85.  Every pair is verified on the exact sets, whoever proposed it.
 """
 
@@ -24,9 +26,13 @@ from keelson.llm import simhash, work
 BANDS, ROWS = 32, 6
 #: Rows, and bytes of shingle hashes, of one of the two chunks of a key that meet in a task.
 CHUNK, CHUNK_BYTES = 1024, 8_000_000
+#: A key of more chunks than this is split by so many further minima first, one row a minimum.
+SPLIT, SUBKEYS = 16, 16
 _SEED = np.random.default_rng(42)
 _FACTORS = _SEED.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _SHIFTS = _SEED.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
+_SUB_FACTORS = _SEED.integers(0, 2**31, SUBKEYS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_SUB_SHIFTS = _SEED.integers(0, 2**32, SUBKEYS, dtype=np.uint32)
 
 
 def shingles(text: str | None, size: int = 5) -> np.ndarray:
@@ -44,15 +50,20 @@ def shingles(text: str | None, size: int = 5) -> np.ndarray:
     return np.unique(np.fromiter((digest(data[i:j], 42) for i, j in zip(starts[:n].tolist(), ends[size - 1 :].tolist(), strict=True)), np.uint64, n))
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """BANDS keys of a set."""
-    least = np.full(BANDS * ROWS, 2**32 - 1, np.uint32)
+def minima(hashes: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+    """The least value of a set under each of several hash functions."""
+    least = np.full(len(factors), 2**32 - 1, np.uint32)
     halves = (hashes >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(halves), 1024):  # a very long text a piece at a time
-        h = halves[at : at + 1024, None] * _FACTORS
-        h += _SHIFTS
+        h = halves[at : at + 1024, None] * factors
+        h += shifts
         np.minimum(least, h.min(axis=0), out=least)
-    least = least.astype(np.uint64)
+    return least
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """BANDS keys of a set."""
+    least = minima(hashes, _FACTORS, _SHIFTS).astype(np.uint64)
     keys = np.arange(1, BANDS + 1, dtype=np.uint64)
     for column in least.reshape(BANDS, ROWS).T:
         keys = (keys ^ column) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -131,14 +142,39 @@ def joins(rows: list[int], root: np.ndarray, sets: list[np.ndarray], least: floa
     return out
 
 
-def compare(members: DataFrame, least: float, chunk: int, chunk_bytes: int) -> DataFrame:
+def split(members: DataFrame) -> DataFrame:
+    """members under SUBKEYS further keys each, without those whose rows have one root already."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [minima(np.frombuffer(h.as_py(), np.uint64), _SUB_FACTORS, _SUB_SHIFTS).astype(np.int64) for h in batch.column(3)]
+            flat = pa.array(np.concatenate(found)) if found else pa.array([], pa.int64())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, SUBKEYS), pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists], names=["key", "row", "root", "minima"])
+
+    keys = members.select("key", "row", "root", "hashes").mapInArrow(run, "key long, row long, root long, minima array<long>")
+    keys = keys.select("key", "row", "root", F.posexplode("minima").alias("i", "v")).select("row", "root", F.xxhash64("key", "i", "v").alias("key"))
+    keys = work.pinned(keys, "sub-keys")
+    mixed = keys.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    sets = members.groupBy("row").agg(F.first("hashes").alias("hashes"))  # a row's is the same under each key
+    return keys.join(mixed, "key", "left_semi").join(sets, "row").select("key", "row", "root", "hashes")
+
+
+def compare(members: DataFrame, least: float, chunk: int, chunk_bytes: int, most: int = SPLIT) -> DataFrame:
     """Links a, b of members (key, row, root, hashes) that share a key and differ in root, as far as they join roots.
 
     A key with more than `chunk` rows or `chunk_bytes` of hashes is cut into chunks, and every two of its chunks meet in
-    one task.
+    one task; a key of more than `most` chunks is split first.
     """
-    size = members.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / chunk), F.ceil(F.sum(F.length("hashes")) / chunk_bytes)).cast("int").alias("c"))
-    rows = members.join(size, "key").withColumn("own", F.pmod(F.xxhash64("row"), F.col("c")).cast("int"))
+
+    def chunks(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / chunk), F.ceil(F.sum(F.length("hashes")) / chunk_bytes)).cast("int").alias("c"))
+
+    hot = work.pinned(chunks(members).where(F.col("c") > most).select("key"), "hot-keys")
+    if not hot.isEmpty():
+        whole = work.pinned(split(work.join_counted(members, hot, "key", "left_semi")), "split-keys")
+        members = work.join_counted(members, hot, "key", "left_anti").unionByName(whole)
+    rows = members.join(chunks(members), "key").withColumn("own", F.pmod(F.xxhash64("row"), F.col("c")).cast("int"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("other"))
     on = ["key", "low", "high"]
     rows = rows.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "row", "root", "hashes").repartition(*on).sortWithinPartitions(*on)

@@ -3,13 +3,14 @@
 A text is split at everything that looks private; each match is validated and replaced, and the text is put together
 again.  Card numbers (Luhn), phone numbers, social security numbers, IPv4 addresses and calendar dates are permuted
 within their format by an alternating Feistel network on a mixed radix (a, b): any domain of a * b values is permuted
-exactly, without cycle walking.  The round function is SHA-256 keyed with a secret.  The same value gets the same
-pseudonym in every document, whatever its separators, and the key holder can invert it.  E-mail names and hexadecimal
+exactly, without cycle walking.  The round function is HMAC with SHA-256.  The key reaches the rows as a column of a
+table of one row, so no plan, log or page of Spark's UI shows it.  The same value gets the same pseudonym in every document, whatever its separators, and the key holder can invert it.  E-mail names and hexadecimal
 secrets are no numbers; they get keyed digests of the same shape, which cannot be inverted.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -41,14 +42,28 @@ def power_of_ten(n: Column) -> Column:
     return F.rpad(F.lit("1"), (n + 1).cast("int"), F.lit("0")).cast("long")
 
 
-def feistel(value: Column, a: Column, b: Column, key: str, tweak: str | Column, inverse: bool = False) -> Column:
-    """A keyed permutation of 0 .. a * b - 1."""
-    tweak = F.lit(tweak) if isinstance(tweak, str) else tweak
+def keyed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """`df` with the two padded keys of HMAC in the struct column `name`, from a table of one row."""
+    whole = key.encode()
+    block = (hashlib.sha256(whole).digest() if len(whole) > 64 else whole).ljust(64, b"\0")
+    pads = [bytearray(b ^ pad for b in block) for pad in (0x36, 0x5C)]
+    one = df.sparkSession.createDataFrame([(pads,)], f"`{name}` struct<inner: binary, outer: binary>")
+    return df.crossJoin(F.broadcast(one))
+
+
+def hmac(key: Column, *parts: str | Column) -> Column:
+    """HMAC-SHA256, in hex, of the parts joined by |."""
+    message = F.concat_ws("|", *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]).cast("binary")
+    return F.sha2(F.concat(key["outer"], F.unhex(F.sha2(F.concat(key["inner"], message), 256))), 256)
+
+
+def feistel(value: Column, a: Column, b: Column, key: Column, tweak: str | Column, inverse: bool = False) -> Column:
+    """A keyed permutation of 0 .. a * b - 1; `key` is a column made by `keyed`."""
     one, two = a.cast("long"), b.cast("long")
     sign = -1 if inverse else 1
 
     def pseudo_random(i: Column, half: Column) -> Column:
-        return F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), tweak, i.cast("string"), half.cast("string")), 256), 1, 13), 16, 10).cast("long")
+        return F.conv(F.substring(hmac(key, tweak, i, half), 1, 13), 16, 10).cast("long")
 
     def step(s: Column, i: Column) -> Column:
         left = F.when(i % 2 == 0, F.pmod(s["l"] + sign * F.pmod(pseudo_random(i, s["r"]), one), one)).otherwise(s["l"])
@@ -89,7 +104,7 @@ def luhn_sum(digits: Column, doubled: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
 
 
-def permuted_digits(digits: Column, key: str, tweak: str, inverse: bool) -> Column:
+def permuted_digits(digits: Column, key: Column, tweak: str, inverse: bool) -> Column:
     """Up to 18 digits as another string of as many digits."""
 
 
@@ -102,7 +117,7 @@ def permuted_digits(digits: Column, key: str, tweak: str, inverse: bool) -> Colu
     return let(F.struct(digits.alias("d"), n.alias("n"), power_of_ten(half).alias("a"), power_of_ten(n - half).alias("b")), moved)
 
 
-def card(value: Column, key: str, inverse: bool) -> Column:
+def card(value: Column, key: Column, inverse: bool) -> Column:
     """All digits but the last are permuted, and the last is again the check digit; a number that fails Luhn stays."""
 
     def with_check(body: Column) -> Column:
@@ -115,7 +130,7 @@ def card(value: Column, key: str, inverse: bool) -> Column:
     return let(digits_of(value), moved)
 
 
-def phone(value: Column, key: str, inverse: bool) -> Column:
+def phone(value: Column, key: Column, inverse: bool) -> Column:
     """The last ten digits are permuted, the country code stays."""
 
     def moved(digits: Column) -> Column:
@@ -125,7 +140,7 @@ def phone(value: Column, key: str, inverse: bool) -> Column:
     return let(let(digits_of(value), moved), lambda d: refill(value, d))
 
 
-def ssn(value: Column, key: str, inverse: bool) -> Column:
+def ssn(value: Column, key: Column, inverse: bool) -> Column:
     """Valid numbers are permuted among themselves: areas 001 to 899 without 666, groups 01 to 99, serials 0001 to 9999.
 
     Any other number stays.
@@ -145,13 +160,13 @@ def ssn(value: Column, key: str, inverse: bool) -> Column:
     return let(digits_of(value), moved)
 
 
-def ipv4(value: Column, key: str, inverse: bool) -> Column:
+def ipv4(value: Column, key: Column, inverse: bool) -> Column:
     number = F.aggregate(F.split(value, r"\."), F.lit(0).cast("long"), lambda s, p: s * 256 + p.cast("long"))
     out = feistel(number, F.lit(65536), F.lit(65536), key, "ipv4", inverse)
     return let(out, lambda n: F.concat_ws(".", *[F.pmod(F.shiftright(n, k), F.lit(256)).cast("string") for k in (24, 16, 8, 0)]))
 
 
-def date(value: Column, key: str, inverse: bool) -> Column:
+def date(value: Column, key: Column, inverse: bool) -> Column:
     """A day of 1800 to 2199 becomes another one, written alike; what is no day of the calendar stays."""
     iso = value.rlike("^[0-9]{4}-")
     sep = F.substring(value, 3, 1)
@@ -169,15 +184,15 @@ def date(value: Column, key: str, inverse: bool) -> Column:
     return F.when(valid, let(moved.cast("string"), written)).otherwise(value)
 
 
-def email(value: Column, key: str) -> Column:
+def email(value: Column, key: Column) -> Column:
     """The name becomes a keyed digest; the domain stays."""
-    name = F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lower(value)), 256), 1, 12)
+    name = F.substring(hmac(key, "email", F.lower(value)), 1, 12)
     return F.concat(F.lit("u"), name, F.lit("@"), F.substring_index(value, "@", -1))
 
 
-def secret(value: Column, key: str) -> Column:
+def secret(value: Column, key: Column) -> Column:
     """A keyed digest of the same length and case."""
-    out = F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("secret"), F.lower(value)), 256), F.lit(1), F.length(value))
+    out = F.substring(hmac(key, "secret", F.lower(value)), F.lit(1), F.length(value))
     return F.when(value == F.upper(value), F.upper(out)).otherwise(out)
 
 
@@ -188,7 +203,7 @@ def kind_of(value: Column) -> Column:
     return out.otherwise("none")
 
 
-def replacement(kind: Column, value: Column, key: str, inverse: bool = False) -> Column:
+def replacement(kind: Column, value: Column, key: Column, inverse: bool = False) -> Column:
     out = F.when(kind == "email", value if inverse else email(value, key)).when(kind == "secret", value if inverse else secret(value, key))
     for name, how in (("ipv4", ipv4), ("phone", phone), ("date", date), ("ssn", ssn), ("card", card)):
         out = out.when(kind == name, how(value, key, inverse))
@@ -203,14 +218,17 @@ def pseudonymise(docs: DataFrame, key: str, inverse: bool = False, text_col: str
     other columns are kept as they are; an empty table stays empty.  No pattern recurses or backtracks over a repeated
     group, so a text of any length passes.
     """
-    text = F.col(text_col)
+    name = "_key"
+    while name in docs.columns:
+        name += "_"
+    text, hidden = F.col(text_col), F.col(name)
     may = text.rlike("[0-9@]")
     found = F.when(may, F.regexp_extract_all(text, F.lit(PRIVATE), F.lit(0)))
-    rows = docs.withColumn("private", F.transform(found, lambda v: F.struct(kind_of(v).alias("kind"), v.alias("value"))))
-    rows = rows.withColumn("private", F.transform("private", lambda p: F.struct(p["kind"].alias("kind"), p["value"].alias("value"), replacement(p["kind"], p["value"], key, inverse).alias("pseudonym"))))
+    rows = keyed(docs, key, name).withColumn("private", F.transform(found, lambda v: F.struct(kind_of(v).alias("kind"), v.alias("value"))))
+    rows = rows.withColumn("private", F.transform("private", lambda p: F.struct(p["kind"].alias("kind"), p["value"].alias("value"), replacement(p["kind"], p["value"], hidden, inverse).alias("pseudonym"))))
     gaps = F.split(text, PRIVATE, -1)
     ends = F.concat(F.transform("private", lambda p: p["pseudonym"]), F.array(F.lit("")))
     rebuilt = F.array_join(F.zip_with(gaps, ends, lambda g, p: F.concat(g, p)), "")
     rows = rows.withColumn(text_col, F.when(F.size("private") > 0, rebuilt).otherwise(text))
     changed = F.transform(F.filter("private", lambda p: p["pseudonym"] != p["value"]), lambda p: F.struct(p["kind"].alias("kind"), p["pseudonym"].alias("pseudonym")))
-    return rows.withColumn("private", F.coalesce(changed, F.array().cast("array<struct<kind:string,pseudonym:string>>")))
+    return rows.drop(name).withColumn("private", F.coalesce(changed, F.array().cast("array<struct<kind:string,pseudonym:string>>")))

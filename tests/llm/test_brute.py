@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import hmac
 import math
 import random
 import re
@@ -216,11 +217,15 @@ def test_rules_ratio_threshold_and_verdict(spark):
 # ---- op6 -------------------------------------------------------------------------------------------------------------
 
 
+def brute_hmac(key, message):
+    return hmac.new(key.encode(), message.encode(), "sha256").hexdigest()
+
+
 def brute_feistel(value, a, b, key, tweak, inverse=False):
     left, right = value // b, value % b
 
     def f(i, half):
-        return int(hashlib.sha256(f"{key}|{tweak}|{i}|{half}".encode()).hexdigest()[:13], 16)
+        return int(brute_hmac(key, f"{tweak}|{i}|{half}")[:13], 16)
 
     for i in reversed(range(pii.ROUNDS)) if inverse else range(pii.ROUNDS):
         sign = -1 if inverse else 1
@@ -248,9 +253,9 @@ def luhn(digits):
 def brute_pseudonym(kind, value, key):
     digits = regex.sub("[^0-9]", "", value)
     if kind == "email":
-        return "u" + hashlib.sha256(f"{key}|email|{value.lower()}".encode()).hexdigest()[:12] + "@" + value.rsplit("@", 1)[1]
+        return "u" + brute_hmac(key, f"email|{value.lower()}")[:12] + "@" + value.rsplit("@", 1)[1]
     if kind == "secret":
-        out = hashlib.sha256(f"{key}|secret|{value.lower()}".encode()).hexdigest()[: len(value)]
+        out = brute_hmac(key, f"secret|{value.lower()}")[: len(value)]
         return out.upper() if value == value.upper() else out
     if kind == "ipv4":
         n = brute_feistel(int.from_bytes(bytes(map(int, value.split("."))), "big"), 65536, 65536, key, "ipv4")

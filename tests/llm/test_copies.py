@@ -100,3 +100,35 @@ def test_later_stages_keep_the_rest(spark):
     private = work.pinned(STEPS["pii"](spark, rows, DATA), "t")
     assert private.columns == list(corpus_pipeline.COLUMNS)
     assert STEPS["packing"](spark, private, DATA).select("doc_id").distinct().count() == rows.count()
+
+
+def test_a_hot_key_is_split_without_losing_links(spark):
+    """All rows share one key: split by further minima, and cut into tiles where that doesn't help."""
+    import numpy as np
+
+    from keelson.llm import copies
+
+    r = np.random.default_rng(1)
+    sets = []
+    for _ in range(12):  # families in which each member is like the one before
+        own = r.integers(0, 2**63, 200, dtype=np.uint64)
+        for _ in range(12):
+            own = own.copy()
+            own[r.choice(200, 12, replace=False)] = r.integers(0, 2**63, 12, dtype=np.uint64)
+            sets.append(np.unique(own))
+    sets += [r.integers(0, 2**63, 200, dtype=np.uint64) for _ in range(60)]
+    links = {(i, j) for i in range(len(sets)) for j in range(i) if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))}
+
+    def classes(pairs):
+        root = list(range(len(sets)))
+        for a, b in pairs:
+            ra, rb = root[a], root[b]
+            root = [min(ra, rb) if x in (ra, rb) else x for x in root]
+        return root
+
+    members = spark.createDataFrame([(7, i, i, bytearray(np.sort(s).tobytes())) for i, s in enumerate(sets)], "key long, row long, root long, hashes binary").repartition(3).cache()
+    for most in (1, 1000):
+        got = {(max(x["a"], x["b"]), min(x["a"], x["b"])) for x in copies.compare(members, 0.8, 16, 1 << 30, most).collect()}
+        assert got <= links and classes(got) == classes(links)
+    assert len(set(classes(links))) < len(sets) - 100
+    assert copies.split(members).groupBy("key").count().agg({"count": "max"}).first()[0] < len(sets) / 4

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import duckdb
@@ -63,7 +64,7 @@ def test_odd_texts(spark):
 @pytest.mark.parametrize(("a", "b"), [(189, 773), (10, 100), (1, 7)])
 def test_feistel_permutes_its_domain(spark, a, b):
     n = a * b
-    out = spark.range(n).select(pii.feistel(F.col("id"), F.lit(a), F.lit(b), KEY, "t").alias("v"))
+    out = pii.keyed(spark.range(n), KEY, "k").select(pii.feistel(F.col("id"), F.lit(a), F.lit(b), F.col("k"), "t").alias("v"))
     s = out.agg(F.countDistinct("v"), F.min("v"), F.max("v")).first()
     assert tuple(s) == (n, 0, n - 1)
 
@@ -73,6 +74,18 @@ def test_no_python_on_the_main_path(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+@pytest.mark.parametrize("key", ["a-secret-nobody-may-read", "long " * 40])
+def test_no_plan_shows_the_key(spark, key):
+    """Neither the key nor what is derived from it is in a plan, parsed to generated."""
+    rows = pii.pseudonymise(spark.createDataFrame([(1, "call +1 555 123 4567", "clash")], "doc_id long, text string, _key string"), key)
+    assert rows.first()["text"] != "call +1 555 123 4567" and rows.columns == ["doc_id", "text", "_key", "private"]
+    block = (hashlib.sha256(key.encode()).digest() if len(key) > 64 else key.encode()).ljust(64, b"\0")
+    telling = [key, key.encode().hex(), *(bytes(b ^ p for b in block).hex() for p in (0x36, 0x5C))]
+    execution = rows._jdf.queryExecution()
+    texts = [execution.toString(), *(execution.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(m)) for m in ("extended", "codegen", "cost", "formatted"))]
+    assert not any(t.lower() in text.lower() for t in telling for text in texts)
+
+
 # ---- chat ------------------------------------------------------------------------------------------------------------
 
 
