@@ -45,12 +45,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces private values by pseudonyms under the key in the setting `keelson.pii.key` (a demonstration key if unset).
+    """Replaces private values by pseudonyms under the key in the setting `keelson.pii.secret`, whose name Spark redacts (a
+    demonstration key if unset).
 
     n_chars follows a text that changed.  Every row stays; null texts stay null; equal values get equal pseudonyms in
     all rows; ids and repeated rows don't matter; an empty table gives no rows.
     """
-    key = spark.conf.get("keelson.pii.key", DEMO_KEY)
+    key = spark.conf.get("keelson.pii.secret", DEMO_KEY)
     out = pii.pseudonymise(docs.select(*COLUMNS), key).selectExpr("doc_id", "text", "lang", "source", "CASE WHEN size(private) > 0 THEN cast(length(text) AS bigint) ELSE n_chars END AS n_chars")
     return out.select(*COLUMNS)
 
