@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import time
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from keelson.plans.q_writes import table
-from keelson.sources.tables import BucketedTable, scratch
+from keelson.sources import readers
+from keelson.sources.tables import BucketedTable, names, scratch
 from keelson.streaming import delivery as D
+from keelson.streaming import stateful
 
 BUDGET = 20_000
 
@@ -74,6 +79,55 @@ def t6_dead(spark, d):
     return spark.read.parquet(out).select("event_id", "outcome")
 
 
+def emitted(rows, spark, n):
+    """What a stream of rows has put into Parquet, with its timers running, once there are n rows; then it is stopped."""
+    out = scratch(spark, "sink")
+    query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "checkpoint")).trigger(processingTime="200 milliseconds").start()
+    written = lambda: spark.read.schema(rows.schema).parquet(out)
+    while query.isActive and (not names(spark, f"{out}/_spark_metadata") or written().count() < n):
+        time.sleep(0.3)
+    query.stop()
+    if query.exception():
+        raise query.exception()
+    return written()
+
+
+def whole_stream(spark, d, *columns):
+    """events as a stream of one micro-batch."""
+    path = scratch(spark, "event-files")
+    rows = table(spark, d, "events").select(*columns)
+    rows.coalesce(2).write.parquet(path)
+    return spark.readStream.schema(rows.schema).parquet(path)
+
+
+def t2_flush(spark, d):
+    """Batches of 700 events of a lane; what is left in a lane leaves when it is two seconds old."""
+    rows = stateful.flushed(whole_stream(spark, d, "event_id", "user_id"), "user_id", 700, 2, lanes=4)
+    found = emitted(rows, spark, table(spark, d, "events").count())
+    lane = found.groupBy("_lane", "closed_by").agg(F.count("*").alias("n"), F.countDistinct("batch").alias("batches"))
+    sums = lane.groupBy("_lane").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("closed_by") == "count", F.col("batches"))).alias("full"), F.coalesce(F.sum(F.when(F.col("closed_by") == "age", F.col("n"))), F.lit(0)).alias("aged"))
+    return found.select("event_id", "_lane").join(sums, "_lane").select("event_id", (F.floor(F.col("n") / 700) == F.col("full")).alias("full"), (F.col("n") % 700 == F.col("aged")).alias("aged"))
+
+
+def t6_resent(spark, d):
+    """Re-sends that wait in the state: the outcomes are those of the batch query."""
+    sent = stateful.resent(whole_stream(spark, d, "event_id", "user_id"), "event_id", send, retries=3, delay=lambda attempt: 0.2, lanes=4)
+    return emitted(sent, spark, table(spark, d, "events").count()).select("event_id", "status", "attempts", "outcome")
+
+
+def t10_wait(spark, d):
+    """Full-buffer policy wait: a producer adds a file once fewer than two wait; the stream takes one at a time."""
+    path, schema = scratch(spark, "handed-over"), "event_id long, user_id long, event_type string"
+    events = table(spark, d, "events").select("event_id", "user_id", "event_type")
+    readers.handed_over_frame(events.where("event_id % 5 = 0"), path, 2)
+    rows = readers.produced(spark, path, schema, stream=True, most_files=1, consume=True)
+    with ThreadPoolExecutor(1) as producer:
+        sent = producer.submit(lambda: [readers.handed_over_frame(events.where(f"event_id % 5 = {k}"), path, 2, timeout=300) for k in range(1, 5)])
+        found = emitted(rows, spark, events.count())
+        sent.result()
+    return found.drop("_malformed")
+
+
 OUTCOME = "CASE WHEN event_id % 10 = 4 THEN 'rejected' WHEN event_id % 6 > 3 THEN 'exhausted' ELSE 'accepted' END"
 
 
@@ -123,6 +177,9 @@ QUERIES = {
     "T4_oversize": (lambda s, d: D.oversized(paged(s, d), F.col("bytes"), 10_000).select("doc_id", F.col("bytes").cast("long").alias("bytes")), "SELECT doc_id, strlen(text)::BIGINT AS bytes FROM documents WHERE strlen(text) > 10000"),
     "T6_retry": (t6, f"SELECT {OUTCOME} AS outcome, CASE WHEN event_id % 10 = 4 THEN 400 WHEN event_id % 6 > 3 THEN 429 ELSE 201 END AS status, CASE WHEN event_id % 10 = 4 THEN 1 WHEN event_id % 6 > 3 THEN 4 ELSE event_id % 6 + 1 END AS attempts, count(*) AS n, min(event_id) AS first_id FROM events GROUP BY 1, 2, 3"),
     "T6_dead_letters": (t6_dead, f"SELECT event_id, {OUTCOME} AS outcome FROM events WHERE {OUTCOME} <> 'accepted'"),
+    "T2_flush": (t2_flush, "SELECT event_id, true AS full, true AS aged FROM events"),
+    "T6_resent": (t6_resent, f"SELECT event_id, CASE WHEN event_id % 10 = 4 THEN 400 WHEN event_id % 6 > 3 THEN 429 ELSE 201 END AS status, CASE WHEN event_id % 10 = 4 THEN 1 WHEN event_id % 6 > 3 THEN 4 ELSE event_id % 6 + 1 END AS attempts, {OUTCOME} AS outcome FROM events"),
+    "T10_wait": (t10_wait, "SELECT event_id, user_id, event_type FROM events"),
     "T7_stream_upsert": (t7, "SELECT user_id, 1::BIGINT AS _version, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY 1"),
     "T8_stream_append": (t8, "SELECT event_id, event_type FROM events"),
     "T9_drain": (t9, "SELECT count(*) AS n, sum(event_id)::BIGINT AS ids, false AS active FROM events"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -79,26 +80,57 @@ def stock_columns(line: Column) -> list[Column]:
     return [part[i].cast(f.dataType).alias(f.name) for i, f in enumerate(STOCK.fields)]
 
 
-def produced(spark: SparkSession, path: str, schema: str, stream: bool = False) -> DataFrame:
+def produced(spark: SparkSession, path: str, schema: str, stream: bool = False, most_files: int | None = None, consume: bool = False) -> DataFrame:
     """Rows that producers hand over as JSON lines in the files of a folder, as a table or as a stream.
 
     `_malformed` holds a line that is no object of the schema, else null.  Spark reads a file once it is in the folder,
-    so a producer writes it elsewhere and moves it in.
+    so a producer writes it elsewhere and moves it in, as Spark's own writers do.  A stream admits `most_files` in a
+    micro-batch and, with `consume`, deletes them once their micro-batch is committed, which makes room for producers
+    that wait for it (see wait_for_room).
     """
     wanted = T.StructType.fromDDL(schema)
-    lines = (spark.readStream if stream else spark.read).schema("value string").text(path)
-    rows = lines.where(F.trim("value") != "").withColumn("_row", F.from_json("value", T.StructType([*wanted.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}))
+    reader = (spark.readStream if stream else spark.read).schema("value string")
+    if stream and most_files:
+        reader = reader.option("maxFilesPerTrigger", most_files)
+    if stream and consume:
+        reader = reader.option("cleanSource", "delete")
+    rows = reader.text(path).where(F.trim("value") != "").withColumn("_row", F.from_json("value", T.StructType([*wanted.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}))
     return rows.select(*[F.col(f"_row.{f.name}") for f in wanted.fields], F.col("_row._bad").alias("_malformed"))
 
 
-def handed_over(spark: SparkSession, rows: Iterable[Mapping], schema: str, path: str, most: int = 10_000) -> int:
+def waiting_files(spark: SparkSession, path: str) -> int:
+    """How many files of the folder no stream has consumed yet."""
+    return sum(not n.startswith(("_", ".")) for n in tables.names(spark, path))
+
+
+def wait_for_room(spark: SparkSession, path: str, most: int, timeout: float | None = None, poll: float = 0.1) -> None:
+    """Full-buffer policy `wait`: returns once fewer than `most` files wait in the folder; TimeoutError after `timeout` seconds."""
+    began = time.monotonic()
+    while waiting_files(spark, path) >= most:
+        if timeout is not None and time.monotonic() - began > timeout:
+            raise TimeoutError(f"{path} stayed full")
+        time.sleep(poll)
+
+
+def handed_over_frame(rows: DataFrame, path: str, most: int, files: int = 1, timeout: float | None = None) -> None:
+    """A producer on Spark: waits for room, then adds the rows as `files` files, so at most `most` + `files` - 1 wait."""
+    wait_for_room(rows.sparkSession, path, most, timeout)
+    rows.select(F.to_json(F.struct("*")).alias("value")).coalesce(files).write.mode("append").text(path)
+
+
+def handed_over(spark: SparkSession, rows: Iterable[Mapping], schema: str, path: str, most: int = 10_000, most_files: int | None = None, timeout: float | None = None) -> int:
     """A producer in the driver: rows from an iterator go to the folder in files of `most` rows, so that no more are held
-    at a time; returns how many were handed over."""
+    at a time; returns how many were handed over.  With `most_files` it takes no row from the iterator while that many
+    files wait."""
     from itertools import islice
 
     count, rest = 0, iter(rows)
-    while part := [dict(r) for r in islice(rest, most)]:
+    while True:
+        if most_files:
+            wait_for_room(spark, path, most_files, timeout)
+        part = [dict(r) for r in islice(rest, most)]
+        if not part:
+            return count
         frame = spark.createDataFrame([tuple(r.get(f.name) for f in T.StructType.fromDDL(schema).fields) for r in part], schema)
         frame.coalesce(1).select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(path)
         count += len(part)
-    return count
