@@ -241,8 +241,14 @@ def gram_filter(table: DataFrame, low: int, high: int, edge: bool = True, side:
     return table.withColumn("token", F.explode(grams))
 
 
-def shingles(table: DataFrame, low: int = 2, high: int = 2, separator: str = " ", unigrams: bool = True, filler: str = "_") -> DataFrame:
-    """Word n-grams by position; a gap left by a filter reads as the filler, at most one token at a position."""
+def shingles(table: DataFrame, low: int = 2, high: int = 2, separator: str = " ", unigrams: bool = True, filler: str = "_", stacked: bool = False) -> DataFrame:
+    """Word n-grams by position; a gap left by a filter reads as the filler.
+
+    A table with a column `span`, or one that is said to be `stacked`, may have several tokens at a position: then every
+    path through them counts (see path_shingles).
+    """
+    if stacked or "span" in table.columns:
+        return path_shingles(table, low, high, separator, unigrams, filler)
     order = Window.partitionBy("doc_id").orderBy("pos")
     next_pos = [F.lead("pos", i).over(order) for i in range(1, high)]
     rows = table.select("*", *[F.lead("token", i).over(order).alias(f"_t{i}") for i in range(1, high)], *[p.alias(f"_p{i}") for i, p in enumerate(next_pos, 1)])
@@ -261,8 +267,46 @@ def shingles(table: DataFrame, low: int = 2, high: int = 2, separator: str = " "
     return rows.select("doc_id", "pos", F.explode(grams).alias("g")).select("doc_id", "pos", F.col("g.token").alias("token"), F.col("g.size").alias("size"))
 
 
-def common_grams(table: DataFrame, words: DataFrame, separator: str = "_") -> DataFrame:
-    """All tokens, and bigrams of neighbours of which one is a common word."""
+def _graph(table: DataFrame) -> DataFrame:
+    """doc_id, pos, token, span of every different token; a token leads to those that begin where its span ends."""
+    return table.select("doc_id", "pos", "token", (F.col("span") if "span" in table.columns else F.lit(1)).cast("int").alias("span")).distinct()
+
+
+def _ahead(table: DataFrame, *more: str) -> DataFrame:
+    return table.select(F.col("doc_id").alias("_d"), F.col("pos").alias("_p"), F.col("token").alias("_t"), F.col("span").alias("_n"), *more)
+
+
+def path_shingles(table: DataFrame, low: int = 2, high: int = 2, separator: str = " ", unigrams: bool = True, filler: str = "_") -> DataFrame:
+    """doc_id, pos, token, size: n-grams along all paths of a token graph, in which tokens are stacked at positions and span
+    several.  A position without a token, up to the document's last, reads as the filler."""
+    graph = _graph(table)
+    after = F.lead("pos").over(Window.partitionBy("doc_id").orderBy("pos"))
+    gaps = graph.select("doc_id", "pos").distinct().withColumn("_next", after).where("_next > pos + 1")
+    gaps = gaps.select("doc_id", F.explode(F.sequence(F.col("pos") + 1, F.least(F.col("_next") - 1, F.col("pos") + high - 1))).alias("pos"))
+    nodes = _ahead(graph.unionByName(gaps.select("doc_id", "pos", F.lit(filler).alias("token"), F.lit(1).alias("span")).distinct()))
+    grams = graph.select("doc_id", "pos", "token", (F.col("pos") + F.col("span")).alias("_end"))
+    out = grams.withColumn("size", F.lit(1)) if unigrams or low < 2 else None
+    for n in range(2, high + 1):
+        joined = grams.join(nodes, (F.col("doc_id") == F.col("_d")) & (F.col("_end") == F.col("_p")))
+        grams = joined.select("doc_id", "pos", F.concat_ws(separator, "token", "_t").alias("token"), (F.col("_p") + F.col("_n")).alias("_end"))
+        if n >= low:
+            sized = grams.withColumn("size", F.lit(n))
+            out = sized if out is None else out.unionByName(sized)
+    return out.select("doc_id", "pos", "token", "size").distinct()
+
+
+def path_common_grams(table: DataFrame, words: DataFrame, separator: str = "_") -> DataFrame:
+    """All tokens, and bigrams of neighbours on any path of the graph of which one is a common word."""
+    listed = words.select(F.col("word").alias("token"), F.lit(True).alias("_c")).distinct()
+    graph = _graph(table).join(listed, "token", "left").withColumn("_c", F.coalesce("_c", F.lit(False)))
+    pairs = graph.join(_ahead(graph, F.col("_c").alias("_o")), (F.col("doc_id") == F.col("_d")) & (F.col("pos") + F.col("span") == F.col("_p"))).where(F.col("_c") | F.col("_o"))
+    return graph.select("doc_id", "pos", "token").unionByName(pairs.select("doc_id", "pos", F.concat_ws(separator, "token", "_t").alias("token"))).distinct()
+
+
+def common_grams(table: DataFrame, words: DataFrame, separator: str = "_", stacked: bool = False) -> DataFrame:
+    """All tokens, and bigrams of neighbours of which one is a common word; `stacked` as in shingles."""
+    if stacked or "span" in table.columns:
+        return path_common_grams(table, words, separator)
     listed = words.select(F.col("word").alias("token"), F.lit(True).alias("_c")).distinct()
     order = Window.partitionBy("doc_id").orderBy("pos")
     rows = table.join(listed, "token", "left").withColumn("_c", F.coalesce("_c", F.lit(False)))
@@ -276,21 +320,40 @@ def synonyms(table: DataFrame, rules: DataFrame, expand: bool = True) -> DataFra
     return synonym_graph(table, rules, expand).select("doc_id", "pos", "token").distinct()
 
 
+def phrases(table: DataFrame, rules: DataFrame, longest: int | None = None) -> DataFrame:
+    """doc_id, pos, synonym, span, path (tokens covered, with their positions) where the words of a rule (word, synonym)
+    follow one another on a path of the token graph.
+
+    Rules are followed word by word, so of the paths through stacked tokens only those that begin like a rule are walked.
+    """
+    graph = _graph(table)
+    named = rules.select(F.split("word", " ").alias("_w"), F.col("synonym")).distinct()
+    most = longest or named.agg(F.max(F.size("_w"))).first()[0] or 1
+    at = lambda pos, token: F.struct(F.col(pos).alias("pos"), F.col(token).alias("token"))
+    walks = graph.join(named.withColumn("token", F.col("_w")[0]), "token").select("doc_id", "pos", (F.col("pos") + F.col("span")).alias("_end"), "_w", "synonym", F.array(at("pos", "token")).alias("path"))
+    found = None
+    for k in range(1, most + 1):
+        whole = walks.where(F.size("_w") == k).select("doc_id", "pos", "synonym", (F.col("_end") - F.col("pos")).alias("span"), "path")
+        found = whole if found is None else found.unionByName(whole)
+        if k < most:
+            step = walks.where(F.size("_w") > k).withColumn("_word", F.col("_w")[k]).join(_ahead(graph), (F.col("doc_id") == F.col("_d")) & (F.col("_end") == F.col("_p")) & (F.col("_word") == F.col("_t")))
+            walks = step.select("doc_id", "pos", (F.col("_p") + F.col("_n")).alias("_end"), "_w", "synonym", F.concat("path", F.array(at("_p", "_t"))).alias("path"))
+    return found
+
+
 def synonym_graph(table: DataFrame, rules: DataFrame, expand: bool = True, longest: int | None = None) -> DataFrame:
     """doc_id, pos, token, span: rules (word, synonym), of which both may have several words parted by single blanks.
 
-    A synonym stands where its words begin and spans as many positions as they do.  If not `expand`, every token that a
-    match covers goes.  `longest` is the most words of a rule (counted if not given).
+    A synonym stands where its words begin and spans as many positions as they do.  Words are found along all paths
+    through stacked tokens.  If not `expand`, the tokens on a path that a match covers go.  `longest` is the most words of a
+    rule (counted if not given).
     """
-    named = rules.select(F.col("word").alias("token"), F.col("synonym").alias("_s")).distinct()
-    most = longest or named.agg(F.max(F.size(F.split("token", " ")))).first()[0] or 1
-    plain = table.select("doc_id", "pos", "token")
-    grams = shingles(plain, 2, most, filler="\0") if most > 1 else plain.withColumn("size", F.lit(1))
-    found = grams.join(named, "token").select("doc_id", "pos", F.col("_s").alias("token"), F.col("size").alias("span"))
+    plain = _graph(table)
+    found = phrases(table, rules, longest)
     if not expand:
-        covered = found.select("doc_id", F.explode(F.sequence("pos", F.col("pos") + F.col("span") - 1)).alias("pos")).distinct()
-        plain = plain.join(covered, ["doc_id", "pos"], "left_anti")
-    return plain.withColumn("span", F.lit(1)).unionByName(found).distinct()
+        covered = found.select("doc_id", F.explode("path").alias("c")).select("doc_id", "c.pos", "c.token").distinct()
+        plain = plain.join(covered, ["doc_id", "pos", "token"], "left_anti")
+    return plain.unionByName(found.select("doc_id", "pos", F.col("synonym").alias("token"), F.col("span").cast("int").alias("span"))).distinct()
 
 
 def stem_override(table: DataFrame, rules: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,32 +60,70 @@ def additive_merge(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return j.select(*out, *[F.col(f"_s_{c}").alias(c) for c in source.columns if c not in target.columns])
 
 
-def value_type(c: Column) -> Column:
-    """The detected type of a JSON value given as text."""
+def value_type(v: Column) -> Column:
+    """The detected type of a variant value: long, double, boolean, date or string, object or array; null for a null."""
+    kind = F.schema_of_variant(v)
+    text = F.when(kind == "STRING", v.try_cast("string"))
     return (
-        F.when(c.rlike("^-?[0-9]+$"), "long").when(c.rlike(r"^-?[0-9]*\.[0-9]+([eE][-+]?[0-9]+)?$"), "double").when(c.isin("true", "false"), "boolean")
-        .when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9:.]+Z?)?$"), "date").when(c.startswith("{"), "object").when(c.startswith("["), "array").otherwise("string")
+        F.when(kind == "BIGINT", "long").when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "double").when(kind == "BOOLEAN", "boolean").when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array")
+        .when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9:.]+Z?)?$"), "date").when(kind == "STRING", "string")
     )
 
 
-def profile(rows: DataFrame, json_col: str) -> DataFrame:
-    """field, type, n, fill: detected types of dynamic fields and the share of rows that have them."""
+def _at(path: Column, v: Column) -> Column:
+    return F.struct(path.alias("path"), v.alias("v"))
+
+
+def _elements(entries: Column) -> Column:
+    """Arrays among entries (path, v) replaced by their elements, which have the same path."""
+    return F.flatten(F.transform(entries, lambda e: F.when(F.schema_of_variant(e["v"]).startswith("ARRAY"), F.transform(e["v"].try_cast("array<variant>"), lambda x: _at(e["path"], x))).otherwise(F.array(_at(e["path"], e["v"])))))
+
+
+def _members(entries: Column, prefix: Callable[[Column, Column], Column]) -> Column:
+    """The fields of the objects among entries."""
+    objects = F.filter(entries, lambda e: F.schema_of_variant(e["v"]).startswith("OBJECT"))
+    return F.flatten(F.transform(objects, lambda e: F.transform(F.map_entries(e["v"].try_cast("map<string,variant>")), lambda m: _at(prefix(e["path"], m["key"]), m["value"]))))
+
+
+def profile(rows: DataFrame, json_col: str, depth: int = 1) -> DataFrame:
+    """field, type, n, fill: detected types of dynamic fields, the rows that have them, and their share of all rows.
+
+    Fields of objects down to `depth` levels have dotted names; beyond one level arrays are looked through (also arrays in
+    an array, two deep), so the fields of their objects count, once a row.  A null has no type; a text that is no JSON
+    object or that repeats a key has no fields.  A row's fields are found in one pass over its text.
+    """
     total = F.broadcast(rows.agg(F.count("*").alias("_total")))
-    pairs = rows.select(F.explode(F.map_entries(F.from_json(json_col, "map<string,string>"))).alias("e")).select(F.col("e.key").alias("field"), value_type(F.col("e.value")).alias("type"))
+    level = _members(F.array(_at(F.lit(""), F.try_parse_json(json_col))), lambda _, key: key)
+    found = []
+    for _ in range(depth):
+        level = level if depth == 1 else _elements(_elements(level))
+        found.append(F.transform(level, lambda e: F.struct(e["path"].alias("field"), value_type(e["v"]).alias("type"))))
+        level = _members(level, lambda path, key: F.concat_ws(".", path, key))
+    pairs = rows.select(F.explode(F.array_distinct(F.flatten(F.array(*found)))).alias("f")).where("f.type IS NOT NULL").select("f.*")
     return pairs.groupBy("field", "type").agg(F.count("*").alias("n")).crossJoin(total).select("field", "type", "n", F.round(F.col("n") / F.col("_total"), 4).alias("fill"))
 
 
+def _glob(c: Column, pattern: str) -> Column:
+    return c.rlike("^(?s:" + ".*".join(map(re.escape, pattern.split("*"))) + ")$")
+
+
 def dynamic_templates(fields: DataFrame, templates: list[dict[str, str]]) -> DataFrame:
-    """`assigned`: the type of the first template whose match (LIKE on the name), unmatch and match_mapping_type fit; else the detected type."""
+    """`assigned`: the type of the first template that fits, else the detected type.
+
+    A template fits if all that it names does: match and unmatch (the last part of the name), path_match and path_unmatch
+    (the whole dotted name), in which * stands for any characters, and match_mapping_type and unmatch_mapping_type (the detected type).
+    """
+    name = F.substring_index("field", ".", -1)
+    tests = {
+        "match": lambda p: _glob(name, p), "unmatch": lambda p: ~_glob(name, p), "path_match": lambda p: _glob(F.col("field"), p), "path_unmatch": lambda p: ~_glob(F.col("field"), p),
+        "match_mapping_type": lambda t: F.lit(t == "*") | (F.col("type") == t), "unmatch_mapping_type": lambda t: F.col("type") != t,
+    }
     out = F.lit(None).cast("string")
     for t in reversed(templates):
         hit = F.lit(True)
-        if "match" in t:
-            hit = hit & F.col("field").like(t["match"].replace("*", "%"))
-        if "unmatch" in t:
-            hit = hit & ~F.col("field").like(t["unmatch"].replace("*", "%"))
-        if "match_mapping_type" in t:
-            hit = hit & (F.col("type") == t["match_mapping_type"])
+        for key, test in tests.items():
+            if key in t:
+                hit = hit & test(t[key])
         out = F.when(hit, F.lit(t["type"])).otherwise(out)
     return fields.withColumn("assigned", F.coalesce(out, F.col("type")))
 

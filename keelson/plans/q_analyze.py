@@ -82,6 +82,45 @@ def a25_phrases(spark, d):
     return A.synonym_graph(ptok(spark, d), rules, expand=False).groupBy("token", "span").agg(F.count("*").alias("n"), F.sum("pos").cast("long").alias("positions"))
 
 
+def stacked(spark, d):
+    """Part names with single-word synonyms on top of them, and the first four letters of every token beside it."""
+    rules = spark.createDataFrame([("red", "crimson"), ("small", "tiny"), ("small", "little")], "word string, synonym string")
+    return A.multiplexer(A.synonyms(ptok(spark, d), rules), [lambda t: A.each(t, lambda c: F.substring(c, 1, 4))])
+
+
+STACKED = f"""{PTOK}, y AS (SELECT doc_id, pos, token FROM ptok UNION SELECT doc_id, pos, s FROM ptok JOIN (VALUES ('red', 'crimson'), ('small', 'tiny'), ('small', 'little')) v(w, s) ON token = w),
+g AS (SELECT doc_id, pos, token FROM y UNION SELECT doc_id, pos, substring(token, 1, 4) FROM y)"""
+
+
+def a23_paths(spark, d):
+    return tally(A.shingles(stacked(spark, d), 2, 2, stacked=True))
+
+
+A23_PATHS = tally_sql(STACKED, "(SELECT * FROM g UNION SELECT a.doc_id, a.pos, a.token || ' ' || b.token FROM g a JOIN g b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1)")
+
+
+def a24_paths(spark, d):
+    return tally(A.common_grams(stacked(spark, d), words(spark, "tiny", "widg"), stacked=True))
+
+
+A24_PATHS = tally_sql(STACKED, "(SELECT * FROM g UNION SELECT a.doc_id, a.pos, a.token || '_' || b.token FROM g a JOIN g b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 WHERE a.token IN ('tiny', 'widg') OR b.token IN ('tiny', 'widg'))")
+
+
+def a25_paths(spark, d):
+    """Rules of two words over stacked tokens, and shingles over the graph that they leave."""
+    rules = spark.createDataFrame([("tiny widget", "gizmo"), ("crim ring", "ruby band"), ("little ring", "ringlet")], "word string, synonym string")
+    graph = A.synonym_graph(stacked(spark, d), rules, expand=False)
+    return graph.groupBy("token", "span").agg(F.count("*").alias("n"), F.sum("pos").cast("long").alias("positions"))
+
+
+A25_PATHS = f"""
+WITH {STACKED}, v(a, b, s) AS (VALUES ('tiny', 'widget', 'gizmo'), ('crim', 'ring', 'ruby band'), ('little', 'ring', 'ringlet')),
+m AS (SELECT x.doc_id, x.pos, s, x.token AS one, y.token AS two FROM g x JOIN v ON x.token = a JOIN g y ON y.doc_id = x.doc_id AND y.pos = x.pos + 1 AND y.token = b),
+c AS (SELECT doc_id, pos, one AS token FROM m UNION SELECT doc_id, pos + 1, two FROM m)
+SELECT token, span, count(*) AS n, sum(pos)::BIGINT AS positions FROM (SELECT doc_id, pos, token, 1 AS span FROM g WHERE (doc_id, pos, token) NOT IN (SELECT doc_id, pos, token FROM c) UNION SELECT doc_id, pos, s, 2 FROM m) GROUP BY 1, 2
+"""
+
+
 A25_PHRASES = f"""
 WITH {PTOK}, v(a, b, s) AS (VALUES ('red', NULL, 'crimson'), ('small', 'widget', 'gadget'), ('small', 'widget', 'little thing'), ('blue', 'ring', 'sapphire')),
 m AS (SELECT x.doc_id, x.pos, s AS token, CASE WHEN b IS NULL THEN 1 ELSE 2 END AS span FROM ptok x JOIN v ON x.token = a LEFT JOIN ptok y ON y.doc_id = x.doc_id AND y.pos = x.pos + 1 WHERE b IS NULL OR y.token = b),
@@ -248,7 +287,7 @@ QUERIES = {
     "A36_normalizer": (lambda s, d: table(s, d, "part").select("p_partkey", A.normalise(F.concat(F.lit("  ÉA "), F.upper("p_type"))).alias("value")), "SELECT p_partkey, 'ea ' || lower(p_type) AS value FROM part"),
     "A37_analyzers": (lambda s, d: tally(A.analyzer("stop", words(s, "the", "la"))(docs(s, d), "doc_id", "text")), r"SELECT token, count(*) AS n, sum(pos)::BIGINT AS positions FROM (SELECT unnest(l) AS token, unnest(range(len(l))) AS pos FROM (SELECT regexp_extract_all(lower(text), '\p{L}+') AS l FROM documents)) WHERE token NOT IN ('the', 'la') GROUP BY 1"),
     "A15_folding_extended": (a15_extended, tally_sql(PTOK, "ptok")),
-    "A25_synonym_graph": (a25_phrases, A25_PHRASES),
+    "A25_synonym_graph": (a25_phrases, A25_PHRASES), "A23_path_shingle": (a23_paths, A23_PATHS), "A24_path_common_grams": (a24_paths, A24_PATHS), "A25_path_phrases": (a25_paths, A25_PATHS),
     "A37_custom": (a37_custom, rf"SELECT token, count(*) AS n, sum(pos)::BIGINT AS positions FROM (SELECT substring({FOLD_SQL}, 1, 5) AS token, pos FROM (SELECT unnest(l) AS token, unnest(range(len(l))) AS pos FROM (SELECT regexp_extract_all(lower(replace(replace(text, '&', ' and '), '|', ' ')), '\p{{L}}+') AS l FROM documents)) WHERE token NOT IN ('the', 'de') AND length({FOLD_SQL}) BETWEEN 2 AND 30) GROUP BY 1"),
     "A38_autocomplete": (a38, "SELECT q AS query_id, p_partkey AS doc_id FROM part, (VALUES (1, 're', 'wi'), (2, 'small', 'r'), (3, 'zz', 'zz')) v(q, a, b) WHERE (' ' || p_name) LIKE '% ' || a || '%' AND (' ' || p_name) LIKE '% ' || b || '%' AND length(b) >= 2"),
     "A39_search_as_you_type": (lambda s, d: tally(A.search_as_you_type(ptok(s, d), 2, 1, 3)), f"WITH {PTOK}, g AS (SELECT doc_id, pos, '' AS head, token AS tail FROM ptok UNION ALL SELECT a.doc_id, a.pos, a.token || ' ', b.token FROM ptok a JOIN ptok b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1) SELECT head || substring(tail, 1, k::INT) AS token, count(*) AS n, sum(pos)::BIGINT AS positions FROM g, range(1, 4) r(k) WHERE k <= length(tail) GROUP BY 1"),

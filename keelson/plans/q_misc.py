@@ -87,6 +87,32 @@ def m6(spark, d):
     return S.dynamic_templates(profile(spark, d), [{"match": "am*", "match_mapping_type": "long", "type": "double"}, {"match_mapping_type": "string", "unmatch": "when", "type": "keyword"}]).select("field", "type", "assigned")
 
 
+def nested_json(spark, d):
+    """events as objects that nest three levels, with arrays of objects and of numbers, nulls and numbers in quotes."""
+    e = table(spark, d, "events")
+    items = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('[{"price": 1.5, "tags": ["a"]}, {"price": '), "event_id", F.lit("}]"))).otherwise(F.lit('[[1, 2], "x"]'))
+    inner = F.concat(F.lit('{"id": '), "user_id", F.lit(', "since": "2024-01-05T10:00:00Z", "deep": {"flag": true, "code": "'), "event_id", F.lit('", "below": {"x": 1}}}'))
+    broken = F.when(F.col("event_id") % 11 == 0, "").otherwise("}")
+    return e.select(F.concat(F.lit('{"user": '), inner, F.lit(', "items": '), items, F.lit(', "none": null, "kind": "'), "event_type", F.lit('"'), broken).alias("json"))
+
+
+M5_NESTED = """
+WITH e AS (SELECT event_id % 2 = 0 AS even, event_id FROM events WHERE event_id % 11 <> 0),
+f AS (SELECT unnest([['user', 'object'], ['user.id', 'long'], ['user.since', 'date'], ['user.deep', 'object'], ['user.deep.flag', 'boolean'], ['user.deep.code', 'string'], ['user.deep.below', 'object'], ['kind', 'string']]) AS p FROM e
+  UNION ALL SELECT unnest([['items', 'object'], ['items.price', 'double'], ['items.price', 'long'], ['items.tags', 'string']]) FROM e WHERE even
+  UNION ALL SELECT unnest([['items', 'long'], ['items', 'string']]) FROM e WHERE NOT even)
+SELECT p[1] AS field, p[2] AS type, count(*) AS n, round(count(*) / (SELECT count(*) FROM events), 4) AS fill FROM f GROUP BY 1, 2
+"""
+
+
+def m6_paths(spark, d):
+    templates = [
+        {"path_match": "user.*", "path_unmatch": "*.deep.*", "match_mapping_type": "long", "type": "integer"}, {"path_match": "*.deep.*", "match": "c*", "type": "wildcard"},
+        {"path_match": "items.*", "unmatch": "tags", "unmatch_mapping_type": "long", "type": "float"}, {"match_mapping_type": "string", "type": "keyword"},
+    ]
+    return S.dynamic_templates(S.profile(nested_json(spark, d), "json", 3), templates).select("field", "type", "assigned")
+
+
 def m7(spark, d):
     schema = T.StructType().add("id", T.LongType()).add("price", T.IntegerType()).add("note", T.StringType()).add("p_brand", T.StringType())
     return S.conform(table(spark, d, "part"), schema, {"p_partkey": "id", "p_retailprice": "price"}).withColumn("note", F.coalesce("note", F.lit("none")))
@@ -243,6 +269,8 @@ SELECT l_orderkey, l_linenumber, o_orderkey AS query_id FROM lineitem JOIN order
 
 
 QUERIES = {
+    "M5_nested_profile": (lambda s, d: S.profile(nested_json(s, d), "json", 3), M5_NESTED),
+    "M6_path_templates": (m6_paths, f"WITH p AS ({M5_NESTED}) SELECT field, type, CASE WHEN field LIKE 'user.%' AND field NOT LIKE '%.deep.%' AND type = 'long' THEN 'integer' WHEN field = 'user.deep.code' THEN 'wildcard' WHEN field = 'items.price' AND type <> 'long' THEN 'float' WHEN type = 'string' THEN 'keyword' ELSE type END AS assigned FROM p"),
     "J9_span_trees": (j9_trees, J9_TREES),
     "G7_observed": (g7_observed, f"SELECT {G7_COUNTS} FROM {G7_OUTCOMES}"),
     "G7_exhausted": (g7_exhausted, f"SELECT count(DISTINCT event_id % 9) AS batches, {G7_COUNTS}, false AS success FROM {G7_OUTCOMES}"),
