@@ -525,11 +525,15 @@ def autocomplete_index(df: DataFrame, id_col: str, text_col: str, low: int = 2,
 
     An index for stated `queries` only holds their words; up to `most` of these are broadcast, so the rest isn't shuffled.
     """
-    table = gram_filter(tokens(df, id_col, standard(normalise(F.col(text_col)))), low, high).select(F.col("token").alias("prefix"), "doc_id")
-    if queries is not None:
-        wanted = query_words(queries).select("prefix").distinct()
-        table = table.join(F.broadcast(wanted) if wanted.limit(most + 1).count() <= most else wanted, "prefix", "left_semi")
-    return table.distinct()
+    table = tokens(df, id_col, standard(normalise(F.col(text_col))))
+    if queries is None:
+        return gram_filter(table, low, high).select(F.col("token").alias("prefix"), "doc_id").distinct()
+    wanted = query_words(queries).select("prefix").distinct()
+    few = (lambda d: F.broadcast(d)) if wanted.limit(most + 1).count() <= most else (lambda d: d)
+    heads = wanted.select(F.substring("prefix", 1, low).alias("_head")).distinct()
+    table = table.withColumn("_head", F.substring("token", 1, low)).join(few(heads), "_head", "left_semi")  # before grams are made
+    grams = gram_filter(table, low, high).select(F.col("token").alias("prefix"), "doc_id")
+    return grams.join(few(wanted), "prefix", "left_semi").distinct()
 
 
 def query_words(queries: DataFrame) -> DataFrame:
