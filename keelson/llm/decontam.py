@@ -6,9 +6,10 @@ in a multi-index over the items' fingerprints: 8 blocks of 8 bits, one of which
 so every fingerprint within the radius is found.  What is within the radius is verified by the exact weighted Jaccard
 similarity of the shingles (weight: how often a shingle occurs).
 
-The benchmark is a stated query set.  It is broadcast in blocks whose size is checked; a larger benchmark takes a pass
-over the documents for each block, and what one pass found is written beside the texts for the next.  Documents are not
-shuffled.
+The benchmark is a stated query set.  It is broadcast in blocks whose size is checked.  For a larger benchmark the rows
+are numbered and written once; each block is a pass over them that writes the numbers and hits of what it found, and
+nothing else, and the hits of all passes are joined to the rows.  Documents are not shuffled unless over a million of
+them hold items.
 """
 
 from __future__ import annotations
@@ -176,40 +177,43 @@ def with_contamination(docs: DataFrame, benchmark: DataFrame, least: float = 0.8
 
 
 def _judged(rows: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str, least: float, shingle: int, radius: int) -> DataFrame:
-    """The columns `keep` with what was found.  Each block of the benchmark is a pass in which every row carries what
-    the blocks before it found, so a row is judged by itself however many blocks there are."""
+    """The columns `keep` with what was found; a row is judged by itself however many blocks there are."""
     spark = rows.sparkSession
     work.prepare(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).where("item_id IS NOT NULL")
     size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
     one = size["n"] <= BLOCK_ITEMS and size["chars"] <= BLOCK_CHARS
-    blocks = iter([[tuple(r) for r in items.collect()]]) if one else cut(items)
 
-    def passed(own: DataFrame, block: list[tuple[int, str | None]], out: list[str]) -> DataFrame:
+    def passed(own: DataFrame, block: list[tuple[int, str | None]], out: list[str], hits_only: bool) -> DataFrame:
         shared = spark.sparkContext.broadcast(Items(block, shingle, radius))
-        order = [*(c for c in own.columns if c not in FOUND), *(c for c in own.columns if c in FOUND)]
-        at, earlier, places = order.index(text_col), FOUND[0] in order, [order.index(c) for c in out]
+        order = own.columns
+        at, places = order.index(text_col), [order.index(c) for c in out]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = [shared.value.match(t, least) for t in batch.column(at).to_pylist()]
                 ids = [[x[0] for x in f] for f in found]
                 top = [max(f, key=lambda x: (x[1], -x[0]))[1:] if f else (0.0, None) for f in found]
-                if earlier:  # blocks are in the order of the items, so of equal similarities the earlier one stays
-                    before = [batch.column(order.index(c)).to_pylist() for c in FOUND[1:]]
-                    ids = [a + b for a, b in zip(before[0], ids, strict=True)]
-                    top = [(s, w) if s >= t[0] else t for s, w, t in zip(before[1], before[2], top, strict=True)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in places), pa.array(list(map(bool, ids)), pa.bool_()), pa.array(ids, pa.list_(pa.int64())), pa.array([t[0] for t in top], pa.float64()), pa.array([t[1] for t in top], pa.int64())], names=[*out, *FOUND])
+                made = pa.RecordBatch.from_arrays([*(batch.column(k) for k in places), pa.array(list(map(bool, ids)), pa.bool_()), pa.array(ids, pa.list_(pa.int64())), pa.array([t[0] for t in top], pa.float64()), pa.array([t[1] for t in top], pa.int64())], names=[*out, *FOUND])
+                yield made.filter(made.column(len(out))) if hits_only else made
 
-        return own.select(*order).mapInArrow(run, work.carried(own, out, FOUND_DDL))
+        return own.mapInArrow(run, work.carried(own, out, FOUND_DDL))
 
     if one:
-        return passed(rows, next(blocks), keep)
-    both = [*keep, *([] if text_col in keep else [text_col])]
-    rows = rows.select(*both)
-    for block in blocks:
-        rows = work.pinned(passed(rows, block, both), "decontaminated")
-    return rows.select(*keep, *FOUND)
+        return passed(rows, [tuple(r) for r in items.collect()], keep, False)
+    row = "_row"
+    while row in rows.columns:
+        row += "_"
+    rows = work.pinned(rows.select(*dict.fromkeys([*keep, text_col])).withColumn(row, F.monotonically_increasing_id()), "numbered")
+    hits = None
+    for number, block in enumerate(cut(items)):
+        found = work.pinned(passed(rows.select(row, text_col), block, [row], True).select(row, *FOUND[1:], F.lit(number).alias("block")), "hits")
+        hits = found if hits is None else hits.unionByName(found)
+    ids = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "item_ids"))), lambda x: x["item_ids"]))  # a list a block
+    best = F.max_by(F.struct("similarity", "start_word"), F.struct(F.col("similarity"), -F.col("block")))  # of equal ones the earlier block's
+    merged = work.pinned(hits.groupBy(row).agg(ids.alias("_ids"), best.alias("_best")), "found")
+    joined = work.join_counted(rows, merged, row, "left")
+    return joined.select(*keep, F.col("_best").isNotNull().alias(FOUND[0]), F.coalesce("_ids", F.array().cast("array<long>")).alias(FOUND[1]), F.coalesce("_best.similarity", F.lit(0.0)).alias(FOUND[2]), F.col("_best.start_word").alias(FOUND[3]))
 
 
 def cut(items: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
