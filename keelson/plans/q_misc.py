@@ -136,14 +136,12 @@ s AS (SELECT *, CASE q % 10 WHEN 0 THEN 429 WHEN 1 THEN 500 WHEN 2 THEN 400 WHEN
 
 def j6(spark, d):
     both = sent(spark, d)
-    out = R.zip_outcomes(both.select("batch_id", "pos", "q"), both.select("batch_id", "pos", "status"))
-    return out.groupBy("status").agg(F.count("*").alias("n"), F.sum("q").alias("q"))
+    return R.zip_outcomes(both.select("batch_id", "pos", "q"), both.select("batch_id", "pos", "status"))
 
 
 def j7(spark, d):
     children = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("parent"), F.when(F.col("l_returnflag") == "R", "return").otherwise("line").alias("relation"), "l_quantity")
-    out = R.parent_child(orders(spark, d), children, "o_orderkey", "relation", "return")
-    return out.groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
+    return R.parent_child(orders(spark, d), children, "o_orderkey", "relation", "return").drop("parent")
 
 
 def j8(spark, d):
@@ -292,8 +290,8 @@ QUERIES = {
     "M6_dynamic_templates": (m6, f"WITH p AS ({M5}) SELECT field, type, CASE WHEN field LIKE 'am%' AND type = 'long' THEN 'double' WHEN type = 'string' AND field <> 'when' THEN 'keyword' ELSE type END AS assigned FROM p"),
     "M7_conform": (m7, "SELECT p_partkey AS id, trunc(p_retailprice)::INT AS price, 'none' AS note, p_brand FROM part"),
     "M8_evolution": (m8, "SELECT CASE WHEN p_size < 10 THEN 'none' WHEN p_size > 30 THEN 'true' ELSE 'false' END AS featured, count(*) AS n FROM part GROUP BY 1"),
-    "J6_positional_zip": (j6, f"WITH {SENT} SELECT status, count(*) AS n, sum(q)::BIGINT AS q FROM s GROUP BY 1"),
-    "J7_parent_child": (j7, "SELECT o_orderpriority, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' GROUP BY 1"),
+    "J6_positional_zip": (j6, f"WITH {SENT} SELECT batch_id, pos, q, status FROM s"),
+    "J7_parent_child": (j7, "SELECT 'return' AS relation, l_quantity, orders.* FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'"),
     "J8_stored_queries": (j8, "SELECT q AS query_id, count(*) AS n FROM lineitem, (VALUES (1), (2), (3), (4)) v(q) WHERE (q = 1 AND l_quantity >= 45) OR (q = 2 AND l_discount <= 0.01) OR (q = 3 AND l_returnflag = 'R') OR (q = 4 AND l_tax BETWEEN 0.02 AND 0.04) GROUP BY 1"),
     "J9_traces": (j9, "SELECT o_orderkey AS transaction_id, count(l_orderkey) AS span_count, coalesce(sum(l_quantity), 0) AS span_duration, count(CASE WHEN l_linenumber <= 2 THEN 1 END) AS children FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1"),
     "G2_count": (lambda s, d: orders(s, d).agg(F.count("*").alias("n")), "SELECT count(*) AS n FROM orders"),

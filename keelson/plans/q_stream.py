@@ -55,7 +55,7 @@ def t2(spark, d):
     """Age batches: appends every second until drained."""
     out = scratch(spark, "aged")
     D.drain(D.append_stream(stream(spark, d), out, scratch(spark, "checkpoint"), processing_time="1 second"))
-    return spark.read.parquet(out).groupBy("event_type").agg(F.count("*").alias("n"))
+    return spark.read.parquet(out)
 
 
 def send(rows, attempt):
@@ -148,7 +148,7 @@ def t9(spark, d):
     out = scratch(spark, "drained")
     query = D.append_stream(stream(spark, d, files=7), out, scratch(spark, "checkpoint"))
     D.drain(query)
-    return spark.read.parquet(out).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids")).withColumn("active", F.lit(query.isActive))
+    return spark.read.parquet(out).select("event_id", "value").withColumn("active", F.lit(query.isActive))
 
 
 def t10(spark, d):
@@ -159,7 +159,7 @@ def t10(spark, d):
 def t12(spark, d):
     a, b = scratch(spark, "first"), scratch(spark, "second")
     D.drain(D.fan_out(stream(spark, d), {a: lambda x: x.select("event_id", F.lit("first").alias("part")), b: lambda x: x.where("value > 10").select("event_id", F.lit("second").alias("part"))}, scratch(spark, "checkpoint")))
-    return spark.read.parquet(a).drop("batch").unionByName(spark.read.parquet(b).drop("batch")).groupBy("part").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+    return spark.read.parquet(a).drop("batch").unionByName(spark.read.parquet(b).drop("batch"))
 
 
 def p13_stream(spark, d):
@@ -172,7 +172,7 @@ def p13_stream(spark, d):
 
 QUERIES = {
     "T1_count_batches": (t1, "SELECT (rn - 1) // 1000 AS batch, count(*) AS n, min(event_id) AS first, max(event_id) AS last FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) AS rn FROM events) GROUP BY 1"),
-    "T2_age_batches": (t2, "SELECT event_type, count(*) AS n FROM events GROUP BY 1"),
+    "T2_age_batches": (t2, "SELECT event_id, ts, user_id, event_type, value FROM events"),
     "T3_byte_batches": (t3, T3), "T3_byte_batches_by_name": (t3_names, T3),
     "T4_oversize": (lambda s, d: D.oversized(paged(s, d), F.col("bytes"), 10_000).select("doc_id", F.col("bytes").cast("long").alias("bytes")), "SELECT doc_id, strlen(text)::BIGINT AS bytes FROM documents WHERE strlen(text) > 10000"),
     "T6_retry": (t6, f"SELECT {OUTCOME} AS outcome, CASE WHEN event_id % 10 = 4 THEN 400 WHEN event_id % 6 > 3 THEN 429 ELSE 201 END AS status, CASE WHEN event_id % 10 = 4 THEN 1 WHEN event_id % 6 > 3 THEN 4 ELSE event_id % 6 + 1 END AS attempts, count(*) AS n, min(event_id) AS first_id FROM events GROUP BY 1, 2, 3"),
@@ -182,8 +182,8 @@ QUERIES = {
     "T10_wait": (t10_wait, "SELECT event_id, user_id, event_type FROM events"),
     "T7_stream_upsert": (t7, "SELECT user_id, 1::BIGINT AS _version, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY 1"),
     "T8_stream_append": (t8, "SELECT event_id, event_type FROM events"),
-    "T9_drain": (t9, "SELECT count(*) AS n, sum(event_id)::BIGINT AS ids, false AS active FROM events"),
+    "T9_drain": (t9, "SELECT event_id, value, false AS active FROM events"),
     "T10_full_buffer": (t10, "SELECT rn <= 700 AS kept, event_type, count(*) AS n FROM (SELECT event_type, row_number() OVER (ORDER BY event_id) AS rn FROM events) GROUP BY 1, 2"),
-    "T12_fan_out": (t12, "SELECT 'first' AS part, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events UNION ALL SELECT 'second', count(*), sum(event_id)::BIGINT FROM events WHERE value > 10"),
+    "T12_fan_out": (t12, "SELECT event_id, 'first' AS part FROM events UNION ALL SELECT event_id, 'second' FROM events WHERE value > 10"),
     "P13_stream_dedup": (p13_stream, "SELECT event_type, count(*) AS n FROM (SELECT DISTINCT user_id, event_type, date_trunc('second', ts) FROM events) GROUP BY 1"),
 }

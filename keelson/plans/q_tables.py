@@ -61,7 +61,7 @@ def p4(spark, d):
 
 def p5(spark, d):
     left, count = M.delete_by_query(dest(spark, d), F.col("o_totalprice") < 100000)
-    return left.agg(F.count("*").alias("n_left"), F.round(F.sum("o_totalprice"), 2).alias("price")).crossJoin(F.broadcast(count))
+    return left.select("_id", "_version", *COLUMNS).crossJoin(F.broadcast(count))
 
 
 def p6(spark, d):
@@ -232,7 +232,7 @@ def s5(spark, d):
 def s6(spark, d):
     table_ = sync.conditional_write(primary(spark, d), sync.stamp(incoming(spark, d), NOW)).drop("result")
     left, count = M.delete_by_query(table_, sync.stale(table_, NOW))
-    return left.agg(F.count("*").alias("n_left")).crossJoin(F.broadcast(count))
+    return left.select("_id", "o_totalprice").crossJoin(F.broadcast(count))
 
 
 QUERIES = {
@@ -240,19 +240,19 @@ QUERIES = {
     "P3_conflict_policy": (p3, f"SELECT 'table' AS part, o_orderkey AS _id, {', '.join(COLUMNS)} FROM orders UNION ALL SELECT 'conflict', o_orderkey, {', '.join(COLUMNS)} FROM orders WHERE o_orderkey % 10 BETWEEN 3 AND 7"),
     "P4_client_reindex": (p4, f"SELECT o_orderkey AS _id, CASE WHEN o_orderkey % 10 BETWEEN 3 AND 7 THEN 2 ELSE 1 END::BIGINT AS _version, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 10 < 3 THEN o_totalprice ELSE o_totalprice * 2 END AS o_totalprice, o_orderdate, o_orderpriority, CASE WHEN o_orderkey % 10 < 3 THEN 'untouched' WHEN o_orderkey % 10 >= 8 THEN 'created' ELSE 'updated' END AS result FROM orders"),
     "D1_row_transform": (d1, D1),
-    "P5_delete_by_query": (p5, "SELECT count(CASE WHEN o_totalprice >= 100000 THEN 1 END) AS n_left, round(sum(CASE WHEN o_totalprice >= 100000 THEN o_totalprice END), 2) AS price, count(*) AS total, count(CASE WHEN o_totalprice < 100000 THEN 1 END) AS deleted FROM orders WHERE o_orderkey % 10 < 8"),
+    "P5_delete_by_query": (p5, f"SELECT * FROM (SELECT o_orderkey AS _id, 1::BIGINT AS _version, {', '.join(COLUMNS)}, count(*) OVER () AS total, count(CASE WHEN o_totalprice < 100000 THEN 1 END) OVER () AS deleted FROM orders WHERE o_orderkey % 10 < 8) WHERE o_totalprice >= 100000"),
     "P6_update_by_query": (p6, "SELECT o_orderkey AS _id, CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END::BIGINT AS _version, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 2 * o_totalprice ELSE o_totalprice END AS o_totalprice, o_orderdate, CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE o_orderpriority END AS o_orderpriority FROM orders WHERE o_orderkey % 10 < 8"),
     "P7_rebuild_decision": (p7, P7), "P9_publish": (p9, P9),
     "P10_rollover": (p10, "SELECT event_type, count(*) AS docs, sum(strlen(props))::BIGINT AS bytes, count(*) >= 2100 OR sum(strlen(props)) >= 1000000000 AS roll FROM events GROUP BY 1"),
     "P11_retention": (lambda s, d: M.retain(table(s, d, "events"), "ts", "2024-02-01 00:00:00", "7 days").select("event_id", "event_type"), "SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-25'"),
     "P13_point_dedup": (p13, "SELECT event_type, count(*) AS n, sum(id)::BIGINT AS ids FROM (SELECT event_type, min(event_id) AS id FROM events GROUP BY user_id, event_type, date_trunc('hour', ts)) GROUP BY 1"),
     "P14_downsample": (p14, "SELECT event_type, strftime(time_bucket(INTERVAL 6 HOUR, ts), '%Y-%m-%d %H') AS start, min(value) AS min, max(value) AS max, round(sum(value), 2) AS sum, count(value) AS count FROM events GROUP BY event_type, time_bucket(INTERVAL 6 HOUR, ts)"),
-    "S1_stamp": (lambda s, d: sync.stamp(source(s, d), NOW).groupBy(F.date_format("batch_date", "yyyy-MM-dd").alias("batch"), (F.col("batch_date") == F.col("last_updated")).alias("same")).agg(F.count("*").alias("n")), "SELECT '2024-02-01' AS batch, true AS same, count(*) AS n FROM orders WHERE o_orderkey % 10 >= 3"),
+    "S1_stamp": (lambda s, d: sync.stamp(source(s, d), NOW).select("_id", *COLUMNS, F.date_format("batch_date", "yyyy-MM-dd").alias("batch"), (F.col("batch_date") == F.col("last_updated")).alias("same")), f"SELECT o_orderkey AS _id, {', '.join(COLUMNS)}, '2024-02-01' AS batch, true AS same FROM orders WHERE o_orderkey % 10 >= 3"),
     "S2_strategy": (s2, S2), "S3_conditional_write": (stamped, S3),
     "S4_propagate_updates": (s4, f"{SYNC} SELECT _id, p AS o_totalprice FROM w WHERE u = 1"),
     "S5_propagate_deletes": (s5, f"{SYNC} SELECT _id, 's' || _id AS summary FROM z WHERE _id NOT IN (SELECT _id FROM w WHERE b = 0)"),
     "J5_delete_propagation": (s5, f"{SYNC} SELECT _id, 's' || _id AS summary FROM z WHERE _id NOT IN (SELECT _id FROM w WHERE b = 0)"),
-    "S6_stale_cleanup": (s6, f"{SYNC} SELECT count(CASE WHEN b = 1 THEN 1 END) AS n_left, count(*) AS total, count(CASE WHEN b = 0 THEN 1 END) AS deleted FROM w"),
+    "S6_stale_cleanup": (s6, f"{SYNC} SELECT _id, o_totalprice, total, deleted FROM (SELECT _id, b, p AS o_totalprice, count(*) OVER () AS total, count(CASE WHEN b = 0 THEN 1 END) OVER () AS deleted FROM w) WHERE b = 1"),
     "S7_multiplex": (s7, S7), "S8_incremental": (s8, S8), "S9_delta": (s9, S9), "S10_backfill": (s10, S10),
     "G1_max_batch_date": (lambda s, d: sync.max_batch_date(table(s, d, "events"), "ts").select(F.date_format("cutoff", "yyyy-MM-dd HH:mm:ss").alias("cutoff")), "SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS cutoff FROM events"),
     "G4_max_version": (lambda s, d: writes.index_write(target(s, d), incoming(s, d)).agg(F.max("_version").alias("version")), "SELECT 2::BIGINT AS version FROM orders LIMIT 1"),

@@ -233,16 +233,15 @@ W11 = "SELECT 'metrics-' || strftime(ts + INTERVAL 36 HOUR, '%Y.%m.%d') AS _inde
 
 
 def w12(spark, sf_dir):
-    """Direct write in create mode: outcomes by status."""
+    """Direct write in create mode: the outcome of every document."""
     _, outcomes = writes.with_outcomes(target(spark, sf_dir), incoming(spark, sf_dir), "create")
     ok = writes.all_persisted(outcomes)
-    return outcomes.groupBy("status", "error_type").agg(F.count("*").alias("n"), F.min("_id").alias("first_id")).crossJoin(F.broadcast(ok))
+    return outcomes.crossJoin(F.broadcast(ok))
 
 
 W12 = f"""
-WITH {CTE}, o AS (SELECT s._id, CASE WHEN s.seq = f.seq AND t._id IS NULL THEN 201 ELSE 409 END AS status FROM s JOIN f ON s._id = f._id LEFT JOIN t ON s._id = t._id)
-SELECT status, CASE WHEN status = 409 THEN 'version_conflict_engine_exception' END AS error_type, count(*) AS n, min(_id) AS first_id,
-  (SELECT bool_and(status BETWEEN 200 AND 299) FROM o) AS all_persisted FROM o GROUP BY 1, 2
+WITH {CTE}, o AS (SELECT s._id, s.seq, CASE WHEN s.seq = f.seq AND t._id IS NULL THEN 201 ELSE 409 END AS status FROM s JOIN f ON s._id = f._id LEFT JOIN t ON s._id = t._id)
+SELECT _id, seq, status, CASE WHEN status = 409 THEN 'version_conflict_engine_exception' END AS error_type, (SELECT bool_and(status BETWEEN 200 AND 299) FROM o) AS all_persisted FROM o
 """
 
 
@@ -289,13 +288,12 @@ UNION ALL SELECT o_orderkey::VARCHAR, '{"transaction":{"id":"' || o_orderkey ||
 def w16(spark, sf_dir):
     """Multiplex: one batch as rows of a primary and of a secondary schema."""
     first, second = writes.multiplex(incoming(spark, sf_dir), [F.col("_id"), F.col("o_totalprice"), F.lit("primary").alias("target")], [F.col("_id"), F.floor(F.col("o_totalprice")).cast("double").alias("o_totalprice"), F.lit("secondary").alias("target")])
-    return summary(first.unionByName(second), "target")
+    return first.unionByName(second)
 
 
 W16 = f"""
 WITH {CTE}
-SELECT 'primary' AS target, count(*) AS n, round(sum(o_totalprice), 2) AS price FROM s
-UNION ALL SELECT 'secondary', count(*), round(sum(floor(o_totalprice)), 2) FROM s
+SELECT _id, o_totalprice, 'primary' AS target FROM s UNION ALL SELECT _id, floor(o_totalprice), 'secondary' FROM s
 """
 
 
@@ -303,10 +301,10 @@ def j4(spark, sf_dir):
     """Upsert join: how incoming rows meet the stored ones."""
     t, s = target(spark, sf_dir).select("_id", "hash"), writes.last_per_id(incoming(spark, sf_dir)).select("_id", F.col("hash").alias("sent"))
     j = t.join(s, "_id", "full_outer")
-    return j.groupBy(F.col("hash").isNotNull().alias("stored"), F.col("sent").isNotNull().alias("incoming"), F.coalesce(F.col("hash") == F.col("sent"), F.lit(False)).alias("equal")).agg(F.count("*").alias("n"))
+    return j.select("_id", F.col("hash").isNotNull().alias("stored"), F.col("sent").isNotNull().alias("incoming"), F.coalesce(F.col("hash") == F.col("sent"), F.lit(False)).alias("equal"))
 
 
-J4 = f"WITH {CTE} SELECT t._id IS NOT NULL AS stored, l._id IS NOT NULL AS incoming, coalesce(t.hash = l.hash, false) AS equal, count(*) AS n FROM t FULL OUTER JOIN l ON t._id = l._id GROUP BY 1, 2, 3"
+J4 = f"WITH {CTE} SELECT coalesce(t._id, l._id) AS _id, t._id IS NOT NULL AS stored, l._id IS NOT NULL AS incoming, coalesce(t.hash = l.hash, false) AS equal FROM t FULL OUTER JOIN l ON t._id = l._id"
 
 
 def w1_buckets(spark, sf_dir):
