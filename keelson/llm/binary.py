@@ -79,7 +79,11 @@ def read_frames(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
-    """Per document from the files: doc_id, start, n_tokens, ids_crc32 (of the ids as little-endian u32) and, if asked, ids."""
+    """Per document from the files: doc_id, start, n_tokens, ids_crc32 (of the ids as little-endian u32) and, if asked, ids.
+
+    A null or empty text comes back as its end id; null ids come first; repeated ids and rows have a row each; a very long
+    text is one document of one frame; files without frames give no rows.
+    """
     work.prepare(spark)
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), *([("ids", pa.list_(pa.int64()))] if with_ids else [])])
 

@@ -95,7 +95,8 @@ def fit(docs: DataFrame, orders: tuple[int, ...] = (1, 2, 3), bits: int = 14, sm
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score (posterior share of the best language) of every row, repeated rows included.
 
-    Null text, or text without a letter, gives `und` with score 0; ties go to the first language by name.
+    Null text, or text without a letter, gives `und` with score 0; ties go to the first language by name.  Very long texts
+    are scored whole, in blocks; other columns are ignored; an empty table gives no rows.
     """
     return _predicted(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), model, ["doc_id"])
 

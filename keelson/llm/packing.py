@@ -183,8 +183,8 @@ def pack_documents(
 ) -> DataFrame:
     """Pieces of packed sequences: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian u32).
 
-    A null or empty text has `end_id` only.  Repeated rows are packed once each; a null id is kept.  Other columns
-    are ignored.  `window` must be a power of two and `grid` divide it.  An empty table gives no rows.
+    A null or empty text has `end_id` only.  Repeated rows are packed once each; a null id is kept.  Very long texts are
+    encoded in slices and cut over as many sequences as they fill.  Other columns are ignored.  `window` must be a power of two and `grid` divide it.  An empty table gives no rows.
     """
     if window & (window - 1) or window % grid or not 1 <= depth <= 3:
         raise ValueError("window must be a power of two, grid divide it, and depth be 1, 2 or 3")

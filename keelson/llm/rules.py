@@ -108,7 +108,8 @@ def judge(
     `trusted` has the ids of the target documents (repeats and nulls don't count).  The threshold is the `quantile`
     of the trusted documents that pass the base rules, less `margin`.  Null or empty text has no words, llr 0 and
     fails the base rules.  Without trusted rows both multinomials are equal, every llr is 0 and the base rules decide.
-    Repeated rows are judged alike; other columns are ignored; an empty table gives no rows.
+    Repeated rows are judged alike; very long texts are counted whole, in slices; other columns are ignored; an empty table
+    gives no rows.
     """
     work.prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -285,7 +285,8 @@ def near_duplicates(docs: DataFrame, radius: int = 3, size: int = 3, id_col: str
 
     component_id is the smallest doc_id that a chain of links reaches; nulls don't count unless there is nothing else.
     Null, empty and blank texts have fingerprint 0 and are linked like any other.  Repeated rows and repeated ids get
-    a row each; other columns are ignored; an empty table gives no rows.
+    a row each; all shingles of a very long text count, a piece at a time; other columns are ignored; an empty table gives
+    no rows.
     """
     prints = work.pinned(fingerprints(docs, size, id_col, text_col), "fingerprints")
     distinct = work.pinned(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")

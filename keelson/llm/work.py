@@ -19,8 +19,8 @@ from keelson.sources import tables
 ARROW_ROWS = 1000
 #: A side of a join is broadcast only if it has been counted and has at most this many rows.
 BROADCAST_ROWS = 1_000_000
-#: A set of ids is broadcast as bitmaps of 32,768 ids and 4 KB each if it has at most this many (256 MB; 2 billion dense ids).
-BROADCAST_BITMAPS = 65_536
+#: A set of ids is broadcast as bitmaps of 32,768 ids and 4 KB each if it has at most this many (64 MB; 536 million dense ids).
+BROADCAST_BITMAPS = 16_384
 
 _own_dirs: dict[str, str] = {}
 _scope = threading.local()
@@ -72,10 +72,12 @@ def pinned(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
 
 @contextmanager
 def discarding(spark: SparkSession) -> Iterator[None]:
-    """Removes, at its end, the work tables that this thread pinned inside: write what is still needed before."""
+    """Removes, at its end, the work tables that this thread pinned inside, the library's own among them: write what is
+    still needed before."""
     outer, _scope.paths = getattr(_scope, "paths", None), []
     try:
-        yield
+        with tables.discarding(spark):
+            yield
     finally:
         mine, _scope.paths = _scope.paths, outer
         for path in mine:
