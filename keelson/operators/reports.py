@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from keelson.sources import tables
+from keelson.sources import readers, tables
 
 #: Item statuses that are sent again: fixed values.
 RETRY_STATUS = (429, 502, 503, 504)
@@ -89,7 +89,8 @@ def zip_outcomes(sent: DataFrame, outcomes: DataFrame) -> DataFrame:
 def usage(turns: DataFrame, tokens: Column, where: Column | None = None, order: list[Column] | None = None, page: int = 0, size: int | None = None) -> DataFrame:
     """conv_id, rounds, input_tokens, output_tokens, has_warnings (a round without an answer).
 
-    `where` filters conversations by these columns; with `order` and `size`, one page of them in a total order.
+    `where` filters conversations by these columns; with `order` and `size`, one page of them in a total order, by ranks
+    (see readers.pages), so that a deep page costs no more than the first.
     """
     t = turns.withColumn("_t", tokens)
     by = lambda r: F.coalesce(F.sum(F.when(F.col("role") == r, F.col("_t"))), F.lit(0)).cast("long")
@@ -98,7 +99,8 @@ def usage(turns: DataFrame, tokens: Column, where: Column | None = None, order:
     out = out.where(where) if where is not None else out
     if size is None:
         return out
-    return out.orderBy(*(order or [F.col("conv_id")])).offset(page * size).limit(size)
+    order = order or [F.col("conv_id")]
+    return readers.pages(out, order, size).where(F.col("page") == page).drop("page", "total").orderBy(*order)
 
 
 def assemble(transactions: DataFrame, spans: DataFrame) -> DataFrame:

@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions import scalars
+from keelson.sources import tables
 
 
 def looked_up(rows: DataFrame, key: Column, ts: Column | None = None, content: list[Column] | None = None, insert: Column | None = None, seq: Column | None = None) -> DataFrame:
@@ -76,15 +77,25 @@ def index_write(target: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFr
     return joined.select(F.coalesce("t._id", "s._id").alias("_id"), version.cast("long").alias("_version"), *columns, result.alias("result"))
 
 
+def _marked(target: DataFrame, batch: DataFrame, seq: str) -> DataFrame:
+    """Rows of a batch with `_fresh`: whether the row is the first write of an id that the target doesn't know.
+
+    The batch is written once with a number for each row; the first row of an id is found by an aggregate and joined back, so
+    an id may have any share of the batch.
+    """
+    numbered, _ = tables.pinned(batch.where("_id IS NOT NULL").withColumn("_row", F.monotonically_increasing_id()), "batch")
+    content = F.xxhash64(F.to_json(F.struct(*[c for c in batch.columns if c != "_id"])))  # as first_per_id
+    first = numbered.groupBy("_id").agg(F.min(F.struct(F.col(seq), content, F.col("_row").alias("row"))).alias("_first")).select("_id", F.col("_first.row").alias("_first"))
+    known = target.select("_id", F.lit(True).alias("_known"))
+    marked = numbered.join(first.join(known, "_id", "left"), "_id")
+    return marked.withColumn("_fresh", (F.col("_row") == F.col("_first")) & F.col("_known").isNull()).drop("_row", "_first", "_known")
+
+
 def create_write(target: DataFrame, batch: DataFrame, seq: str = "seq") -> tuple[DataFrame, DataFrame]:
     """(table, conflicts): the first write of a new id is appended; writes to a known id and later repeats are conflicts."""
-    row = F.to_json(F.struct(*[c for c in batch.columns if c != "_id"]))
-    order = Window.partitionBy("_id").orderBy(seq, F.xxhash64(row))  # as first_per_id
-    numbered = batch.where("_id IS NOT NULL").withColumn("_rn", F.row_number().over(order))
-    marked = numbered.join(target.select("_id", F.lit(True).alias("_known")), "_id", "left")
-    fresh = (F.col("_rn") == 1) & F.col("_known").isNull()
-    added = marked.where(fresh).select("_id", F.lit(1).cast("long").alias("_version"), *_docs(target))
-    return target.unionByName(added), marked.where(~fresh).drop("_rn", "_known")
+    marked = _marked(target, batch, seq)
+    added = marked.where("_fresh").select("_id", F.lit(1).cast("long").alias("_version"), *_docs(target))
+    return target.unionByName(added), marked.where("NOT _fresh").select(*batch.columns)
 
 
 def generated_id(batch: DataFrame, seq: str = "seq") -> Column:
@@ -165,12 +176,11 @@ def with_outcomes(target: DataFrame, batch: DataFrame, mode: str = "index", seq:
 
     Of equal `seq` the first is the one that create_write takes.  A document without an id is refused with 400.
     """
-    row = F.xxhash64(F.to_json(F.struct(*[c for c in batch.columns if c != "_id"])))
-    known = target.select("_id", F.lit(True).alias("_known"))
-    marked = batch.where("_id IS NOT NULL").join(known, "_id", "left").withColumn("_rn", F.row_number().over(Window.partitionBy("_id").orderBy(seq, row)))
-    fresh = F.col("_known").isNull() & (F.col("_rn") == 1)
+    marked = _marked(target, batch, seq)
+    fresh = F.col("_fresh")
     if mode == "create":
-        table, _ = create_write(target, batch, seq)
+        added = marked.where("_fresh").select("_id", F.lit(1).cast("long").alias("_version"), *_docs(target))
+        table = target.unionByName(added)
         status = F.when(fresh, 201).otherwise(409)
     else:
         table = index_write(target, batch, seq).drop("result")
