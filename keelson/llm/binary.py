@@ -23,16 +23,47 @@ FRAME = pa.schema([("part", pa.int32()), ("frame", pa.int32()), ("ids_before", p
 FRAMES = "part int, frame int, ids_before long, n_ids long, doc_ids array<long>, n_tokens array<long>, block_offsets array<int>, words binary"
 
 
+def splits(rows: DataFrame, parts: int) -> tuple[int, np.ndarray]:
+    """(parts for null ids, upper bounds of the other parts but the last): about equal parts of the rows, which should be cheap.
+
+    An id with more rows than a part is the bound of several.
+    """
+    share = [k / parts for k in range(1, parts)] or [0.5]
+    found = rows.agg(F.count("*").alias("n"), F.count("doc_id").alias("ids"), F.percentile_approx("doc_id", share, max(10_000, 10 * parts)).alias("bounds")).first()
+    nulls = -(-(found["n"] - found["ids"]) * parts // found["n"]) if found["n"] else 0
+    return nulls, np.array(sorted(found["bounds"] or []) if parts > 1 else [], np.int64)
+
+
+def placed(ids: pa.Array, nulls: int, bounds: np.ndarray, serial: int) -> np.ndarray:
+    """The part of each id; rows of null ids, and of ids that are the bound of several parts, are dealt in turn from `serial`."""
+    none, turn = np.asarray(ids.is_null(), bool), serial + np.arange(len(ids))
+    number = ids.fill_null(0).to_numpy()
+    first, last = np.searchsorted(bounds, number, "left"), np.searchsorted(bounds, number, "right")
+    return np.where(none, turn % max(1, nulls), nulls + first + turn % np.maximum(1, last - first)).astype(np.int32)
+
+
 def encode_frames(docs: DataFrame, tokenizer_path: str, end_id: int = 2, frame_ids: int = FRAME_IDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Frames in ascending document id (null ids first, repeated ids in any order); null text counts as empty.
 
-    Documents are dealt to tasks by range of id and, for a repeated id, by a hash of the text, then sorted in each
-    task.  A document stays within one frame.  Other columns are ignored; an empty table gives no frames.
+    Texts are encoded where they lie; their ids, 2 bytes each where that is enough, are dealt to tasks by ranges of the document
+    id, whose bounds are quantiles, and sorted in each task.  Rows that share an id may fill several parts.  A document stays
+    within one frame.  Other columns are ignored; an empty table gives no frames.
     """
     work.prepare(docs.sparkSession)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(tokenizer_path)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, serial = tokens.encoder(tokenizer_path), TaskContext.get().partitionId()
+        for batch in batches:
+            texts, held = batch.column(1).to_pylist(), []
+            for a, b in work.slices(texts, tokens.SLICE_CHARS):
+                ids, size = encoder.encode(texts[a:b], end_id)
+                ids = ids.astype("<u2" if int(ids.max(initial=0)) < 65536 else "<u4")
+                held += [(ids.itemsize, own.tobytes()) for own in np.split(ids, np.cumsum(size)[:-1])]
+            part = placed(batch.column(0), nulls, bounds, serial)
+            serial += batch.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array(part), batch.column(0), pa.array([w for w, _ in held], pa.int32()), pa.array([x for _, x in held], pa.binary())], names=["part", "doc_id", "width", "ids"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, frame, before, n = TaskContext.get().partitionId(), 0, 0, 0
         keys: list = []
         sizes: list[int] = []
@@ -44,24 +75,23 @@ def encode_frames(docs: DataFrame, tokenizer_path: str, end_id: int = 2, frame_i
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, FRAME, strict=True)], schema=FRAME)
 
         for batch in batches:
-            numbers, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in work.slices(texts, tokens.SLICE_CHARS):
-                ids, size = encode.encode(texts[a:b], end_id)
-                for key, own in zip(numbers[a:b], np.split(ids, np.cumsum(size)[:-1]), strict=True):
-                    if held and n + len(own) > frame_ids:
-                        yield flush()
-                        frame, before = frame + 1, before + n
-                        keys, sizes, held, n = [], [], [], 0
-                    keys.append(key)
-                    sizes.append(len(own))
-                    held.append(own)
-                    n += len(own)
+            for key, width, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.frombuffer(data, f"<u{width}").astype(np.uint64)
+                if held and n + len(own) > frame_ids:
+                    yield flush()
+                    frame, before = frame + 1, before + n
+                    keys, sizes, held, n = [], [], [], 0
+                keys.append(key)
+                sizes.append(len(own))
+                held.append(own)
+                n += len(own)
         if held:
             yield flush()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    dealt = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id")
-    return dealt.mapInArrow(run, FRAMES)
+    nulls, bounds = splits(rows.select("doc_id"), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.mapInArrow(encode, "part int, doc_id long, width int, ids binary").repartitionById(nulls + len(bounds) + 1, "part").sortWithinPartitions("doc_id")
+    return dealt.select("doc_id", "width", "ids").mapInArrow(gather, FRAMES)
 
 
 def write_files(docs: DataFrame, path: str, tokenizer_path: str, **options) -> str:

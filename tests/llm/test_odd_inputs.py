@@ -77,3 +77,23 @@ def test_recall_on_planted_copies():
                 filler = [f"f{r.randrange(5000)}" for _ in range(60)]
                 found += i in {x[0] for x in index.match(" ".join([*filler[:31], *own, *filler[31:]]), 0.8)}
     assert planted > 250 and found == planted
+
+
+def test_parts_of_token_files(spark):
+    """op10: an id with a third of all rows, and null ids, fill several parts; ids ascend from part to part."""
+    rows = [(None if i % 4 == 0 else 500 if i % 3 == 0 else i, f"text {i}") for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        frames = binary.encode_frames(frame, tokens.default_path()).select("part", "doc_ids").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    parts = sorted((f["part"], f["doc_ids"]) for f in frames)
+    sizes = [len(ids) for _, ids in parts]
+    assert max(sizes) < 3 * 3000 / 20 and sum(sizes) == 3000
+    assert len([1 for _, ids in parts if ids[0] is None]) >= 4 and len([1 for _, ids in parts if 500 in ids]) >= 4
+    flat = [(i is not None, i or 0) for _, ids in parts for i in ids]
+    assert flat == sorted(flat)
+    none, bounds = binary.splits(frame.select("doc_id").limit(0), 7)
+    assert none == 0 and len(bounds) == 0
