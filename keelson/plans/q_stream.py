@@ -82,10 +82,14 @@ def t6_dead(spark, d):
 def emitted(rows, spark, n):
     """What a stream of rows has put into Parquet, with its timers running, once there are n rows; then it is stopped."""
     out = scratch(spark, "sink")
-    query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "checkpoint")).trigger(processingTime="200 milliseconds").start()
+    query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "checkpoint")).trigger(processingTime="500 milliseconds").start()
     written = lambda: spark.read.schema(rows.schema).parquet(out)
     while query.isActive and (not names(spark, f"{out}/_spark_metadata") or written().count() < n):
         time.sleep(0.3)
+    for _ in range(100):  # between two micro-batches, if there is a pause
+        if not query.status["isTriggerActive"]:
+            break
+        time.sleep(0.05)
     query.stop()
     if query.exception():
         raise query.exception()
@@ -105,7 +109,7 @@ def t2_flush(spark, d):
     rows = stateful.flushed(whole_stream(spark, d, "event_id", "user_id"), "user_id", 700, 2, lanes=4)
     found = emitted(rows, spark, table(spark, d, "events").count())
     lane = found.groupBy("_lane", "closed_by").agg(F.count("*").alias("n"), F.countDistinct("batch").alias("batches"))
-    sums = lane.groupBy("_lane").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("closed_by") == "count", F.col("batches"))).alias("full"), F.coalesce(F.sum(F.when(F.col("closed_by") == "age", F.col("n"))), F.lit(0)).alias("aged"))
+    sums = lane.groupBy("_lane").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("closed_by") == "count", F.col("batches"))), F.lit(0)).alias("full"), F.coalesce(F.sum(F.when(F.col("closed_by") == "age", F.col("n"))), F.lit(0)).alias("aged"))
     return found.select("event_id", "_lane").join(sums, "_lane").select("event_id", (F.floor(F.col("n") / 700) == F.col("full")).alias("full"), (F.col("n") % 700 == F.col("aged")).alias("aged"))
 
 
