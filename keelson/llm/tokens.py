@@ -4,22 +4,24 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks, and characters of chunks, in each of two generations that a Python worker keeps: a full younger one becomes the older.
-MEMO_CHUNKS, MEMO_CHARS = 450_000, 32_000_000
+#: Chunks, and bytes of chunks, that a Python worker remembers; beyond either those that were met in one slice only go,
+#: and if still too many are left, all go.
+MEMO_CHUNKS, MEMO_BYTES = 200_000, 32_000_000
 #: Characters of one slice of texts that is encoded together.
 SLICE_CHARS = 4_000_000
 
 #: White space as the byte-level pre-tokenizer's pattern has it (Unicode White_Space): fixed values.
 BLANKS = "\t-\r \x85\xa0  -     　"
 #: Texts that a cut before every single blank and line break would not cut rightly.
-_ODD = r"[\x{0}\t\x{0b}-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n]{3}|[ \n]{2}\z"
+_ODD = r"[\t\x{0b}-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n]{3}|[ \n]{2}\z"
 _chunks = re.compile(f"[{BLANKS}]+[^{BLANKS}]*|[^{BLANKS}]+").findall
-_blank = re.compile(f"[{BLANKS}]").match
+_blanks = frozenset(filter(re.compile(f"[{BLANKS}]").match, map(chr, range(0x3001))))
 
 _loaded: dict[str, Encoder] = {}
 
@@ -52,30 +54,47 @@ def runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(begin - (total - size), size) + np.arange(int(total[-1]) if len(total) else 0)
 
 
-class Memo(dict):
-    """Chunk -> slot; an unknown chunk gets the next slot and waits in `fresh` for its ids."""
+def strings(array: pa.Array) -> list[str]:
+    """What `to_pylist` gives for strings without nulls, made by Arrow in one go."""
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+class Memo:
+    """Chunks by slot, and the ids of each."""
 
     def __init__(self, dtype: np.dtype):
-        super().__init__()
-        self.fresh: list[str] = []
-        self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.flat, self.used, self.chars = np.zeros(1 << 18, dtype), 0, 0
-
-    def __missing__(self, chunk: str) -> int:
-        slot = self[chunk] = len(self)
-        self.fresh.append(chunk)
-        return slot
-
-    def slots(self, chunks: list) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, chunks), np.int64, len(chunks))
-
-    def put(self, slots: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
-        """Give slots their ids, which lie one after the other."""
-        self.begin, self.size = grown(self.begin, len(self)), grown(self.size, len(self))
+        self.chunks = pa.array([], pa.large_string())
+        self.begin, self.size, self.hits = (np.zeros(1 << 16, np.int64) for _ in range(3))
+        self.flat, self.used = np.zeros(1 << 18, dtype), 0
+
+    def __len__(self) -> int:
+        return len(self.chunks)
+
+    def find(self, chunks: pa.Array) -> np.ndarray:
+        """The slot of each chunk, -1 if it is unknown."""
+        return pc.fill_null(pc.index_in(chunks, value_set=self.chunks), -1).to_numpy().astype(np.int64)
+
+    def put(self, chunks: pa.Array, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The new slots of chunks, whose ids lie one after the other."""
+        old, self.chunks = len(self), pa.concat_arrays([self.chunks, chunks])
+        n = len(self)
+        self.begin, self.size, self.hits = (grown(a, n) for a in (self.begin, self.size, self.hits))
         self.flat = grown(self.flat, self.used + len(ids))
-        self.begin[slots], self.size[slots] = self.used + np.cumsum(size) - size, size
+        self.begin[old:n], self.size[old:n], self.hits[old:n] = self.used + np.cumsum(size) - size, size, 0
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
+        return np.arange(old, n)
+
+    def full(self) -> bool:
+        return len(self) > MEMO_CHUNKS or self.chunks.nbytes > MEMO_BYTES
+
+    def lean(self) -> Memo:
+        """A memo of the chunks that were met in more slices than one, or an empty one if these are over half of what it may hold."""
+        out, often = Memo(self.flat.dtype), np.flatnonzero(self.hits[: len(self)] > 1)
+        kept = self.chunks.take(pa.array(often))
+        if 2 * len(kept) <= MEMO_CHUNKS and 2 * kept.nbytes <= MEMO_BYTES:
+            out.put(kept, *self.take(often))
+        return out
 
     def take(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all slots in a row, ids of each)."""
@@ -87,8 +106,9 @@ class Encoder:
     """Ids of texts, 2 bytes an id if the vocabulary allows, else 4.
 
     Byte-level BPE cuts a text wherever white space begins, so the ids of a text are the ids of its chunks (a run of
-    white space and what follows it up to the next), joined.  Chunks repeat a lot and are remembered.  A text whose
-    white space is single or double blanks and line breaks is cut before each of them; any other text by a pattern.
+    white space and what follows it up to the next), joined.  Chunks repeat a lot: those of a slice are made distinct by
+    Arrow, and distinct ones are remembered.  A text whose white space is single or double blanks and line breaks is cut
+    before each of them; any other text by a pattern.
     Every other kind of tokenizer encodes whole texts.
     """
 
@@ -109,88 +129,85 @@ class Encoder:
         self.token_bytes = np.zeros(max(vocab.values(), default=0) + 1, np.int64)
         for token, at in vocab.items():
             self.token_bytes[at] = len(added[at].content.encode()) if at in added else len(token)  # one character a byte at byte level
-        self.memo, self.older = Memo(self.dtype), Memo(self.dtype)
+        self.memo = Memo(self.dtype)
 
     def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, ids of each), straight from the tokenizer."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return np.fromiter((i for ids in found for i in ids), self.dtype), np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), self.dtype), np.fromiter(map(len, found), np.int64, len(found))
 
     def encode(self, texts: list[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, ids of each), each text followed by `end_id` if given; null counts as empty."""
-        if not self.by_chunk:
-            ids, size = self.whole([t or "" for t in texts])
-            if end_id is not None:
-                ids, size = np.insert(ids, np.cumsum(size), end_id), size + 1
-            return ids, size
-        if len(self.memo) > MEMO_CHUNKS or self.memo.chars > MEMO_CHARS:
-            self.older, self.memo = self.memo, Memo(self.dtype)
-        memo, end = self.memo, []
+        texts = [t or "" for t in texts]
+        if self.by_chunk:
+            if self.memo.full():
+                self.memo = self.memo.lean()
+            cut, counts, marked = self._cut(texts)
+            distinct = cut.dictionary_encode()
+            slots = self._slots(distinct.dictionary, marked)
+            self.memo.hits[slots] += 1
+            ids, size = self.memo.take(slots[distinct.indices.to_numpy()])
+            size = np.diff(np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])])
+        else:
+            ids, size = self.whole(texts)
         if end_id is not None:
-            end = [("end", end_id)]
-            if end[0] not in memo:
-                slot = memo[end[0]]
-                memo.fresh.pop()
-                memo.put(np.array([slot]), np.array([end_id], self.dtype), np.ones(1, np.int64))
+            ids, size = np.insert(ids, np.cumsum(size), end_id), size + 1
+        return ids, size
+
+    def _cut(self, texts: list[str]) -> tuple[pa.Array, np.ndarray, bool]:
+        """(chunks of all texts in a row, chunks of each, whether any text holds an added token); the chunks share the texts' bytes."""
         held = pa.array(texts, pa.large_string())
-        odd = pc.match_substring_regex(held, _ODD)
+        added = pa.array(np.zeros(len(texts), bool))
         for token in self.added:
-            odd = pc.or_(odd, pc.match_substring(held, token))
-        odd = odd.to_pylist()
-        pieces: list = []
-        counts = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            before = len(pieces)
-            if text:
-                pieces += _chunks(text) if odd[i] else text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-            pieces += end
-            counts[i] = len(pieces) - before
-        slots = memo.slots(pieces)
-        self._learn()
-        ids, size = memo.take(slots)
-        total = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
-        return ids, np.diff(total)
-
-    def _learn(self) -> None:
-        """Give fresh chunks their ids: from the older generation, from a known stem and its marks, or from the tokenizer."""
-        memo, older = self.memo, self.older
-        fresh, memo.fresh = memo.fresh, []
-        if not fresh:
-            return
-        memo.chars += sum(map(len, fresh))
-        known = [c for c in fresh if c in older]
-        if known:
-            memo.put(memo.slots(known), *older.take(older.slots(known)))
-            fresh = [c for c in fresh if c not in older]
-        whole, parts, pairs = [], [], []
-        for chunk in fresh:
-            stem = chunk.rstrip(self._marks)
-            if any(a in chunk for a in self.added):
-                whole.append(chunk)
-            elif stem and len(stem) < len(chunk) and stem[-1].isalnum():  # a run of marks after a letter or digit is cut off by itself
-                parts.append(chunk)
-                pairs += (stem, chunk[len(stem) :])
-            else:
-                whole.append(chunk)
-        made = memo.slots(pairs)
-        whole += memo.fresh
-        memo.fresh = []
-        self._encode_chunks(whole)
-        if parts:
-            ids, size = memo.take(made)
-            memo.put(memo.slots(parts), ids, size.reshape(-1, 2).sum(axis=1))
-
-    def _encode_chunks(self, chunks: list[str]) -> None:
-        """Chunks that begin with white space and don't end with it are encoded many to a text, the others alone."""
-        joined, alone = [], []
-        for c in chunks:
-            (joined if c and _blank(c) and not _blank(c[-1]) else alone).append(c)
-        for at in range(0, len(alone), 8192):
-            part = alone[at : at + 8192]
-            self.memo.put(self.memo.slots(part), *self.whole(part))
-        for at in range(0, len(joined), 8192):
-            part = joined[at : at + 8192]
-            ids, _ = self.whole(["".join(part[k : k + 64]) for k in range(0, len(part), 64)])
-            ends = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in part])
-            cuts = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends, side="right")
-            self.memo.put(self.memo.slots(part), ids, np.diff(cuts, prepend=0))
+            added = pc.or_(added, pc.match_substring(held, token))
+        odd = pc.or_(added, pc.match_substring_regex(held, _ODD)).to_numpy(zero_copy_only=False)
+        _, offsets, data = held.buffers()
+        offsets = np.frombuffer(offsets, np.int64, len(texts) + 1) if texts else np.zeros(1, np.int64)
+        data = np.frombuffer(data or b"", np.uint8)[: offsets[-1]]
+        first = (data == ord(" ")) | (data == ord("\n"))
+        first[offsets[:-1][np.diff(offsets) > 0]] = True
+        for i in np.flatnonzero(odd).tolist():
+            size = np.array([len(c.encode()) for c in _chunks(texts[i])], np.int64)
+            first[offsets[i] : offsets[i + 1]] = False
+            first[offsets[i] + np.cumsum(size) - size] = True
+        begin = np.flatnonzero(first)
+        chunks = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(np.append(begin, len(data))), pa.py_buffer(data))
+        return chunks, np.diff(np.searchsorted(begin, offsets)), pc.any(added).as_py() or False
+
+    def _slots(self, chunks: pa.Array, marked: bool) -> np.ndarray:
+        """The slots of distinct chunks; unknown ones get their ids from a stem and its marks, or from the tokenizer.
+
+        Only where texts are `marked` may a chunk hold an added token.
+        """
+        memo = self.memo
+        slots = memo.find(chunks)
+        new = np.flatnonzero(slots < 0)
+        if not len(new):
+            return slots
+        fresh = chunks.take(pa.array(new))
+        stems = pc.utf8_rtrim(fresh, self._marks)
+        marks = (pc.binary_length(fresh).to_numpy() - pc.binary_length(stems).to_numpy()).tolist()
+        texts, ends = strings(fresh), strings(stems)
+        # a run of marks after a letter or digit is cut off by itself
+        by_stem = np.array([k > 0 and s != "" and s[-1].isalnum() for k, s in zip(marks, ends, strict=True)], bool)
+        if marked:
+            for token in self.added:
+                by_stem &= ~pc.match_substring(fresh, token).to_numpy(zero_copy_only=False)
+        joined = np.array([t[0] in _blanks and t[-1] not in _blanks for t in texts], bool)
+        for group, find in ((~by_stem & joined, self._joined), (~by_stem & ~joined, self.whole)):
+            for at in np.array_split(np.flatnonzero(group), -(-int(group.sum()) // 8192) or 1):
+                if len(at):
+                    slots[new[at]] = memo.put(fresh.take(pa.array(at)), *find([texts[i] for i in at.tolist()]))
+        at = np.flatnonzero(by_stem)
+        if len(at):
+            pairs = pa.array([p for i in at.tolist() for p in (ends[i], texts[i][-marks[i] :])], pa.large_string()).dictionary_encode()
+            ids, size = memo.take(self._slots(pairs.dictionary, False)[pairs.indices.to_numpy()])
+            slots[new[at]] = memo.put(fresh.take(pa.array(at)), ids, size.reshape(-1, 2).sum(axis=1))
+        return slots
+
+    def _joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As `whole`, of chunks that begin with white space and don't end with it: they are encoded many to a text."""
+        ids, _ = self.whole(["".join(chunks[k : k + 64]) for k in range(0, len(chunks), 64)])
+        ends = np.cumsum(pc.binary_length(pa.array(chunks, pa.large_string())).to_numpy())
+        cuts = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends, side="right")
+        return ids, np.diff(cuts, prepend=0)
