@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ from keelson.sources import tables
 CELLS = 4096
 #: Keys over which rows are dealt that meet queries which any row may satisfy.
 SALTS = 64
+#: Clauses of a query up to which a match is judged clause by clause.
+UNROLLED = 8
 
 
 def collapse(df: DataFrame, field: str, order: list[Column]) -> DataFrame:
@@ -203,34 +206,39 @@ def stored_queries(rows: DataFrame, queries: DataFrame, fields: list[str], most:
     Null parts of a clause don't bind; one without any holds for every row; one on a field that isn't among `fields` for
     none.  NaN is above every number.
 
-    Each query is entered in an index under the clause that fewest rows meet: a must clause, or as many of its should
-    clauses as a row can't all miss.  Rows look up their values and cells there by an equi-join, and a candidate is judged by
-    counting the clauses that it meets, so wide clauses are never expanded to pairs.  Index and queries are broadcast if they are
-    counted and few; both ways give the same rows.
+    Each query is entered in an index under the clause that fewest rows meet: a must clause (a range together with a value that
+    is needed too), or as many of its should clauses as a row can't all miss.  Entries carry their query's clauses, so a row is shuffled once, to its values and cells,
+    and is judged where it meets an entry by counting the clauses that it meets; wide clauses are never expanded to pairs.
+    The index is broadcast if it is counted and small; both ways give the same rows.
     """
     if name in rows.columns:
         raise ValueError(f"the rows have a column {name}: pass another name")
     index = _QueryIndex(rows, queries, fields, most)
     entries, _ = tables.pinned(index.entries(), "query-entries")
-    asked = F.broadcast(index.queries) if index.few else tables.pinned(index.queries, "queries")[0]
-    looked_up = index.keyed(not entries.where("_field = ''").isEmpty())
+    used = {r["_field"] for r in entries.select("_field").distinct().collect()}
     on = ["_field", "_value", "_cell"]
-    found = looked_up.join(F.broadcast(entries) if entries.count() <= most * 4 else entries, on).drop(*on)
-    return found.join(asked, "_query").where(index.met()).select("_row.*", F.col("_query").alias(name))
+    found = index.keyed(used).join(F.broadcast(entries) if entries.count() <= most * 4 else entries, on)
+    return found.where(index.met()).select("_row.*", F.col("_query").alias(name))
+
+
+def _both(ranged: str, exact: str) -> str:
+    """The key's field of a range that is entered together with a value that the same query needs."""
+    return f"{ranged}\0{exact}"
 
 
 class _QueryIndex:
     """The clauses of stored queries, how rare they are in the rows, and where each query is entered."""
 
     def __init__(self, rows: DataFrame, queries: DataFrame, fields: list[str], most: int):
-        self.rows = rows
+        self.rows, self.fields = rows, fields
         given = lambda c, kind: F.col(c).cast(kind) if c in queries.columns else F.lit(None).cast(kind)
         self.clauses = queries.select(
             F.col("query_id").alias("_query"), F.coalesce(given("occur", "string"), F.lit("must")).alias("occur"), F.col("field"), F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi"),
             F.col("value").cast("string").alias("value"), given("minimum_should_match", "int").alias("least"), F.monotonically_increasing_id().alias("clause"),
         )
         self.clauses, _ = tables.pinned(self.clauses, "clauses")
-        self.few = self.clauses.count() <= most
+        sizes = self.clauses.groupBy("_query").agg(F.count("*").alias("n"), F.count(F.when(F.col("occur") != "must", 1)).alias("others"), F.count(F.when(F.col("occur") == "should", 1)).alias("shoulds")).agg(F.sum("n").alias("all"), F.max("others").alias("most"), F.max("shoulds").alias("shoulds")).first()
+        self.few, self.longest, self.shoulds = (sizes["all"] or 0) <= most, sizes["most"] or 0, sizes["shoulds"] or 0
         kind = F.when(F.col("value").isNotNull(), "value").when(F.col("lo").isNull() & F.col("hi").isNull(), "any").otherwise("range")
         at = F.array_position(F.array(*map(F.lit, fields)) if fields else F.array().cast("array<string>"), F.col("field")).cast("int") - 1
         self.clauses = self.clauses.withColumn("kind", F.when(at >= 0, kind).otherwise("never")).withColumn("at", at)
@@ -241,6 +249,7 @@ class _QueryIndex:
         self.exact = [r["field"] for r in named if r["value"]]
         texts = [F.col(f"`{f}`").cast("string") if f in self.exact else F.lit(None).cast("string") for f in fields]
         numbers = [F.col(f"`{f}`").try_cast("double") if any(r["range"] and r["field"] == f for r in named) else F.lit(None).cast("double") for f in fields]
+        self.flat = [(n.alias(f"_n{k}"), t.alias(f"_s{k}")) for k, (n, t) in enumerate(zip(numbers, texts, strict=True))]
         #: What clauses are judged on, in the order of the fields.
         self.has = F.array(*[F.struct(n.alias("num"), t.alias("str")) for n, t in zip(numbers, texts, strict=True)]) if fields else F.array().cast("array<struct<num:double,str:string>>")
         first, last = F.lit(-1), F.lit(CELLS)
@@ -249,56 +258,75 @@ class _QueryIndex:
             first = F.when(mine & F.col("lo").isNotNull(), _cell(F.col("lo"), low, width)).otherwise(first)
             last = F.when(mine & F.col("hi").isNotNull(), _cell(F.col("hi"), low, width)).otherwise(last)
         self.clauses = self.clauses.withColumn("first", first).withColumn("last", last)
-        parts = F.collect_list(F.struct("clause", "occur", "at", "lo", "hi", "value"))
+        must, known = F.col("occur") == "must", F.col("kind") != "never"
+        others = F.collect_list(F.when(~must, F.struct("clause", "occur", "at", "lo", "hi", "value")))
         count = lambda occur: F.sum((F.col("occur") == occur).cast("int"))
-        asked = self.clauses.groupBy("_query").agg(parts.alias("_clauses"), count("must").alias("_musts"), count("should").alias("_shoulds"), F.max("least").alias("_least"))
+        #: Fields with must clauses, which become one lo, hi and value a field: two values of a field can't both hold.
+        self.fixed = sorted(r["at"] for r in self.clauses.where(must & known).select("at").distinct().collect())
+        bounds = []
+        for k in self.fixed:
+            of = lambda c, k=k: F.when(must & (F.col("at") == k), F.col(c))
+            bounds += [F.max(of("lo")).alias(f"_lo{k}"), F.min(of("hi")).alias(f"_hi{k}"), F.min(of("value")).alias(f"_value{k}"), F.max(of("value")).alias(f"_other{k}")]
+        asked = self.clauses.groupBy("_query").agg(others.alias("_clauses"), count("must").alias("_musts"), count("should").alias("_shoulds"), F.max("least").alias("_least"), *bounds)
+        for k in self.fixed:
+            asked = asked.where(F.col(f"_value{k}").eqNullSafe(F.col(f"_other{k}"))).drop(f"_other{k}")
         self.queries = asked.withColumn("_least", F.coalesce("_least", F.when((F.col("_musts") == 0) & (F.col("_shoulds") > 0), 1).otherwise(0)))
 
-    def keys(self, everywhere: bool) -> Column:
-        """What a row is looked up by: its value of each field with exact clauses, its cell of each with ranges."""
+    def keys(self, used: set[str] | None = None) -> Column:
+        """What a row is looked up by: its value of each field with exact clauses, its cell of each with ranges; of `used`
+        fields only, if given, where an empty name stands for queries that any row may satisfy."""
         key = lambda f, v, c: F.struct(F.lit(f).alias("_field"), v.alias("_value"), c.cast("int").alias("_cell"))
-        keys = [F.when(F.col(f"`{f}`").isNotNull(), key(f, F.col(f"`{f}`").cast("string"), F.lit(-2))) for f in self.exact]
+        keys = [F.when(F.col(f"`{f}`").isNotNull(), key(f, F.col(f"`{f}`").cast("string"), F.lit(-2))) for f in self.exact if used is None or f in used]
         for f, (low, width) in self.spans.items():
             num = F.col(f"`{f}`").try_cast("double")
-            keys.append(F.when(num.isNotNull(), key(f, F.lit(""), _cell(num, low, width))))
-        keys += [key("", F.lit(""), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))] if everywhere else []
+            if used is None or f in used:
+                keys.append(F.when(num.isNotNull(), key(f, F.lit(""), _cell(num, low, width))))
+            for g in (g for g in self.exact if used and _both(f, g) in used):
+                keys.append(F.when(num.isNotNull() & F.col(f"`{g}`").isNotNull(), key(_both(f, g), F.col(f"`{g}`").cast("string"), _cell(num, low, width))))
+        keys += [key("", F.lit(""), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))] if used and "" in used else []
         return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<struct<_field:string,_value:string,_cell:int>>")
 
-    def keyed(self, everywhere: bool) -> DataFrame:
+    def keyed(self, used: set[str]) -> DataFrame:
         row = F.struct(*[F.col(f"`{c}`") for c in self.rows.columns])
-        return self.rows.select(row.alias("_row"), self.has.alias("_has"), F.explode(self.keys(everywhere)).alias("_key")).select("_row", "_has", "_key.*")
+        judged = [self.has.alias("_has")] * (self.longest > 0) + [c for k in self.fixed for c in self.flat[k]]
+        return self.rows.select(row.alias("_row"), *judged, F.explode(self.keys(used)).alias("_key")).select("*", "_key.*").drop("_key")
 
     def rarity(self) -> DataFrame:
         """clause, rare: how many rows meet an exact clause; for a range the rows of its cells."""
-        met = self.rows.select(F.explode(self.keys(False)).alias("k")).select("k.*")
+        met = self.rows.select(F.explode(self.keys()).alias("k")).select("k.*")
         exact = self.clauses.where("kind = 'value'").select("clause", F.col("field").alias("_field"), F.col("value").alias("_value"))
         values = exact.select("_field", "_value").distinct()
         by_value = met.where("_cell = -2").join(values, ["_field", "_value"], "left_semi").groupBy("_field", "_value").agg(F.count("*").alias("rare"))
         of_exact = exact.join(by_value, ["_field", "_value"], "left").select("clause", F.coalesce("rare", F.lit(0)).alias("rare"))
         by_cell = met.where("_cell > -2").groupBy("_field", "_cell").agg(F.count("*").alias("n"))
-        running = F.sum("n").over(Window.partitionBy("_field").orderBy("_cell"))  # CELLS + 2 rows a field at most
-        sums = by_cell.select(F.col("_field").alias("field"), F.struct(F.col("_cell").alias("cell"), running.alias("upto")).alias("s")).groupBy("field").agg(F.sort_array(F.collect_list("s")).alias("sums"))
-        upto = lambda c: F.coalesce(F.array_max(F.transform(F.filter("sums", lambda s: s["cell"] <= c), lambda s: s["upto"])), F.lit(0))
+        every = by_cell.select("_field").distinct().select("_field", F.explode(F.sequence(F.lit(-1), F.lit(CELLS))).alias("_cell"))
+        running = F.sum(F.coalesce("n", F.lit(0))).over(Window.partitionBy("_field").orderBy("_cell"))  # CELLS + 2 rows a field
+        upto = every.join(by_cell, ["_field", "_cell"], "left").select(F.col("_field").alias("field"), F.struct(F.col("_cell").alias("cell"), running.alias("upto")).alias("s"))
+        sums = upto.groupBy("field").agg(F.sort_array(F.collect_list("s"))["upto"].alias("sums"))
+        upto = lambda c: F.coalesce(F.get("sums", c + 1), F.lit(0))
         ranges = self.clauses.where("kind = 'range'").join(F.broadcast(sums), "field", "left")
         return of_exact.unionByName(ranges.select("clause", (upto(F.col("last")) - upto(F.col("first") - 1)).alias("rare")))
 
     def entries(self) -> DataFrame:
-        """_query, _entry (the number of the clause), _entered (all such of the query) and the keys under which rows find it."""
+        """_query, its clauses and counts, _entry (the number of the clause), _entered (all such of the query) and the keys under which rows find it."""
         all_rows = F.lit(2**62).cast("long")  # more than any count: a clause without bounds comes last
         known = self.clauses.withColumn("rare", F.lit(None).cast("long")) if self.few else self.clauses.join(self.rarity(), "clause", "left")
         rare = known.withColumn("rare", F.when(F.col("kind") == "never", -1).when(F.col("kind") == "any", all_rows).otherwise(F.coalesce("rare", F.lit(0))))
         place = F.row_number().over(Window.partitionBy("_query", "occur").orderBy("rare", "clause"))
-        ranked = rare.withColumn("place", place).join(self.queries.select("_query", "_musts", "_shoulds", "_least"), "_query")
+        ranked = rare.withColumn("place", place).join(self.queries.drop("_clauses"), "_query")
         of_must = (F.col("occur") == "must") & (F.col("place") == 1)
         of_should = (F.col("occur") == "should") & (F.col("_musts") == 0) & (F.col("_least") > 0) & (F.col("place") <= F.col("_shoulds") - F.col("_least") + 1)
         chosen = ranked.where((of_must | of_should) & (F.col("kind") != "never"))
         everywhere = F.transform(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda k: F.struct(F.lit("").alias("_field"), F.lit("").alias("_value"), k.cast("int").alias("_cell")))
-        cells = F.when(F.col("first") <= F.col("last"), F.transform(F.sequence(F.col("first"), F.greatest("first", "last")), lambda k: F.struct(F.col("field").alias("_field"), F.lit("").alias("_value"), k.alias("_cell"))))
+        needed = [F.when(of_must & F.col(f"_value{k}").isNotNull(), F.struct(F.concat("field", F.lit(_both("", self.fields[k]))).alias("field"), F.col(f"_value{k}").alias("value"))) for k in self.fixed]
+        at = F.coalesce(*needed, F.struct("field", F.lit("").alias("value")))
+        cells = F.when(F.col("first") <= F.col("last"), F.transform(F.sequence(F.col("first"), F.greatest("first", "last")), lambda k: F.struct(at["field"].alias("_field"), at["value"].alias("_value"), k.alias("_cell"))))
         keys = F.when(F.col("kind") == "value", F.array(F.struct(F.col("field").alias("_field"), F.col("value").alias("_value"), F.lit(-2).alias("_cell")))).when(F.col("kind") == "range", cells).otherwise(everywhere)
         entered = F.collect_list("clause").over(Window.partitionBy("_query"))
         named = chosen.select("_query", F.col("clause").alias("_entry"), entered.alias("_entered"), keys.alias("k"))
         open_ = self.queries.where("_musts = 0 AND _least <= 0").select("_query", F.lit(None).cast("long").alias("_entry"), F.array().cast("array<long>").alias("_entered"), everywhere.alias("k"))
-        return named.unionByName(open_).select("_query", "_entry", "_entered", F.explode("k").alias("k")).select("_query", "_entry", "_entered", "k.*")
+        found = named.unionByName(open_).join(self.queries, "_query").withColumn("k", F.explode("k"))
+        return found.select(*[c for c in found.columns if c != "k"], "k.*")
 
     def met(self) -> Column:
         """Whether a candidate row satisfies its query, and was found by the first entry that can find it."""
@@ -308,8 +336,22 @@ class _QueryIndex:
             bound = (c["lo"].isNull() | (own["num"] >= c["lo"])) & (c["hi"].isNull() | (own["num"] <= c["hi"])) & (c["value"].isNull() | (own["str"] == c["value"]))
             return F.coalesce(own.isNotNull() & bound, F.lit(False))
 
-        held = F.filter("_clauses", holds)
-        count = lambda occur: F.size(F.filter(held, lambda c: c["occur"] == occur))
-        whole = (count("must") == F.col("_musts")) & (count("must_not") == 0) & (count("should") >= F.col("_least"))
-        first = F.array_min(F.array_intersect(F.transform(held, lambda c: c["clause"]), "_entered"))
-        return whole & first.eqNullSafe(F.col("_entry"))
+        met = F.lit(True)
+        for k in self.fixed:
+            number, text, lo, hi, value = (F.col(f"{c}{k}") for c in ("_n", "_s", "_lo", "_hi", "_value"))
+            met = met & (lo.isNull() | (number >= lo)) & (hi.isNull() | (number <= hi)) & (value.isNull() | (text == value))
+        if not self.longest:
+            return met & (F.col("_least") <= 0)
+        if self.longest > UNROLLED:
+            held = F.filter("_clauses", holds)
+            count = lambda occur: F.size(F.filter(held, lambda c: c["occur"] == occur))
+            no, should = count("must_not") == 0, count("should")
+        else:  # the same clause by clause, which Spark compiles
+            own = [F.get("_clauses", F.lit(i)) for i in range(self.longest)]
+            of = lambda c, occur: F.coalesce(c["occur"] == occur, F.lit(False)) & holds(c)
+            no = reduce(lambda a, b: a & b, [~of(c, "must_not") for c in own])
+            should = sum((F.when(of(c, "should"), 1).otherwise(0) for c in own), F.lit(0))
+        if not self.shoulds:
+            return met & no & (F.col("_least") <= 0)
+        first = F.array_min(F.array_intersect(F.transform(F.filter("_clauses", holds), lambda c: c["clause"]), "_entered"))
+        return met & no & ((F.col("_least") <= 0) | (should >= F.col("_least"))) & ((F.size("_entered") <= 1) | first.eqNullSafe(F.col("_entry")))
