@@ -221,6 +221,48 @@ def stored_queries(rows: DataFrame, queries: DataFrame, fields: list[str], most:
     return found.where(index.met()).select("_row.*", F.col("_query").alias(name))
 
 
+def stored_counts(rows: DataFrame, queries: DataFrame, fields: list[str], most: int = 10_000, name: str = "query_id") -> DataFrame:
+    """How many rows satisfy each stored query (column `name`, n), as counting the rows of `stored_queries` would say.
+
+    A query of one range is counted by the ranks of its ends among the values of its field, one of a value by the value's
+    count: no pair is made, so this grows as rows and queries do.  Queries of several clauses are matched and counted.
+    """
+    index = _QueryIndex(rows, queries, fields, most)
+    one = (F.col("_musts") + F.size("_clauses") == 1) & (((F.col("_musts") == 1) & (F.col("_least") <= 0)) | ((F.col("_shoulds") == 1) & (F.col("_least") == 1)))
+    plain = index.queries.where(one & F.col("_query").isNotNull()).select("_query").join(index.clauses.where("kind <> 'value' OR (lo IS NULL AND hi IS NULL)"), "_query")
+    plain, _ = tables.pinned(plain.select("_query", "field", "lo", "hi", "value", "kind"), "plain-queries")
+    value = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").cast("string").alias("value")) for f in index.exact] or [F.lit(None).cast("struct<field:string,value:string>")]))
+    values = rows.select(value.alias("v")).select("v.*").where("value IS NOT NULL").groupBy("field", "value").agg(F.count("*").alias("n"))
+    by_value = plain.where("kind = 'value'").select("_query", "field", "value").join(values, ["field", "value"]).select("_query", "n")
+    by_any = plain.where("kind = 'any'").select("_query").crossJoin(rows.agg(F.count("*").alias("n")))
+    counts = by_value.unionByName(by_any).unionByName(_ranged(rows, plain.where("kind = 'range'"), list(index.spans)))
+    others = queries.join(plain.select(F.col("_query").alias("query_id")), "query_id", "left_anti").where("query_id IS NOT NULL")
+    if not others.isEmpty():
+        matched = stored_queries(rows, others, fields, most, "_query" if name in rows.columns else name)
+        counts = counts.unionByName(matched.groupBy(F.col(matched.columns[-1]).alias("_query")).agg(F.count("*").alias("n")))
+    return counts.where("n > 0").select(F.col("_query").alias(name), "n")
+
+
+def _ranged(rows: DataFrame, ranges: DataFrame, fields: list[str]) -> DataFrame:
+    """_query, n of queries of one range (lo, hi): rows up to hi less those below lo, by running counts over a sorted table.
+
+    Values come counted, and sort between low ends and high ends that are equal to them; an open low end is null and an open high
+    one NaN, which are first and last in Spark's order.
+    """
+    number = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").try_cast("double").alias("x")) for f in fields] or [F.lit(None).cast("struct<field:string,x:double>")]))
+    values = rows.select(number.alias("v")).select("v.*").where("x IS NOT NULL").groupBy("field", "x").agg(F.count("*").alias("n"))
+    end = lambda x, side: F.struct(x.alias("x"), F.lit(side).alias("side"))
+    ends = ranges.select("field", "_query", F.explode(F.array(end(F.col("lo"), 0), end(F.coalesce("hi", F.lit(float("nan"))), 2))).alias("e")).select("field", "e.x", "e.side", F.lit(0).cast("long").alias("n"), "_query")
+    places = values.select("field", "x", F.lit(1).alias("side"), "n", F.lit(None).cast(ranges.schema["_query"].dataType).alias("_query")).unionByName(ends)
+    order = ["field", "x", "side", "_query"]
+    dealt, _ = tables.pinned(places.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "query-ends")
+    before = F.sum("all").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # a row a partition
+    starts = dealt.groupBy("_part").agg(F.sum("n").alias("all")).select("_part", F.coalesce(before, F.lit(0)).alias("start"))
+    running = F.sum("n").over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = dealt.withColumn("upto", running).where("side <> 1").join(F.broadcast(starts), "_part").select("_query", F.when(F.col("side") == 0, -F.col("upto") - F.col("start")).otherwise(F.col("upto") + F.col("start")).alias("upto"))
+    return ranked.groupBy("_query").agg(F.sum("upto").alias("n"))
+
+
 def _both(ranged: str, exact: str) -> str:
     """The key's field of a range that is entered together with a value that the same query needs."""
     return f"{ranged}\0{exact}"

@@ -221,7 +221,7 @@ def j8_many(spark, d):
     o = table(spark, d, "orders").where("o_orderkey % 50 = 0").select(F.col("o_orderkey").alias("query_id"), F.lit("l_extendedprice").alias("field"), F.floor("o_totalprice").cast("double").alias("lo"), (F.floor("o_totalprice") + 500).cast("double").alias("hi"), F.lit(None).cast("string").alias("value"))
     flags = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("value")).distinct().select((-F.ascii("value")).cast("long").alias("query_id"), F.lit("l_returnflag").alias("field"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"), "value")
     rows = table(spark, d, "lineitem").select("l_extendedprice", "l_returnflag")
-    return search.stored_queries(rows, o.withColumn("query_id", F.col("query_id").cast("long")).unionByName(flags), rows.columns, most=10).groupBy("query_id").agg(F.count("*").alias("n"))
+    return search.stored_counts(rows, o.withColumn("query_id", F.col("query_id").cast("long")).unionByName(flags), rows.columns, most=10)
 
 
 def clauses(spark):

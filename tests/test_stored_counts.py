@@ -60,6 +60,22 @@ def wanted(rows, queries):
     return dict(found)
 
 
+def test_counts_are_those_of_the_pairs(spark):
+    rows, queries = table(spark), stored(spark)
+    want = wanted(rows.collect(), queries.collect())
+    for most in (1, 10_000):
+        pairs = search.stored_queries(rows, queries, ["x", "y", "s"], most=most).groupBy("query_id").count()
+        assert {r[0]: r[1] for r in pairs.collect()} == want
+        assert {r["query_id"]: r["n"] for r in search.stored_counts(rows, queries, ["x", "y", "s"], most=most).collect()} == want
+
+
+def test_counts_of_ranges_make_no_pairs(spark):
+    """100,000 ranges that hold all of 200,000 rows: 20 billion pairs, which are counted without being made."""
+    rows = spark.range(200_000).select((F.col("id") % 1000).cast("double").alias("x"))
+    ranges = spark.range(100_000).select(F.col("id").alias("query_id"), F.lit("x").alias("field"), F.lit(-1.0).alias("lo"), F.lit(1000.0).alias("hi"), F.lit(None).cast("string").alias("value"))
+    assert search.stored_counts(rows, ranges, ["x"], most=10).agg(F.count("*"), F.min("n"), F.max("n")).first()[:] == (100_000, 200_000, 200_000)
+
+
 def test_wide_ranges_are_entered_with_a_value(spark):
     """Candidates are cut by the value that the query needs too, and the condition has no functions on lambdas, which Spark can't compile."""
     rows, queries = table(spark), spark.createDataFrame([one(q, "x", 0.0, 7.0) for q in range(50)] + [one(q, "s", value="a") for q in range(50)] + [one(q, "y", 1.0, 1.0, occur="must_not") for q in range(50)], DDL)
