@@ -184,10 +184,11 @@ ACCENTED, FOLDED = "".join(FOLDS), "".join(FOLDS.values())
 
 
 def fold(c: Column) -> Column:
-    c = F.translate(c, ACCENTED, FOLDED)
+    """Accents stripped; what has no character beyond ASCII is left as it is at once."""
+    folded = F.translate(c, ACCENTED, FOLDED)
     for letter, two in DOUBLE.items():
-        c = F.replace(c, F.lit(letter), F.lit(two))
-    return c
+        folded = F.replace(folded, F.lit(letter), F.lit(two))
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(folded)
 
 
 def asciifolding(table: DataFrame, preserve_original: bool = False) -> DataFrame:
@@ -202,16 +203,22 @@ def length(table: DataFrame, low: int = 0, high: int = 2**31 - 1) -> DataFrame:
     return table.where(F.length("token").between(low, high))
 
 
+def few(listed: DataFrame, most: int = 100_000) -> DataFrame:
+    """A list, to be broadcast if it is counted and has up to `most` rows: else Spark, which doesn't know how long a list made
+    by a program is, would shuffle the tokens to it."""
+    return F.broadcast(listed) if listed.limit(most + 1).count() <= most else listed
+
+
 def stop(table: DataFrame, words: DataFrame, ignore_case: bool = False) -> DataFrame:
     """Drop listed tokens (column word); positions keep the gap."""
     key = F.lower if ignore_case else (lambda c: c)
     listed = words.select(key(F.col("word")).alias("_w")).distinct()
-    return table.join(listed, key(table["token"]) == F.col("_w"), "left_anti")
+    return table.join(few(listed), key(table["token"]) == F.col("_w"), "left_anti")
 
 
 def keep(table: DataFrame, words: DataFrame) -> DataFrame:
     """Keep only listed tokens."""
-    return table.join(words.select(F.col("word").alias("token")).distinct(), "token", "left_semi").select(*table.columns)
+    return table.join(few(words.select(F.col("word").alias("token")).distinct()), "token", "left_semi").select(*table.columns)
 
 
 def token_type(c: Column) -> Column:
