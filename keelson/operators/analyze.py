@@ -474,6 +474,17 @@ def decimal_digit(c: Column) -> Column:
 def apostrophe(c: Column) -> Column:
     """The tail from an apostrophe on is cut."""
     return F.regexp_replace(c, "['’].*$", "")
+def min_hash_tokens(df: DataFrame, id_col: str, array: Column, hashes: int = 16, digest: Callable[..., Column] = F.xxhash64) -> DataFrame:
+    """As min_hash of the tokens of a column of token arrays: the least hashes of a row are found in the row, so what is
+    shuffled is a value a row and seed, and no token."""
+    def least(seed: int) -> Column:
+        return F.struct(F.lit(seed).alias("seed"), F.array_min(F.transform("_tokens", lambda t: digest(t, F.lit(seed)))).alias("value"))
+
+    rows = df.select(F.col(id_col).alias("doc_id"), F.array_distinct(array).alias("_tokens"))
+    signed = rows.select("doc_id", F.explode(F.array(*map(least, range(hashes)))).alias("l")).select("doc_id", "l.*").where("value IS NOT NULL")
+    return signed.groupBy("doc_id", "seed").agg(F.min("value").alias("value"))
+
+
 
 
 def classic(c: Column) -> Column:

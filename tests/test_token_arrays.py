@@ -27,6 +27,16 @@ def shuffled(df):
     return str(df._jdf.queryExecution().optimizedPlan().toString()), df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
 
+def test_min_hash_is_found_in_the_row(spark):
+    """Before, every different token of a document was shuffled, and once more for each seed."""
+    md5 = lambda token, seed: F.md5(F.concat_ws(":", seed.cast("string"), token))
+    for digest in (F.xxhash64, md5):
+        got = A.min_hash_tokens(docs(spark), "doc_id", array(), 5, digest)
+        assert shuffled(got)[1] == 1  # before a run, as a plan that has run is shown twice
+        assert bag(got) == bag(A.min_hash(A.tokens(docs(spark), "doc_id", array()), 5, digest))
+        assert {r[0] for r in got.collect()} == {1, 2, 5, 6, 7}
+
+
 def test_folding_leaves_ascii_as_it_is(spark):
     df = spark.createDataFrame([("plain",), ("",), (None,), ("Çédille Straße Ærø",), ("日本",), ("é",)], "s string")
     assert [r[0] for r in df.select(A.fold(F.col("s"))).collect()] == ["plain", "", None, "Cedille Strasse AEro", "日本", "e"]
