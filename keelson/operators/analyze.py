@@ -316,12 +316,23 @@ def common_grams(table: DataFrame, words: DataFrame, separator: str = "_", stack
         return path_common_grams(table, words, separator)
     listed = words.select(F.col("word").alias("token"), F.lit(True).alias("_c")).distinct()
     order = Window.partitionBy("doc_id").orderBy("pos")
-    rows = table.join(listed, "token", "left").withColumn("_c", F.coalesce("_c", F.lit(False)))
+    rows = table.join(few(listed), "token", "left").withColumn("_c", F.coalesce("_c", F.lit(False)))
     rows = rows.select("doc_id", "pos", "token", "_c", F.lead("token").over(order).alias("_t"), F.lead("_c").over(order).alias("_n"), F.lead("pos").over(order).alias("_p"))
     pair = F.when((F.col("_p") == F.col("pos") + 1) & (F.col("_c") | F.col("_n")), F.concat_ws(separator, "token", "_t"))
     return rows.withColumn("token", F.explode(F.array_compact(F.array(F.col("token"), pair)))).select("doc_id", "pos", "token")
 
 
+def common_gram_tokens(df: DataFrame, id_col: str, array: Column, words: DataFrame, separator: str = "_") -> DataFrame:
+    """As common_grams of the tokens of a column of token arrays: neighbours stand side by side there, so no token is
+    shuffled to find the next one, unless the list of words is too long to be broadcast."""
+    beside = F.arrays_zip(array.alias("token"), F.slice(array, F.lit(2), F.greatest(F.size(array), F.lit(1))).alias("next"))
+    rows = df.select(F.col(id_col).alias("doc_id"), F.posexplode(beside).alias("pos", "b")).select("doc_id", "pos", F.col("b").getField("token").alias("token"), F.col("b").getField("next").alias("_t"))
+    for of, mark in (("token", "_c"), ("_t", "_n")):
+        rows = rows.join(few(words.select(F.col("word").alias(of), F.lit(True).alias(mark)).distinct()), of, "left")
+    pair = F.when(F.col("_t").isNotNull() & (F.col("_c").isNotNull() | F.col("_n").isNotNull()), F.concat_ws(separator, "token", "_t"))
+    return rows.select("doc_id", "pos", F.explode(F.array_compact(F.array(F.col("token"), pair))).alias("token"))
+
+
 def synonyms(table: DataFrame, rules: DataFrame, expand: bool = True) -> DataFrame:
     """rules (word, synonym): synonyms at the same position, or in place of the word if not `expand`."""
     return synonym_graph(table, rules, expand).select("doc_id", "pos", "token").distinct()

@@ -37,6 +37,16 @@ def test_min_hash_is_found_in_the_row(spark):
         assert {r[0] for r in got.collect()} == {1, 2, 5, 6, 7}
 
 
+def test_common_grams_of_neighbours_in_the_array(spark):
+    """Before, all tokens were shuffled and sorted to find the next one.  Rows of one id are texts of their own here."""
+    words = spark.createDataFrame([("the",), ("of",), ("the",)], "word string")
+    apart = docs(spark).where("doc_id <> 7 OR text = 'the the the'")
+    got = A.common_gram_tokens(apart, "doc_id", array(), words)
+    assert bag(got) == bag(A.common_grams(A.tokens(apart, "doc_id", array()), words))
+    assert "Window" not in shuffled(got)[0]
+    assert bag(got.where("doc_id = 6")) == Counter({(6, 0, "x"): 1, (6, 0, "x_the"): 1, (6, 1, "the"): 1})
+
+
 def test_folding_leaves_ascii_as_it_is(spark):
     df = spark.createDataFrame([("plain",), ("",), (None,), ("Çédille Straße Ærø",), ("日本",), ("é",)], "s string")
     assert [r[0] for r in df.select(A.fold(F.col("s"))).collect()] == ["plain", "", None, "Cedille Strasse AEro", "日本", "e"]
