@@ -474,17 +474,6 @@ def min_hash(table: DataFrame, hashes: int = 16, digest: Callable[..., Column] =
     return table.select("doc_id", "token").distinct().select("doc_id", "token", seeds).groupBy("doc_id", "seed").agg(F.min(digest(F.col("token"), F.col("seed"))).alias("value"))
 
 
-#: Decimal digits of all scripts of the first plane, and their values, by Unicode's properties.
-DIGITS = {chr(i): str(unicodedata.decimal(chr(i))) for i in range(128, 0x10000) if unicodedata.category(chr(i)) == "Nd"}
-
-
-def decimal_digit(c: Column) -> Column:
-    return F.translate(c, "".join(DIGITS), "".join(DIGITS.values()))
-
-
-def apostrophe(c: Column) -> Column:
-    """The tail from an apostrophe on is cut."""
-    return F.regexp_replace(c, "['’].*$", "")
 def min_hash_tokens(df: DataFrame, id_col: str, array: Column, hashes: int = 16, digest: Callable[..., Column] = F.xxhash64) -> DataFrame:
     """As min_hash of the tokens of a column of token arrays: the least hashes of a row are found in the row, so what is
     shuffled is a value a row and seed, and no token."""
@@ -496,6 +485,17 @@ def min_hash_tokens(df: DataFrame, id_col: str, array: Column, hashes: int = 16,
     return signed.groupBy("doc_id", "seed").agg(F.min("value").alias("value"))
 
 
+#: Decimal digits of all scripts of the first plane, and their values, by Unicode's properties.
+DIGITS = {chr(i): str(unicodedata.decimal(chr(i))) for i in range(128, 0x10000) if unicodedata.category(chr(i)) == "Nd"}
+
+
+def decimal_digit(c: Column) -> Column:
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(F.translate(c, "".join(DIGITS), "".join(DIGITS.values())))
+
+
+def apostrophe(c: Column) -> Column:
+    """The tail from an apostrophe on is cut."""
+    return F.regexp_replace(c, "['’].*$", "")
 
 
 def classic(c: Column) -> Column:
@@ -504,9 +504,14 @@ def classic(c: Column) -> Column:
     return F.when(c.rlike(r"^\p{L}\.(?:\p{L}\.){1,100}\p{L}?$"), F.replace(c, F.lit("."), F.lit(""))).otherwise(c)
 
 
-def clean(table: DataFrame) -> DataFrame:
-    """decimal_digit, classic, apostrophe and remove_duplicates."""
-    return unique(each(table, lambda t: apostrophe(classic(decimal_digit(t)))), same_position=True)
+def clean(table: DataFrame, stacked: bool = True) -> DataFrame:
+    """decimal_digit, classic, apostrophe and remove_duplicates.
+
+    A table that is said not to be `stacked` has one token at a position, as a tokenizer leaves it: each token gives one at
+    most, so none can be repeated at its position and the tokens aren't shuffled to look for it.
+    """
+    cleaned = each(table, lambda t: apostrophe(classic(decimal_digit(t))))
+    return unique(cleaned, same_position=True) if stacked else cleaned
 
 
 def normalise(c: Column) -> Column:

@@ -47,6 +47,14 @@ def test_common_grams_of_neighbours_in_the_array(spark):
     assert bag(got.where("doc_id = 6")) == Counter({(6, 0, "x"): 1, (6, 0, "x_the"): 1, (6, 1, "the"): 1})
 
 
+def test_clean_of_one_token_a_position_shuffles_nothing(spark):
+    marked = F.array(F.lit("it's"), F.lit("٣०"), F.lit("u.s.a."), F.lit("'"), F.lit("plain"))
+    table = A.tokens(docs(spark).where("doc_id <> 7"), "doc_id", marked)
+    got = A.clean(table, stacked=False)
+    assert shuffled(got)[1] == 0 and bag(got) == bag(A.clean(table))
+    assert {r["token"] for r in got.collect()} == {"it", "30", "usa", "plain"}
+
+
 def test_folding_leaves_ascii_as_it_is(spark):
     df = spark.createDataFrame([("plain",), ("",), (None,), ("Çédille Straße Ærø",), ("日本",), ("é",)], "s string")
     assert [r[0] for r in df.select(A.fold(F.col("s"))).collect()] == ["plain", "", None, "Cedille Strasse AEro", "日本", "e"]
