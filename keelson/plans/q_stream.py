@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 
 from pyspark.sql import functions as F
 
@@ -79,10 +80,11 @@ def t6_dead(spark, d):
     return spark.read.parquet(out).select("event_id", "outcome")
 
 
-def emitted(rows, spark, n):
+def emitted(rows, spark, n, lanes=None):
     """What a stream of rows has put into Parquet, with its timers running, once there are n rows; then it is stopped."""
     out = scratch(spark, "sink")
-    query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "checkpoint")).trigger(processingTime="500 milliseconds").start()
+    with stateful.state_partitions(spark, lanes) if lanes else nullcontext():
+        query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "checkpoint")).trigger(processingTime="500 milliseconds").start()
     written = lambda: spark.read.schema(rows.schema).parquet(out)
     while query.isActive and (not names(spark, f"{out}/_spark_metadata") or written().count() < n):
         time.sleep(0.3)
@@ -107,7 +109,7 @@ def whole_stream(spark, d, *columns):
 def t2_flush(spark, d):
     """Batches of 700 events of a lane; what is left in a lane leaves when it is two seconds old."""
     rows = stateful.flushed(whole_stream(spark, d, "event_id", "user_id"), "user_id", 700, 2, lanes=4)
-    found = emitted(rows, spark, table(spark, d, "events").count())
+    found = emitted(rows, spark, table(spark, d, "events").count(), lanes=4)
     lane = found.groupBy("_lane", "closed_by").agg(F.count("*").alias("n"), F.countDistinct("batch").alias("batches"))
     sums = lane.groupBy("_lane").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("closed_by") == "count", F.col("batches"))), F.lit(0)).alias("full"), F.coalesce(F.sum(F.when(F.col("closed_by") == "age", F.col("n"))), F.lit(0)).alias("aged"))
     return found.select("event_id", "_lane").join(sums, "_lane").select("event_id", (F.floor(F.col("n") / 700) == F.col("full")).alias("full"), (F.col("n") % 700 == F.col("aged")).alias("aged"))
@@ -116,7 +118,7 @@ def t2_flush(spark, d):
 def t6_resent(spark, d):
     """Re-sends that wait in the state: the outcomes are those of the batch query."""
     sent = stateful.resent(whole_stream(spark, d, "event_id", "user_id"), "event_id", send, retries=3, delay=lambda attempt: 0.2, lanes=4)
-    return emitted(sent, spark, table(spark, d, "events").count()).select("event_id", "status", "attempts", "outcome")
+    return emitted(sent, spark, table(spark, d, "events").count(), lanes=4).select("event_id", "status", "attempts", "outcome")
 
 
 def t10_wait(spark, d):

@@ -5,7 +5,10 @@ from __future__ import annotations
 import threading
 import time
 
+import pyarrow as pa
+import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from keelson.sources import readers, tables
@@ -82,6 +85,82 @@ def test_resends_wait_in_the_state(spark, tmp_path):
     assert all(r["big"] == (BIG + r["id"] if r["id"] % 2 == 0 else None) for r in got)
 
 
+@pytest.mark.parametrize("kind", ["resent", "flushed"])
+def test_rows_leave_after_a_restart_without_new_rows(spark, tmp_path, kind):
+    """Stopped between two micro-batches, so that none is left to be run again: timers fire all the same."""
+    path, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    stream = source(spark, path, 0, 60)
+    rows = stateful.resent(stream, "id", send, retries=3, delay=lambda attempt: 0.5, lanes=2) if kind == "resent" else stateful.flushed(stream, "k", 1000, 1, lanes=2)
+    first = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(processingTime="1 hour").start()
+    began = time.monotonic()
+    while not (tables.names(spark, f"{checkpoint}/commits") and not first.status["isTriggerActive"]) and time.monotonic() - began < 60:
+        time.sleep(0.1)
+    first.stop()
+    assert len(read(spark, out)) < 60
+    query = start(rows, out, checkpoint)
+    got = wait_for(spark, query, out, 60)
+    query.stop()
+    assert sorted(r["id"] for r in got) == list(range(60))
+
+
+class Kept:
+    """A map or value of the state, and the handle, in memory."""
+
+    def __init__(self):
+        self.entries, self.value, self.timers, self.calls = {}, None, set(), 0
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def keys(self):
+        return iter(self.entries)
+
+    def getValue(self, key):  # noqa: N802
+        return self.entries[key]
+
+    def updateValue(self, key, value):  # noqa: N802
+        assert key not in self.entries
+        self.entries[key], self.calls = value, self.calls + 1
+
+    def removeKey(self, key):  # noqa: N802
+        del self.entries[key]
+
+    def registerTimer(self, due):  # noqa: N802
+        self.timers.add(due)
+
+
+class Clock:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentProcessingTimeInMs(self):  # noqa: N802
+        return self.now
+
+
+def test_waiting_rows_are_kept_in_large_entries():
+    """The state is called for a megabyte of rows, not for each row, and the sender sees whole chunks."""
+    n, sizes = 100_000, []
+    table = pa.table({"id": pa.array(range(n), pa.int64()), "big": pa.array([BIG + i if i % 2 else None for i in range(n)], pa.int64()), "tags": pa.array([[str(i)] for i in range(n)])})
+    sender = stateful._Sender(lambda rows, attempt: [*map(int, sizes.append(len(rows)) or send(rows, attempt))], 3, lambda attempt: 1.0, 1000)
+    sender.waiting, sender.last, sender.handle = Kept(), Kept(), Kept()
+    got = list(sender.handleInputRows(0, (Row(body=b) for b in stateful._bodies(table, 1000)), Clock(0)))
+    assert set(sizes) == {1000} and sender.waiting.calls < 20
+    for now in (1000, 2000, 3000):
+        assert sender.handle.timers == {t for t in (1000, 2000, 3000) if t <= now}
+        got += list(sender.handleExpiredTimer(0, Clock(now), None))
+    assert not sender.waiting.entries and sender.waiting.calls < 50 and all(len(r.body) < 40_000 for r in got)
+    rows = [r for b in got for r in pa.ipc.open_stream(b.body).read_all().to_pylist()]
+    assert len(rows) == n and all(r["big"] == (BIG + r["id"] if r["id"] % 2 else None) and r["tags"] == [str(r["id"])] for r in rows)
+    want = {i: (400, 1, "rejected") if i % 10 == 4 else (429, 4, "exhausted") if i % 6 > 3 else (201, i % 6 + 1, "accepted") for i in range(n)}
+    assert {r["id"]: (r["status"], r["attempts"], r["outcome"]) for r in rows} == want
+
+
 def test_a_failed_transport_is_rejected(spark, tmp_path):
     path, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     query = start(stateful.resent(source(spark, path, 0, 9), "id", lambda r, a: 1 / 0, lanes=2), out, checkpoint)
