@@ -15,7 +15,7 @@ from keelson.operators import schema as S
 from keelson.operators import search
 from keelson.plans import q_stream
 from keelson.plans.q_writes import table
-from keelson.sources import tables
+from keelson.sources import readers, tables
 from keelson.streaming import delivery
 
 H = "substring(sha256({}), 1, 16)"
@@ -125,7 +125,8 @@ def m8(spark, d):
 
 def sent(spark, d):
     """lineitem as sent documents: batch = order, position = line; an outcome for each from its quantity."""
-    li = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("batch_id"), F.col("l_linenumber").alias("pos")).agg(F.max("l_quantity").cast("int").alias("q"))
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("batch_id"), F.col("l_linenumber").alias("pos"), "l_quantity")
+    li = readers.dealt(lines, "batch_id", "pos").groupBy("batch_id", "pos").agg(F.max("l_quantity").cast("int").alias("q"))
     status = F.when(F.col("q") % 10 == 0, 429).when(F.col("q") % 10 == 1, 500).when(F.col("q") % 10 == 2, 400).when(F.col("q") % 10 == 3, 503).otherwise(201)
     return li.withColumn("status", status).withColumn("error_type", F.when(status >= 300, F.concat(F.lit("e"), status))).withColumn("error_reason", F.when(status >= 300, F.concat(F.lit("quantity "), "q")))
 

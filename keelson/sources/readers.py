@@ -13,6 +13,8 @@ from keelson.sources import tables
 
 #: Rows of a range of a paged scan, about.
 RANGE_ROWS = 1_000_000
+#: Rows of a partition that is dealt by keys, about.
+DEALT_ROWS = 250_000
 
 STOCK = T.StructType([
     T.StructField("date", T.DateType()), T.StructField("open", T.DoubleType()), T.StructField("high", T.DoubleType()),
@@ -37,6 +39,16 @@ def pages(df: DataFrame, sort: list[str | Column], size: int) -> DataFrame:
     return marked.join(F.broadcast(shifts), "_part").withColumn("page", page).drop("_part", "_in_part", "_shift")
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows by a hash of the keys, in partitions whose number grows with the counted rows.
+
+    For aggregates and joins on keys that seldom repeat: Spark would first gather the keys of a whole file split in a task,
+    and then merge partitions down to few large ones.  A number that is asked for is kept.
+    """
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // DEALT_ROWS))
+    return df.repartition(n, *keys)
+
+
 def after(df: DataFrame, sort: list[str], last: list, size: int) -> DataFrame:
     """The next `size` rows strictly after the last sort values."""
     cursor = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(sort, last, strict=True)])

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from keelson.operators import analyze, reports, writes
-from keelson.sources import tables
+from keelson.plans import q_misc
+from keelson.sources import readers, tables
 from keelson.streaming import delivery as D
 
 EMPTY = "_id string, _version long, v int"
@@ -140,6 +141,17 @@ def test_span_trees(spark):
     assert reports.span_trees(frame.limit(0)).count() == 0
 
 
+def test_zipped_outcomes_stay_in_small_partitions(spark, tmp_path, monkeypatch):
+    """Partitions grow in number, not in rows: neither is a file's whole key set gathered, nor are partitions merged."""
+    spark.range(20_000).selectExpr("id div 4 AS l_orderkey", "cast(id % 4 AS int) AS l_linenumber", "cast(id % 50 AS double) AS l_quantity").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(readers, "DEALT_ROWS", 1000)
+    found = q_misc.j6(spark, str(tmp_path))
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 2000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == plan.count("Exchange hashpartitioning") > 0  # and nothing is shuffled again
+
+
 def test_delivery_counts_what_ran_out(spark):
     rows = spark.createDataFrame([(i, i // 4) for i in range(12)], "id int, batch_id int")
     out = D.send_with_retries(rows, lambda r, a: [429 if i % 3 == 0 else 400 if i % 3 == 1 else 200 for i in r["id"]])
