@@ -3,15 +3,23 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
+from keelson.session import ship
 from keelson.sources import readers, tables
 
 #: Item statuses that are sent again: fixed values.
 RETRY_STATUS = (429, 502, 503, 504)
+#: Spans that a task looks at together.
+BLOCK_SPANS = 500_000
 
 
 def terms(df: DataFrame, column: str) -> DataFrame:
@@ -110,22 +118,56 @@ def assemble(transactions: DataFrame, spans: DataFrame) -> DataFrame:
     return t.na.fill(0, ["span_count", "span_duration", "children"])
 
 
-def span_trees(spans: DataFrame, trace: str = "trace_id", span: str = "span_id", parent: str = "parent_id", path: bool = False) -> DataFrame:
-    """trace, span, root, depth, status and, if asked for, path (ids from the root on) of every different span of a trace.
+def _climbed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of spans (t, s, p), each span with the last ancestor in its block: head, depth, above (the head's parent, which
+    isn't in the block) and ring (the chain runs in a ring inside the block).
 
-    `status` is root (no parent), child, orphan (the chain of parents ends at a span that isn't there; the last one that is
-    counts as root) or cycle (the chain runs in a ring: root, depth and path are null).  A span that is repeated counts with
-    its least parent, nulls first; spans without an id are left out.
+    An id that Arrow doesn't find in the block only counts as outside, where Spark looks for it.
+    """
+
+    def climb(block: pa.Table) -> pa.RecordBatch:
+        t, s, p = (pa.concat_arrays(c.chunks) for c in block.columns)
+        m = len(s)
+        up, inside = np.arange(m), np.zeros(m, bool)
+        if s.type == p.type and not pa.types.is_nested(s.type) and not pa.types.is_nested(t.type):
+            traces, ids = pc.dictionary_encode(t, null_encoding="encode").indices, pc.dictionary_encode(s)
+            base = traces.to_numpy().astype(np.int64) * len(ids.dictionary)
+            key, at = base + ids.indices.to_numpy(), pc.fill_null(pc.index_in(p, ids.dictionary, skip_nulls=True), -1).to_numpy()
+            order = np.argsort(key, kind="stable")
+            place = np.minimum(np.searchsorted(key[order], base + at), m - 1)
+            inside = (at >= 0) & (key[order[place]] == base + at)
+            up = np.where(inside, order[place], up)
+        depth, open_ = inside.astype(np.int64), np.flatnonzero(inside)
+        open_ = open_[inside[up[open_]]]
+        while len(open_):
+            over = up[open_]
+            depth[open_], up[open_] = depth[open_] + depth[over], up[over]
+            still = open_[inside[up[open_]]]
+            if len(still) == len(open_):
+                break
+            open_ = still
+        ring, head = np.zeros(m, bool), pa.array(up)
+        ring[open_] = True
+        above = pc.if_else(pa.array(ring), pa.scalar(None, p.type), p.take(head)) if len(open_) else p.take(head)
+        return pa.RecordBatch.from_arrays([t, s, s.take(head), pa.array(depth), above, pa.array(ring)], names=["t", "s", "head", "depth", "above", "ring"])
+
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= BLOCK_SPANS:
+            yield climb(pa.Table.from_batches(held))
+            held, n = [], 0
+    if n:
+        yield climb(pa.Table.from_batches(held))
+
+
+def _doubled(state: DataFrame, path: bool = False) -> DataFrame:
+    """`state` (t, s, up, root, depth, lost and, if asked for, path) with `up` null, or left on a ring or above it.
 
     Pointer doubling: each round every open span takes over its ancestor's ancestor, so a chain of depth d takes log2(d)
-    joins.  If a round settles none, what is open lies on a ring or above it.  The rounds' tables go to the work folder.
+    joins.  If a round settles none, what is open lies on a ring or above it.
     """
-    nodes = spans.where(F.col(span).isNotNull()).groupBy(F.col(trace).alias("t"), F.col(span).alias("s")).agg(F.min(F.struct(F.col(parent).alias("p"))).alias("p"))
-    nodes = nodes.select("t", "s", F.col("p.p").alias("p"))
-    there = nodes.select(F.col("t").alias("_t"), F.col("s").alias("_s"))
-    known = nodes.join(there, F.col("t").eqNullSafe(F.col("_t")) & (F.col("p") == F.col("_s")), "left")
-    lost = F.col("p").isNotNull() & F.col("_s").isNull()
-    state = known.select("t", "s", F.col("_s").alias("up"), F.col("s").alias("root"), F.col("_s").isNotNull().cast("long").alias("depth"), lost.alias("lost"), *([F.array("s").alias("path")] if path else []))
     state, _ = tables.pinned(state, "spans")
     open_ = state.where("up IS NOT NULL").count()
     while open_:
@@ -136,6 +178,44 @@ def span_trees(spans: DataFrame, trace: str = "trace_id", span: str = "span_id",
         before, open_ = open_, state.where("up IS NOT NULL").count()
         if open_ == before:
             break
+    return state
+
+
+def span_trees(spans: DataFrame, trace: str = "trace_id", span: str = "span_id", parent: str = "parent_id", path: bool = False, most: int = 100_000) -> DataFrame:
+    """trace, span, root, depth, status and, if asked for, path (ids from the root on) of every different span of a trace.
+
+    `status` is root (no parent), child, orphan (the chain of parents ends at a span that isn't there; the last one that is
+    counts as root) or cycle (the chain runs in a ring: root, depth and path are null).  A span that is repeated counts with
+    its least parent, nulls first; spans without an id are left out.
+
+    Spans are dealt by ranges of trace and id, and each task climbs as far as its block goes.  Only spans that others point
+    to from outside their block take part in pointer doubling, by joins; up to `most` of them are broadcast.  If all parents
+    lie far off, these are all spans.  With `path`, every span takes part.  The rounds' tables go to the work folder.
+    """
+    keyed = spans.where(F.col(span).isNotNull()).select(F.col(trace).alias("t"), F.col(span).alias("s"), F.col(parent).alias("p"))
+    nodes = (keyed if path else keyed.repartitionByRange("t", "s")).groupBy("t", "s").agg(F.min(F.struct("p")).alias("p")).select("t", "s", F.col("p.p").alias("p"))
+    if path:
+        there = nodes.select(F.col("t").alias("_t"), F.col("s").alias("_s"))
+        known = nodes.join(there, F.col("t").eqNullSafe(F.col("_t")) & (F.col("p") == F.col("_s")), "left")
+        lost = F.col("p").isNotNull() & F.col("_s").isNull()
+        state = _doubled(known.select("t", "s", F.col("_s").alias("up"), F.col("s").alias("root"), F.col("_s").isNotNull().cast("long").alias("depth"), lost.alias("lost"), F.array("s").alias("path")), path)
+    else:
+        ship(spans.sparkSession)
+        kinds = {f.name: f.dataType for f in nodes.schema.fields}
+        out = T.StructType().add("t", kinds["t"]).add("s", kinds["s"]).add("head", kinds["s"]).add("depth", T.LongType()).add("above", kinds["p"]).add("ring", T.BooleanType())
+        rows, _ = tables.pinned(nodes.sortWithinPartitions("t", "s").mapInArrow(_climbed, out), "spans")
+        outside, _ = tables.pinned(rows.where("above IS NOT NULL").select(F.col("t").alias("_t"), F.col("above").alias("_s")).distinct(), "spans")
+        few = F.broadcast if outside.limit(most + 1).count() <= most else (lambda x: x)
+        same = lambda pointer: F.col("t").eqNullSafe(F.col("_t")) & (F.col(pointer) == F.col("_s"))
+        entries, _ = tables.pinned(rows.join(few(outside), same("s")).drop("_t", "_s"), "spans")
+        known = entries.join(few(entries.select(F.col("t").alias("_t"), F.col("s").alias("_s"))), same("above"), "left")
+        step = F.col("depth") + F.col("_s").isNotNull().cast("long")
+        lost = F.col("above").isNotNull() & F.col("_s").isNull()
+        ends = _doubled(known.select("t", "s", F.when(F.col("ring"), F.col("s")).otherwise(F.col("_s")).alias("up"), F.col("head").alias("root"), step.alias("depth"), lost.alias("lost")))
+        ends = ends.select(F.col("t").alias("_t"), F.col("s").alias("_s"), F.col("up").alias("_up"), F.col("root").alias("_root"), F.col("depth").alias("_depth"), F.col("lost").alias("_lost"))
+        found, gone = F.col("_s").isNotNull(), F.col("above").isNotNull() & F.col("_s").isNull()
+        up = F.when(F.col("ring"), F.col("s")).otherwise(F.col("_up"))
+        state = rows.join(few(ends), same("above"), "left").select("t", "s", up.alias("up"), F.when(found, F.col("_root")).otherwise(F.col("head")).alias("root"), F.when(found, F.col("depth") + 1 + F.col("_depth")).otherwise(F.col("depth")).alias("depth"), F.coalesce(F.col("_lost"), gone).alias("lost"))
     ring = F.col("up").isNotNull()
     status = F.when(ring, "cycle").when(F.col("lost"), "orphan").when(F.col("depth") == 0, "root").otherwise("child")
     unless = lambda c: F.when(~ring, F.col(c)).alias(c)

@@ -141,6 +141,56 @@ def test_span_trees(spark):
     assert reports.span_trees(frame.limit(0)).count() == 0
 
 
+@pytest.fixture
+def many_ranges(spark):
+    """Small tables stay in 16 ranges, so most of the long chains run through several."""
+    changed = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize(("most", "kind"), [(100_000, "int"), (0, "int"), (0, "string"), (100_000, "long parent"), (100_000, "struct")])
+def test_span_trees_over_ranges(spark, many_ranges, most, kind):
+    """Chains, orphans and rings inside a range and through several, whatever the ids are."""
+    r = random.Random(5)
+    edges = [(i, i - 1 if i % 250 else None) for i in range(500)]  # neighbours
+    edges += [(1000 + i, r.choice([-5, None, *(1000 + r.randrange(400) for _ in range(40))])) for i in range(400)]  # parents anywhere, rings too
+    edges += [(2000 + i, 2000 + (i - 1) % 300) for i in range(300)] + [(2400 + i, 2000 + i * 3) for i in range(50)]  # a ring through several ranges, and spans above it
+    edges += [(2500, 2500), (2501, 2500), (3000, -7), (3001, 3000), (400_000, 2501), (400_001, 3001)]
+    frame = spark.createDataFrame([("t", *e) for e in edges] + [("t", 5, 4), (None, 1, None), (None, 2, 1), ("u", 1, 0), ("t", None, 3)], "trace_id string, span_id int, parent_id int")
+    cast = {"int": "int", "string": "string", "long parent": "int", "struct": "struct<x int>"}[kind]
+    if kind == "struct":
+        frame = frame.select("trace_id", *[F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("x"))).alias(c) for c in ("span_id", "parent_id")])
+    else:
+        frame = frame.withColumn("span_id", F.col("span_id").cast(cast)).withColumn("parent_id", F.col("parent_id").cast("long" if kind == "long parent" else cast))
+    plain = (lambda x: x and x.x) if kind == "struct" else (lambda x: None if x is None else int(x))
+    got = {(q["trace_id"], plain(q["span_id"])): (plain(q["root"]), q["depth"], q["status"]) for q in reports.span_trees(frame, most=most).collect()}
+    assert {k[1]: v for k, v in got.items() if k[0] == "t"} == {k: v[:3] for k, v in brute_tree(edges).items()}
+    assert got[None, 2] == (1, 1, "child") and got["u", 1] == (1, 0, "orphan") and len(got) == len(edges) + 3
+
+
+def test_span_trees_shuffle_what_they_must(spark, many_ranges):
+    """Neighbouring spans are settled in their ranges: few take part in the rounds, however long the chain is."""
+    rounds, pinned = [], tables.pinned
+
+    def counted(df, name):
+        out = pinned(df, name)
+        rounds.append(out[0].count())
+        return out
+
+    tables.pinned = counted
+    try:
+        found = reports.span_trees(spark.range(4000).selectExpr("id div 100000 AS trace_id", "id AS span_id", "nullif(id, 0) - 1 AS parent_id"))
+        assert found.where("root = 0 AND depth = span_id").count() == 4000
+    finally:
+        tables.pinned = pinned
+    assert rounds[0] == 4000 and sum(rounds[1:]) < 200
+
+
 def test_zipped_outcomes_stay_in_small_partitions(spark, tmp_path, monkeypatch):
     """Partitions grow in number, not in rows: neither is a file's whole key set gathered, nor are partitions merged."""
     spark.range(20_000).selectExpr("id div 4 AS l_orderkey", "cast(id % 4 AS int) AS l_linenumber", "cast(id % 50 AS double) AS l_quantity").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
