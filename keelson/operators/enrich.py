@@ -66,11 +66,11 @@ def batch_prompt(inputs: list[str], outputs: Mapping[str, str], role: str) -> Co
     return scalars.prompt(F.lit(head), *[p for i in inputs for p in (F.lit(f"<{i}>"), F.col(i), F.lit(f"</{i}>\n"))])
 
 
-def row_prompt(inputs: list[str], outputs: Mapping[str, str], role: str) -> Column:
-    """The same with the stale outputs only; null when an input is blank or nothing is stale."""
+def row_prompt(inputs: list[str], outputs: Mapping[str, str], role: str, required: list[str] | None = None) -> Column:
+    """The same with the stale outputs only; null when a required column (all inputs, if not given) is blank or nothing is stale."""
     asked = F.filter(F.array(*[F.when(is_stale({f: d}), F.lit(f'"{f}": "{d}"')) for f, d in outputs.items()]), lambda x: x.isNotNull())
     blank = F.lit(False)
-    for i in inputs:
+    for i in inputs if required is None else required:
         blank = blank | F.col(i).isNull() | (F.trim(i) == "")
     body = [p for i in inputs for p in (F.lit(f"<{i}>"), F.col(i), F.lit(f"</{i}>\n"))]
     text = scalars.prompt(F.lit(f"{role}\nReturn one JSON object with these fields: {{"), F.array_join(asked, ", "), F.lit("}\n"), *body)
