@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,6 +20,8 @@ CELLS = 4096
 SALTS = 64
 #: Clauses of a query up to which a match is judged clause by clause.
 UNROLLED = 8
+#: Pairs of a row and an entry that a task judges, about, and the most tasks to which pairs are dealt.
+PAIRS, TASKS = 2**25, 4096
 
 
 def collapse(df: DataFrame, field: str, order: list[Column]) -> DataFrame:
@@ -209,16 +212,41 @@ def stored_queries(rows: DataFrame, queries: DataFrame, fields: list[str], most:
     Each query is entered in an index under the clause that fewest rows meet: a must clause (a range together with a value that
     is needed too), or as many of its should clauses as a row can't all miss.  Entries carry their query's clauses, so a row is shuffled once, to its values and cells,
     and is judged where it meets an entry by counting the clauses that it meets; wide clauses are never expanded to pairs.
-    The index is broadcast if it is counted and small; both ways give the same rows.
+    Rows and clauses meet as plain columns, as all the time goes into pairs if queries and rows are many.
+    The index is broadcast if it is counted and small, else both sides are dealt out by counted pairs; both ways give the same rows.
     """
     if name in rows.columns:
         raise ValueError(f"the rows have a column {name}: pass another name")
     index = _QueryIndex(rows, queries, fields, most)
     entries, _ = tables.pinned(index.entries(), "query-entries")
     used = {r["_field"] for r in entries.select("_field").distinct().collect()}
-    on = ["_field", "_value", "_cell"]
-    found = index.keyed(used).join(F.broadcast(entries) if entries.count() <= most * 4 else entries, on)
-    return found.where(index.met()).select("_row.*", F.col("_query").alias(name))
+    on, keyed = ["_cell", "_value", "_field"], index.keyed(used)
+    found = keyed.join(F.broadcast(entries), on) if entries.count() <= most * 4 else _dealt(keyed, entries, on)
+    return found.where(index.met()).select(*[F.col(f"_row{i}").alias(c) for i, c in enumerate(rows.columns)], F.col("_query").alias(name))
+
+
+def _dealt(rows: DataFrame, entries: DataFrame, on: list[str]) -> DataFrame:
+    """Rows joined with the entries (pinned) of their key, in tasks of about as many pairs.
+
+    Pairs are counted by key first, as neither side's size tells how many there will be.  A key with over a quarter of a
+    task's share is cut into tiles: its rows into `_rows` parts, its entries into `_entries`, by the sizes of both.
+    """
+    counts = rows.groupBy(*on).agg(F.count("*").alias("r")).join(entries.groupBy(*on).agg(F.count("*").alias("e")), on)
+    counts, _ = tables.pinned(counts.withColumn("pairs", F.col("r").cast("double") * F.col("e")), "query-pairs")
+    total = counts.agg(F.sum("pairs")).first()[0] or 0.0
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(math.ceil(total / PAIRS), TASKS))
+    tiles, r, e = F.ceil(F.col("pairs") / max(1.0, total / parts / 4)), F.col("r"), F.col("e")
+    cut = F.least(r, F.greatest(F.lit(1), F.ceil(F.sqrt(tiles * r / e))))
+    hot = counts.where(tiles > 1).select(*on, cut.cast("int").alias("_rows"), F.least(e, F.ceil(tiles / cut)).cast("int").alias("_entries"))  # 4 keys a task at most
+    if not hot.isEmpty():
+
+        def tiled(df: DataFrame, cut: str, other: str) -> DataFrame:
+            part = F.pmod(F.monotonically_increasing_id(), F.coalesce(cut, F.lit(1))).cast("int")
+            every = F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))
+            return df.join(F.broadcast(hot), on, "left").withColumn(f"_in{cut}", part).withColumn(f"_in{other}", every).drop(cut, other)
+
+        rows, entries, on = tiled(rows, "_rows", "_entries"), tiled(entries, "_entries", "_rows"), [*on, "_in_rows", "_in_entries"]
+    return rows.repartition(parts, *on).join(entries.repartition(parts, *on).hint("merge"), on)
 
 
 def stored_counts(rows: DataFrame, queries: DataFrame, fields: list[str], most: int = 10_000, name: str = "query_id") -> DataFrame:
@@ -268,6 +296,16 @@ def _both(ranged: str, exact: str) -> str:
     return f"{ranged}\0{exact}"
 
 
+def _key(field: str, value: Column, cell: Column) -> Column:
+    return F.struct(F.lit(field).alias("_field"), value.alias("_value"), cell.cast("int").alias("_cell"))
+
+
+def _looked_up(rows: DataFrame, keys: list[Column], *columns: Column) -> DataFrame:
+    """`columns` of each row with each of its keys that isn't null."""
+    every = F.array(*keys) if keys else F.array().cast("array<struct<_field:string,_value:string,_cell:int>>")
+    return rows.select(*columns, F.explode(every).alias("_key")).where("_key IS NOT NULL").select("*", "_key.*").drop("_key")
+
+
 class _QueryIndex:
     """The clauses of stored queries, how rare they are in the rows, and where each query is entered."""
 
@@ -284,13 +322,16 @@ class _QueryIndex:
         kind = F.when(F.col("value").isNotNull(), "value").when(F.col("lo").isNull() & F.col("hi").isNull(), "any").otherwise("range")
         at = F.array_position(F.array(*map(F.lit, fields)) if fields else F.array().cast("array<string>"), F.col("field")).cast("int") - 1
         self.clauses = self.clauses.withColumn("kind", F.when(at >= 0, kind).otherwise("never")).withColumn("at", at)
-        spans = self.clauses.where("kind = 'range'").groupBy("field").agg(F.min(F.least(_finite(F.col("lo")), _finite(F.col("hi")))).alias("low"), F.max(F.greatest(_finite(F.col("lo")), _finite(F.col("hi")))).alias("high"))
+        entered = "occur <> 'must_not'"  # no query is looked up under what must not hold
+        spans = self.clauses.where("kind = 'range'").where(entered).groupBy("field").agg(F.min(F.least(_finite(F.col("lo")), _finite(F.col("hi")))).alias("low"), F.max(F.greatest(_finite(F.col("lo")), _finite(F.col("hi")))).alias("high"))
         #: Low end and width of a cell of each ranged field: a row a field of the rows.
         self.spans = {r["field"]: (r["low"] or 0.0, max(1e-12, ((r["high"] or 0.0) - (r["low"] or 0.0)) / CELLS)) for r in spans.collect()}
-        named = self.clauses.where("kind <> 'never'").groupBy("field").agg(F.bool_or(F.col("value").isNotNull()).alias("value"), F.bool_or(F.col("lo").isNotNull() | F.col("hi").isNotNull()).alias("range")).collect()
-        self.exact = [r["field"] for r in named if r["value"]]
-        texts = [F.col(f"`{f}`").cast("string") if f in self.exact else F.lit(None).cast("string") for f in fields]
-        numbers = [F.col(f"`{f}`").try_cast("double") if any(r["range"] and r["field"] == f for r in named) else F.lit(None).cast("double") for f in fields]
+        within = self.clauses.where("kind <> 'never'")
+        has = [F.bool_or(F.col(c).isNotNull()).alias(c) for c in ("lo", "hi", "value")]
+        named = {r["field"]: r for r in within.groupBy("field").agg(*has, F.bool_or(F.expr(f"value IS NOT NULL AND {entered}")).alias("exact")).collect()}
+        self.exact = [f for f, r in named.items() if r["exact"]]
+        texts = [F.col(f"`{f}`").cast("string") if f in named and named[f]["value"] else F.lit(None).cast("string") for f in fields]
+        numbers = [F.col(f"`{f}`").try_cast("double") if f in named and (named[f]["lo"] or named[f]["hi"]) else F.lit(None).cast("double") for f in fields]
         self.flat = [(n.alias(f"_n{k}"), t.alias(f"_s{k}")) for k, (n, t) in enumerate(zip(numbers, texts, strict=True))]
         #: What clauses are judged on, in the order of the fields.
         self.has = F.array(*[F.struct(n.alias("num"), t.alias("str")) for n, t in zip(numbers, texts, strict=True)]) if fields else F.array().cast("array<struct<num:double,str:string>>")
@@ -300,48 +341,59 @@ class _QueryIndex:
             first = F.when(mine & F.col("lo").isNotNull(), _cell(F.col("lo"), low, width)).otherwise(first)
             last = F.when(mine & F.col("hi").isNotNull(), _cell(F.col("hi"), low, width)).otherwise(last)
         self.clauses = self.clauses.withColumn("first", first).withColumn("last", last)
-        must, known = F.col("occur") == "must", F.col("kind") != "never"
+        must = F.col("occur") == "must"
         others = F.collect_list(F.when(~must, F.struct("clause", "occur", "at", "lo", "hi", "value")))
         count = lambda occur: F.sum((F.col("occur") == occur).cast("int"))
         #: Fields with must clauses, which become one lo, hi and value a field: two values of a field can't both hold.
-        self.fixed = sorted(r["at"] for r in self.clauses.where(must & known).select("at").distinct().collect())
-        bounds = []
+        self.fixed = {r["at"]: [c for c in ("lo", "hi", "value") if r[c]] for r in within.where(must).groupBy("at").agg(*has).orderBy("at").collect()}
+        #: Fields with clauses that must not hold, the parts these bind, and how many of a query there are at most.
+        per = within.where("occur = 'must_not'").groupBy("at", "_query").agg(*has, F.count("*").alias("n"))
+        self.barred = {r["at"]: ([c for c in ("lo", "hi", "value") if r[c]], r["n"]) for r in per.groupBy("at").agg(*[F.bool_or(c).alias(c) for c in ("lo", "hi", "value")], F.max("n").alias("n")).orderBy("at").collect()}
+        #: Whether clauses that must not hold are columns of the entries, as must clauses are.
+        self.plain = not self.shoulds and sum(n for _, n in self.barred.values()) <= UNROLLED
+        bounds = [F.collect_list(F.when((F.col("occur") == "must_not") & (F.col("at") == k), F.struct("lo", "hi", "value"))).alias(f"_barred{k}") for k in self.barred if self.plain]
         for k in self.fixed:
             of = lambda c, k=k: F.when(must & (F.col("at") == k), F.col(c))
             bounds += [F.max(of("lo")).alias(f"_lo{k}"), F.min(of("hi")).alias(f"_hi{k}"), F.min(of("value")).alias(f"_value{k}"), F.max(of("value")).alias(f"_other{k}")]
         asked = self.clauses.groupBy("_query").agg(others.alias("_clauses"), count("must").alias("_musts"), count("should").alias("_shoulds"), F.max("least").alias("_least"), *bounds)
         for k in self.fixed:
             asked = asked.where(F.col(f"_value{k}").eqNullSafe(F.col(f"_other{k}"))).drop(f"_other{k}")
+        for k, (parts, n) in self.barred.items() if self.plain else ():
+            own = [F.get(f"_barred{k}", F.lit(i)) for i in range(n)]
+            asked = asked.withColumns({f"_bar{k}_{i}": c.isNotNull() for i, c in enumerate(own)} | {f"_bar{k}_{i}_{p}": c[p] for i, c in enumerate(own) for p in parts}).drop(f"_barred{k}")
         self.queries = asked.withColumn("_least", F.coalesce("_least", F.when((F.col("_musts") == 0) & (F.col("_shoulds") > 0), 1).otherwise(0)))
 
-    def keys(self, used: set[str] | None = None) -> Column:
-        """What a row is looked up by: its value of each field with exact clauses, its cell of each with ranges; of `used`
-        fields only, if given, where an empty name stands for queries that any row may satisfy."""
-        key = lambda f, v, c: F.struct(F.lit(f).alias("_field"), v.alias("_value"), c.cast("int").alias("_cell"))
-        keys = [F.when(F.col(f"`{f}`").isNotNull(), key(f, F.col(f"`{f}`").cast("string"), F.lit(-2))) for f in self.exact if used is None or f in used]
+    def values(self, used: set[str] | None = None) -> list[Column]:
+        """What a row is looked up by in the exact clauses: its value of each field that has such, of `used` fields only, if given."""
+        return [F.when(F.col(f"`{f}`").isNotNull(), _key(f, F.col(f"`{f}`").cast("string"), F.lit(-2))) for f in self.exact if used is None or f in used]
+
+    def cells(self, used: set[str] | None = None) -> list[Column]:
+        """The same in ranges: its cell of each field that has such, and the cell together with a value if `used` names both."""
+        keys = []
         for f, (low, width) in self.spans.items():
             num = F.col(f"`{f}`").try_cast("double")
             if used is None or f in used:
-                keys.append(F.when(num.isNotNull(), key(f, F.lit(""), _cell(num, low, width))))
+                keys.append(F.when(num.isNotNull(), _key(f, F.lit(""), _cell(num, low, width))))
             for g in (g for g in self.exact if used and _both(f, g) in used):
-                keys.append(F.when(num.isNotNull() & F.col(f"`{g}`").isNotNull(), key(_both(f, g), F.col(f"`{g}`").cast("string"), _cell(num, low, width))))
-        keys += [key("", F.lit(""), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))] if used and "" in used else []
-        return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<struct<_field:string,_value:string,_cell:int>>")
+                keys.append(F.when(num.isNotNull() & F.col(f"`{g}`").isNotNull(), _key(_both(f, g), F.col(f"`{g}`").cast("string"), _cell(num, low, width))))
+        return keys
 
     def keyed(self, used: set[str]) -> DataFrame:
-        row = F.struct(*[F.col(f"`{c}`") for c in self.rows.columns])
-        judged = [self.has.alias("_has")] * (self.longest > 0) + [c for k in self.fixed for c in self.flat[k]]
-        return self.rows.select(row.alias("_row"), *judged, F.explode(self.keys(used)).alias("_key")).select("*", "_key.*").drop("_key")
+        """The rows' columns as _row0, _row1 and so on, what clauses are judged on, and a key; an empty name among `used` stands for queries that any row may satisfy."""
+        keys = self.values(used) + self.cells(used) + [_key("", F.lit(""), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))] * ("" in used)
+        row = [F.col(f"`{c}`").alias(f"_row{i}") for i, c in enumerate(self.rows.columns)]
+        judged = [self.has.alias("_has")] * (self.longest > 0 and not self.plain) + [c for k in sorted({*self.fixed, *(self.barred if self.plain else ())}) for c in self.flat[k]]
+        return _looked_up(self.rows, keys, *row, *judged)
 
     def rarity(self) -> DataFrame:
         """clause, rare: how many rows meet an exact clause; for a range the rows of its cells."""
-        met = self.rows.select(F.explode(self.keys()).alias("k")).select("k.*")
         exact = self.clauses.where("kind = 'value'").select("clause", F.col("field").alias("_field"), F.col("value").alias("_value"))
         values = exact.select("_field", "_value").distinct()
-        by_value = met.where("_cell = -2").join(values, ["_field", "_value"], "left_semi").groupBy("_field", "_value").agg(F.count("*").alias("rare"))
+        by_value = _looked_up(self.rows, self.values()).join(values, ["_field", "_value"], "left_semi").groupBy("_field", "_value").agg(F.count("*").alias("rare"))
         of_exact = exact.join(by_value, ["_field", "_value"], "left").select("clause", F.coalesce("rare", F.lit(0)).alias("rare"))
-        by_cell = met.where("_cell > -2").groupBy("_field", "_cell").agg(F.count("*").alias("n"))
-        every = by_cell.select("_field").distinct().select("_field", F.explode(F.sequence(F.lit(-1), F.lit(CELLS))).alias("_cell"))
+        by_cell = _looked_up(self.rows, self.cells()).groupBy("_field", "_cell").agg(F.count("*").alias("n"))
+        named = F.explode(F.array(*map(F.lit, self.spans)).cast("array<string>")).alias("_field")
+        every = self.rows.sparkSession.range(1).select(named).select("_field", F.explode(F.sequence(F.lit(-1), F.lit(CELLS))).alias("_cell"))
         running = F.sum(F.coalesce("n", F.lit(0))).over(Window.partitionBy("_field").orderBy("_cell"))  # CELLS + 2 rows a field
         upto = every.join(by_cell, ["_field", "_cell"], "left").select(F.col("_field").alias("field"), F.struct(F.col("_cell").alias("cell"), running.alias("upto")).alias("s"))
         sums = upto.groupBy("field").agg(F.sort_array(F.collect_list("s"))["upto"].alias("sums"))
@@ -350,7 +402,7 @@ class _QueryIndex:
         return of_exact.unionByName(ranges.select("clause", (upto(F.col("last")) - upto(F.col("first") - 1)).alias("rare")))
 
     def entries(self) -> DataFrame:
-        """_query, its clauses and counts, _entry (the number of the clause), _entered (all such of the query) and the keys under which rows find it."""
+        """_query, what its clauses bind (less a value that the key holds) and, with should clauses, their counts, _entry (the number of the clause) and _entered (all such of the query); and the keys under which rows find it."""
         all_rows = F.lit(2**62).cast("long")  # more than any count: a clause without bounds comes last
         known = self.clauses.withColumn("rare", F.lit(None).cast("long")) if self.few else self.clauses.join(self.rarity(), "clause", "left")
         rare = known.withColumn("rare", F.when(F.col("kind") == "never", -1).when(F.col("kind") == "any", all_rows).otherwise(F.coalesce("rare", F.lit(0))))
@@ -359,16 +411,20 @@ class _QueryIndex:
         of_must = (F.col("occur") == "must") & (F.col("place") == 1)
         of_should = (F.col("occur") == "should") & (F.col("_musts") == 0) & (F.col("_least") > 0) & (F.col("place") <= F.col("_shoulds") - F.col("_least") + 1)
         chosen = ranked.where((of_must | of_should) & (F.col("kind") != "never"))
+        chosen = chosen if self.few else chosen.where(~of_must | (F.col("rare") > 0))  # what no row meets needs no entry
         everywhere = F.transform(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda k: F.struct(F.lit("").alias("_field"), F.lit("").alias("_value"), k.cast("int").alias("_cell")))
         needed = [F.when(of_must & F.col(f"_value{k}").isNotNull(), F.struct(F.concat("field", F.lit(_both("", self.fields[k]))).alias("field"), F.col(f"_value{k}").alias("value"))) for k in self.fixed]
         at = F.coalesce(*needed, F.struct("field", F.lit("").alias("value")))
         cells = F.when(F.col("first") <= F.col("last"), F.transform(F.sequence(F.col("first"), F.greatest("first", "last")), lambda k: F.struct(at["field"].alias("_field"), at["value"].alias("_value"), k.alias("_cell"))))
         keys = F.when(F.col("kind") == "value", F.array(F.struct(F.col("field").alias("_field"), F.col("value").alias("_value"), F.lit(-2).alias("_cell")))).when(F.col("kind") == "range", cells).otherwise(everywhere)
         entered = F.collect_list("clause").over(Window.partitionBy("_query"))
-        named = chosen.select("_query", F.col("clause").alias("_entry"), entered.alias("_entered"), keys.alias("k"))
-        open_ = self.queries.where("_musts = 0 AND _least <= 0").select("_query", F.lit(None).cast("long").alias("_entry"), F.array().cast("array<long>").alias("_entered"), everywhere.alias("k"))
-        found = named.unionByName(open_).join(self.queries, "_query").withColumn("k", F.explode("k"))
-        return found.select(*[c for c in found.columns if c != "k"], "k.*")
+        held = F.when(of_must & (F.col("kind") == "value"), F.col("at")).when(of_must & (F.col("kind") == "range"), F.coalesce(*[F.when(F.col(f"_value{k}").isNotNull(), k) for k in self.fixed], F.lit(None)))
+        named = chosen.select("_query", F.col("clause").alias("_entry"), entered.alias("_entered"), keys.alias("k"), held.cast("int").alias("_held"))
+        open_ = self.queries.where("_musts = 0 AND _least <= 0").select("_query", F.lit(None).cast("long").alias("_entry"), F.array().cast("array<long>").alias("_entered"), everywhere.alias("k"), F.lit(None).cast("int").alias("_held"))
+        found = named.unionByName(open_).join(self.queries.where("_least <= _shoulds"), "_query").withColumn("k", F.explode("k"))
+        found = found.withColumns({f"_value{k}": F.when(~F.col("_held").eqNullSafe(F.lit(k)), F.col(f"_value{k}")) for k in self.fixed})
+        unread = {"k", "_held", "_musts", "_shoulds"} | ({"_clauses"} if self.plain else set()) | (set() if self.shoulds else {"_least", "_entry", "_entered"})
+        return found.select(*[c for c in found.columns if c not in unread], "k.*")
 
     def met(self) -> Column:
         """Whether a candidate row satisfies its query, and was found by the first entry that can find it."""
@@ -378,12 +434,15 @@ class _QueryIndex:
             bound = (c["lo"].isNull() | (own["num"] >= c["lo"])) & (c["hi"].isNull() | (own["num"] <= c["hi"])) & (c["value"].isNull() | (own["str"] == c["value"]))
             return F.coalesce(own.isNotNull() & bound, F.lit(False))
 
-        met = F.lit(True)
-        for k in self.fixed:
-            number, text, lo, hi, value = (F.col(f"{c}{k}") for c in ("_n", "_s", "_lo", "_hi", "_value"))
-            met = met & (lo.isNull() | (number >= lo)) & (hi.isNull() | (number <= hi)) & (value.isNull() | (text == value))
-        if not self.longest:
-            return met & (F.col("_least") <= 0)
+        def bound(k: int, parts: list[str], name: str) -> Column:
+            number, text = F.col(f"_n{k}"), F.col(f"_s{k}")
+            holds = {"lo": lambda c: number >= c, "hi": lambda c: number <= c, "value": lambda c: text == c}
+            return reduce(lambda a, b: a & b, [F.col(name.format(p)).isNull() | holds[p](F.col(name.format(p))) for p in parts], F.lit(True))
+
+        met = reduce(lambda a, b: a & b, [bound(k, parts, f"_{{}}{k}") for k, parts in self.fixed.items()], F.lit(True))
+        if self.plain:
+            barred = [F.col(f"_bar{k}_{i}") & bound(k, parts, f"_bar{k}_{i}_{{}}") for k, (parts, n) in self.barred.items() for i in range(n)]
+            return reduce(lambda a, b: a & ~F.coalesce(b, F.lit(False)), barred, met)
         if self.longest > UNROLLED:
             held = F.filter("_clauses", holds)
             count = lambda occur: F.size(F.filter(held, lambda c: c["occur"] == occur))
@@ -394,6 +453,6 @@ class _QueryIndex:
             no = reduce(lambda a, b: a & b, [~of(c, "must_not") for c in own])
             should = sum((F.when(of(c, "should"), 1).otherwise(0) for c in own), F.lit(0))
         if not self.shoulds:
-            return met & no & (F.col("_least") <= 0)
+            return met & no
         first = F.array_min(F.array_intersect(F.transform(F.filter("_clauses", holds), lambda c: c["clause"]), "_entered"))
         return met & no & ((F.col("_least") <= 0) | (should >= F.col("_least"))) & ((F.size("_entered") <= 1) | first.eqNullSafe(F.col("_entry")))
